@@ -49,8 +49,9 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFra
         "capped": F.coalesce(F.sum("limit").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)),
         "rest": F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing)),
         "total": F.sum(F.col("source_size").cast("double")).over(whole),
+        "reached": F.row_number().over(order),
     }).withColumn("level", (F.col("total") - F.col("capped")) / F.col("rest"))
-    level = F.min(F.when(F.col("level") <= F.col("limit") / F.col("weight"), F.col("level"))).over(whole)
+    level = F.min(F.when(F.col("level") <= F.col("limit") / F.col("weight"), F.struct("reached", "level"))).over(whole)["level"]
     return run.withColumn("level", level).select("source", "source_size", "place", F.least(F.coalesce(F.col("level") * F.col("weight"), F.col("limit")), F.col("limit")).alias("target"))
 
 

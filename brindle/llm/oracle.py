@@ -12,10 +12,11 @@ sources AS (
 runs AS (
   SELECT *, (sum(source_size) OVER ())::DOUBLE AS total, 3.0::DOUBLE * source_size AS lim,
          coalesce(sum(3.0::DOUBLE * source_size) OVER (ORDER BY 3.0::DOUBLE * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS capped,
-         sum(weight) OVER (ORDER BY 3.0::DOUBLE * source_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+         sum(weight) OVER (ORDER BY 3.0::DOUBLE * source_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest,
+         row_number() OVER (ORDER BY 3.0::DOUBLE * source_size / weight, source NULLS LAST) AS reached
   FROM sources),
 levels AS (
-  SELECT *, min(CASE WHEN (total - capped) / rest <= lim / weight THEN (total - capped) / rest END) OVER () AS level FROM runs),
+  SELECT *, arg_min((total - capped) / rest, CASE WHEN (total - capped) / rest <= lim / weight THEN reached END) OVER () AS level FROM runs),
 targets AS (SELECT source, source_size, least(level * weight, lim) AS target, round(least(level * weight, lim))::BIGINT AS wanted FROM levels),
 placed AS (
   SELECT s.doc_id, s.size, t.source_size, t.target, t.wanted,
