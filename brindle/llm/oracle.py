@@ -52,4 +52,17 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM stats
 """
 
-ORACLE_SQL = {"op3_mixing": OP3, "op7_quality": OP7}
+OP4 = rf"""
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, text) AS rid, doc_id, {WORDS} AS words FROM documents),
+windows AS (
+  SELECT rid, i, array_to_string(words[i : i + 19], ' ') AS w
+  FROM (SELECT rid, words, unnest(range(1, len(words) - 18)) AS i FROM d)),
+later AS (SELECT rid, i FROM (SELECT rid, i, row_number() OVER (PARTITION BY w ORDER BY rid, i) AS k FROM windows) WHERE k > 1),
+gone AS (SELECT DISTINCT rid, p FROM (SELECT rid, unnest(range(i, i + 20)) AS p FROM later)),
+words AS (SELECT rid, words[p] AS word, p FROM (SELECT rid, words, unnest(range(1, len(words) + 1)) AS p FROM d)),
+kept AS (SELECT rid, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FROM words ANTI JOIN gone USING (rid, p) GROUP BY rid)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""
+
+ORACLE_SQL = {"op3_mixing": OP3, "op4_substrings": OP4, "op7_quality": OP7}

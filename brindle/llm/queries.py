@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.llm import mixing, quality, sharding, urls
+from brindle.llm import mixing, packing, quality, sharding, substrings, urls
 from brindle.llm.common import read
 from brindle.llm.oracle import ORACLE_SQL
 
@@ -13,6 +13,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read(spark, sf_dir, "documents")).drop("position")
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.substring_dedup(read(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.quality_rules(read(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -22,12 +26,16 @@ def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(read(spark, sf_dir, "pages"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_mixing, op7_quality, op8_urls, op10_sharding)}
+    return {f.__name__: f for f in (op3_mixing, op4_substrings, op7_quality, op8_urls, op9_packing, op10_sharding)}
 
 
 def oracle_sql() -> dict:
