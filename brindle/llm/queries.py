@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.llm import minhash, mixing, packing, quality, sharding, substrings, urls
+from brindle.llm import embeddings, minhash, mixing, packing, quality, sharding, substrings, urls
 from brindle.llm.common import read
 from brindle.llm.oracle import ORACLE_SQL
 
@@ -17,6 +17,10 @@ def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.substring_dedup(read(spark, sf_dir, "documents"))
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.embedding_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -39,7 +43,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_mixing, op4_substrings, op6_minhash, op7_quality, op8_urls, op9_packing, op10_sharding)}
+    return {f.__name__: f for f in (op3_mixing, op4_substrings, op5_embeddings, op6_minhash, op7_quality, op8_urls, op9_packing, op10_sharding)}
 
 
 def oracle_sql() -> dict:
