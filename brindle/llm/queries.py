@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.llm import embeddings, minhash, mixing, packing, quality, sharding, substrings, urls
+from brindle.llm import embeddings, languages, minhash, mixing, ngrams, packing, quality, sharding, substrings, urls
 from brindle.llm.common import read
 from brindle.llm.oracle import ORACLE_SQL
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.identify_languages(read(spark, sf_dir, "documents"))
+
+
+def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.katz_scores(read(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read(spark, sf_dir, "documents")).drop("position")
 
@@ -43,7 +51,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_mixing, op4_substrings, op5_embeddings, op6_minhash, op7_quality, op8_urls, op9_packing, op10_sharding)}
+    return {f.__name__: f for f in (op1_language, op2_katz, op3_mixing, op4_substrings, op5_embeddings, op6_minhash, op7_quality, op8_urls, op9_packing, op10_sharding)}
 
 
 def oracle_sql() -> dict:
