@@ -178,3 +178,16 @@ def number_in_groups(df: DataFrame, group: list[str], order: list, spread: F.Col
         c = F.col(k).eqNullSafe(F.col(f"__s{k}"))
         same = c if same is None else same & c
     return numbered.join(starts, same).withColumn(out, (F.col("__start") + F.col("__row")).cast("long")).drop("__part", "__row", "__start", *[f"__s{k}" for k in keys])
+
+
+def nullable(kind):
+    """An Arrow type whose inner fields all allow nulls, as the types that Spark makes of DDL do."""
+    import pyarrow as pa
+
+    if pa.types.is_struct(kind):
+        return pa.struct([pa.field(f.name, nullable(f.type)) for f in kind])
+    if pa.types.is_map(kind):
+        return pa.map_(nullable(kind.key_type), nullable(kind.item_type))
+    if pa.types.is_list(kind):
+        return pa.list_(pa.field("element", nullable(kind.value_type)))
+    return kind

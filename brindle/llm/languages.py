@@ -67,7 +67,7 @@ class Model:
         return self.languages[k], float(p[k]), bool(p[k] >= self.threshold)
 
 
-def train(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = 12, rate: float = 4.0, seed: int = 7) -> Model:
+def train(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = 12, least_steps: int = 20_000, rate: float = 4.0, seed: int = 7) -> Model:
     """Stochastic gradient descent over (language, buckets, shares of the text); a fifth is kept to calibrate.
 
     The temperature minimises the calibration rows' negative log likelihood; the threshold is the least score above
@@ -81,6 +81,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = 12, rate
     rows = [rows[i] for i in rng.permutation(len(rows))]
     cut = len(rows) // 5 if len(rows) >= 20 else 0
     tuning, fitting = rows[:cut], rows[cut:]
+    epochs = max(epochs, -(-least_steps // len(fitting)))
     emb = rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH))
     out, bias = np.zeros((WIDTH, len(languages))), np.zeros(len(languages))
     steps, done = epochs * len(fitting), 0

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brindle.llm.common import n_words_expr
+from brindle.llm.common import n_words_expr, words_expr
 
 WEIGHTS, CAP = (5.0, 2.0, 1.0), 3
 #: Knots (t, multiplier) of the weight schedules, one for each place in WEIGHTS, piecewise linear: the heavy
@@ -102,12 +102,15 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The mix itself: documents with their columns, once for each time they are taken, by position; the cut
     document of a source has the words it was taken for."""
     own = docs.columns
-    rows = mix_sources(docs, id_col, text_col, source_col, carry=tuple(c for c in own if c != id_col), **options)
+    packed = docs.select(id_col, text_col, source_col, F.struct(*[F.col(c) for c in own]).alias("__own"))
+    rows = mix_sources(packed, id_col, text_col, source_col, carry=("__own",), **options)
     times = F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))
     each = rows.where(F.col("taken") > 0).withColumn("__time", F.explode(times))
     words = F.least(F.col("size"), F.col("taken") - (F.col("__time") - 1) * F.col("size"))
-    cut = F.array_join(F.slice(F.filter(F.split(F.col(text_col), r"[\x20\x09-\x0D]+"), lambda w: w != ""), F.lit(1), words.cast("int")), " ")
-    each = each.withColumn(text_col, F.when(words < F.col("size"), cut).otherwise(F.col(text_col)))
+    text = F.col("__own").getField(text_col)
+    cut = F.array_join(F.slice(words_expr(text), F.lit(1), words.cast("int")), " ")
+    each = each.withColumn("__text", F.when(words < F.col("size"), cut).otherwise(text))
+    own_columns = {c: F.col("__own").getField(c) for c in own} | {text_col: F.col("__text")}
     if length_col in own:
-        each = each.withColumn(length_col, F.length(text_col).cast("long"))
-    return each.select(*own)
+        own_columns[length_col] = F.length("__text").cast("long")
+    return each.select(*[v.alias(c) for c, v in own_columns.items()])

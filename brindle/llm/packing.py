@@ -230,21 +230,29 @@ def best_fit(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> Counter:
     return out
 
 
-def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
-    """Rows (length, first, last, each, sequence, offset): pieces first..last-1 of a length go `each` to a
-    sequence, the first ones to `sequence`, starting at `offset`. Every piece has a place."""
-    lengths = np.array(sorted(histogram), dtype=np.int64)
-    counts = np.array([histogram[int(x)] for x in lengths], dtype=np.int64)
+def round_down(solution: list[tuple[float, dict[int, int]]], lengths: np.ndarray, counts: np.ndarray, capacity: int) -> Counter:
+    """{configuration: whole times} that place every piece."""
     whole: Counter = Counter()
     left = counts.copy()
-    for times, config in solve_configurations(lengths, counts, capacity) if len(lengths) else []:
-        n = int(times + 1e-9)
-        n = min([n, *[int(left[i]) // k for i, k in config.items()]])
+    for times, config in solution:
+        n = min([int(times + 1e-9), *[int(left[i]) // k for i, k in config.items()]])
         if n > 0:
             whole[tuple(sorted(config.items()))] += n
             for i, k in config.items():
                 left[i] -= n * k
     whole.update(best_fit(lengths, left, capacity))
+    return whole
+
+
+def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
+    """Rows (length, first, last, each, sequence, offset): pieces first..last-1 of a length go `each` to a
+    sequence, the first ones to `sequence`, starting at `offset`. Every piece has a place."""
+    lengths = np.array(sorted(histogram), dtype=np.int64)
+    counts = np.array([histogram[int(x)] for x in lengths], dtype=np.int64)
+    solution = solve_configurations(lengths, counts, capacity) if len(lengths) else []
+    # rounding: the configurations of the first rounds, rounded down, and best fit for the rest; the early ones serve
+    # many pieces each, the late ones pack what is left less well than best fit may, so the best of five cuts is taken
+    whole = min((round_down(solution[: len(solution) * share // 4], lengths, counts, capacity) for share in (4, 3, 2, 1, 0)), key=lambda w: sum(w.values()))
     used = np.zeros(len(lengths), dtype=np.int64)
     rows, sequence = [], 0
     for config, times in whole.items():
