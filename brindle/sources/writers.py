@@ -64,7 +64,7 @@ def write_single_csv(df: DataFrame, path: str, most_rows: int = 1_000_000) -> in
     return len(rows)
 
 
-def write_manifest(path: str, facts: DataFrame | dict, **more) -> dict:
+def write_manifest(path: str, facts: DataFrame | dict, /, **more) -> dict:
     """One row of facts (counts, paths) as JSON."""
     out = (facts if isinstance(facts, dict) else (facts.first() or {}).asDict()) | more
     with open(f"{path}.tmp", "w") as f:
