@@ -174,3 +174,18 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     schema = [f"`{id_col}` {kinds[id_col]}", *[f"`{c}` {kinds[c]}" for c in carry], "kept boolean", *(["base_failed boolean", *[f"{n} bigint" for n in names]] if statistics else [])]
     out_names = [id_col, *carry, "kept", *(["base_failed", *names] if statistics else [])]
     return docs.select(F.col(id_col), F.col(text_col).cast("binary").alias("__text"), *[F.col(c) for c in carry]).mapInArrow(judge, ", ".join(schema))
+
+
+def kept_documents(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The documents, with their columns, that no rule rejects."""
+    cascade, at = plan_cascade(docs, text_col, rules), docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for raw in batch.column(at).cast(pa.binary()):
+                t = Text(raw.as_py())
+                kept.append(not any(r.rejects(t) for r in cascade))
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
