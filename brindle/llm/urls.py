@@ -11,6 +11,8 @@ from brindle.llm.url_labels import labelled_urls
 #: (host, path, verdict).
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 BUCKETS, SIZES = 4096, (3, 4, 5)
+#: The least probability that blocks; above a half, since a wanted page that is blocked costs more than the reverse.
+THRESHOLD = 0.6
 
 
 def url_host(url) -> F.Column:
@@ -35,7 +37,7 @@ def grams(host, path) -> F.Column:
     return F.array_distinct(F.concat(*[of(x, n) for x in (h, p) for n in SIZES]))
 
 
-def fit(spark: SparkSession, table: list[tuple[str, int]] | None = None, steps: int = 400, rate: float = 2.0, decay: float = 1e-3) -> tuple[np.ndarray, float]:
+def fit(spark: SparkSession, table: list[tuple[str, int]] | None = None, steps: int = 2000, rate: float = 2.0, decay: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and bias from a small labelled table of (url, 1 for block): full-batch gradient descent.
 
     The table is at most a few hundred rows, so its n-grams (made by the expression that also scores) are
@@ -73,7 +75,7 @@ def rule_expr(host, path, rules=RULES) -> tuple[F.Column, F.Column]:
     return name, verdict
 
 
-def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, threshold: float = 0.5) -> DataFrame:
+def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: id, host, path, rule, verdict, score (the method's probability of block).
 
     A rule's verdict wins over the method's. Null urls and urls without `://` have empty host and path, fit no
