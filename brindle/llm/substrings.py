@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.common import WordIds, pack, pack_bits, pack_sorted, text_blocks, unpack, unpack_bits, unpack_sorted, window_hashes
+from brindle.llm.common import WordIds, nullable, pack, pack_bits, pack_sorted, text_blocks, unpack, unpack_bits, unpack_sorted, window_hashes
 
 #: Any two odd numbers with inverses modulo 2^64 that are not powers of each other.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -37,18 +37,25 @@ class Block:
         self.order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i]))
         self.texts = [texts[i] for i in self.order]
         self.words = [t.split() for t in self.texts]
+        self.doc_ids = np.array([ids[i] for i in self.order], dtype=np.int64)
         local = WordIds()
-        lengths = np.array([len(w) for w in self.words], dtype=np.int64)
-        self.ends = np.cumsum(lengths)
         x = np.concatenate([local.encode(w) for w in self.words]) if len(ids) else np.empty(0, np.int64)
         self.n = len(x)
-        self.doc_ids = np.array([ids[i] for i in self.order], dtype=np.int64)
-        doc = np.repeat(np.arange(len(ids)), lengths)
-        inside = np.arange(max(self.n - width + 1, 0)) + width <= self.ends[doc[: max(self.n - width + 1, 0)]]
+        inside = np.ones(max(self.n - width + 1, 0), dtype=bool)
+        ends, at = [], 0
+        for w in self.words:
+            end = at + len(w)
+            inside[max(at, end - width + 1) : end] = False
+            ends.append(end)
+            at = end
+        self.ends = np.array(ends, dtype=np.int64)
         self.start = np.flatnonzero(inside)
-        self.doc = doc[self.start]
         self.h = [window_hashes(hashes[x], width, base)[self.start] for hashes, base in zip((local.hashes(), local.second_hashes()), BASES)] if self.n else [np.empty(0, np.uint64)] * 2
 
+    def documents(self, windows: np.ndarray) -> np.ndarray:
+        """The ids of the documents that have these windows."""
+        return self.doc_ids[np.searchsorted(self.ends, self.start[windows], side="right")]
+
 
 class Layout:
     """Widths of the sketch and numbers of shards, all powers of two that follow the input's size."""
@@ -98,26 +105,38 @@ def _merge(table: pa.Table, layout: Layout) -> list[tuple]:
 
 
 def _candidates(block: Block, layout: Layout, answers: dict[int, tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """Windows (indices, sorted by hash and start) whose cells have two in both rows, and where a new hash begins."""
-    left = np.arange(len(block.start))
-    for r in (0, 1):
-        cells = layout.cells(block.h[r])
-        known = np.unique(cells)
+    """Windows (indices, equal ones together in the order of their hashes) whose cells have two in both rows, and for
+    each of them where the block first has it."""
+
+    def repeated(r: int) -> np.ndarray:
         bits = [unpack_bits(answers[k][1], answers[k][0]) for k in range(r * layout.shards, (r + 1) * layout.shards) if k in answers]
-        repeated = known[np.concatenate(bits)] if bits else known[:0]
-        left = left[np.isin(cells[left], repeated)] if len(repeated) else left[:0]
-    left = left[np.lexsort((left, block.h[1][left], block.h[0][left]))]
+        return np.concatenate(bits) if bits else np.empty(0, dtype=bool)
+
+    if not len(block.start):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    left = np.argsort(block.h[0])
+    cells = layout.cells(block.h[0][left])
+    new = np.ones(len(cells), dtype=bool)
+    new[1:] = cells[1:] != cells[:-1]
+    left = left[repeated(0)[np.cumsum(new) - 1]]
+    cells = layout.cells(block.h[1])
+    left = left[repeated(1)[np.searchsorted(np.unique(cells), cells[left])]]
     a, b = block.h[0][left], block.h[1][left]
+    if np.any((a[1:] == a[:-1]) & (b[1:] != b[:-1])):  # different windows with one equal half of their hashes
+        left = left[np.lexsort((b, a))]
+        a, b = block.h[0][left], block.h[1][left]
     new = np.ones(len(left), dtype=bool)
     new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    return left, new
+    at = np.flatnonzero(new)
+    first = np.minimum.reduceat(left, at)[np.cumsum(new) - 1] if len(left) else left
+    return left, first
 
 
 def _ask(block: Block, layout: Layout, answers: dict, number: int) -> list[tuple]:
     """Each candidate window once, under its hash, with the document where the block first has it."""
-    left, new = _candidates(block, layout, answers)
-    first = left[new]
-    a, b, docs = block.h[0][first], block.h[1][first], block.doc_ids[block.doc[first]]
+    left, first = _candidates(block, layout, answers)
+    first = left[left == first]
+    a, b, docs = block.h[0][first], block.h[1][first], block.documents(first)
     at = layout.bounds(a, 64)
     return [(2 * layout.shards + s, number, int(y - x), pack_sorted(a[x:y]), pack(b[x:y]), pack(docs[x:y])) for s, (x, y) in enumerate(zip(at, at[1:])) if y > x]
 
@@ -139,11 +158,11 @@ def _group(table: pa.Table) -> list[tuple]:
 
 def _covered(block: Block, layout: Layout, answers: dict, width: int) -> np.ndarray:
     """Which words of the block a repeated window covers."""
-    left, new = _candidates(block, layout, answers)
+    left, first_here = _candidates(block, layout, answers)
     bits = [unpack_bits(answers[k][1], answers[k][0]) for k in range(2 * layout.shards, 3 * layout.shards) if k in answers]
     first = np.concatenate(bits) if bits else np.empty(0, dtype=bool)
-    stays = new.copy()
-    stays[new] = first
+    stays = left == first_here
+    stays[stays] = first
     starts = block.start[left[~stays]]
     step = np.zeros(block.n + 1, dtype=np.int64)
     np.add.at(step, starts, 1)
@@ -201,7 +220,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             if texts:
                 kept.append(kept_text(text, g) if n else text)
         own = table.take(pa.array(block.order, pa.int64()))
-        columns = [own.column("id"), *([own.column("own")] if carry else []), pa.array([len(w) for w in block.words], pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digests, pa.string())]
+        columns = [own.column("id"), *([own.column("own").cast(nullable(own.schema.field("own").type))] if carry else []), pa.array([len(w) for w in block.words], pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digests, pa.string())]
         if texts:
             columns.append(pa.array(kept, pa.binary()))
         return pa.table(columns, names=["id", *(["own"] if carry else []), "n_words", "n_removed", "kept_sha256", *(["kept"] if texts else [])])
@@ -218,8 +237,15 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def deduplicated_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars", width: int = 20) -> DataFrame:
     """The documents with their columns and without repeated passages; other texts keep every byte."""
     own = docs.columns
-    rows = substring_dedup(docs, id_col, text_col, width, carry=tuple(c for c in own if c not in (id_col, text_col)), texts=True)
-    rows = rows.withColumn(text_col, F.col("kept_text"))
-    if length_col in own:
-        rows = rows.withColumn(length_col, F.when(F.col("n_removed") > 0, F.length(text_col).cast("long")).otherwise(F.col(length_col)))
-    return rows.select(*own)
+    packed = docs.select(id_col, text_col, F.struct(F.lit(None).cast("string").alias("__none"), *[F.col(c) for c in own if c not in (id_col, text_col)]).alias("__own"))
+    rows = substring_dedup(packed, id_col, text_col, width, carry=("__own",), texts=True)
+
+    def column(c: str) -> F.Column:
+        if c == id_col:
+            return F.col(id_col)
+        if c == text_col:
+            return F.col("kept_text").alias(c)
+        before = F.col("__own").getField(c)
+        return (F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(before) if c == length_col else before).alias(c)
+
+    return rows.select(*[column(c) for c in own])
