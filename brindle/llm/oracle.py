@@ -65,4 +65,35 @@ SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIG
 FROM d LEFT JOIN kept USING (rid)
 """
 
-ORACLE_SQL = {"op3_mixing": OP3, "op4_substrings": OP4, "op7_quality": OP7}
+#: Smallest id reachable over links(x, y) of rows d(rid, id): every row's whole group, then its least id.
+REACH = """
+sides AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (SELECT rid, rid AS other FROM d UNION SELECT r.rid, b.y FROM reach r JOIN sides b ON b.x = r.other),
+least_id AS (SELECT r.rid, min(o.id) AS c FROM reach r JOIN d o ON o.rid = r.other GROUP BY r.rid)
+"""
+
+OP5 = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, vec_id AS id,
+         CASE WHEN vec_id IS NOT NULL AND list_bool_and(list_transform(embedding, lambda v: v IS NOT NULL AND isfinite(v))) AND list_bool_or(list_transform(embedding, lambda v: v <> 0)) THEN embedding::DOUBLE[] END AS v FROM embeddings),
+links AS (SELECT a.rid AS x, b.rid AS y FROM d a JOIN d b ON a.rid < b.rid AND a.v IS NOT NULL AND b.v IS NOT NULL AND len(a.v) = len(b.v) WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+{REACH}
+SELECT d.id AS vec_id, (SELECT count(*) FROM sides WHERE sides.x = d.rid) AS n_links, coalesce(c, d.id) AS component_id, coalesce(c, d.id) IS NOT DISTINCT FROM d.id AS kept
+FROM d JOIN least_id USING (rid)
+"""
+
+OP6 = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id AS id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+shingles AS (
+  SELECT DISTINCT rid, CASE WHEN len(words) = 1 THEN words[1] ELSE words[i] || ' ' || words[i + 1] END AS g
+  FROM (SELECT rid, words, unnest(range(1, greatest(len(words), 2))) AS i FROM d WHERE len(words) > 0)),
+sizes AS (SELECT rid, count(*) AS n FROM shingles GROUP BY rid),
+common AS (SELECT a.rid AS x, b.rid AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.g = b.g AND a.rid < b.rid GROUP BY 1, 2),
+links AS (SELECT x, y FROM common JOIN sizes p ON p.rid = x JOIN sizes q ON q.rid = y WHERE 100 * c >= 80 * (p.n + q.n - c)),
+{REACH}
+SELECT d.id AS doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id, c IS NOT DISTINCT FROM d.id AS kept
+FROM d JOIN least_id USING (rid) LEFT JOIN sizes USING (rid)
+"""
+
+ORACLE_SQL = {"op3_mixing": OP3, "op4_substrings": OP4, "op5_embeddings": OP5, "op6_minhash": OP6, "op7_quality": OP7}
