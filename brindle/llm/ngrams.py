@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.common import WordIds, pack, pack_sorted, text_blocks, unpack, unpack_sorted
+from brindle.llm.common import BLOCK_BYTES, WordIds, pack, pack_sorted, text_blocks, unpack, unpack_sorted
 
 #: Counts up to this are discounted (Katz's k).
 MOST_DISCOUNTED = 5
@@ -206,7 +206,7 @@ def _scores(block: Block, got: Answers) -> dict[str, np.ndarray]:
     return {"n_known": np.add.reduceat((c > 0).astype(np.int64), starts), "base_score": np.add.reduceat(base, starts), "score": np.add.reduceat(of_token, starts)}
 
 
-def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: F.Column | None = None) -> DataFrame:
+def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: F.Column | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per input row: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
     The model learns from the rows that aren't held out (by default those whose crc32 of the id modulo 7 isn't 2; a
@@ -217,7 +217,7 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if held_out is None:
         held_out = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 7 == 2
     named = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    blocks, n_blocks, _ = text_blocks(named, "__id", "__text", ("held_out",))
+    blocks, n_blocks, _ = text_blocks(named, "__id", "__text", ("held_out",), block_bytes)
     bits = max(3, int(n_blocks).bit_length())
 
     def send_words(key, table):

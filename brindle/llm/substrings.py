@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.common import WordIds, nullable, pack, pack_bits, pack_sorted, text_blocks, unpack, unpack_bits, unpack_sorted, window_hashes
+from brindle.llm.common import BLOCK_BYTES, WordIds, nullable, pack, pack_bits, pack_sorted, text_blocks, unpack, unpack_bits, unpack_sorted, window_hashes
 
 #: Any two odd numbers with inverses modulo 2^64 that are not powers of each other.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -177,7 +177,7 @@ def kept_text(text: bytes, removed: np.ndarray) -> bytes:
     return b"".join([head, *[m.group() for m, gone in zip(spans, removed) if not gone]])
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 20, carry: tuple[str, ...] = (), texts: bool = False) -> DataFrame:
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 20, carry: tuple[str, ...] = (), texts: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per input row: id, carried columns, n_words, n_removed, kept_sha256 and, with `texts`, the kept text.
 
     A window starts earlier in a document of smaller id, or earlier in its own document. Null ids come first;
@@ -186,7 +186,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     neither named nor carried are ignored, whatever their names.
     """
     named = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), *([F.struct(*[F.col(c) for c in carry]).alias("own")] if carry else []))
-    blocks, n_blocks, n_bytes = text_blocks(named, "__id", "__text", ("own",) if carry else ())
+    blocks, n_blocks, n_bytes = text_blocks(named, "__id", "__text", ("own",) if carry else (), block_bytes)
     layout = Layout(n_bytes, n_blocks)
 
     def number(key) -> int:

@@ -74,6 +74,15 @@ def test_substrings(spark, odd, docs):
     assert sum((i, t) in untouched for i, t in rows_of(docs)) == sum(len(k) == len(words(rows_of(docs)[i][1])) for i, k in removed_by_force(rows_of(docs)).items())
 
 
+def test_many_blocks_give_what_one_gives(spark, odd, docs):
+    for df in (odd, docs):
+        one, many = substrings.substring_dedup(df), substrings.substring_dedup(df, block_bytes=5000)
+        assert Counter(map(tuple, one.collect())) == Counter(map(tuple, many.collect()))
+        rounded = lambda d: sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 5), round(r["score"], 5)) for r in d.collect())
+        a, b = rounded(ngrams.katz_scores(df)), rounded(ngrams.katz_scores(df, block_bytes=5000))
+        assert [x[:4] for x in a] == [x[:4] for x in b] and all(abs(x[k] - y[k]) < 1e-3 for x, y in zip(a, b) for k in (4, 5))
+
+
 def test_sketch_never_underestimates():
     layout = substrings.Layout(1 << 14, 3)
     import pyarrow as pa
