@@ -20,11 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.common import BLOCK_BYTES, WordIds, nullable, pack, pack_bits, pack_sorted, text_blocks, unpack, unpack_bits, unpack_sorted, window_hashes
+from brindle.llm.common import WordIds, nullable, pack, pack_bits, pack_sorted, text_blocks, unpack, unpack_bits, unpack_sorted, window_hashes
 
 #: Any two odd numbers with inverses modulo 2^64 that are not powers of each other.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 NULL_ID = -(1 << 63)
+#: Bytes of text in a block on average; its words and windows take some 30 times that in a Python worker.
+BLOCK_BYTES = 4 << 20
 PIECES = "key long, block int, n int, a binary, b binary, c binary"
 
 
