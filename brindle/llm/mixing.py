@@ -16,7 +16,8 @@ WEIGHTS, CAP = (5.0, 2.0, 1.0), 3
 #: Knots (t, multiplier) of the weight schedules, one for each place in WEIGHTS, piecewise linear: the heavy
 #: sources fade, the middle ones are even, the light ones rise.
 SCHEDULES = (((0.0, 1.25), (0.5, 1.0), (1.0, 0.75)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (0.5, 1.0), (1.0, 1.5)))
-ROWS_IN_TASK = 20_000
+#: Rows of a part of a source's stream, and of an output partition.
+ROWS_IN_PART, ROWS_IN_TASK = 4_000, 20_000
 
 
 def inverse_demand(share, knots) -> F.Column:
@@ -67,7 +68,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     come first in the stream; rows alike in id are ordered by size and text, so reruns agree. Empty tables give
     no rows. Columns that are neither named nor carried are ignored, whatever their names.
 
-    Running sums are taken in parts of about 20,000 rows cut by md5, then over the parts' totals, so a source
+    Running sums are taken in parts of about 4,000 rows cut by md5, then over the parts' totals, so a source
     that holds most rows is spread over tasks.
     """
     text, carried = F.col(text_col), [F.col(c).alias(f"__c_{c}") for c in carry]
@@ -75,7 +76,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words_expr(text).alias("size"), key.alias("key"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("same"), *carried)
     n_rows = docs.count()
     # a part is a range of the first 32 bits of md5, so parts follow each other in stream order
-    parts = max(1, -(-n_rows // ROWS_IN_TASK))
+    parts = max(1, -(-n_rows // ROWS_IN_PART))
     part = F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * parts / F.lit(float(1 << 32))).cast("int")
     sized = sized.withColumn("part", part)
     targets = source_targets(sized, weights, cap)
