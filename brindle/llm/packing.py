@@ -23,7 +23,9 @@ from brindle.llm.common import checkpoint, worker_cache
 
 CAPACITY, END_ID = 2048, 0
 #: Entries of a worker's cache of chunk ids; a full cache is emptied, so memory stays bounded.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 150_000
+#: Pieces of one length that one task numbers.
+ROWS_IN_PART = 1_000
 
 
 def default_tokenizer() -> str:
@@ -123,6 +125,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 if ids:
                     columns.append(pa.array(raw, pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        encoder.cache.clear()  # a worker lives on after its task
 
     kinds = dict(docs.dtypes)
     names = [id_col, *carry, "piece", "start", "length", "ids_crc32", *(["ids"] if ids else [])]
@@ -286,7 +289,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not histogram:
         return pieces.drop("__spread").withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
-    parts = max(1, -(-max(histogram.values()) // 20_000))
+    parts = max(1, -(-max(histogram.values()) // ROWS_IN_PART))
     cut = pieces.withColumn("__part", F.pmod(F.col("__spread"), F.lit(parts)).cast("int"))
     sizes = cut.groupBy("length", "__part").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy("length").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
