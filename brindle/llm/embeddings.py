@@ -3,7 +3,7 @@
 A vector lives in the cell of its nearest centre (its home) and visits the cells whose boundary it is close to.
 A pair is compared where one of the two is at home and the other lives or visits. Two unit vectors of cosine
 `least` are `d = sqrt(2 - 2 * least)` apart, and their difference moves a boundary distance by d * z / sqrt(dim)
-for a difference of no special direction, z being about normal; vectors visit up to z = 4. Recall against brute
+for a difference of no special direction, z being about normal; vectors visit up to z = 3. Recall against brute
 force is measured in the tests. Cells are compared in blocks of at most 2,048 by 2,048 vectors on average, each block
 pair a group of its own, so a cell with a third of all vectors is spread over tasks. A block pair gives counts and
 a spanning forest of its links, never its pairs. Equal vectors are one vector with a weight.
@@ -23,7 +23,7 @@ from brindle.llm.components import components
 
 #: Vectors of a cell on average; most cells (the centres are sent to every task: at most 4096 x dim doubles);
 #: vectors that k-means is fitted on, for each centre; block edge; z of the boundary margin.
-CELL_ROWS, MOST_CELLS, SAMPLE_ROWS, BLOCK, MARGIN = 256, 4096, 32, 2048, 4.0
+CELL_ROWS, MOST_CELLS, SAMPLE_ROWS, BLOCK, MARGIN = 256, 4096, 32, 2048, 3.0
 
 
 def unit(x: np.ndarray) -> np.ndarray:
