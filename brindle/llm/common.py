@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 import numpy as np
@@ -27,10 +28,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="brindle-checkpoint-"))
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with files in the shared checkpoint folder."""
+def checkpoint(df: DataFrame, release: bool = False) -> DataFrame:
+    """Cut the lineage with files in the shared checkpoint folder.
+
+    Spark removes the shuffle files and old checkpoints of plans that nothing refers to when the driver collects its
+    garbage; `release` has it do so now, after the large steps of queries of many steps.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark, out = df.sparkSession, df.checkpoint(eager=True)
+    del df
+    if release:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+    return out
 
 
 def words_expr(text) -> F.Column:

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from brindle.llm.common import checkpoint
 
 
+#: Links in a file between steps.
+ROWS_IN_FILE = 200_000
+
+
 def _digest(edges: DataFrame) -> tuple:
     r = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return r[0], r[1]
@@ -37,7 +41,8 @@ def components(links: DataFrame, a: str, b: str, max_steps: int = 60) -> DataFra
         small_least = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), "m")
         small = large.join(small_least, F.col("u") == F.col("x"))
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        edges = checkpoint(small)
+        # a step leaves no more links than there were, so few links need few files
+        edges = checkpoint(small.coalesce(max(1, -(-before[0] // ROWS_IN_FILE))))
         after = _digest(edges)
         if after == before:
             break

@@ -21,6 +21,8 @@ from brindle.llm.common import WordIds, checkpoint, mix
 from brindle.llm.components import components
 
 GROUPS, HALF = 10, 2
+#: Rounds of one comparison a class before all are compared that are left.
+ROUNDS = 1
 BASE = 0x9E3779B97F4A7C15
 
 
@@ -98,24 +100,23 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int, groups
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("same"), F.col(text_col).cast("binary").alias("text")).mapInArrow(sign, f"id {kind}, same bigint, n_shingles bigint, set binary, left array<bigint>, right array<bigint>")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets have 100 * intersection >= percent * union."""
+def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes with `both`, the size of their full sets' intersection, and whether they link:
+    100 * intersection >= percent * union."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
+            common, linked = [], []
+            for x, y in zip(batch.column(2), batch.column(3)):
                 p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if 100 * min(len(p), len(q)) < percent * max(len(p), len(q)):
-                    continue
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                if 100 * both >= percent * (len(p) + len(q) - both):
-                    keep.append(i)
-            yield pa.RecordBatch.from_arrays([c.take(pa.array(keep, pa.int64())) for c in batch.columns[:2]], names=["a", "b"])
+                n = len(np.intersect1d(p, q, assume_unique=True))
+                common.append(n)
+                linked.append(100 * n >= percent * (len(p) + len(q) - n))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(common, pa.int64()), pa.array(linked, pa.bool_())], names=["a", "b", "both", "linked"])
 
     x = sets.select(F.col("cls").alias("ca"), F.col("shingles").alias("xa"))
     y = sets.select(F.col("cls").alias("cb"), F.col("shingles").alias("xb"))
-    return pairs.join(x, F.col("a") == F.col("ca")).select("a", "b", "xa").join(y, F.col("b") == F.col("cb")).select("a", "b", "xa", "xb").mapInArrow(check, "a bigint, b bigint")
+    return pairs.join(x, F.col("a") == F.col("ca")).select("a", "b", "xa").join(y, F.col("b") == F.col("cb")).select("a", "b", "xa", "xb").mapInArrow(check, "a bigint, b bigint, both bigint, linked boolean")
 
 
 def full_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, wanted: DataFrame) -> DataFrame:
@@ -137,42 +138,62 @@ def full_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, wanted:
 def grouped_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2, percent: int = 80, groups: int = GROUPS, half: int = HALF) -> DataFrame:
     """One row per input row: id, same (hash of the text), n_shingles, group (null for empty sets), component_id.
 
-    Rows with equal sets are one class, linked by definition. Classes that meet in a table are compared first
-    with their bucket's smallest class and, where that leaves a bucket in several components, with a second
-    pivot; pairs of one bucket that are then still in different components are all compared, so no candidate
-    link is lost, and a bucket of thousands of near copies costs one comparison a member.
+    Rows with equal sets are one class, linked by definition. Classes that meet in a table are candidates. A bucket's
+    smallest class is compared with all others; then, where a bucket's classes are in several components, a few rounds
+    compare a member of the largest component with the classes outside of it, each class once; what is then outside of
+    the largest components is compared with every class of other components that it meets, in the first table where
+    the two meet, unless their overlaps with the bucket's smallest class already tell that they can't link. So every candidate pair is compared or already connected, and a bucket of thousands of near copies
+    takes a few comparisons a member.
     """
     signed = checkpoint(signatures(docs, id_col, text_col, shingle, groups, half))
     one = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "same"))
-    classes = signed.where("set is not null").groupBy("set").agg(one.alias("one"), F.first("left").alias("left"), F.first("right").alias("right"))
-    classes = checkpoint(classes.select("set", F.monotonically_increasing_id().alias("cls"), "one.id", "one.same", "left", "right"))
+    classes = signed.where("set is not null").groupBy("set").agg(one.alias("one"), F.first("n_shingles").alias("size"), F.first("left").alias("left"), F.first("right").alias("right"))
+    classes = checkpoint(classes.select("set", F.monotonically_increasing_id().alias("cls"), "one.id", "one.same", "size", "left", "right"))
     key = lambda i, j: F.xxhash64(F.lit(i), F.lit(j), F.col("left")[i], F.col("right")[j])
-    tables = classes.select("cls", F.explode(F.array(*[key(i, j) for i in range(groups) for j in range(groups)])).alias("key"))
-    pivots = tables.groupBy("key").agg(F.min("cls").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = checkpoint(tables.join(pivots.withColumnRenamed("key", "k"), F.col("key") == F.col("k")).where("cls <> pivot").select("key", "cls", "pivot", "n"))
-    first = checkpoint(members.select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct())
+    all_keys = F.array(*[key(i, j) for i in range(groups) for j in range(groups)])
+    tables = classes.select("cls", F.explode(all_keys).alias("key"))
+    buckets = tables.groupBy("key").agg(F.min("cls").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("key", "k")
+    members = checkpoint(tables.join(buckets, F.col("key") == F.col("k")).select("key", "cls", "pivot", "n"), release=True)
+    first = checkpoint(members.where("cls <> pivot").select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct())
     in_pairs = first.select(F.col("a").alias("s")).union(first.select(F.col("b").alias("s"))).distinct()
-    wanted = classes.select("cls", "id", "same").join(in_pairs, F.col("cls") == F.col("s"), "left_semi")
-    sets = checkpoint(full_sets(docs, id_col, text_col, shingle, wanted))
-    links = checkpoint(confirmed(first, sets, percent))
-    found = checkpoint(components(links, "a", "b"))
-    # buckets of three or more, whose members (without the pivot, which met all of them) are in several components
-    for last in (False, True):
-        open_ = members.where("n > 2").join(found, F.col("cls") == F.col("node"), "left").withColumn("c", F.coalesce("component", "cls")).select("key", "cls", "c")
-        spread = open_.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.min("cls").alias("p")).where("c0 <> c1")
-        rest = checkpoint(open_.join(spread.select(F.col("key").alias("k"), "p"), F.col("key") == F.col("k")).drop("k"))
-        if last:
-            other = rest.select(F.col("key").alias("k2"), F.col("cls").alias("s2"), F.col("c").alias("c2"))
-            pairs = rest.join(other, (F.col("key") == F.col("k2")) & (F.col("c") < F.col("c2"))).select(F.least("cls", "s2").alias("a"), F.greatest("cls", "s2").alias("b"))
+    wanted = classes.join(in_pairs, F.col("cls") == F.col("s"), "left_semi")
+    sets = checkpoint(full_sets(docs, id_col, text_col, shingle, wanted.select("cls", "id", "same")))
+    with_pivot = checkpoint(compared(first, sets, percent), release=True)
+    joined = components(with_pivot.where("linked"), "a", "b")
+    found = checkpoint(wanted.select("cls", "size").join(joined, F.col("cls") == F.col("node"), "left").select(F.col("cls").alias("node"), "size", F.coalesce("component", "cls").alias("component")))
+    fits = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)  # noqa: E731  no link without it
+    wide = members.where("n > 2").select("key", "cls", "pivot")
+    for turn in range(1, ROUNDS + 2):
+        placed = wide.join(found, F.col("cls") == F.col("node")).select("key", "cls", "size", "pivot", F.col("component").alias("c"))
+        parts = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"), F.min(F.xxhash64("cls", F.lit(turn))).alias("h"))
+        largest = parts.groupBy("key").agg(F.max(F.struct("m", "c", "h")).alias("g"), F.count(F.lit(1)).alias("k")).where("k > 1").select(F.col("key").alias("k"), F.col("g.c").alias("g"), F.col("g.h").alias("h"))
+        placed = checkpoint(placed.join(largest, F.col("key") == F.col("k")).drop("k"))
+        outside = placed.where("c <> g")
+        if turn <= ROUNDS:
+            pivots = placed.where((F.col("c") == F.col("g")) & (F.xxhash64("cls", F.lit(turn)) == F.col("h"))).select(F.col("key").alias("k"), F.col("cls").alias("p"), F.col("size").alias("ps"))
+            pairs = outside.join(pivots, (F.col("key") == F.col("k")) & fits(F.col("size"), F.col("ps"))).select(F.least("cls", "p").alias("a"), F.greatest("cls", "p").alias("b")).distinct()
         else:
-            pairs = rest.where("cls <> p").select(F.least("cls", "p").alias("a"), F.greatest("cls", "p").alias("b"))
-        pairs = checkpoint(pairs.distinct())
-        if pairs.isEmpty():
-            break
-        more = checkpoint(confirmed(pairs, sets, percent))
-        if not more.isEmpty():
-            links = checkpoint(links.union(more))
-            found = checkpoint(components(links, "a", "b"))
+            # what two sets share is at most what each shares with the bucket's first pivot, and what each has beside it
+            shared = with_pivot.select(F.col("a").alias("pa"), F.col("b").alias("pb"), "both")
+            keys = classes.select(F.col("cls").alias("of"), "left", "right", all_keys.alias("keys"))
+            known = placed.join(shared, (F.col("pivot") == F.col("pa")) & (F.col("cls") == F.col("pb")), "left").withColumn("both", F.coalesce("both", "size"))
+            known = known.join(keys, F.col("cls") == F.col("of")).withColumn("t", F.array_position("keys", F.col("key")) - 1).drop("of", "pa", "pb", "pivot", "keys")
+            x = known.where("c <> g")
+            y = known.select(*[F.col(n).alias(f"{n}2") for n in ("key", "cls", "size", "both", "c", "left", "right")])
+            most = F.least("both", "both2") + F.least(F.col("size") - F.col("both"), F.col("size2") - F.col("both2"))
+            may = 100 * most >= percent * (F.col("size") + F.col("size2") - most)
+            meet = lambda u, v: F.array_position(F.zip_with(u, v, lambda p, q: p == q), True) - 1
+            once = (F.col("c2") == F.col("g")) | (F.col("cls") < F.col("cls2"))
+            here = F.col("t") == meet("left", "left2") * groups + meet("right", "right2")
+            pairs = x.join(y, (F.col("key") == F.col("key2")) & (F.col("c") != F.col("c2")) & once & may & here).select(F.least("cls", "cls2").alias("a"), F.greatest("cls", "cls2").alias("b"))
+        more = checkpoint(compared(checkpoint(pairs), sets, percent).where("linked").select("a", "b"), release=True)
+        if more.isEmpty():
+            continue
+        # the new links join components, so only these go through the search again
+        of_a, of_b = found.select(F.col("node").alias("na"), F.col("component").alias("u")), found.select(F.col("node").alias("nb"), F.col("component").alias("v"))
+        bridges = more.join(of_a, F.col("a") == F.col("na")).join(of_b, F.col("b") == F.col("nb")).select("u", "v")
+        merged = components(bridges, "u", "v").select(F.col("node").alias("was"), F.col("component").alias("now"))
+        found = checkpoint(found.join(merged, F.col("component") == F.col("was"), "left").select("node", "size", F.coalesce("now", "component").alias("component")))
     named = classes.select("set", "cls", "id").join(found, F.col("cls") == F.col("node"), "left").select("set", "id", F.coalesce("component", "cls").alias("group"))
     smallest = named.groupBy("group").agg(F.min("id").alias("component_id")).withColumnRenamed("group", "g")
     of_set = named.join(smallest, F.col("group") == F.col("g")).select(F.col("set").alias("of"), "group", "component_id")
@@ -194,13 +215,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents, with their columns, of which one row of each group of near copies stays: that of the smallest id
     (and, among rows alike in id, text hash). Documents without words all stay."""
-    rows = checkpoint(grouped_rows(docs, id_col, text_col, **options))
-    copies = rows.groupBy("id", "same").agg(F.count(F.lit(1)).alias("copies"), F.min("group").alias("group"))
-    chosen = copies.where("group is not null").groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "same", "copies")).alias("one")).select("one.id", "one.same", (F.col("one.copies") > 1).alias("again"))
-    stays = chosen.union(copies.where("group is null").select("id", "same", F.lit(False)))
-    stays = stays.select(F.col("id").alias("__id"), F.col("same").alias("__same"), F.col("again").alias("__again"))
+    rows = grouped_rows(docs, id_col, text_col, **options).where("group is not null")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "same"))
+    stays = rows.groupBy("group").agg(first.alias("one")).select(F.struct("one.id", "one.same").alias("__one"))
+    # equal structs have equal fields, null with null; after the join rows of a key are together, so that dropping equal rows
+    # moves no text again
+    worded = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    keyed = docs.where(worded).withColumn("__key", F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("same")))
+    kept = keyed.join(stays, F.col("__key") == F.col("__one"), "left_semi").dropDuplicates(["__key"])
     own = docs.columns
-    kept = docs.withColumn("__hash", F.xxhash64(text_col)).join(stays, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__same")))
-    once = kept.where("not __again").select(*own, F.lit(None).cast("long").alias("__hash"))
-    again = kept.where("__again").select(*own, "__hash").dropDuplicates([id_col, "__hash"])
-    return once.union(again).select(*own)
+    return kept.select(*own).unionByName(docs.where(~worded).select(*own))
