@@ -2,7 +2,8 @@
 
 Each source has a weight schedule over training time t in [0, 1]. Its integral is the source's cumulative
 demand for words; a word that is the c-th of its source's stream is trained on at the time when the demand
-reaches c. Documents get the position of their first word and are range-sorted by it.
+reaches c. Every copy of a document (one for each pass of the stream over it) gets the position of its own first
+word; copies are range-sorted by it.
 """
 
 from __future__ import annotations
@@ -56,17 +57,9 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFra
     return run.withColumn("level", level).select("source", "source_size", "place", F.least(F.coalesce(F.col("level") * F.col("weight"), F.col("limit")), F.col("limit")).alias("target"))
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, cap: int = CAP, schedules=SCHEDULES, carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per input row, sorted by position: id, carried columns, size, source_size, target, taken, position.
-
-    A source's stream is its documents in the order of md5(id), over and over. The mix takes the first
-    round(target) words of the stream, so a document is taken whole as often as the stream passes it, and one
-    document of each source may end cut. taken counts its words, repeats included; position is the curriculum
-    time of its first word, null where nothing is taken.
-
-    Null texts have size 0 and nothing is taken; a null source is a source of its own, last in order; null ids
-    come first in the stream; rows alike in id are ordered by size and text, so reruns agree. Empty tables give
-    no rows. Columns that are neither named nor carried are ignored, whatever their names.
+def place_in_streams(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights, cap: int, carry: tuple[str, ...]) -> tuple[DataFrame, int]:
+    """One row per input row, and their number: id, carried columns as __c_<name>, size, source_size, place, target,
+    wanted (words that the mix takes of the source), at (words of the source's stream before the row, in each pass).
 
     Running sums are taken in parts of about 4,000 rows cut by md5, then over the parts' totals, so a source
     that holds most rows is spread over tasks.
@@ -86,31 +79,70 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     info = starts.alias("p").join(targets.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source"))).select(F.col("p.source").alias("s_source"), F.col("p.part").alias("s_part"), "start", "source_size", "place", "target")
     within = Window.partitionBy("source", "part").orderBy("key", "size", "same").rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0))).join(info, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("part") == F.col("s_part")))
-    at = F.col("start") + F.col("inner")
-    wanted = F.round("target").cast("long")
+    return placed.withColumns({"at": F.col("start") + F.col("inner"), "wanted": F.round("target").cast("long")}), n_rows
+
+
+def curriculum_time(words_before, schedules) -> F.Column:
+    """The time at which a source of `wanted` words and rank `place` has had `words_before` of them."""
+    share = F.when(F.col("wanted") > 0, words_before / F.col("wanted")).otherwise(F.lit(0.0))
+    out = F.lit(None).cast("double")
+    for k, knots in enumerate(schedules):
+        out = F.when(F.pmod("place", F.lit(len(schedules))) == k, inverse_demand(share, knots)).otherwise(out)
+    return out
+
+
+def sort_by_position(rows: DataFrame, n_rows: int, *ties: str) -> DataFrame:
+    order = [F.col("position").asc_nulls_last(), *map(F.col, ties)]
+    return rows.repartitionByRange(max(1, -(-n_rows // ROWS_IN_TASK)), *order).sortWithinPartitions(*order)
+
+
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, cap: int = CAP, schedules=SCHEDULES, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row, sorted by position: id, carried columns, size, source_size, target, taken, position.
+
+    A source's stream is its documents in the order of md5(id), over and over. The mix takes the first
+    round(target) words of the stream, so a document is taken whole as often as the stream passes it, and one
+    document of each source may end cut. taken counts its words, repeats included; position is the curriculum
+    time of its first word in the first pass (`mix_copies` has all passes), null where nothing is taken.
+
+    Null texts have size 0 and nothing is taken; a null source is a source of its own, last in order; null ids
+    come first in the stream; rows alike in id are ordered by size and text, so reruns agree. Empty tables give
+    no rows. Columns that are neither named nor carried are ignored, whatever their names.
+    """
+    placed, n_rows = place_in_streams(docs, id_col, text_col, source_col, weights, cap, carry)
+    at, wanted = F.col("at"), F.col("wanted")
     full = F.when(F.col("source_size") > 0, F.floor(wanted / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     rest = F.least(F.greatest(wanted - full * F.col("source_size") - at, F.lit(0)), F.col("size"))
     taken = (full * F.col("size") + rest).cast("long")
-    share = F.when(wanted > 0, at / wanted).otherwise(F.lit(0.0))
-    position = F.lit(None).cast("double")
-    for k, knots in enumerate(schedules):
-        position = F.when(F.pmod("place", F.lit(len(schedules))) == k, inverse_demand(share, knots)).otherwise(position)
-    out = placed.select(F.col("id").alias(id_col), *[F.col(f"__c_{c}").alias(c) for c in carry], "size", "source_size", "target", taken.alias("taken"), F.when(taken > 0, position).alias("position"))
-    return out.repartitionByRange(max(1, -(-n_rows // ROWS_IN_TASK)), F.col("position").asc_nulls_last(), F.col(id_col)).sortWithinPartitions(F.col("position").asc_nulls_last(), F.col(id_col))
+    out = placed.select(F.col("id").alias(id_col), *[F.col(f"__c_{c}").alias(c) for c in carry], "size", "source_size", "target", taken.alias("taken"), F.when(taken > 0, curriculum_time(at, schedules)).alias("position"))
+    return sort_by_position(out, n_rows, id_col)
+
+
+def mix_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, cap: int = CAP, schedules=SCHEDULES, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per copy in the mix, sorted by position: id, carried columns, size, pass (from 0), words, position.
+
+    The stream, its order and odd rows are those of `mix_sources`. Pass k over a document starts k * source_size
+    words after the first one, and its position is the time at which the demand reaches that word; words is less
+    than size for the copy at which a source's stream ends. Documents of which nothing is taken have no rows.
+    """
+    placed, n_rows = place_in_streams(docs, id_col, text_col, source_col, weights, cap, carry)
+    left = F.col("wanted") - F.col("at")
+    passes = F.sequence(F.lit(0).cast("long"), F.ceil(left / F.col("source_size")).cast("long") - 1)
+    each = placed.where((F.col("size") > 0) & (left > 0)).withColumn("pass", F.explode(passes))
+    begin = F.col("at") + F.col("pass") * F.col("source_size")
+    words = F.least(F.col("size"), F.col("wanted") - begin).cast("long")
+    out = each.select(F.col("id").alias(id_col), *[F.col(f"__c_{c}").alias(c) for c in carry], "size", F.col("pass").cast("int").alias("pass"), words.alias("words"), curriculum_time(begin, schedules).alias("position"))
+    return sort_by_position(out, n_rows, id_col, "pass")
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", length_col: str | None = "n_chars", **options) -> DataFrame:
-    """The mix itself: documents with their columns, once for each time they are taken, by position; the cut
-    document of a source has the words it was taken for."""
+    """The mix itself: documents with their columns, once for each time they are taken, each copy at its own
+    position; the cut document of a source has the words it was taken for."""
     own = docs.columns
     packed = docs.select(id_col, text_col, source_col, F.struct(*[F.col(c) for c in own]).alias("__own"))
-    rows = mix_sources(packed, id_col, text_col, source_col, carry=("__own",), **options)
-    times = F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))
-    each = rows.where(F.col("taken") > 0).withColumn("__time", F.explode(times))
-    words = F.least(F.col("size"), F.col("taken") - (F.col("__time") - 1) * F.col("size"))
+    each = mix_copies(packed, id_col, text_col, source_col, carry=("__own",), **options)
     text = F.col("__own").getField(text_col)
-    cut = F.array_join(F.slice(words_expr(text), F.lit(1), words.cast("int")), " ")
-    each = each.withColumn("__text", F.when(words < F.col("size"), cut).otherwise(text))
+    cut = F.array_join(F.slice(words_expr(text), F.lit(1), F.col("words").cast("int")), " ")
+    each = each.withColumn("__text", F.when(F.col("words") < F.col("size"), cut).otherwise(text))
     own_columns = {c: F.col("__own").getField(c) for c in own} | {text_col: F.col("__text")}
     if length_col in own:
         own_columns[length_col] = F.length("__text").cast("long")

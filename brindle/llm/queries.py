@@ -21,6 +21,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read(spark, sf_dir, "documents")).drop("position")
 
 
+def op3_mixing_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_copies(read(spark, sf_dir, "documents"), carry=("source",))
+
+
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.substring_dedup(read(spark, sf_dir, "documents"))
 
@@ -51,7 +55,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_language, op2_katz, op3_mixing, op4_substrings, op5_embeddings, op6_minhash, op7_quality, op8_urls, op9_packing, op10_sharding)}
+    return {f.__name__: f for f in (op1_language, op2_katz, op3_mixing, op3_mixing_positions, op4_substrings, op5_embeddings, op6_minhash, op7_quality, op8_urls, op9_packing, op10_sharding)}
 
 
 def oracle_sql() -> dict:

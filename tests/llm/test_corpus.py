@@ -207,6 +207,37 @@ def test_mixing(spark, odd, docs):
         assert key(mixing.mix_sources(df.repartition(5), carry=("source",)).collect()) == key(got)
 
 
+def test_every_copy_is_where_the_schedules_integral_reaches_it(spark, odd, docs):
+    few = spark.createDataFrame([(i, f"w{i} x y z", "en", s, None, None, None, None) for i, s in enumerate("aaaabbbbbbbbcccc" * 3)], SCHEMA)
+    grid = np.linspace(0, 1, 100001)
+    for df in (odd, docs, few):
+        got = mixing.mix_copies(df, carry=("source",)).collect()
+        assert [r["position"] for r in got] == sorted(r["position"] for r in got)
+        mixed = mixing.mixed_documents(df).collect()
+        assert [(r["doc_id"], r["source"], len(words(r["text"]))) for r in mixed] == [(r["doc_id"], r["source"], r["words"]) for r in got]
+        taken, passes = Counter(), Counter()
+        for r in got:
+            taken[r["doc_id"], r["source"]] += r["words"]
+            passes[r["source"]] = max(passes[r["source"]], r["pass"] + 1)
+        want = Counter()
+        for r in mixing.mix_sources(df, carry=("source",)).collect():
+            want[r["doc_id"], r["source"]] += r["taken"]
+        assert taken == +want and max(passes.values()) > 1
+        names = sorted({r["source"] for r in df.collect()}, key=lambda s: (s is None, (s or "").encode()))
+        for k, name in enumerate(names):
+            knots = mixing.SCHEDULES[k % 3]
+            rate = np.interp(grid, [x[0] for x in knots], [x[1] for x in knots])
+            area = np.concatenate([[0], np.cumsum((rate[1:] + rate[:-1]) / 2)])
+            copies, before = [r for r in got if r["source"] == name], 0
+            total = sum(r["words"] for r in copies)
+            for r in copies:
+                assert abs(np.interp(r["position"], grid, area / area[-1]) - before / total) < 1e-4
+                before += r["words"]
+    heavy = [r["doc_id"] for r in mixing.mixed_documents(few).collect() if r["source"] == "a"]
+    first = heavy[:12]
+    assert len(set(first)) == 12 and heavy == (first * 3)[: len(heavy)] and len(heavy) > 12
+
+
 def test_inverse_demand(spark):
     from pyspark.sql import functions as F
 
