@@ -58,9 +58,14 @@ class Encoder:
 
     The tokenizer cuts a text before each run of white space that follows a word and starts with a space, so the
     chunks between such places have ids of their own. Chunks repeat; their ids are cached.
+
+    The file's added tokens are cut out first and have their own ids, as in the library; as there, special ones among
+    them are plain text under `encode_special_tokens`, which the library has off unless told otherwise. Texts with
+    added tokens that take more than their own characters along (or that match in part) are left to the library.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, encode_special_tokens: bool = True):
+        import json
         import re
         from array import array
 
@@ -80,9 +85,29 @@ class Encoder:
         self.cache = Cache()
         self.odd = re.compile(r"\s | \s| $").search
         self.runs = re.compile(r"(?<=\S)(?= )").split
+        with open(path) as f:
+            added = [t for t in json.load(f).get("added_tokens", []) if t["content"] and not (t["special"] and encode_special_tokens)]
+        self.added = {t["content"]: array("I", [t["id"]]).tobytes() for t in added}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split
+        self.library = None
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(path)
+            self.library.encode_special_tokens = encode_special_tokens
 
     def encode(self, text: str) -> bytes:
         """The ids of one text."""
+        from array import array
+
+        if not any(t in text for t in self.added):
+            return self.encode_plain(text)
+        if self.library:
+            return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        return b"".join([self.added.get(part) or self.encode_plain(part) for part in self.cut(text)])
+
+    def encode_plain(self, text: str) -> bytes:
+        """The ids of a text without added tokens."""
         if len(self.cache) > CACHE_ENTRIES:
             self.cache.clear()
         get = self.cache.__getitem__
@@ -96,7 +121,7 @@ class Encoder:
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, carry: tuple[str, ...] = (), ids: bool = False) -> DataFrame:
     """A row per piece: id, carried columns, piece, start, length, ids_crc32 (and the ids as `<u4` bytes).
 
-    A document is its ids and `end_id`. Documents over `capacity` tokens are cut into full pieces from the end,
+    A document is its ids, those of the tokenizer in its default setting, and `end_id`. Documents over `capacity` tokens are cut into full pieces from the end,
     so only the first piece may be shorter.
     """
     path = tokenizer or default_tokenizer()
@@ -105,7 +130,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = worker_cache()
         if path not in kept:
-            kept[path] = Encoder(path)
+            kept[path] = Encoder(path, encode_special_tokens=False)
         encoder = kept[path]
         for batch in batches:
             for at in range(0, batch.num_rows, 512):

@@ -367,6 +367,36 @@ def test_packing(spark, odd, docs):
         assert len(sequences) <= sum(packing.best_fit(lengths, counts, 2048).values())
 
 
+SPECIAL_TEXTS = ["end <|endoftext|> next", "<|endoftext|>", "<|endoftext|><|endoftext|>", " <|endoftext|>  a", "a<|endoftext|>b c <|endoftext|>\n\n  x ", "<|endoftext|", "no such token", "é <|endoftext|> 日本語 <|ENDOFTEXT|> <pad>  <pad><pad>x x<pad>"]
+
+
+def test_added_tokens_have_their_ids(spark, tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer()
+    own = Tokenizer.from_file(path)
+    assert own.encode(SPECIAL_TEXTS[0], add_special_tokens=False).ids == [437, 220, 50256, 1306]
+    rows = spark.createDataFrame(list(enumerate(SPECIAL_TEXTS)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in packing.pack_documents(rows).collect()}
+    for i, t in enumerate(SPECIAL_TEXTS):
+        ids = [*own.encode(t, add_special_tokens=False).ids, 0]
+        assert got[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    with open(path) as f:
+        model = json.load(f)
+    for k, flags in enumerate([{}, {"lstrip": True}, {"rstrip": True}, {"single_word": True}, {"normalized": True, "special": False}]):
+        other = {**model, "added_tokens": [*model["added_tokens"], {**model["added_tokens"][0], "id": 50257, "content": "<pad>", **flags}, {**model["added_tokens"][0], "id": 50258, "content": "<pad><pad>"}]}
+        file = tmp_path / f"{k}.json"
+        file.write_text(json.dumps(other))
+        for plain in (False, True):
+            own = Tokenizer.from_file(str(file))
+            own.encode_special_tokens = plain
+            encoder = packing.Encoder(str(file), encode_special_tokens=plain)
+            for t in SPECIAL_TEXTS:
+                assert np.frombuffer(encoder.encode(t), "<u4").tolist() == own.encode(t, add_special_tokens=False).ids, (flags, plain, t)
+
+
 def test_empty_tables(spark, odd):
     none = odd.limit(0)
     assert substrings.substring_dedup(none).collect() == []
