@@ -66,6 +66,11 @@ class Text:
     def n_small(self) -> int:
         return self.once("n_small", lambda: len(self.raw) - len(self.raw.translate(None, bytes(range(97, 123)))))
 
+    @property
+    def n_letters(self) -> int:
+        """Letters of any script."""
+        return self.once("n_letters", lambda: sum(map(str.isalpha, self.raw.decode(errors="replace"))))
+
     @property
     def n_letter_words(self) -> int:
         """Words with a letter; any byte outside ASCII counts as one."""
@@ -103,12 +108,18 @@ def base_failed(t: Text, min_words: int = 50, max_repeat_percent: int = 50) -> b
     return t.n_words < min_words or 100 * t.n_repeat_words > max_repeat_percent * t.n_words
 
 
-#: The production rules. Thresholds are shares of words or lines, wide enough to leave prose in any script alone.
+def shouts(t: Text) -> bool:
+    """More than half of the letters of any script are capitals A-Z; letters are only counted where A-Z outnumber a-z."""
+    return t.n_capitals > t.n_small and 2 * t.n_capitals > t.n_letters
+
+
+#: The production rules. Thresholds are shares of words, letters or lines, wide enough to leave prose alone in any script
+#: that puts white space between words.
 RULES = (
     Rule("few_words", lambda t: t.n_words < 50),
     Rule("repeated_windows", lambda t: 100 * t.n_repeat_words > 50 * t.n_words),
     Rule("symbols", lambda t: 100 * t.n_symbols > 30 * t.n_words),
-    Rule("shouting", lambda t: t.n_capitals > t.n_small),
+    Rule("shouting", shouts),
     Rule("duplicate_lines", lambda t: 100 * t.n_dup_lines > 50 * len(t.lines)),
     Rule("word_length", lambda t: t.word_chars < 2 * t.n_words or t.word_chars > 40 * t.n_words),
     Rule("no_letters", lambda t: 2 * t.n_letter_words < t.n_words),

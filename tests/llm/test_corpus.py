@@ -168,6 +168,15 @@ def test_quality(spark, odd, docs):
         assert len(quality.kept_documents(df).collect()) == sum(r["kept"] for r in got)
 
 
+def test_an_acronym_is_no_shouting_in_any_script(spark):
+    letters = {"ru": "абвгдежзик", "el": "αβγδεζηθικ", "ar": "ابتثجحخدذر", "he": "אבגדהוזחטי", "hi": "कखगघचछजझटठ", "ko": "가나다라마바사아자차", "en": "abcdefghij", "shout": "ABCDEFGHIJ"}
+    text = {k: " ".join("".join(x[int(d)] for d in str(1000 + 7 * i)) for i in range(120)) for k, x in letters.items()}
+    text = {k: t + " NATO" for k, t in text.items()} | {"mixed": text["shout"] + " " + text["ru"][:100]}
+    df = spark.createDataFrame([(i, t, k) for i, (k, t) in enumerate(text.items())], "doc_id long, text string, lang string")
+    kept = {r["lang"] for r in quality.quality_rules(df, carry=("lang",)).collect() if r["kept"]}
+    assert kept == set(text) - {"shout", "mixed"} == {r["lang"] for r in quality.kept_documents(df).collect()}
+
+
 def test_cascade_order():
     slow = quality.Rule("slow", lambda t: t.n_repeat_words > 0)
     fast = quality.Rule("fast", lambda t: t.n_words < 3)
