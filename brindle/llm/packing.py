@@ -3,8 +3,9 @@
 Documents become token ids in one pass over the texts; what remains of a document is its pieces' lengths and
 checksums. The histogram of lengths (at most `capacity` rows, whatever the corpus) goes to the driver, where
 multiplicative weights solve the covering program over configurations (multisets of lengths that fit a
-sequence), with a knapsack dynamic program that prices the next configuration. The solution is rounded down,
-and what it leaves is packed best-fit over the histogram. Pieces then find their sequence by their number
+sequence), with a knapsack dynamic program that prices the next configuration, until every piece is covered by
+whole uses of configurations. Where best fit packs the last rounds' pieces, or all, into fewer sequences than the
+program does, it does so. Pieces then find their sequence by their number
 within their length, in a join with the configurations.
 """
 
@@ -188,26 +189,27 @@ def best_configuration(lengths: np.ndarray, values: np.ndarray, most: np.ndarray
     return {i: min(n, int(most[i])) for i, n in out.items() if most[i] > 0}
 
 
-def solve_configurations(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = 300, step: float = 0.25) -> list[tuple[float, dict[int, int]]]:
+def solve_configurations(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = 300, step: float = 0.25, tilt: float = 0.3) -> list[tuple[int, dict[int, int]]]:
     """(times, configuration) of an approximate solution of min sum(x) with every length covered `counts` times.
 
-    Lengths start with weights in proportion to their size over their count's share; every round prices the best
-    configuration, uses it as often as its scarcest length allows times `step`, and lowers the weights of the
-    lengths that it covers by a factor that grows with the share covered. Lengths that are covered in full leave.
+    Lengths start with weights that grow a little faster than their size, so that of two full configurations the
+    one of longer pieces pays more and short ones are left to fill gaps. Every round prices the best configuration,
+    uses it a whole number of times and lowers the weights of the lengths that it covers by a factor that grows
+    with the share covered. In the first `rounds` that is as often as its scarcest length allows times `step`, so
+    that lengths mix; then as often as that length allows, until every length is covered, which takes about as many
+    rounds as there are lengths. Lengths that are covered in full leave.
     """
     demand = counts.astype(float)
-    left = demand.copy()
-    weight = lengths.astype(float) / capacity
-    out: list[tuple[float, dict[int, int]]] = []
-    for _ in range(rounds):
-        open_ = np.flatnonzero(left >= 1)
-        if not len(open_):
-            break
+    left = counts.copy()
+    weight = lengths / capacity * (1 + tilt * lengths / capacity)
+    out: list[tuple[int, dict[int, int]]] = []
+    while len(open_ := np.flatnonzero(left)):
         got = best_configuration(lengths[open_], weight[open_], left[open_], capacity)
         config = {int(open_[i]): n for i, n in got.items() if n}
         config = fill(config, lengths, left, capacity)
-        times = min(left[i] / n for i, n in config.items())
-        times = max(times * step, min(times, 1.0))
+        times = min(int(left[i]) // n for i, n in config.items())
+        if len(out) < rounds:
+            times = max(int(times * step), 1)
         for i, n in config.items():
             left[i] -= times * n
             weight[i] *= np.exp(-0.5 * times * n / demand[i])
@@ -258,18 +260,21 @@ def best_fit(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> Counter:
     return out
 
 
-def round_down(solution: list[tuple[float, dict[int, int]]], lengths: np.ndarray, counts: np.ndarray, capacity: int) -> Counter:
-    """{configuration: whole times} that place every piece."""
-    whole: Counter = Counter()
-    left = counts.copy()
-    for times, config in solution:
-        n = min([int(times + 1e-9), *[int(left[i]) // k for i, k in config.items()]])
-        if n > 0:
-            whole[tuple(sorted(config.items()))] += n
+def best_cut(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[Counter, int]:
+    """{configuration: times} that place every piece, and the quarters of the program's rounds that they come from
+    (4: all, 0: none); best fit places the rest. The fewest sequences win, among equals the most of the program."""
+    solution = solve_configurations(lengths, counts, capacity)
+    cuts = []
+    for quarters in (4, 3, 2, 1, 0):
+        whole: Counter = Counter()
+        left = counts.copy()
+        for times, config in solution[: len(solution) * quarters // 4]:
+            whole[tuple(sorted(config.items()))] += times
             for i, k in config.items():
-                left[i] -= n * k
-    whole.update(best_fit(lengths, left, capacity))
-    return whole
+                left[i] -= times * k
+        whole.update(best_fit(lengths, left, capacity))
+        cuts.append((whole, quarters))
+    return min(cuts, key=lambda c: sum(c[0].values()))
 
 
 def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
@@ -277,10 +282,7 @@ def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY) -> list[
     sequence, the first ones to `sequence`, starting at `offset`. Every piece has a place."""
     lengths = np.array(sorted(histogram), dtype=np.int64)
     counts = np.array([histogram[int(x)] for x in lengths], dtype=np.int64)
-    solution = solve_configurations(lengths, counts, capacity) if len(lengths) else []
-    # rounding: the configurations of the first rounds, rounded down, and best fit for the rest; the early ones serve
-    # many pieces each, the late ones pack what is left less well than best fit may, so the best of five cuts is taken
-    whole = min((round_down(solution[: len(solution) * share // 4], lengths, counts, capacity) for share in (4, 3, 2, 1, 0)), key=lambda w: sum(w.values()))
+    whole, _ = best_cut(lengths, counts, capacity)
     used = np.zeros(len(lengths), dtype=np.int64)
     rows, sequence = [], 0
     for config, times in whole.items():

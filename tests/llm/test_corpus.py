@@ -406,6 +406,24 @@ def test_added_tokens_have_their_ids(spark, tmp_path):
                 assert np.frombuffer(encoder.encode(t), "<u4").tolist() == own.encode(t, add_special_tokens=False).ids, (flags, plain, t)
 
 
+def test_the_program_covers_every_length():
+    rng = np.random.default_rng(5)
+    for n, most in ((0, 1), (1, 50), (700, 12)):
+        lengths = np.sort(rng.choice(np.arange(1, 2049), n, replace=False))
+        counts = rng.integers(1, most + 1, n)
+        covered = np.zeros(n, dtype=np.int64)
+        solution = packing.solve_configurations(lengths, counts, 2048)
+        for times, config in solution:
+            assert times >= 1 and sum(int(lengths[i]) * k for i, k in config.items()) <= 2048
+            for i, k in config.items():
+                covered[i] += times * k
+        assert (covered == counts).all()
+        whole, quarters = packing.best_cut(lengths, counts, 2048)
+        fewest = min(sum(t for t, _ in solution), sum(packing.best_fit(lengths, counts, 2048).values()))
+        assert sum(whole.values()) <= fewest and (quarters == 4 or sum(whole.values()) < sum(t for t, _ in solution))
+        assert sum(whole.values()) >= int((lengths * counts).sum()) / 2048
+
+
 def test_empty_tables(spark, odd):
     none = odd.limit(0)
     assert substrings.substring_dedup(none).collect() == []
