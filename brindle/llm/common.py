@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 
 import numpy as np
@@ -19,28 +18,33 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Has Spark remove a plan's shuffle files when the plan has run, not when the driver happens to collect its garbage.
+REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder that the session names; only a session without one (tests) gets a temporary folder."""
+    """Use the folder that the session names. Only a local session may go without one: its one machine has its own folder."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="brindle-checkpoint-"))
-
-
-def checkpoint(df: DataFrame, release: bool = False) -> DataFrame:
-    """Cut the lineage with files in the shared checkpoint folder.
-
-    Spark removes the shuffle files and old checkpoints of plans that nothing refers to when the driver collects its
-    garbage; `release` has it do so now, after the large steps of queries of many steps.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    spark, out = df.sparkSession, df.checkpoint(eager=True)
-    del df
-    if release:
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-    return out
+    if not named:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="brindle-checkpoint-")
+    sc.setCheckpointDir(named)
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage with files in the shared checkpoint folder. The shuffles that made them aren't needed again and go."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    before = spark.conf.get(REMOVE_SHUFFLES, None)
+    spark.conf.set(REMOVE_SHUFFLES, "true")
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set(REMOVE_SHUFFLES, before) if before is not None else spark.conf.unset(REMOVE_SHUFFLES)
 
 
 def words_expr(text) -> F.Column:

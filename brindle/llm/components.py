@@ -20,8 +20,9 @@ def _digest(edges: DataFrame) -> tuple:
 def components(links: DataFrame, a: str, b: str, max_steps: int = 60) -> DataFrame:
     """(node, component) for every node of `links`, component being the smallest node reachable.
 
-    Each step is an aggregation (smallest neighbour) and an equi-join back, so no task holds the neighbours of a
-    node; steps are logarithmic in the longest path. Links are written to the checkpoint folder after each step.
+    Each step is an aggregation (smallest neighbour) and an equi-join back. Both sides of that join are written tables,
+    dealt out by the join alone, so that Spark can split the links of a node with many over tasks. Steps are logarithmic in the
+    longest path. Links are written to the checkpoint folder after each step.
     Self-links give a node of its own; nulls are no nodes; repeated links count once; no links, no rows.
     """
     u, v = F.col(a), F.col(b)
@@ -35,10 +36,11 @@ def components(links: DataFrame, a: str, b: str, max_steps: int = 60) -> DataFra
             break
         # large star: every larger neighbour of u links to the smallest of u and its neighbours
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), F.least("u", "m").alias("m"))
-        large = both.join(least, F.col("u") == F.col("x")).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        least = checkpoint(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), F.least("u", "m").alias("m")))
+        large = both.join(least, F.col("u") == F.col("x")).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        large = checkpoint(large)
         # small star: u and its smaller neighbours link to the smallest of them
-        small_least = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), "m")
+        small_least = checkpoint(large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), "m"))
         small = large.join(small_least, F.col("u") == F.col("x"))
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         # a step leaves no more links than there were, so few links need few files

@@ -5,7 +5,16 @@ computed, and every pair of a half-key from each makes a table: groups^2 tables
 minhashes, where independent tables would take groups^2 * 2 * half.
 
 Two sets of similarity s meet in a table with probability (1 - (1 - s^half)^groups)^2: with half = 2 and
-groups = 10 that is 0.9999 at s = 0.8. Every link is confirmed on the full sets.
+groups = 10 that is 0.9999 at s = 0.8. Only half-keys that several sets have go into tables, so most sets send
+2 * groups rows and none to tables.
+
+Candidates are verified around hubs. The most central set of a bucket, the one that shares most buckets with most
+sets, is the bucket's hub, and every other set of the bucket is compared with it in full. That gives each set X its
+difference D(X) from the hub. Of two sets X and Y that both met the hub, |X ^ Y| = |D(X)| + |D(Y)| - 2 |D(X) & D(Y)|,
+so whether they link is a question about their differences: if those are small the two link for certain, and otherwise
+they must share a known number of elements, which a prefix join on the rarest elements of the differences finds
+without loss. Pairs already connected aren't looked at. A group of thousands of near copies thus takes one comparison
+a copy and hub, and a join on the few elements in which copies differ alike.
 """
 
 from __future__ import annotations
@@ -14,15 +23,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.llm.common import WordIds, checkpoint, mix
 from brindle.llm.components import components
 
 GROUPS, HALF = 10, 2
-#: Rounds of one comparison a class before all are compared that are left.
-ROUNDS = 1
+#: Rows of (id, hash) that are broadcast at most, so that texts needn't move; beyond it texts and rows meet in a shuffle.
+MOST_BROADCAST = 2_000_000
 BASE = 0x9E3779B97F4A7C15
 
 
@@ -100,25 +109,6 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int, groups
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("same"), F.col(text_col).cast("binary").alias("text")).mapInArrow(sign, f"id {kind}, same bigint, n_shingles bigint, set binary, left array<bigint>, right array<bigint>")
 
 
-def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes with `both`, the size of their full sets' intersection, and whether they link:
-    100 * intersection >= percent * union."""
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            common, linked = [], []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                n = len(np.intersect1d(p, q, assume_unique=True))
-                common.append(n)
-                linked.append(100 * n >= percent * (len(p) + len(q) - n))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(common, pa.int64()), pa.array(linked, pa.bool_())], names=["a", "b", "both", "linked"])
-
-    x = sets.select(F.col("cls").alias("ca"), F.col("shingles").alias("xa"))
-    y = sets.select(F.col("cls").alias("cb"), F.col("shingles").alias("xb"))
-    return pairs.join(x, F.col("a") == F.col("ca")).select("a", "b", "xa").join(y, F.col("b") == F.col("cb")).select("a", "b", "xa", "xb").mapInArrow(check, "a bigint, b bigint, both bigint, linked boolean")
-
-
 def full_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, wanted: DataFrame) -> DataFrame:
     """cls, shingles of the classes in `wanted` (cls, id, same): read again from the text of one document each."""
 
@@ -131,72 +121,115 @@ def full_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, wanted:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())], names=["cls", "shingles"])
 
     rows = docs.select(F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__same"), F.col(text_col).cast("binary").alias("__text"))
-    found = rows.join(wanted, F.col("__id").eqNullSafe(F.col("id")) & (F.col("__same") == F.col("same")))
+    found = rows.join(small(wanted), F.col("__id").eqNullSafe(F.col("id")) & (F.col("__same") == F.col("same")))
     return found.select("cls", "__text").mapInArrow(build, "cls bigint, shingles binary").dropDuplicates(["cls"])
 
 
+def small(rows: DataFrame) -> DataFrame:
+    """Rows of two or three numbers, to be broadcast if a count shows that there are few enough; else as they are."""
+    return F.broadcast(rows) if rows.count() <= MOST_BROADCAST else rows
+
+
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes with their sizes sa and sb, and the symmetric difference of their full sets: d elements, delta."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, deltas = [[], []], []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                sizes[0].append(len(p)), sizes[1].append(len(q))
+                deltas.append(np.setxor1d(p, q, assume_unique=True).view(np.int64))
+            columns = [*batch.columns[:2], *[pa.array(s, pa.int64()) for s in sizes], pa.array([len(x) for x in deltas], pa.int64()), pa.array(deltas, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "sa", "sb", "d", "delta"])
+
+    x = sets.select(F.col("cls").alias("ca"), F.col("shingles").alias("xa"))
+    y = sets.select(F.col("cls").alias("cb"), F.col("shingles").alias("xb"))
+    both = pairs.join(y, F.col("b") == F.col("cb")).select("a", "b", "xb").join(x, F.col("a") == F.col("ca")).select("a", "b", "xa", "xb")
+    return both.mapInArrow(check, "a bigint, b bigint, sa bigint, sb bigint, d bigint, delta array<bigint>")
+
+
+def bucket_members(classes: DataFrame, groups: int) -> DataFrame:
+    """key, cls, n: every class in each of its buckets of n > 1 classes. classes: cls, left, right."""
+    sides = F.array(*[F.struct(F.xxhash64(F.lit(i), F.col(side)[i]).alias("half"), F.lit(side == "left").alias("left")) for side in ("left", "right") for i in range(groups)])
+    halves = classes.select("cls", F.explode(sides).alias("h")).select("cls", F.xxhash64("h.half", "h.left").alias("half"), "h.left")
+    repeated = checkpoint(halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("half").alias("known")))
+    own = halves.join(repeated, F.col("half") == F.col("known")).groupBy("cls").agg(F.collect_list(F.when(F.col("left"), F.col("half"))).alias("left"), F.collect_list(F.when(~F.col("left"), F.col("half"))).alias("right"))
+    tables = checkpoint(own.select("cls", F.explode("left").alias("one"), "right").select("cls", "one", F.explode("right").alias("two")).select(F.xxhash64("one", "two").alias("key"), "cls"))
+    buckets = checkpoint(tables.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("key", "k"))
+    return checkpoint(tables.join(buckets, F.col("key") == F.col("k")).select("key", "cls", "n"))
+
+
+def hub_pairs(members: DataFrame) -> DataFrame:
+    """(a, b): each class b with the hubs a of its buckets. A hub is its bucket's class of the most company, over all of that class's buckets."""
+    company = checkpoint(members.groupBy("cls").agg(F.sum("n").alias("met")).withColumnRenamed("cls", "of"))
+    scored = members.join(company, F.col("cls") == F.col("of")).select("key", "cls", "met")
+    hubs = checkpoint(scored.groupBy("key").agg(F.max(F.struct("met", "cls"))["cls"].alias("hub")).withColumnRenamed("key", "k"))
+    return checkpoint(members.join(hubs, F.col("key") == F.col("k")).where("cls <> hub").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct())
+
+
+def links_around_hubs(met: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links of two classes that both met a hub and of which one doesn't link with it, enough to connect all such.
+
+    With o(X) = (100 + p) |D(X)| - (100 - p) |X|, X and Y link for certain where o(X) + o(Y) <= 0. If X links so with any
+    set of the hub, it does with that of the least o, so one link for each X says it all; where the hub's own o is the least, that
+    link is known. Else they link only if they share t = (o(X) + o(Y)) / (2 (100 + p)) > 0 elements of their
+    differences, rounded up. In any common order of elements the first shared one then lies among the first |D| - t + 1
+    of both. Elements are ordered by how many differences of the hub have them, the rarest first; those that only one
+    has come before all others and meet nothing, so only their number counts. Pairs that meet so are checked in full.
+    """
+    p, q = 100 + percent, 100 - percent
+    outside = p * F.col("d") > q * (F.col("sa") + F.col("sb"))
+    hubs = met.groupBy("a").agg(F.min(F.when(outside, F.col("o"))).alias("least"), F.max("sb").alias("longest"), F.count(F.lit(1)).alias("n"), F.min(F.struct("o", "b")).alias("best"))
+    hubs = checkpoint(hubs.where("least is not null and n > 1").select(F.col("a").alias("hub"), "least", "longest", F.col("best.o").alias("lo"), F.col("best.b").alias("best")))
+    # the least that a class must share with any that it may link to; a set outside has a partner of a difference no smaller than that
+    wider = F.least(F.col("longest"), F.floor(F.col("sb") * 100 / percent))
+    t = F.greatest(F.lit(1), F.when(outside, F.ceil((F.col("o") - q * wider) / p)).otherwise(F.ceil((F.col("o") + F.col("least")) / (2 * p)))).cast("long")
+    around = checkpoint(met.join(hubs, F.col("a") == F.col("hub")).select("a", "b", "sa", F.col("sb").alias("size"), "d", "o", "delta", outside.alias("outside"), t.alias("t"), "lo", "best"))
+    certain = around.where((F.col("lo") < -q * F.col("sa")) & (F.col("b") != F.col("best")) & (F.col("o") + F.col("lo") <= 0)).select(F.col("best").alias("a"), "b")
+    open_ = around.where("t <= d")
+    parts = open_.select("a", "b", "size", "d", "o", "outside", "t", F.explode("delta").alias("e"))
+    shared = checkpoint(parts.groupBy("a", "e").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("a").alias("ha"), F.col("e").alias("he"), "n"))
+    common = parts.join(shared, (F.col("a") == F.col("ha")) & (F.col("e") == F.col("he"))).drop("ha", "he")
+    one = Window.partitionBy("a", "b")
+    at = F.col("d") - F.count(F.lit(1)).over(one) + F.row_number().over(one.orderBy("n", "e")) - 1
+    prefix = checkpoint(common.withColumn("at", at).where("at <= d - t").select("a", "e", "b", "size", "d", "o", "outside", "at"))
+    x = prefix.where("outside")
+    y = prefix.select(*[F.col(n).alias(f"{n}2") for n in prefix.columns])
+    both = F.col("o") + F.col("o2")
+    once = ~F.col("outside2") | (F.col("b") < F.col("b2"))
+    fits = 100 * F.least("size", "size2") >= percent * F.greatest("size", "size2")
+    near = (F.col("at") + F.ceil(both / (2 * p)) <= F.col("d")) & (F.col("at2") + F.ceil(both / (2 * p)) <= F.col("d2"))
+    pairs = checkpoint(x.join(y, (F.col("a") == F.col("a2")) & (F.col("e") == F.col("e2")) & (both > 0) & once & fits & near).select("a", "b", "b2").distinct())
+    first = open_.select(F.col("a").alias("h1"), F.col("b").alias("x"), F.col("size").alias("sx"), F.col("delta").alias("dx"))
+    second = open_.select(F.col("a").alias("h2"), F.col("b").alias("y"), F.col("size").alias("sy"), F.col("delta").alias("dy"))
+    checked = pairs.join(first, (F.col("a") == F.col("h1")) & (F.col("b") == F.col("x"))).join(second, (F.col("a") == F.col("h2")) & (F.col("b2") == F.col("y")))
+    apart = F.size("dx") + F.size("dy") - 2 * F.size(F.array_intersect("dx", "dy"))
+    return certain.union(checked.where(p * apart <= q * (F.col("sx") + F.col("sy"))).select("b", "b2"))
+
+
 def grouped_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2, percent: int = 80, groups: int = GROUPS, half: int = HALF) -> DataFrame:
     """One row per input row: id, same (hash of the text), n_shingles, group (null for empty sets), component_id.
 
-    Rows with equal sets are one class, linked by definition. Classes that meet in a table are candidates. A bucket's
-    smallest class is compared with all others; then, where a bucket's classes are in several components, a few rounds
-    compare a member of the largest component with the classes outside of it, each class once; what is then outside of
-    the largest components is compared with every class of other components that it meets, in the first table where
-    the two meet, unless their overlaps with the bucket's smallest class already tell that they can't link. So every candidate pair is compared or already connected, and a bucket of thousands of near copies
-    takes a few comparisons a member.
+    Rows with equal sets are one class, linked by definition. Classes that meet in a table are candidates, and every
+    candidate pair is one with its hub, compared in full, or proved to link or not to link, or compared, by its differences from the hub. `percent` is from 1 to 100.
     """
     signed = checkpoint(signatures(docs, id_col, text_col, shingle, groups, half))
     one = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "same"))
-    classes = signed.where("set is not null").groupBy("set").agg(one.alias("one"), F.first("n_shingles").alias("size"), F.first("left").alias("left"), F.first("right").alias("right"))
-    classes = checkpoint(classes.select("set", F.monotonically_increasing_id().alias("cls"), "one.id", "one.same", "size", "left", "right"))
-    key = lambda i, j: F.xxhash64(F.lit(i), F.lit(j), F.col("left")[i], F.col("right")[j])
-    all_keys = F.array(*[key(i, j) for i in range(groups) for j in range(groups)])
-    tables = classes.select("cls", F.explode(all_keys).alias("key"))
-    buckets = tables.groupBy("key").agg(F.min("cls").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("key", "k")
-    members = checkpoint(tables.join(buckets, F.col("key") == F.col("k")).select("key", "cls", "pivot", "n"), release=True)
-    first = checkpoint(members.where("cls <> pivot").select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct())
-    in_pairs = first.select(F.col("a").alias("s")).union(first.select(F.col("b").alias("s"))).distinct()
-    wanted = classes.join(in_pairs, F.col("cls") == F.col("s"), "left_semi")
-    sets = checkpoint(full_sets(docs, id_col, text_col, shingle, wanted.select("cls", "id", "same")))
-    with_pivot = checkpoint(compared(first, sets, percent), release=True)
-    joined = components(with_pivot.where("linked"), "a", "b")
-    found = checkpoint(wanted.select("cls", "size").join(joined, F.col("cls") == F.col("node"), "left").select(F.col("cls").alias("node"), "size", F.coalesce("component", "cls").alias("component")))
-    fits = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)  # noqa: E731  no link without it
-    wide = members.where("n > 2").select("key", "cls", "pivot")
-    for turn in range(1, ROUNDS + 2):
-        placed = wide.join(found, F.col("cls") == F.col("node")).select("key", "cls", "size", "pivot", F.col("component").alias("c"))
-        parts = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"), F.min(F.xxhash64("cls", F.lit(turn))).alias("h"))
-        largest = parts.groupBy("key").agg(F.max(F.struct("m", "c", "h")).alias("g"), F.count(F.lit(1)).alias("k")).where("k > 1").select(F.col("key").alias("k"), F.col("g.c").alias("g"), F.col("g.h").alias("h"))
-        placed = checkpoint(placed.join(largest, F.col("key") == F.col("k")).drop("k"))
-        outside = placed.where("c <> g")
-        if turn <= ROUNDS:
-            pivots = placed.where((F.col("c") == F.col("g")) & (F.xxhash64("cls", F.lit(turn)) == F.col("h"))).select(F.col("key").alias("k"), F.col("cls").alias("p"), F.col("size").alias("ps"))
-            pairs = outside.join(pivots, (F.col("key") == F.col("k")) & fits(F.col("size"), F.col("ps"))).select(F.least("cls", "p").alias("a"), F.greatest("cls", "p").alias("b")).distinct()
-        else:
-            # what two sets share is at most what each shares with the bucket's first pivot, and what each has beside it
-            shared = with_pivot.select(F.col("a").alias("pa"), F.col("b").alias("pb"), "both")
-            keys = classes.select(F.col("cls").alias("of"), "left", "right", all_keys.alias("keys"))
-            known = placed.join(shared, (F.col("pivot") == F.col("pa")) & (F.col("cls") == F.col("pb")), "left").withColumn("both", F.coalesce("both", "size"))
-            known = known.join(keys, F.col("cls") == F.col("of")).withColumn("t", F.array_position("keys", F.col("key")) - 1).drop("of", "pa", "pb", "pivot", "keys")
-            x = known.where("c <> g")
-            y = known.select(*[F.col(n).alias(f"{n}2") for n in ("key", "cls", "size", "both", "c", "left", "right")])
-            most = F.least("both", "both2") + F.least(F.col("size") - F.col("both"), F.col("size2") - F.col("both2"))
-            may = 100 * most >= percent * (F.col("size") + F.col("size2") - most)
-            meet = lambda u, v: F.array_position(F.zip_with(u, v, lambda p, q: p == q), True) - 1
-            once = (F.col("c2") == F.col("g")) | (F.col("cls") < F.col("cls2"))
-            here = F.col("t") == meet("left", "left2") * groups + meet("right", "right2")
-            pairs = x.join(y, (F.col("key") == F.col("key2")) & (F.col("c") != F.col("c2")) & once & may & here).select(F.least("cls", "cls2").alias("a"), F.greatest("cls", "cls2").alias("b"))
-        more = checkpoint(compared(checkpoint(pairs), sets, percent).where("linked").select("a", "b"), release=True)
-        if more.isEmpty():
-            continue
-        # the new links join components, so only these go through the search again
-        of_a, of_b = found.select(F.col("node").alias("na"), F.col("component").alias("u")), found.select(F.col("node").alias("nb"), F.col("component").alias("v"))
-        bridges = more.join(of_a, F.col("a") == F.col("na")).join(of_b, F.col("b") == F.col("nb")).select("u", "v")
-        merged = components(bridges, "u", "v").select(F.col("node").alias("was"), F.col("component").alias("now"))
-        found = checkpoint(found.join(merged, F.col("component") == F.col("was"), "left").select("node", "size", F.coalesce("now", "component").alias("component")))
-    named = classes.select("set", "cls", "id").join(found, F.col("cls") == F.col("node"), "left").select("set", "id", F.coalesce("component", "cls").alias("group"))
-    smallest = named.groupBy("group").agg(F.min("id").alias("component_id")).withColumnRenamed("group", "g")
-    of_set = named.join(smallest, F.col("group") == F.col("g")).select(F.col("set").alias("of"), "group", "component_id")
+    classes = signed.where("set is not null").groupBy("set").agg(one.alias("one"), F.first("left").alias("left"), F.first("right").alias("right"))
+    classes = checkpoint(classes.select("set", F.monotonically_increasing_id().alias("cls"), "one.id", "one.same", "left", "right"))
+    pairs = hub_pairs(bucket_members(classes.select("cls", "left", "right"), groups))
+    nodes = checkpoint(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    wanted = checkpoint(classes.join(nodes, F.col("cls") == F.col("node"), "left_semi").select("cls", "id", "same"))
+    sets = checkpoint(full_sets(docs, id_col, text_col, shingle, wanted))
+    met = compared(pairs, sets).withColumn("o", (100 + percent) * F.col("d") - (100 - percent) * F.col("sb"))
+    met = checkpoint(met)
+    linked = met.where((100 + percent) * F.col("d") <= (100 - percent) * (F.col("sa") + F.col("sb"))).select("a", "b")
+    found = components(linked.union(links_around_hubs(met, percent)), "a", "b")
+    named = checkpoint(wanted.select("cls", "id").join(found, F.col("cls") == F.col("node")).select("cls", "id", F.col("component").alias("group")))
+    smallest = checkpoint(named.groupBy("group").agg(F.min("id").alias("component_id")).withColumnRenamed("group", "g"))
+    grouped = checkpoint(named.join(smallest, F.col("group") == F.col("g")).select(F.col("cls").alias("c"), "group", "component_id"))
+    of_set = classes.join(grouped, F.col("cls") == F.col("c"), "left").select(F.col("set").alias("of"), F.coalesce("group", "cls").alias("group"), F.when(F.col("c").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
     out = signed.select("id", "same", "n_shingles", "set").join(of_set, F.col("set") == F.col("of"), "left")
     return out.select("id", "same", "n_shingles", "group", F.when(F.col("set").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
@@ -214,14 +247,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents, with their columns, of which one row of each group of near copies stays: that of the smallest id
-    (and, among rows alike in id, text hash). Documents without words all stay."""
-    rows = grouped_rows(docs, id_col, text_col, **options).where("group is not null")
+    (and, among rows alike in id, the smallest text hash; of rows alike in both, one). Documents without words all stay, null and
+    empty texts among them. Null ids come after all others. An empty table gives no rows. Columns may have any names.
+
+    Most documents have no copy, so only those that have one, or share id and text with another row, are looked up:
+    by a broadcast of their keys where a count shows these to be few, else in a join by key.
+    """
+    rows = checkpoint(grouped_rows(docs, id_col, text_col, **options).where("group is not null").select("id", "same", "group"))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "same"))
-    stays = rows.groupBy("group").agg(first.alias("one")).select(F.struct("one.id", "one.same").alias("__one"))
-    # equal structs have equal fields, null with null; after the join rows of a key are together, so that dropping equal rows
-    # moves no text again
-    worded = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    keyed = docs.where(worded).withColumn("__key", F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("same")))
-    kept = keyed.join(stays, F.col("__key") == F.col("__one"), "left_semi").dropDuplicates(["__key"])
+    keys = checkpoint(rows.groupBy("group", "id", "same").agg(F.count(F.lit(1)).alias("n")))
+    several = checkpoint(keys.groupBy("group").agg(first.alias("one"), F.sum("n").alias("m")).where("m > 1").select(F.col("group").alias("g"), "one.id", "one.same"))
+    stays = F.col("i").eqNullSafe(F.col("id")) & (F.col("s") == F.col("same"))
+    asked = checkpoint(keys.select("group", F.col("id").alias("i"), F.col("same").alias("s"), "n").join(several, F.col("group") == F.col("g")).select("i", "s", "n", stays.alias("stays")))
     own = docs.columns
-    return kept.select(*own).unionByName(docs.where(~worded).select(*own))
+    whole = docs.select(F.struct(*[F.col(c) for c in own]).alias("own"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("same"))
+    told = whole.join(small(asked), F.col("id").eqNullSafe(F.col("i")) & (F.col("same") == F.col("s")), "left")
+    kept = told.where("stays is null or (stays and n = 1)").select("own")
+    if not asked.where("stays and n > 1").isEmpty():
+        kept = kept.unionByName(told.where("stays and n > 1").dropDuplicates(["id", "same"]).select("own"))
+    return kept.select(*[F.col("own").getField(c).alias(c) for c in own])

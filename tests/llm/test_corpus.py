@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from brindle.llm import languages, minhash, mixing, ngrams, packing, quality, sharding, substrings
 
@@ -431,3 +432,63 @@ def test_empty_tables(spark, odd):
     assert quality.quality_rules(none).collect() == [] and mixing.mix_sources(none).collect() == []
     assert sharding.shard_documents(none).collect() == [] and ngrams.katz_scores(none).collect() == []
     assert languages.identify_languages(none).collect() == [] and packing.pack_documents(none).collect() == []
+
+
+def near_copies(n, seed):
+    """A text of 60 words and copies with up to 7 words changed: many pairs lie just above and just below a similarity of 0.8."""
+    import random
+
+    r = random.Random(seed)
+    base = [f"w{j}" for j in range(60)]
+    out = []
+    for i in range(n):
+        w = list(base)
+        for _ in range(r.randrange(8)):
+            w[r.randrange(60)] = f"x{r.randrange(40)}" if r.random() < 0.3 else f"y{i}.{r.random()}"
+        out.append((i, " ".join(w), None, None, None, None, None, None))
+    return out
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_a_large_group_of_near_copies(spark, size):
+    """Groups as by brute force, from a number of comparisons that grows with the copies, not with their pairs."""
+    from brindle.llm.common import checkpoint
+
+    df = spark.createDataFrame(near_copies(600, size), SCHEMA)
+    least, _, sets = groups_by_force(rows_of(df), size)
+    got = minhash.near_duplicates(df, shingle=size).collect()
+    assert Counter((r["doc_id"], r["component_id"]) for r in got) == Counter((i, v[1]) for i, v in least.items())
+    signed = minhash.signatures(df, "doc_id", "text", size, 10, 2)
+    classes = checkpoint(signed.dropDuplicates(["set"]).select(F.col("id").alias("cls"), "left", "right"))
+    pairs = minhash.hub_pairs(minhash.bucket_members(classes, 10)).count()
+    assert pairs <= 20 * len(set(sets))
+
+
+def test_hubs_prove_links_without_loss(spark):
+    """Whatever the hub, the links around it are those of brute force between the sets that met it."""
+    import random
+
+    for seed in range(4):
+        rows = [(i, frozenset(shingles(t, 2))) for i, t, *_ in near_copies(80, seed)]
+        hub = random.Random(seed).randrange(80)
+        number = {x: j for j, x in enumerate(set().union(*[s for _, s in rows]))}
+        met = []
+        for i, s in rows:
+            if i != hub:
+                d = s ^ rows[hub][1]
+                met.append((hub, i, len(rows[hub][1]), len(s), len(d), [number[x] for x in d], 180 * len(d) - 20 * len(s)))
+        df = spark.createDataFrame(met, "a long, b long, sa long, sb long, d long, delta array<long>, o long")
+        direct = {(hub, m[1]) for m in met if 180 * m[4] <= 20 * (m[2] + m[3])}
+        found = {(r["a"], r["b"]) for r in minhash.links_around_hubs(df, 80).collect()}
+        links = {(i, j) for i, s in rows for j, t in rows if i < j and 100 * len(s & t) >= 80 * len(s | t)}
+        assert {(min(x), max(x)) for x in found} <= links
+        root = list(range(80))
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in direct | found:
+            root[find(a)] = find(b)
+        assert all(find(a) == find(b) for a, b in links)
