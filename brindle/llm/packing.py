@@ -3,14 +3,16 @@
 Documents become token ids in one pass over the texts; what remains of a document is its pieces' lengths and
 checksums. The histogram of lengths (at most `capacity` rows, whatever the corpus) goes to the driver, where
 multiplicative weights solve the covering program over configurations (multisets of lengths that fit a
-sequence), with a knapsack dynamic program that prices the next configuration, until every piece is covered by
-whole uses of configurations. Where best fit packs the last rounds' pieces, or all, into fewer sequences than the
-program does, it does so. Pieces then find their sequence by their number
-within their length, in a join with the configurations.
+sequence): a length's weight falls exponentially with the share of its pieces that is covered, and an exact bounded
+knapsack by dynamic programming prices the next configuration, which is used a whole number of times. When no
+configuration of what is left fills a sequence, best fit places that rest. Weights divided by their best price are a
+dual solution, so the plan comes with a lower bound. Pieces then find their sequence by their number within their
+length, in a join with the configurations.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -26,7 +28,11 @@ CAPACITY, END_ID = 2048, 0
 #: Entries of a worker's cache of chunk ids; a full cache is emptied, so memory stays bounded.
 CACHE_ENTRIES = 150_000
 #: Pieces of one length that one task numbers.
-ROWS_IN_PART = 1_000
+ROWS_IN_PART = 250
+#: The program ends where the best configuration fills less than this share of a sequence.
+FULL = 0.98
+#: Places of a length that are looked through at a time.
+PLACES = 32
 
 
 def default_tokenizer() -> str:
@@ -65,7 +71,7 @@ class Encoder:
     added tokens that take more than their own characters along (or that match in part) are left to the library.
     """
 
-    def __init__(self, path: str, encode_special_tokens: bool = True):
+    def __init__(self, path: str, encode_special_tokens: bool = False):
         import json
         import re
         from array import array
@@ -131,7 +137,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = worker_cache()
         if path not in kept:
-            kept[path] = Encoder(path, encode_special_tokens=False)
+            kept[path] = Encoder(path)
         encoder = kept[path]
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -162,72 +168,63 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 # ---- the configuration program, on a histogram
 
 
-def best_configuration(lengths: np.ndarray, values: np.ndarray, most: np.ndarray, capacity: int) -> dict[int, int]:
-    """The multiset of lengths within `capacity` of the largest value: an unbounded knapsack by dynamic
-    programming, each length then held to the number of pieces that there are (`most`)."""
-    order = np.argsort(lengths)
-    size, value = lengths[order], values[order]
-    best = np.zeros(capacity + 1)
-    take = np.full(capacity + 1, -1, dtype=np.int64)
-    upto = np.searchsorted(size, np.arange(capacity + 1), side="right")
-    for c in range(int(size[0]) if len(size) else capacity + 1, capacity + 1):
-        n = upto[c]
-        total = best[c - size[:n]] + value[:n]
-        k = int(total.argmax())
-        best[c], take[c] = total[k], k
-        if best[c - 1] > best[c]:
-            best[c], take[c] = best[c - 1], -1
+def best_configuration(lengths: np.ndarray, values: np.ndarray, most: np.ndarray, capacity: int) -> tuple[dict[int, int], float]:
+    """The multiset of lengths within `capacity` of the largest value, with at most `most` pieces of each, and that value.
+
+    Exact: counts are split into powers of two and a rest, and each part is taken or not (values are positive, so what
+    still fits is taken).
+    """
+    parts: list[tuple[int, int, int]] = []
+    for i in np.argsort(-lengths, kind="stable"):
+        n, k = min(int(most[i]), capacity // int(lengths[i])), 1
+        while n > 0:
+            k = min(k, n)
+            parts.append((int(i), k, k * int(lengths[i])))
+            n, k = n - k, 2 * k
+    best, taken, room = np.zeros(capacity + 1), np.zeros((len(parts), capacity + 1), dtype=bool), np.empty(capacity + 1)
+    for j, (i, k, size) in enumerate(parts):
+        with_it = np.add(best[: capacity + 1 - size], k * values[i], out=room[: capacity + 1 - size])
+        np.greater(with_it, best[size:], out=taken[j, size:])
+        np.maximum(with_it, best[size:], out=best[size:])
     out: Counter = Counter()
     c = capacity
-    while c > 0:
-        k = take[c]
-        if k < 0:
-            c -= 1
-            continue
-        out[int(order[k])] += 1
-        c -= int(size[k])
-    return {i: min(n, int(most[i])) for i, n in out.items() if most[i] > 0}
-
-
-def solve_configurations(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = 300, step: float = 0.25, tilt: float = 0.3) -> list[tuple[int, dict[int, int]]]:
-    """(times, configuration) of an approximate solution of min sum(x) with every length covered `counts` times.
-
-    Lengths start with weights that grow a little faster than their size, so that of two full configurations the
-    one of longer pieces pays more and short ones are left to fill gaps. Every round prices the best configuration,
-    uses it a whole number of times and lowers the weights of the lengths that it covers by a factor that grows
-    with the share covered. In the first `rounds` that is as often as its scarcest length allows times `step`, so
-    that lengths mix; then as often as that length allows, until every length is covered, which takes about as many
-    rounds as there are lengths. Lengths that are covered in full leave.
+    for j in range(len(parts) - 1, -1, -1):
+        if taken[j, c]:
+            out[parts[j][0]] += parts[j][1]
+            c -= parts[j][2]
+    return dict(out), float(best[capacity])
+
+
+def lower_bound(lengths: np.ndarray, counts: np.ndarray, weights: np.ndarray, capacity: int) -> int:
+    """The value of a dual solution: no packing has fewer sequences."""
+    if not len(lengths):
+        return 0
+    price = best_configuration(lengths, weights, counts, capacity)[1]
+    return math.ceil(float((counts * weights).sum()) / price - 1e-9)
+
+
+def solve_configurations(lengths: np.ndarray, counts: np.ndarray, capacity: int, rate: float = 1.0, tilt: float = 0.3, full: float = FULL) -> tuple[list[tuple[int, dict[int, int]]], np.ndarray, int]:
+    """(times, configuration) of an approximate solution of min sum(x) with every length covered `counts` times, the
+    counts that it leaves, and a lower bound of the optimum.
+
+    Lengths start with weights that grow a little faster than their size, so that of two full configurations the one
+    of longer pieces pays more and short ones are left to fill gaps. Every round uses the configuration of the best price as
+    often as its scarcest length allows, so there are about as many rounds as lengths, and lowers the weights of what it covers.
     """
-    demand = counts.astype(float)
     left = counts.copy()
-    weight = lengths / capacity * (1 + tilt * lengths / capacity)
+    start = lengths / capacity * (1 + tilt * lengths / capacity)
+    bound = max(lower_bound(lengths, counts, w, capacity) for w in (lengths / capacity, start))
     out: list[tuple[int, dict[int, int]]] = []
     while len(open_ := np.flatnonzero(left)):
-        got = best_configuration(lengths[open_], weight[open_], left[open_], capacity)
-        config = {int(open_[i]): n for i, n in got.items() if n}
-        config = fill(config, lengths, left, capacity)
+        weights = start[open_] * np.exp(rate * (left[open_] / counts[open_] - 1))
+        config = {int(open_[i]): n for i, n in best_configuration(lengths[open_], weights, left[open_], capacity)[0].items()}
+        if sum(int(lengths[i]) * n for i, n in config.items()) < full * capacity:
+            break
         times = min(int(left[i]) // n for i, n in config.items())
-        if len(out) < rounds:
-            times = max(int(times * step), 1)
         for i, n in config.items():
             left[i] -= times * n
-            weight[i] *= np.exp(-0.5 * times * n / demand[i])
         out.append((times, config))
-    return out
-
-
-def fill(config: dict[int, int], lengths: np.ndarray, left: np.ndarray, capacity: int) -> dict[int, int]:
-    """The configuration with what else fits, the longest first (pieces that the weights no longer pay for)."""
-    room = capacity - sum(int(lengths[i]) * n for i, n in config.items())
-    config = dict(config)
-    for i in np.argsort(-lengths):
-        if lengths[i] <= room:
-            n = min(int(left[i]) - config.get(int(i), 0), room // int(lengths[i]))
-            if n > 0:
-                config[int(i)] = config.get(int(i), 0) + int(n)
-                room -= int(n) * int(lengths[i])
-    return config
+    return out, left, bound
 
 
 def best_fit(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> Counter:
@@ -260,32 +257,17 @@ def best_fit(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> Counter:
     return out
 
 
-def best_cut(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[Counter, int]:
-    """{configuration: times} that place every piece, and the quarters of the program's rounds that they come from
-    (4: all, 0: none); best fit places the rest. The fewest sequences win, among equals the most of the program."""
-    solution = solve_configurations(lengths, counts, capacity)
-    cuts = []
-    for quarters in (4, 3, 2, 1, 0):
-        whole: Counter = Counter()
-        left = counts.copy()
-        for times, config in solution[: len(solution) * quarters // 4]:
-            whole[tuple(sorted(config.items()))] += times
-            for i, k in config.items():
-                left[i] -= times * k
-        whole.update(best_fit(lengths, left, capacity))
-        cuts.append((whole, quarters))
-    return min(cuts, key=lambda c: sum(c[0].values()))
-
-
-def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
+def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[int, int, int, int, int, int]], dict[str, int]]:
     """Rows (length, first, last, each, sequence, offset): pieces first..last-1 of a length go `each` to a
-    sequence, the first ones to `sequence`, starting at `offset`. Every piece has a place."""
+    sequence, the first ones to `sequence`, starting at `offset`. Every piece has a place. Beside them the numbers of
+    sequences from the `program` and from best fit (`rest`), and the lower `bound`."""
     lengths = np.array(sorted(histogram), dtype=np.int64)
     counts = np.array([histogram[int(x)] for x in lengths], dtype=np.int64)
-    whole, _ = best_cut(lengths, counts, capacity)
+    solution, left, bound = solve_configurations(lengths, counts, capacity)
+    rest = best_fit(lengths, left, capacity)
     used = np.zeros(len(lengths), dtype=np.int64)
     rows, sequence = [], 0
-    for config, times in whole.items():
+    for config, times in [*((tuple(sorted(c.items())), n) for n, c in solution), *rest.items()]:
         offset = 0
         for i, each in config:
             rows.append((int(lengths[i]), int(used[i]), int(used[i] + each * times), int(each), sequence, offset))
@@ -294,7 +276,7 @@ def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY) -> list[
         sequence += times
     if not np.array_equal(used, counts):
         raise AssertionError("a piece has no place")
-    return rows
+    return rows, {"program": sum(n for n, _ in solution), "rest": sum(rest.values()), "bound": bound}
 
 
 # ---- the packing
@@ -323,13 +305,16 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     starts = sizes.select(F.col("length").alias("__l"), F.col("__part").alias("__p"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))
     order = Window.partitionBy("length", "__part").orderBy("__spread", id_col, "piece")
     numbered = cut.withColumn("__row", F.row_number().over(order) - 1).join(starts, (F.col("length") == F.col("__l")) & (F.col("__part") == F.col("__p"))).withColumn("__number", F.col("__first") + F.col("__row"))
-    # at most capacity lengths, each with an array of its places: a bounded table; a place is found by bisection order
+    # at most capacity lengths and as many configurations, whatever the corpus, so the table of places is bounded. The places of a
+    # length are in order, in groups of PLACES: the group is found by its first number, then the place in it
     by_length: dict[int, list] = {}
-    for length, first, last, each, sequence, offset in plan_sequences(histogram, capacity):
+    for length, first, last, each, sequence, offset in plan_sequences(histogram, capacity)[0]:
         by_length.setdefault(length, []).append((first, last, each, sequence, offset))
-    places = spark.createDataFrame([(k, v) for k, v in by_length.items()], "__k bigint, __places array<struct<first: bigint, last: bigint, each: bigint, sequence: bigint, offset: bigint>>")
+    grouped = [(k, [v[i][0] for i in range(0, len(v), PLACES)], [v[i : i + PLACES] for i in range(0, len(v), PLACES)]) for k, v in by_length.items()]
+    places = spark.createDataFrame(grouped, "__k bigint, __tops array<bigint>, __places array<array<struct<first: bigint, last: bigint, each: bigint, sequence: bigint, offset: bigint>>>")
     found = numbered.join(F.broadcast(places), F.col("length") == F.col("__k"))
-    place = F.filter("__places", lambda p: (p["first"] <= F.col("__number")) & (F.col("__number") < p["last"]))[0]
+    near = F.col("__places")[F.size(F.filter("__tops", lambda t: t <= F.col("__number"))) - 1]
+    place = F.filter(near, lambda p: (p["first"] <= F.col("__number")) & (F.col("__number") < p["last"]))[0]
     found = found.withColumn("__place", place).withColumn("__at", F.col("__number") - F.col("__place.first"))
     each = F.col("__place.each")
     sequence = (F.col("__place.sequence") + F.floor(F.col("__at") / each)).cast("long")
