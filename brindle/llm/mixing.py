@@ -97,7 +97,7 @@ def sort_by_position(rows: DataFrame, n_rows: int, *ties: str) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, cap: int = CAP, schedules=SCHEDULES, carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per input row, sorted by position: id, carried columns, size, source_size, target, taken, position.
+    """One row per input row, sorted by position: id, carried columns, size, source_size, target, taken, passes, position, last_position.
 
     A source's stream is its documents in the order of md5(id), over and over. The mix takes the first
     round(target) words of the stream, so a document is taken whole as often as the stream passes it, and one
@@ -113,7 +113,11 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     full = F.when(F.col("source_size") > 0, F.floor(wanted / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     rest = F.least(F.greatest(wanted - full * F.col("source_size") - at, F.lit(0)), F.col("size"))
     taken = (full * F.col("size") + rest).cast("long")
-    out = placed.select(F.col("id").alias(id_col), *[F.col(f"__c_{c}").alias(c) for c in carry], "size", "source_size", "target", taken.alias("taken"), F.when(taken > 0, curriculum_time(at, schedules)).alias("position"))
+    passes = F.when(taken > 0, F.ceil((wanted - at) / F.col("source_size"))).otherwise(F.lit(0)).cast("int")
+    placed = placed.withColumns({"taken": taken, "passes": passes})
+    last = F.col("at") + (F.col("passes") - 1) * F.col("source_size")
+    times = [F.when(F.col("taken") > 0, curriculum_time(begin, schedules)).alias(name) for name, begin in (("position", at), ("last_position", last))]
+    out = placed.select(F.col("id").alias(id_col), *[F.col(f"__c_{c}").alias(c) for c in carry], "size", "source_size", "target", "taken", "passes", *times)
     return sort_by_position(out, n_rows, id_col)
 
 

@@ -2,6 +2,15 @@
 
 WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
+#: When a source has had the share x of its words. The fading schedule falls from 5/4 over 1 to 3/4, the rising one climbs from 1/2
+#: over 1 to 3/2, both in straight lines with a knot at 1/2; the share is the schedule's integral up to that time.
+TIME = """(CASE kind
+         WHEN 0 THEN CASE WHEN {x} <= 0.5625::DOUBLE THEN 2 * {x} / (1.25::DOUBLE + sqrt(greatest(1.5625::DOUBLE - {x}, 0)))
+                          ELSE least(0.5::DOUBLE + 2 * greatest({x} - 0.5625::DOUBLE, 0) / (1 + sqrt(greatest(1 - ({x} - 0.5625::DOUBLE), 0))), 1) END
+         WHEN 1 THEN {x}
+         ELSE CASE WHEN {x} <= 0.375::DOUBLE THEN 2 * {x} / (0.5::DOUBLE + sqrt(greatest(0.25::DOUBLE + 2 * {x}, 0)))
+                   ELSE least(0.5::DOUBLE + 2 * greatest({x} - 0.375::DOUBLE, 0) / (1 + sqrt(greatest(1 + 2 * ({x} - 0.375::DOUBLE), 0))), 1) END END)"""
+
 OP3 = rf"""
 WITH sized AS (
   SELECT doc_id, source, len({WORDS})::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '')) AS key FROM documents),
@@ -16,16 +25,23 @@ runs AS (
          row_number() OVER (ORDER BY 3.0::DOUBLE * source_size / weight, source NULLS LAST) AS reached
   FROM sources),
 levels AS (
-  SELECT *, arg_min((total - capped) / rest, CASE WHEN (total - capped) / rest <= lim / weight THEN reached END) OVER () AS level FROM runs),
-targets AS (SELECT source, source_size, least(level * weight, lim) AS target, round(least(level * weight, lim))::BIGINT AS wanted FROM levels),
+  SELECT *, (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 AS kind, arg_min((total - capped) / rest, CASE WHEN (total - capped) / rest <= lim / weight THEN reached END) OVER () AS level FROM runs),
+targets AS (SELECT source, kind, source_size, least(level * weight, lim) AS target, round(least(level * weight, lim))::BIGINT AS wanted FROM levels),
 placed AS (
-  SELECT s.doc_id, s.size, t.source_size, t.target, t.wanted,
+  SELECT s.doc_id, s.size, t.source_size, t.target, t.wanted, t.kind,
          coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.key, s.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS at_word
-  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       (CASE WHEN source_size > 0 THEN (wanted // source_size) * size
-         + least(greatest(wanted - (wanted // source_size) * source_size - at_word, 0), size) ELSE 0 END)::BIGINT AS taken
-FROM placed
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+mixed AS (
+  SELECT *, (CASE WHEN source_size > 0 THEN (wanted // source_size) * size
+         + least(greatest(wanted - (wanted // source_size) * source_size - at_word, 0), size) ELSE 0 END)::BIGINT AS taken FROM placed),
+shares AS (
+  SELECT *, CASE WHEN taken > 0 THEN ceil((wanted - at_word)::DOUBLE / source_size) ELSE 0 END::INT AS passes,
+         at_word::DOUBLE / wanted AS first_share,
+         (at_word + (ceil((wanted - at_word)::DOUBLE / source_size)::BIGINT - 1) * source_size)::DOUBLE / wanted AS last_share FROM mixed)
+SELECT doc_id, size, source_size, target, taken, passes,
+       CASE WHEN taken > 0 THEN {TIME.format(x="first_share")} END AS position,
+       CASE WHEN taken > 0 THEN {TIME.format(x="last_share")} END AS last_position
+FROM shares
 """
 
 OP7 = rf"""

@@ -18,7 +18,7 @@ def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(read(spark, sf_dir, "documents")).drop("position")
+    return mixing.mix_sources(read(spark, sf_dir, "documents"))
 
 
 def op3_mixing_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
