@@ -140,7 +140,9 @@ def mix_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", length_col: str | None = "n_chars", **options) -> DataFrame:
     """The mix itself: documents with their columns, once for each time they are taken, each copy at its own
-    position; the cut document of a source has the words it was taken for."""
+    position; the cut document of a source has the words it was taken for. Documents without words aren't taken, null texts among them; a null
+    source is a source of its own; equal rows are documents of their own; long texts stay whole; an empty table gives no rows; other
+    columns may be null and have any names."""
     own = docs.columns
     packed = docs.select(id_col, text_col, source_col, F.struct(*[F.col(c) for c in own]).alias("__own"))
     each = mix_copies(packed, id_col, text_col, source_col, carry=("__own",), **options)

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 SYMBOLS = b"#*$%&|<>"
 #: Documents on which the cascade measures its rules; only the order of the rules comes from them.
 SAMPLE_ROWS = 256
+#: Longer texts are left out of that sample, so that it is of at most 16 MB; the rules themselves read every text whole.
+SAMPLE_TEXT_BYTES = 1 << 16
 
 
 class Text:
@@ -151,7 +153,7 @@ def order_rules(rules: tuple[Rule, ...], measured: list[Measured]) -> tuple[Rule
 
 def plan_cascade(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> tuple[Rule, ...]:
     """The rules in cascade order, from a bounded sample. The order changes the cost only, never a verdict."""
-    sample = [bytes(r[0]) if r[0] is not None else None for r in docs.select(F.col(text_col).cast("binary")).limit(sample_rows).collect()]
+    sample = [bytes(r[0]) if r[0] is not None else None for r in docs.select(F.col(text_col).cast("binary").alias("text")).where(F.coalesce(F.octet_length("text"), F.lit(0)) <= SAMPLE_TEXT_BYTES).limit(sample_rows).collect()]
     return order_rules(rules, measure(rules, sample))
 
 
@@ -188,7 +190,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def kept_documents(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The documents, with their columns, that no rule rejects."""
+    """The documents, with their columns, that no rule rejects. Null, empty and word-less texts go; a text is read whole, however long.
+    Equal rows are all kept or all go; an empty table gives no rows; other columns may be null and have any names."""
     cascade, at = plan_cascade(docs, text_col, rules), docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -86,7 +86,17 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return numbered.select(F.col("__id").alias(id_col), *[F.col(f"__c_{c}").alias(c) for c in carry], "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
-def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", tree: tuple[Leaf, ...] | None = None) -> None:
-    """The documents as Parquet, a folder per shard."""
-    own = tuple(c for c in docs.columns if c not in (id_col, "shard", "slot", "size", "law", "text_crc32", "grown_shard"))
-    shard_documents(docs, id_col, text_col, tree, carry=own).write.mode("overwrite").partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", tree: tuple[Leaf, ...] | None = None, rows_in_file: int = 100_000) -> None:
+    """The documents as Parquet, a folder per shard, in files of about `rows_in_file` rows in order of their slots.
+
+    Documents keep all their columns; one that is called like a column of the sharding is written as `document_<name>`. Nulls, equal rows and
+    long texts are written as they are; an empty table gives an empty folder.
+    """
+    names = ("shard", "slot", "size", "law", "text_crc32", "grown_shard")
+    own = [c for c in docs.columns if c != id_col]
+    carried = docs.select(id_col, text_col, F.struct(F.lit(None).cast("string").alias("__none"), *[F.col(c) for c in own if c != text_col]).alias("__own"), F.col(text_col).alias("__text"))
+    rows = shard_documents(carried, id_col, text_col, tree, carry=("__own", "__text"))
+    value = {c: F.col("__text") if c == text_col else F.col("__own").getField(c) for c in own}
+    out = rows.select(F.col(id_col).alias(f"document_{id_col}" if id_col in names else id_col), *[v.alias(f"document_{c}" if c in names else c) for c, v in value.items()], *names)
+    file = F.floor(F.col("slot") / rows_in_file)
+    out.repartition("shard", file).sortWithinPartitions("shard", "slot").write.mode("overwrite").partitionBy("shard").parquet(path)

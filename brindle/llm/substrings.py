@@ -237,7 +237,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def deduplicated_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars", width: int = 20) -> DataFrame:
-    """The documents with their columns and without repeated passages; other texts keep every byte."""
+    """The documents with their columns and without repeated passages; other texts keep every byte.
+
+    Every row stays, if need be with an empty text; null texts become empty. Null ids come first, and rows alike in id are taken in
+    the order of their texts. An empty table gives no rows. Other columns may be null and have any names. A block holds its texts and
+    words in memory, so a text of many megabytes makes its block that much larger.
+    """
     own = docs.columns
     packed = docs.select(id_col, text_col, F.struct(F.lit(None).cast("string").alias("__none"), *[F.col(c) for c in own if c not in (id_col, text_col)]).alias("__own"))
     rows = substring_dedup(packed, id_col, text_col, width, carry=("__own",), texts=True)

@@ -531,3 +531,21 @@ def test_hubs_prove_links_without_loss(spark):
         for a, b in direct | found:
             root[find(a)] = find(b)
         assert all(find(a) == find(b) for a, b in links)
+
+
+def test_written_shards_keep_every_column(spark, tmp_path):
+    rows = [(i, f"text {i}" if i % 5 else None, i % 3, "own law", None) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, shard int, law string, slot string")
+    sharding.write_shards(df, str(tmp_path / "out"), rows_in_file=3)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert Counter((r["doc_id"], r["text"], r["document_shard"], r["document_law"], r["document_slot"]) for r in back.collect()) == Counter(rows)
+    want = {(r["doc_id"], r["shard"], r["slot"]) for r in sharding.shard_documents(df).collect()}
+    assert {(r["doc_id"], r["shard"], r["slot"]) for r in back.collect()} == want
+    sharding.write_shards(df.limit(0), str(tmp_path / "none"))
+
+
+def test_columns_may_be_called_like_the_operators_own(spark, odd):
+    for name in ("__key", "__own", "id", "same", "own", "set", "group", "stays"):
+        df = odd.withColumn(name, F.lit(1))
+        got = minhash.distinct_documents(df)
+        assert got.columns == df.columns and got.count() > 0

@@ -76,3 +76,9 @@ def test_odd_rows_pass_through(spark):
         assert df.columns == ["doc_id", "text", "lang", "source", "n_chars", "n_words", "size", "block"], name
         assert df.count() > 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, df, SF).count() > 0
+
+
+def test_stages_take_empty_tables(spark):
+    none = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, SF).collect() == [], name
