@@ -35,16 +35,55 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(named)
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with files in the shared checkpoint folder. The shuffles that made them aren't needed again and go."""
+#: Rows of an Arrow batch while a step runs: ten thousand texts at a time, the default, are buffers of 100 MB and more in each task.
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def checkpoint(df: DataFrame, sweep: bool = False) -> DataFrame:
+    """Cut the lineage with files in the shared checkpoint folder. The shuffles that made them aren't needed again and go.
+
+    Executors keep the broadcast relations of finished plans until the driver has collected the garbage that names them; with
+    `sweep`, which is for queries of many steps, it does so now.
+    """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    before = spark.conf.get(REMOVE_SHUFFLES, None)
+    before = {k: spark.conf.get(k, None) for k in (REMOVE_SHUFFLES, ARROW_ROWS)}
     spark.conf.set(REMOVE_SHUFFLES, "true")
+    spark.conf.set(ARROW_ROWS, "1024")
     try:
         return df.checkpoint(eager=True)
     finally:
-        spark.conf.set(REMOVE_SHUFFLES, before) if before is not None else spark.conf.unset(REMOVE_SHUFFLES)
+        if sweep:
+            spark.sparkContext._jvm.System.gc()
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def lean(f):
+    """`f`, after which the worker gives the memory that it freed back to the system; workers live on between tasks."""
+
+    def run(*args):
+        out = f(*args)
+        release_memory()
+        return out
+
+    import functools
+    import inspect
+
+    run = functools.wraps(f)(run)
+    run.__signature__ = inspect.signature(f)
+    return run
+
+
+def release_memory() -> None:
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def words_expr(text) -> F.Column:
@@ -74,9 +113,10 @@ class WordIds:
 
     def __init__(self):
         from collections import defaultdict
+        from itertools import count
 
-        self.ids = defaultdict()
-        self.ids.default_factory = self.ids.__len__
+        # a counter, not the dictionary's own length: a cycle of references would keep the words until the garbage collector runs
+        self.ids = defaultdict(count().__next__)
 
     def encode(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.ids.__getitem__, words), dtype=np.int64, count=len(words))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brindle.llm.common import WordIds, checkpoint, mix
+from brindle.llm.common import WordIds, checkpoint, mix, release_memory
 from brindle.llm.components import components
 
 GROUPS, HALF = 10, 2
@@ -104,6 +104,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int, groups
                 keys = half_keys(minhashes(x, ends, 2 * groups * half), half).astype(np.int64)
                 lists = [pa.array(list(k), pa.list_(pa.int64())) for k in (keys[:, :groups], keys[:, groups:])]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(set_ids(x, ends), pa.binary()), *lists], names=["id", "same", "n_shingles", "set", "left", "right"])
+        release_memory()
 
     kind = dict(docs.dtypes)[id_col]
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("same"), F.col(text_col).cast("binary").alias("text")).mapInArrow(sign, f"id {kind}, same bigint, n_shingles bigint, set binary, left array<bigint>, right array<bigint>")
@@ -119,9 +120,12 @@ def full_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int, wanted:
                 x, ends = shingle_sets(part.column(1).to_pylist(), shingle)
                 starts = np.concatenate([[0], ends[:-1]]) if len(ends) else []
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())], names=["cls", "shingles"])
+        release_memory()
 
     rows = docs.select(F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__same"), F.col(text_col).cast("binary").alias("__text"))
-    found = rows.join(small(wanted), F.col("__id").eqNullSafe(F.col("id")) & (F.col("__same") == F.col("same")))
+    # texts are hashed once a class, so the hash alone is the key; ids are no second key but say which of the copies is read
+    chosen = F.coalesce(~(F.col("__id") < F.col("id")) & ~(F.col("__id") > F.col("id")), F.col("__id").isNull() & F.col("id").isNull())
+    found = rows.join(small(wanted), (F.col("__same") == F.col("same")) & chosen)
     return found.select("cls", "__text").mapInArrow(build, "cls bigint, shingles binary").dropDuplicates(["cls"])
 
 
@@ -142,6 +146,7 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 deltas.append(np.setxor1d(p, q, assume_unique=True).view(np.int64))
             columns = [*batch.columns[:2], *[pa.array(s, pa.int64()) for s in sizes], pa.array([len(x) for x in deltas], pa.int64()), pa.array(deltas, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "sa", "sb", "d", "delta"])
+        release_memory()
 
     x = sets.select(F.col("cls").alias("ca"), F.col("shingles").alias("xa"))
     y = sets.select(F.col("cls").alias("cb"), F.col("shingles").alias("xb"))
@@ -157,7 +162,7 @@ def bucket_members(classes: DataFrame, groups: int) -> DataFrame:
     own = halves.join(repeated, F.col("half") == F.col("known")).groupBy("cls").agg(F.collect_list(F.when(F.col("left"), F.col("half"))).alias("left"), F.collect_list(F.when(~F.col("left"), F.col("half"))).alias("right"))
     tables = checkpoint(own.select("cls", F.explode("left").alias("one"), "right").select("cls", "one", F.explode("right").alias("two")).select(F.xxhash64("one", "two").alias("key"), "cls"))
     buckets = checkpoint(tables.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("key", "k"))
-    return checkpoint(tables.join(buckets, F.col("key") == F.col("k")).select("key", "cls", "n"))
+    return checkpoint(tables.join(buckets, F.col("key") == F.col("k")).select("key", "cls", "n"), sweep=True)
 
 
 def hub_pairs(members: DataFrame) -> DataFrame:
@@ -200,7 +205,7 @@ def links_around_hubs(met: DataFrame, percent: int) -> DataFrame:
     once = ~F.col("outside2") | (F.col("b") < F.col("b2"))
     fits = 100 * F.least("size", "size2") >= percent * F.greatest("size", "size2")
     near = (F.col("at") + F.ceil(both / (2 * p)) <= F.col("d")) & (F.col("at2") + F.ceil(both / (2 * p)) <= F.col("d2"))
-    pairs = checkpoint(x.join(y, (F.col("a") == F.col("a2")) & (F.col("e") == F.col("e2")) & (both > 0) & once & fits & near).select("a", "b", "b2").distinct())
+    pairs = checkpoint(x.join(y, (F.col("a") == F.col("a2")) & (F.col("e") == F.col("e2")) & (both > 0) & once & fits & near).select("a", "b", "b2").distinct(), sweep=True)
     first = open_.select(F.col("a").alias("h1"), F.col("b").alias("x"), F.col("size").alias("sx"), F.col("delta").alias("dx"))
     second = open_.select(F.col("a").alias("h2"), F.col("b").alias("y"), F.col("size").alias("sy"), F.col("delta").alias("dy"))
     checked = pairs.join(first, (F.col("a") == F.col("h1")) & (F.col("b") == F.col("x"))).join(second, (F.col("a") == F.col("h2")) & (F.col("b2") == F.col("y")))
@@ -223,10 +228,10 @@ def grouped_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     wanted = checkpoint(classes.join(nodes, F.col("cls") == F.col("node"), "left_semi").select("cls", "id", "same"))
     sets = checkpoint(full_sets(docs, id_col, text_col, shingle, wanted))
     met = compared(pairs, sets).withColumn("o", (100 + percent) * F.col("d") - (100 - percent) * F.col("sb"))
-    met = checkpoint(met)
+    met = checkpoint(met, sweep=True)
     linked = met.where((100 + percent) * F.col("d") <= (100 - percent) * (F.col("sa") + F.col("sb"))).select("a", "b")
     found = components(linked.union(links_around_hubs(met, percent)), "a", "b")
-    named = checkpoint(wanted.select("cls", "id").join(found, F.col("cls") == F.col("node")).select("cls", "id", F.col("component").alias("group")))
+    named = checkpoint(wanted.select("cls", "id").join(found, F.col("cls") == F.col("node")).select("cls", "id", F.col("component").alias("group")), sweep=True)
     smallest = checkpoint(named.groupBy("group").agg(F.min("id").alias("component_id")).withColumnRenamed("group", "g"))
     grouped = checkpoint(named.join(smallest, F.col("group") == F.col("g")).select(F.col("cls").alias("c"), "group", "component_id"))
     of_set = classes.join(grouped, F.col("cls") == F.col("c"), "left").select(F.col("set").alias("of"), F.coalesce("group", "cls").alias("group"), F.when(F.col("c").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
@@ -250,19 +255,23 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     (and, among rows alike in id, the smallest text hash; of rows alike in both, one). Documents without words all stay, null and
     empty texts among them. Null ids come after all others. An empty table gives no rows. Columns may have any names.
 
-    Most documents have no copy, so only those that have one, or share id and text with another row, are looked up:
-    by a broadcast of their keys where a count shows these to be few, else in a join by key.
+    Most documents have no copy, so only the texts of groups of several rows are looked up: by a broadcast of their
+    hashes where a count shows these to be few, else in a join.
     """
     rows = checkpoint(grouped_rows(docs, id_col, text_col, **options).where("group is not null").select("id", "same", "group"))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "same"))
+    # of a group with several rows, that row stays that has this id and text hash; of n rows alike in both, one
     keys = checkpoint(rows.groupBy("group", "id", "same").agg(F.count(F.lit(1)).alias("n")))
-    several = checkpoint(keys.groupBy("group").agg(first.alias("one"), F.sum("n").alias("m")).where("m > 1").select(F.col("group").alias("g"), "one.id", "one.same"))
-    stays = F.col("i").eqNullSafe(F.col("id")) & (F.col("s") == F.col("same"))
-    asked = checkpoint(keys.select("group", F.col("id").alias("i"), F.col("same").alias("s"), "n").join(several, F.col("group") == F.col("g")).select("i", "s", "n", stays.alias("stays")))
+    several = keys.groupBy("group").agg(first.alias("one"), F.sum("n").alias("m")).where("m > 1")
+    several = checkpoint(several.select(F.col("group").alias("g"), F.col("one.id").alias("i"), F.col("one.same").alias("s")))
+    unique = keys.where("n > 1").join(several, F.col("group") == F.col("g")).where((F.col("same") == F.col("s")) & F.col("id").eqNullSafe(F.col("i"))).isEmpty()
+    texts = rows.groupBy("group", "same").agg(F.lit(1)).select("group", F.col("same").alias("t"))
+    texts = checkpoint(texts.join(several, F.col("group") == F.col("g")).select("t", "i", "s"), sweep=True)
     own = docs.columns
     whole = docs.select(F.struct(*[F.col(c) for c in own]).alias("own"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("same"))
-    told = whole.join(small(asked), F.col("id").eqNullSafe(F.col("i")) & (F.col("same") == F.col("s")), "left")
-    kept = told.where("stays is null or (stays and n = 1)").select("own")
-    if not asked.where("stays and n > 1").isEmpty():
-        kept = kept.unionByName(told.where("stays and n > 1").dropDuplicates(["id", "same"]).select("own"))
+    told = whole.join(small(texts), F.col("same") == F.col("t"), "left").withColumn("stays", F.when(F.col("t").isNotNull(), (F.col("same") == F.col("s")) & F.col("id").eqNullSafe(F.col("i"))))
+    if unique:
+        kept = told.where("stays is null or stays").select("own")
+    else:
+        kept = told.where("stays is null").select("own").unionByName(told.where("stays").dropDuplicates(["id", "same"]).select("own"))
     return kept.select(*[F.col("own").getField(c).alias(c) for c in own])

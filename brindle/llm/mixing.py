@@ -18,7 +18,7 @@ WEIGHTS, CAP = (5.0, 2.0, 1.0), 3
 #: sources fade, the middle ones are even, the light ones rise.
 SCHEDULES = (((0.0, 1.25), (0.5, 1.0), (1.0, 0.75)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (0.5, 1.0), (1.0, 1.5)))
 #: Rows of a part of a source's stream, and of an output partition.
-ROWS_IN_PART, ROWS_IN_TASK = 4_000, 20_000
+ROWS_IN_PART, ROWS_IN_TASK = 2_000, 20_000
 
 
 def inverse_demand(share, knots) -> F.Column:
@@ -61,7 +61,7 @@ def place_in_streams(docs: DataFrame, id_col: str, text_col: str, source_col: st
     """One row per input row, and their number: id, carried columns as __c_<name>, size, source_size, place, target,
     wanted (words that the mix takes of the source), at (words of the source's stream before the row, in each pass).
 
-    Running sums are taken in parts of about 4,000 rows cut by md5, then over the parts' totals, so a source
+    Running sums are taken in parts of about 2,000 rows cut by md5, then over the parts' totals, so a source
     that holds most rows is spread over tasks.
     """
     text, carried = F.col(text_col), [F.col(c).alias(f"__c_{c}") for c in carry]

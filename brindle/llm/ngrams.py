@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.common import BLOCK_BYTES, WordIds, pack, pack_sorted, text_blocks, unpack, unpack_sorted
+from brindle.llm.common import BLOCK_BYTES, WordIds, lean, pack, pack_sorted, text_blocks, unpack, unpack_sorted
 
 #: Counts up to this are discounted (Katz's k).
 MOST_DISCOUNTED = 5
@@ -237,8 +237,8 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         s, n = _scores(block, answers), table.num_rows
         return pa.table([block.ids, pa.array(block.held_out), pa.array(block.lengths), pa.array(s["n_known"]), pa.array(np.full(n, answers.total, dtype=np.int64)), pa.array(s["base_score"]), pa.array(s["score"])], names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    words = blocks.groupBy("block").applyInArrow(send_words, PIECES).groupBy("key").applyInArrow(add_words, PIECES)
-    pairs = blocks.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(send_pairs, PIECES).groupBy("key").applyInArrow(add_pairs, PIECES)
+    words = blocks.groupBy("block").applyInArrow(lean(send_words), PIECES).groupBy("key").applyInArrow(lean(add_words), PIECES)
+    pairs = blocks.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(lean(send_pairs), PIECES).groupBy("key").applyInArrow(lean(add_pairs), PIECES)
     schema = "id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    out = blocks.groupBy("block").cogroup(words.unionByName(pairs).groupBy("block")).applyInArrow(score, schema)
+    out = blocks.groupBy("block").cogroup(words.unionByName(pairs).groupBy("block")).applyInArrow(lean(score), schema)
     return out.withColumn("id", F.col("id").cast(dict(docs.dtypes)[id_col])).withColumnRenamed("id", id_col)

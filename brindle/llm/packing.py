@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brindle.llm.common import checkpoint, worker_cache
+from brindle.llm.common import checkpoint, release_memory, worker_cache
 
 CAPACITY, END_ID = 2048, 0
 #: Entries of a worker's cache of chunk ids; a full cache is emptied, so memory stays bounded.
@@ -97,6 +97,7 @@ class Encoder:
         self.added = {t["content"]: array("I", [t["id"]]).tobytes() for t in added}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split
         self.library = None
+        release_memory()
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
             from tokenizers import Tokenizer
 
@@ -158,6 +159,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     columns.append(pa.array(raw, pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
         encoder.cache.clear()  # a worker lives on after its task
+        release_memory()
 
     kinds = dict(docs.dtypes)
     names = [id_col, *carry, "piece", "start", "length", "ids_crc32", *(["ids"] if ids else [])]

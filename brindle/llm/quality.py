@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brindle.llm.common import release_memory
+
 SYMBOLS = b"#*$%&|<>"
 #: Documents on which the cascade measures its rules; only the order of the rules comes from them.
 SAMPLE_ROWS = 256
@@ -201,5 +203,6 @@ def kept_documents(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, .
                 t = Text(raw.as_py())
                 kept.append(not any(r.rejects(t) for r in cascade))
             yield batch.filter(pa.array(kept, pa.bool_()))
+        release_memory()
 
     return docs.mapInArrow(keep, docs.schema)

@@ -20,13 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.common import WordIds, nullable, pack, pack_bits, pack_sorted, text_blocks, unpack, unpack_bits, unpack_sorted, window_hashes
+from brindle.llm.common import WordIds, lean, nullable, pack, pack_bits, pack_sorted, text_blocks, unpack, unpack_bits, unpack_sorted, window_hashes
 
 #: Any two odd numbers with inverses modulo 2^64 that are not powers of each other.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 NULL_ID = -(1 << 63)
 #: Bytes of text in a block on average; its words and windows take some 30 times that in a Python worker.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 3 << 20
 PIECES = "key long, block int, n int, a binary, b binary, c binary"
 
 
@@ -227,12 +227,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             columns.append(pa.array(kept, pa.binary()))
         return pa.table(columns, names=["id", *(["own"] if carry else []), "n_words", "n_removed", "kept_sha256", *(["kept"] if texts else [])])
 
-    merged = blocks.groupBy("block").applyInArrow(sketch, PIECES).groupBy("key").applyInArrow(merge, PIECES)
-    grouped = blocks.groupBy("block").cogroup(merged.groupBy("block")).applyInArrow(ask, PIECES).groupBy("key").applyInArrow(group, PIECES)
+    merged = blocks.groupBy("block").applyInArrow(lean(sketch), PIECES).groupBy("key").applyInArrow(lean(merge), PIECES)
+    grouped = blocks.groupBy("block").cogroup(merged.groupBy("block")).applyInArrow(lean(ask), PIECES).groupBy("key").applyInArrow(lean(group), PIECES)
     kinds = dict(docs.dtypes)
     own = f"own struct<{', '.join(f'`{c}`: {kinds[c]}' for c in carry)}>, " if carry else ""
     schema = f"id bigint, {own}n_words bigint, n_removed bigint, kept_sha256 string" + (", kept binary" if texts else "")
-    out = blocks.groupBy("block").cogroup(merged.unionByName(grouped).groupBy("block")).applyInArrow(remove, schema)
+    out = blocks.groupBy("block").cogroup(merged.unionByName(grouped).groupBy("block")).applyInArrow(lean(remove), schema)
     return out.select(F.col("id").cast(kinds[id_col]).alias(id_col), *[F.col("own").getField(c).alias(c) for c in carry], "n_words", "n_removed", "kept_sha256", *([F.col("kept").cast("string").alias("kept_text")] if texts else []))
 
 
