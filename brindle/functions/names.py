@@ -34,14 +34,20 @@ def flag_names(prefix: str, values: list[str]) -> dict[str, str]:
     return out
 
 
+#: What feature columns start with, by block.
+BLOCK_PREFIXES = ("cat__", "bool__", "num__", "token__")
+
+
 def label(feature: str, limit: int = 68) -> str:
-    """A feature column as words."""
-    words = re.sub(r"[_\s]+", " ", feature.replace("__", ": ", 1)).strip()
-    return words if len(words) <= limit else words[: limit - 3] + "..."
+    """A feature column as words: without its block's prefix, the missing level named, cut at `limit` signs."""
+    for prefix in BLOCK_PREFIXES:
+        feature = feature.replace(prefix, "")
+    return feature.replace("__missing__", "missing").replace("_", " ")[:limit]
 
 
 def file_name(text: str, limit: int = 80) -> str:
-    return re.sub(r"[^A-Za-z0-9._-]+", "_", text).strip("_")[:limit] or "blank"
+    """Letters and digits in lower case, anything else one _; `item` if nothing is left."""
+    return (re.sub(r"[^A-Za-z0-9]+", "_", str(text)).strip("_").lower() or "item")[:limit]
 
 
 def rename(df: DataFrame, mapping: dict[str, str] | None = None, standardize: bool = True, lower: bool = True) -> DataFrame:

@@ -99,6 +99,48 @@ def word_pattern(words: list[str], plural: bool = False) -> str:
     return rf"(?<![a-z0-9])(?:{'|'.join(words)}){'s?' if plural else ''}(?![a-z0-9])"
 
 
+#: The theme buckets in order, each with its words, and the bucket of texts without any.
+THEME_BUCKETS = {
+    "ancient_civilizations": ["egypt", "egyptian", "incan", "mayan", "aztec", "roman", "greek", "ramosis", "cleopatra"],
+    "fantasy_mythology": ["fantasy", "myth", "genie", "fairy", "fairies", "dragon", "magic", "wizard", "phoenix"],
+    "nature_animals": ["animal", "buffalo", "wolf", "tiger", "lion", "cat", "dog", "fish", "ocean", "sea", "jungle", "forest", "island", "eagle", "bear"],
+    "adventure_exploration": ["pirate", "viking", "treasure", "quest", "voyage", "adventure", "expedition", "frontier"],
+    "entertainment_characters": ["movie", "tv", "music", "show", "star", "celebrity", "cartoon", "character", "carnival", "carnivale"],
+    "culture_regional": ["asian", "china", "chinese", "japan", "irish", "italian", "latin", "western", "country", "native", "australian"],
+    "luxury_classic": ["gold", "diamond", "gem", "wealth", "cash", "money", "royal", "king", "queen", "classic", "casino", "jackpot"],
+    "scifi_mystery": ["space", "sci", "mystery", "horror", "alien", "planet", "moon", "galaxy"],
+    "seasonal_misc": ["winter", "fire", "heat", "holiday", "christmas", "number", "lucky", "superstition", "car", "cars"],
+    "format_non_theme": ["video", "stepper", "reel", "multigame", "multi game", "etg", "bank", "flex", "fusion", "sync", "renegade", "barcrest"],
+}
+NO_THEME = "uncategorized_theme"
+#: How semantic theme buckets are shown, and the levels that are shown as nothing.
+VALUE_LABELS = {
+    "ancient_civilizations": "Ancient Civilizations", "fantasy_mythology": "Fantasy / Mythology", "nature_animals": "Nature / Animals",
+    "culture_regional": "Culture / Regional", "entertainment_licensed": "Entertainment / Licensed", "adventure_exploration": "Adventure / Exploration",
+    "seasonal_holiday": "Seasonal / Holiday", "sports_games": "Sports / Games", "food_drink": "Food / Drink", "vehicles_speed": "Vehicles / Speed",
+    "mystery_scifi": "Mystery / Sci-Fi", "luxury_classic": "Luxury / Classic",
+}
+MISSING_VALUES = ("__missing__", "__other__", "uncategorized_theme", "missing", "nan", "none", "null", "")
+
+
+def theme(*columns) -> Column:
+    """The theme bucket of several texts joined, nulls left out. A word is bounded by anything but letters, digits and _."""
+    x = F.lower(F.concat_ws(" ", *[text(c) for c in columns]))
+    out = F.lit(NO_THEME)
+    for name, words in reversed(THEME_BUCKETS.items()):
+        out = F.when(x.rlike(rf"\b(?:{'|'.join(words)})\b"), name).otherwise(out)
+    return out
+
+
+def value_label(c, labels: dict[str, str] | None = None) -> Column:
+    """A level as readers see it: nothing for missing ones, its label if it has one, else its words with capitals."""
+    x = clean_category(c)
+    out = F.initcap(F.replace(x, F.lit("_"), F.lit(" ")))
+    for k, v in (VALUE_LABELS if labels is None else labels).items():
+        out = F.when(x == k, v).otherwise(out)
+    return F.when(x.isin(*MISSING_VALUES), "").otherwise(out)
+
+
 def bucket_keywords(c, rules: dict[str, list[str]], limit: int = 6) -> Column:
     """The words that the text has of its first fitting bucket, in the rules' order; empty if none fits."""
     x = F.lower(F.coalesce(text(c), F.lit("")))

@@ -123,8 +123,10 @@ def lift(long: DataFrame, members: DataFrame) -> DataFrame:
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("__size"))
     sums = long.join(members, "id").groupBy("cluster", "feature").agg(F.sum("value").alias("__s"))
     everywhere = long.join(members, "id", "left_semi").groupBy("feature").agg(F.sum("value").alias("__t"))
-    # a cluster without a feature has mean 0 of it
-    grid = sizes.join(everywhere, F.lit(True)).join(F.broadcast(total), F.lit(True)).join(sums, ["cluster", "feature"], "left")
+    # a cluster without a feature has mean 0 of it: every feature goes to each cluster of a list of one row, which grows with the clusters alone
+    clusters = sizes.agg(F.collect_list(F.struct("cluster", "__size")).alias("__clusters"))
+    everywhere = everywhere.join(F.broadcast(total.join(clusters, F.lit(True))), F.lit(True))
+    grid = everywhere.select("feature", "__t", "__all", F.explode("__clusters").alias("c")).select("feature", "__t", "__all", "c.cluster", "c.__size").join(sums, ["cluster", "feature"], "left")
     out = grid.select("cluster", "feature", (F.coalesce("__s", F.lit(0.0)) / F.col("__size")).alias("cluster_mean"), (F.col("__t") / F.col("__all")).alias("global_mean"))
     out = out.withColumn("lift", F.col("cluster_mean") - F.col("global_mean"))
     return out.withColumn("rank", F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc(F.round("lift", 9)), "feature")))

@@ -14,6 +14,19 @@ from pyspark.sql import functions as F
 MOST_ITEMS, BLOCK = 20_000, 512
 
 
+def weighted_clusters(features: DataFrame, weights: dict[str, float], k: int = 8) -> DataFrame:
+    """(id, cluster): Euclidean complete linkage of long features (id, feature, value) times their weights, cut at k. Features of
+    weight 0 and those without a weight are left out, weights of absent features have no effect; ids are 0..n-1."""
+    used = {f: float(w) for f, w in weights.items() if w}
+    if not used:
+        raise ValueError("no feature has a weight")
+    weight = F.create_map(*[F.lit(x) for pair in used.items() for x in pair])
+    kept = features.where(F.col("feature").isin(*used)).select("id", "feature", (F.col("value") * F.element_at(weight, F.col("feature"))).alias("value"))
+    # items without any used feature are at the origin
+    absent = features.select("id").distinct().select("id", F.lit(sorted(used)[0]).alias("feature"), F.lit(0.0).alias("value"))
+    return clusters(keep_tree(linkage(dense_matrix(kept.unionByName(absent)), "euclidean")), k)
+
+
 def dense_matrix(features: DataFrame) -> DataFrame:
     """(id, vector): every feature's value in the features' order, 0 where absent."""
     names = features.select("feature").distinct().orderBy("feature").limit(MOST_ITEMS + 1).collect()
@@ -125,6 +138,11 @@ def linkage(rows: DataFrame, metric: str = "cosine", most: int = MOST_ITEMS) ->
     return rows.select("id", F.col("vector").cast("array<double>").alias("vector"), F.lit(0).alias("g")).groupBy("g").applyInArrow(lambda t: merge(t), "merge_step bigint, left_id bigint, right_id bigint, merge_distance double, size bigint")
 
 
+def keep_tree(tree: DataFrame) -> DataFrame:
+    """The tree as a local table of its merges (as many as items), so that linkage runs once however often it is read."""
+    return tree.sparkSession.createDataFrame([tuple(r) for r in tree.collect()], tree.schema)
+
+
 def read_tree(tree: DataFrame) -> tuple[np.ndarray, int]:
     rows = tree.orderBy("merge_step").collect()
     return np.array([(r["left_id"], r["right_id"], r["merge_distance"], r["size"]) for r in rows], dtype=float).reshape(-1, 4), len(rows) + 1
@@ -164,26 +182,32 @@ def clusters(tree: DataFrame, k: int) -> DataFrame:
 
 
 def elbow(rows: DataFrame, tree: DataFrame, most: int = 16) -> DataFrame:
-    """requested_k, actual_k, within_cluster_sse (unit vectors), min and max cluster size, sse_drop, elbow_distance_to_line."""
+    """The scores of the flat cuts with 2 to `most` clusters (fewer items give fewer cuts), see `cut_scores`."""
     merges, n = read_tree(tree)
     ks = list(range(2, min(most, n - 1) + 1))
-    spark = tree.sparkSession
-    if not ks:
-        return spark.createDataFrame([], "requested_k int, actual_k bigint, within_cluster_sse double, min_cluster_size bigint, max_cluster_size bigint, sse_drop double, elbow_distance_to_line double")
     labels = {k: cut_labels(merges, n, k) for k in ks}
-    members = spark.createDataFrame([(i, [int(labels[k][i]) for k in ks]) for i in range(n)], "id bigint, labels array<bigint>")
+    members = tree.sparkSession.createDataFrame([(i, [int(labels[k][i]) for k in ks]) for i in range(n)], "id bigint, labels array<bigint>")
+    return cut_scores(rows, members, 2)
+
+
+def cut_scores(rows: DataFrame, members: DataFrame, first_k: int) -> DataFrame:
+    """requested_k, actual_k, within_cluster_sse (unit vectors), min and max cluster size, sse_drop, elbow_distance_to_line.
+
+    members: id, labels, an array of the item's cluster in the cut for first_k, first_k + 1, ... The line runs from the first
+    cut to the last, over actual_k. Without cuts there are no rows.
+    """
     length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, v: a + v * v))
-    unit = rows.select("id", F.transform(F.col("vector").cast("array<double>"), lambda v: v).alias("vector")).withColumn("l", length).select("id", F.posexplode(F.transform("vector", lambda v: F.when(F.col("l") > 0, v / F.col("l")).otherwise(F.lit(0.0)))).alias("f", "v"))
+    unit = rows.select("id", F.col("vector").cast("array<double>").alias("vector")).withColumn("l", length).select("id", F.posexplode(F.transform("vector", lambda v: F.when(F.col("l") > 0, v / F.col("l")).otherwise(F.lit(0.0)))).alias("f", "v"))
     long = unit.join(members, "id").select("f", "v", F.posexplode("labels").alias("at", "cluster"))
     per = long.groupBy("at", "cluster", "f").agg(F.sum(F.col("v") * F.col("v")).alias("q"), F.sum("v").alias("s"), F.count(F.lit(1)).alias("n"))
     sse = per.groupBy("at").agg(F.sum(F.col("q") - F.col("s") * F.col("s") / F.col("n")).alias("within_cluster_sse"), F.countDistinct("cluster").alias("actual_k"), F.min("n").alias("min_cluster_size"), F.max("n").alias("max_cluster_size"))
-    k = F.col("requested_k")
-    out = sse.withColumn("requested_k", (F.col("at") + 2).cast("int")).withColumn("sse_drop", F.lag("within_cluster_sse").over(Window.orderBy("requested_k")) - F.col("within_cluster_sse"))
-    ends = out.agg(F.min(F.struct("requested_k", "within_cluster_sse")).alias("a"), F.max(F.struct("requested_k", "within_cluster_sse")).alias("b")).first()
-    (x1, y1), (x2, y2) = ends["a"], ends["b"]
-    run = float(np.hypot(x2 - x1, y2 - y1)) or 1.0
-    far = F.abs(F.lit(y2 - y1) * k - F.lit(float(x2 - x1)) * F.col("within_cluster_sse") + F.lit(float(x2 * y1 - y2 * x1))) / run
-    return out.select("requested_k", "actual_k", "within_cluster_sse", "min_cluster_size", "max_cluster_size", "sse_drop", far.alias("elbow_distance_to_line"))
+    # a row for each cut, so these windows hold a few rows
+    out = sse.withColumn("requested_k", (F.col("at") + first_k).cast("int")).withColumn("sse_drop", F.lag("within_cluster_sse").over(Window.orderBy("requested_k")) - F.col("within_cluster_sse"))
+    ends = Window.orderBy("requested_k").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    out = out.withColumns({"x1": F.first("actual_k").over(ends), "y1": F.first("within_cluster_sse").over(ends), "x2": F.last("actual_k").over(ends), "y2": F.last("within_cluster_sse").over(ends)})
+    run = F.sqrt((F.col("x2") - F.col("x1")) * (F.col("x2") - F.col("x1")) + (F.col("y2") - F.col("y1")) * (F.col("y2") - F.col("y1")))
+    far = F.abs((F.col("x2") - F.col("x1")) * (F.col("y1") - F.col("within_cluster_sse")) - (F.col("y2") - F.col("y1")) * (F.col("x1") - F.col("actual_k")))
+    return out.select("requested_k", "actual_k", "within_cluster_sse", "min_cluster_size", "max_cluster_size", "sse_drop", F.when(run > 0, far / run).otherwise(F.lit(0.0)).alias("elbow_distance_to_line"))
 
 
 def classical_scaling(rows: DataFrame, metric: str = "cosine", most: int = 5000) -> DataFrame:

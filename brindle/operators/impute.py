@@ -9,29 +9,41 @@ from brindle.operators.aggregate import modes
 from brindle.operators.joins import null_safe_join
 
 
+def group_modes(df: DataFrame, group: str, values: list[str]) -> DataFrame:
+    """(__g, __m_<value>...): each group's mode of every value column, in one aggregation; of equal counts the lowest value, in its own order."""
+    keyed = df.where(F.col(group).isNotNull())
+    # long counts by (group, column): values stay in columns of their own, so they keep their types
+    cells = keyed.select(F.col(group).alias("__g"), F.posexplode(F.array(*[F.struct(*[(F.col(w) if w == v else F.lit(None).cast(df.schema[w].dataType)).alias(w) for w in values]) for v in values])).alias("__i", "__v")).select("__g", "__i", "__v.*")
+    cells = cells.where(F.coalesce(*[F.col(w).cast("string") for w in values]).isNotNull())
+    counts = cells.groupBy("__g", "__i", *values).agg(F.count(F.lit(1)).alias("__n"))
+    best = [F.min(F.when(F.col("__i") == i, F.struct((-F.col("__n")).alias("n"), F.col(w).alias("v"))))["v"].alias(f"__m_{w}") for i, w in enumerate(values)]
+    return counts.groupBy("__g").agg(*best)
+
+
 def impute_by_groups(df: DataFrame, values: list[str], groups: list[str]) -> DataFrame:
-    """For each group column in order, nulls take their group's mode. Modes come from the rows as given, never from filled
-    ones; a null group fills nothing; of equal counts the lowest value, in its own order.
+    """For each value column in order, and for it each group column in order, nulls take their group's mode. Modes come from the rows as
+    given, never from filled ones, but a row's group is what the row then has: a group column that was filled before
+    counts as filled, one that is filled later doesn't. A null group fills nothing.
 
-    All value columns' modes of a group column are found in one aggregation, so a group column costs one shuffle
-    of counts and one join, however many value columns there are.
+    All value columns' modes of a group column are found in one aggregation. A group column that isn't filled itself is
+    joined once for all value columns, others once for each.
     """
+    lookups = {g: group_modes(df, g, wanted) for g in groups if (wanted := [v for v in values if v != g])}
+    fixed = [g for g in lookups if g not in values]
     out = df
-    for g in groups:
-        wanted = [v for v in values if v != g]
-        if not wanted:
-            continue
-        # long counts by (group, column): values stay in columns of their own, so they keep their types
-        keyed = df.where(F.col(g).isNotNull())
-        cells = keyed.select(F.col(g).alias("__g"), F.posexplode(F.array(*[F.struct(*[(F.col(w) if w == v else F.lit(None).cast(df.schema[w].dataType)).alias(w) for w in wanted]) for v in wanted])).alias("__i", "__v")).select("__g", "__i", "__v.*")
-        cells = cells.where(F.coalesce(*[F.col(w).cast("string") for w in wanted]).isNotNull())
-        counts = cells.groupBy("__g", "__i", *wanted).agg(F.count(F.lit(1)).alias("__n"))
-        best = [F.min(F.when(F.col("__i") == i, F.struct((-F.col("__n")).alias("n"), F.col(w).alias("v"))))["v"].alias(f"__m_{w}") for i, w in enumerate(wanted)]
-        lookup = counts.groupBy("__g").agg(*best)
-        out = out.join(lookup, F.col(g) == F.col("__g"), "left")
-        # a group column may itself be filled; what it fills later uses the rows as given, as here
-        out = out.select(*[F.coalesce(c, f"__m_{c}").alias(c) if c in wanted else F.col(c) for c in df.columns])
-    return out
+    for k, g in enumerate(fixed):
+        lookup = lookups[g].select(F.col("__g").alias(f"__g{k}"), *[F.col(f"__m_{v}").alias(f"__m{k}_{v}") for v in values])
+        out = out.join(lookup, F.col(g) == F.col(f"__g{k}"), "left").drop(f"__g{k}")
+    for v in values:
+        for g in lookups:
+            if g == v:
+                continue
+            if g in fixed:
+                out = out.withColumn(v, F.coalesce(v, f"__m{fixed.index(g)}_{v}"))
+            else:
+                found = lookups[g].select("__g", F.col(f"__m_{v}").alias("__m"))
+                out = out.join(found, F.col(g) == F.col("__g"), "left").withColumn(v, F.coalesce(v, "__m")).drop("__g", "__m")
+    return out.select(*df.columns)
 
 
 def impute_by_hierarchy(df: DataFrame, value: str, hierarchy: list[str]) -> tuple[DataFrame, list[dict]]:

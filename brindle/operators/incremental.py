@@ -30,12 +30,16 @@ def after_mark(df: DataFrame, column: str, mark) -> DataFrame:
 
 
 def dedup_latest(df: DataFrame, keys: list[str], watermark: str) -> DataFrame:
-    """The latest row per key, null stamps last; of equal stamps the row of the smallest hash, so reruns agree."""
-    helper = "__latest"
-    while helper in df.columns:
-        helper = f"_{helper}"
-    order = [F.col(watermark).cast("timestamp").desc_nulls_last(), F.xxhash64(*df.columns), *[F.col(c).cast("string") for c, k in df.dtypes if not k.startswith(("map", "array", "struct"))]]
-    return df.withColumn(helper, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(f"`{helper}` = 1").drop(helper)
+    """The latest row per key, null stamps last; of equal stamps the row of the largest values, column by column, so reruns agree (maps
+    have no order; rows that differ in these alone are told apart by a hash).
+
+    One aggregation that keeps a row per key on the map side; nothing is sorted or sent by key as a whole.
+    """
+    row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(df.columns)])
+    ordered = [F.col(c).alias(f"o{i}") for i, (c, kind) in enumerate(df.dtypes) if "map<" not in kind and "variant" not in kind]
+    order = F.struct(F.col(watermark).cast("timestamp").alias("at"), *ordered, F.hash(F.to_json(row)).alias("hash"))
+    latest = df.groupBy(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]).agg(F.max_by(row, order).alias("row"))
+    return latest.select(*[F.col("row").getField(f"c{i}").alias(c) for i, c in enumerate(df.columns)])
 
 
 def read_mark(spark: SparkSession, log_table: str, job: str, column: str):
@@ -57,11 +61,30 @@ def append_mark(spark: SparkSession, log_table: str, job: str, column: str, mark
 
 
 def stage_overwrite(df: DataFrame, table: str, fmt: str = "parquet") -> None:
-    """Overwrite a table that the plan reads: the new version is written beside it first, then read back."""
-    spark, staging = df.sparkSession, f"{table}__staging"
+    """Overwrite a table that the plan reads: the new version is written beside it in full, then the two swap names.
+
+    Nothing is ever read while it is written. A run that ends between the renames leaves the old version as `__before`, which
+    `restore_overwrite`, called first, puts back.
+    """
+    spark, staging, before = df.sparkSession, f"{table}__staging", f"{table}__before"
+    restore_overwrite(spark, table)
     write_table(df, staging, "overwrite", fmt)
-    write_table(spark.table(staging), table, "overwrite", fmt)
-    spark.sql(f"DROP TABLE {quoted(staging)}")
+    if table_exists(spark, table):
+        spark.sql(f"ALTER TABLE {quoted(table)} RENAME TO {quoted(before)}")
+    spark.sql(f"ALTER TABLE {quoted(staging)} RENAME TO {quoted(table)}")
+    spark.sql(f"DROP TABLE IF EXISTS {quoted(before)}")
+
+
+def restore_overwrite(spark: SparkSession, table: str) -> bool:
+    """Puts back the version that an interrupted overwrite had set aside, if the table has no newer one."""
+    before = f"{table}__before"
+    if not table_exists(spark, before):
+        return False
+    if table_exists(spark, table):
+        spark.sql(f"DROP TABLE {quoted(before)}")
+        return False
+    spark.sql(f"ALTER TABLE {quoted(before)} RENAME TO {quoted(table)}")
+    return True
 
 
 def merge_into(source: DataFrame, table: str, keys: list[str], updates: list[str], fmt: str) -> None:

@@ -220,3 +220,16 @@ def lower_projection(spark, sf):
 @query("SELECT p_partkey, (row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) - 1)::BIGINT AS profile_id FROM part")
 def dense_row_id(spark, sf):
     return clean.dense_ids(table(spark, sf, "part"), [F.desc("p_retailprice"), F.col("p_partkey")]).select("p_partkey", "profile_id")
+
+
+@query(rf"""SELECT p_partkey, CASE {' '.join(f"WHEN regexp_matches(t, '{chr(92)}b({'|'.join(w)}){chr(92)}b') THEN '{k}'" for k, w in scalars.THEME_BUCKETS.items())} ELSE 'uncategorized_theme' END AS theme
+  FROM (SELECT p_partkey, lower(concat_ws(' ', p_name, CASE p_partkey % 9 WHEN 0 THEN 'Pirate' WHEN 1 THEN 'the king''s gold' WHEN 2 THEN 'catfish' WHEN 3 THEN 'multi game' WHEN 4 THEN 'snow-fire' WHEN 5 THEN 'aztec queen' END)) AS t FROM part)""")
+def theme_of_several_columns(spark, sf):
+    more = "CASE p_partkey % 9 WHEN 0 THEN 'Pirate' WHEN 1 THEN \"the king's gold\" WHEN 2 THEN 'catfish' WHEN 3 THEN 'multi game' WHEN 4 THEN 'snow-fire' WHEN 5 THEN 'aztec queen' END"
+    return table(spark, sf, "part", p_partkey="p_partkey", a="p_name", b=more).select("p_partkey", scalars.theme("a", "b").alias("theme"))
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'Mystery / Sci-Fi' WHEN 1 THEN 'Food / Drink' WHEN 2 THEN '' WHEN 3 THEN '' ELSE 'Two Words' END AS shown FROM part""")
+def value_label(spark, sf):
+    level = "CASE p_partkey % 5 WHEN 0 THEN ' Mystery_SciFi ' WHEN 1 THEN 'food_drink' WHEN 2 THEN 'None' WHEN 3 THEN NULL ELSE 'two_words' END"
+    return table(spark, sf, "part", p_partkey="p_partkey", c=level).select("p_partkey", scalars.value_label("c").alias("shown"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from brindle.operators import aggregate, clean, cluster, features, likeitems
+from brindle.operators import aggregate, clean, cluster, features, flow, likeitems
 from brindle.plans.registry import query, table
 
 
@@ -71,19 +71,19 @@ def complete_linkage(spark, sf):
 
 @query()
 def flat_clusters(spark, sf):
-    return cluster.clusters(cluster.linkage(_items(spark, sf)), 8)
+    return cluster.clusters(cluster.keep_tree(cluster.linkage(_items(spark, sf))), 8)
 
 
 @query()
 def elbow_scores(spark, sf):
     items = _items(spark, sf)
-    return cluster.elbow(items, cluster.linkage(items))
+    return cluster.elbow(items, cluster.keep_tree(cluster.linkage(items)))
 
 
 @query()
 def like_items(spark, sf):
     items = _items(spark, sf)
-    tree = cluster.linkage(items)
+    tree = cluster.keep_tree(cluster.linkage(items))
     role = likeitems.roles(items, "id", "d").select("id", "role")
     return likeitems.like_items(tree, role, cluster.pair_distances(items), cluster.clusters(tree, 8))
 
@@ -93,14 +93,131 @@ def like_items_grouped(spark, sf):
     return likeitems.grouped_mapping(like_items(spark, sf))
 
 
-@query()
-def reportable_lift(spark, sf):
+# The same steps after a tree that SQL can write down: blocks of 2, 4, 8, ... items in order of their ids.
+
+
+def block_tree(n: int) -> list[tuple[int, int, int, float, int]]:
+    """Merges (merge_step, left_id, right_id, merge_distance, size): two neighbouring blocks of each level become one of the next."""
+    level, merges, height = [(i, 1) for i in range(n)], [], 0
+    while len(level) > 1:
+        height, up = height + 1, []
+        for a, b in zip(level[::2], level[1::2]):
+            merges.append((len(merges), a[0], b[0], float(height), a[1] + b[1]))
+            up.append((n + len(merges) - 1, a[1] + b[1]))
+        level = up + level[len(level) - len(level) % 2 :]
+    return merges
+
+
+def _given(spark, sf):
+    items = _items(spark, sf)
+    tree = spark.createDataFrame(block_tree(items.count()), "merge_step bigint, left_id bigint, right_id bigint, merge_distance double, size bigint")
+    role = likeitems.roles(items, "id", "d").select("id", "role")
+    return items, tree, role
+
+
+#: Items 0..n-1 with their blocks at each level, and whether each is of the holdout.
+_BLOCKS = """items AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS id, embedding AS v, DATE '2020-01-01' + (vec_id * 37 % 1500)::INT AS d FROM embeddings),
+  role AS (SELECT id, row_number() OVER (ORDER BY d DESC, id) <= greatest(1, ceil(count(*) OVER () * 0.1)) AS held FROM items),
+  levels AS (SELECT id, l, id // (1 << l) AS b FROM items, (SELECT unnest(range(0, 24)) AS l)),
+  blocks AS (SELECT l, b, count(*) AS size, count(*) FILTER (WHERE NOT held) AS hist FROM levels JOIN role USING (id) GROUP BY 1, 2)"""
+_LIKE = f"""{_BLOCKS},
+  chosen AS (SELECT id, min(l) AS l FROM levels JOIN blocks USING (l, b) JOIN role USING (id) WHERE held AND hist > 0 GROUP BY 1),
+  found AS (SELECT t.id AS target_id, h.id AS like_id, t.l, k.size, k.hist FROM chosen t JOIN levels a ON a.id = t.id AND a.l = t.l JOIN levels h ON h.l = t.l AND h.b = a.b JOIN role r ON r.id = h.id AND NOT r.held JOIN blocks k ON k.l = t.l AND k.b = a.b),
+  far AS (SELECT f.*, greatest(0, 1 - list_dot_product(x.v::DOUBLE[], y.v::DOUBLE[]) / sqrt(list_dot_product(x.v::DOUBLE[], x.v::DOUBLE[]) * list_dot_product(y.v::DOUBLE[], y.v::DOUBLE[]))) AS dist FROM found f JOIN items x ON x.id = target_id JOIN items y ON y.id = like_id)"""
+
+
+@query(f"""WITH {_LIKE}
+  SELECT target_id, like_id, row_number() OVER (PARTITION BY target_id ORDER BY round(dist, 9), like_id) AS candidate_rank, round(dist, 6) AS pair_distance, round(greatest(0, least(1, 1 - dist)), 6) AS similarity_score,
+    l::DOUBLE AS merge_distance, 0.0::DOUBLE AS merge_similarity_score, size AS smallest_qualifying_cluster_size, hist AS qualifying_historical_in_cluster, target_id // 64 = like_id // 64 AS same_flat_cluster FROM far""")
+def like_items_of_given_tree(spark, sf):
+    items, tree, role = _given(spark, sf)
+    cut = items.select("id", F.floor(F.col("id") / 64).alias("cluster"))
+    out = likeitems.like_items(tree, role, cluster.pair_distances(items), cut).drop("smallest_qualifying_cluster_node_id")
+    return out.withColumns({c: F.round(c, 6) for c in ("pair_distance", "similarity_score")})
+
+
+@query(f"""WITH {_LIKE}, ranked AS (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY round(dist, 9), like_id) AS k, greatest(0, least(1, 1 - dist)) AS sim FROM far)
+  SELECT r.target_id, (t.d)::VARCHAR AS target_release_date, string_agg(r.like_id::VARCHAR, ' | ' ORDER BY k) AS like_ids, string_agg(CASE WHEN r.like_id % 3 = 0 THEN 'nan' ELSE 'theme ' || (r.like_id % 7)::VARCHAR END, ' | ' ORDER BY k) AS like_themes,
+    string_agg('nan', ' | ' ORDER BY k) AS like_names, count(*) AS n_like, round(max(sim), 6) AS best_similarity, round(avg(sim), 6) AS mean_similarity
+  FROM ranked r JOIN items t ON t.id = r.target_id GROUP BY 1, 2""")
+def like_items_grouped_of_given_tree(spark, sf):
+    items, tree, role = _given(spark, sf)
+    cut = items.select("id", F.lit(0).alias("cluster"))
+    profiles = items.select("id", F.col("d").cast("string").alias("release_date"), F.when(F.col("id") % 3 != 0, F.concat(F.lit("theme "), (F.col("id") % 7).cast("string"))).alias("theme_name_friendly"))
+    mapping = likeitems.with_attributes(likeitems.like_items(tree, role, cluster.pair_distances(items), cut), profiles)
+    out = likeitems.grouped_mapping(mapping, ("target_release_date",))
+    return out.withColumns({c: F.round(c, 6) for c in ("best_similarity", "mean_similarity")})
+
+
+@query(f"""WITH {_BLOCKS} SELECT id, k AS cluster FROM levels JOIN (SELECT b, row_number() OVER (ORDER BY size DESC, b) AS k FROM blocks WHERE l = 6) USING (b) WHERE l = 6""")
+def flat_clusters_of_given_tree(spark, sf):
+    items, tree, _ = _given(spark, sf)
+    return cluster.clusters(tree, -(-items.count() // 64))
+
+
+@query("""WITH u AS (SELECT vec_id AS id, i, embedding[i]::DOUBLE / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS v FROM (SELECT *, unnest(range(1, 65)) AS i FROM embeddings)),
+  c AS (SELECT k, id % k AS cluster, i, v FROM u, (SELECT unnest(range(2, 17)) AS k)),
+  p AS (SELECT k, cluster, i, sum(v * v) AS q, sum(v) AS s, count(*) AS n FROM c GROUP BY 1, 2, 3),
+  e AS (SELECT k, sum(q - s * s / n) AS sse, count(DISTINCT cluster) AS a, min(n) AS lo, max(n) AS hi FROM p GROUP BY 1),
+  w AS (SELECT *, first(a) OVER z AS x1, last(a) OVER z AS x2, first(sse) OVER z AS y1, last(sse) OVER z AS y2, lag(sse) OVER (ORDER BY k) - sse AS down FROM e WINDOW z AS (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+  SELECT k::INT AS requested_k, a AS actual_k, round(sse, 6) AS within_cluster_sse, lo AS min_cluster_size, hi AS max_cluster_size, round(down, 6) AS sse_drop, round(abs((x2 - x1) * (y1 - sse) - (y2 - y1) * (x1 - a)) / sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)), 6) AS elbow_distance_to_line FROM w""")
+def cut_scores_of_given_cuts(spark, sf):
+    rows = table(spark, sf, "embeddings", id="vec_id", vector="embedding")
+    members = rows.select("id", F.transform(F.sequence(F.lit(2), F.lit(16)), lambda k: F.pmod(F.col("id"), k).cast("long")).alias("labels"))
+    return cluster.cut_scores(rows, members, 2).withColumns({c: F.round(c, 6) for c in ("within_cluster_sse", "sse_drop", "elbow_distance_to_line")})
+
+
+_FEATURES = """m AS (SELECT p_partkey AS id, p_size % 4 AS cluster, lower(p_type) AS t, lower(p_brand) AS b FROM part), size AS (SELECT cluster, count(*) AS n FROM m GROUP BY 1),
+  f AS (SELECT id, cluster, 'cat__p_type_' || t AS feature, 'p_type' AS source FROM m UNION ALL SELECT id, cluster, 'cat__p_brand_' || b, 'p_brand' FROM m),
+  g AS (SELECT feature, source, count(*) * 2.0::DOUBLE / (SELECT count(*) FROM m) AS mean FROM f GROUP BY 1, 2),
+  l AS (SELECT size.cluster, g.feature, g.source, (SELECT count(*) FROM f WHERE f.cluster = size.cluster AND f.feature = g.feature) * 2.0::DOUBLE / size.n - g.mean AS lift FROM size, g)"""
+
+
+def _lift(spark, sf):
     df = table(spark, sf, "part", id="p_partkey", p_type="p_type", p_brand="p_brand", size="p_size")
-    long = features.feature_table(df, "id", {"p_type": 1.0, "p_brand": 1.0})
-    members = df.select("id", (F.col("size") % 4).cast("long").alias("cluster"))
-    return likeitems.reportable_lift(aggregate.lift(long, members), 0.02, 0.5)
+    long = features.feature_table(df, "id", {"p_type": 1.0, "p_brand": 1.0}).where(F.col("feature") != features.BIAS_FEATURE)
+    lift = aggregate.lift(long, df.select("id", (F.col("size") % 4).cast("long").alias("cluster")))
+    return lift.withColumns({"source_column": F.regexp_extract("feature", "^cat__(p_type|p_brand)_", 1), "is_reportable": F.lit(True)})
+
+
+@query(f"""WITH {_FEATURES}, r AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY round(lift, 9) DESC, feature) AS rank, max(lift) OVER (PARTITION BY cluster) AS top FROM l WHERE lift > 0)
+  SELECT cluster::BIGINT AS cluster, feature, round(lift, 6) AS lift, rank::INT AS rank, lift >= greatest(0.02, top * 0.5) AS is_important FROM r WHERE (lift >= greatest(0.02, top * 0.5) OR rank <= 5) AND rank <= 12""")
+def reportable_lift(spark, sf):
+    return likeitems.reportable_lift(_lift(spark, sf), 0.02, 0.5, n=12).withColumn("lift", F.round("lift", 6))
+
+
+@query(f"""WITH {_FEATURES}, r AS (SELECT *, row_number() OVER (PARTITION BY cluster, source ORDER BY round(lift, 9) DESC, feature) AS rank FROM l WHERE lift > 0)
+  SELECT cluster::BIGINT AS cluster, feature, round(lift, 6) AS lift, rank::INT AS rank, (source <> 'p_type')::INT AS part FROM r WHERE rank <= CASE WHEN source = 'p_type' THEN 2 ELSE 4 END""")
+def description_lift(spark, sf):
+    return likeitems.description_lift(_lift(spark, sf), "p_type").drop("is_important").withColumn("lift", F.round("lift", 6))
+
+
+@query()
+def like_item_flow(spark, sf):
+    """Suppliers as items, from their columns to the grouped mapping."""
+    return flow.find_like_items(_suppliers(spark, sf), **_FLOW)["grouped"]
+
+
+@query()
+def cluster_summary(spark, sf):
+    return flow.find_like_items(_suppliers(spark, sf), **_FLOW)["summary"]
+
+
+_FLOW = dict(id_col="s_suppkey", date="release_date", categories={"game_type": 1.5, "product_family": 1.0}, booleans={"is_wap": 0.5}, numbers={"bet": 0.7}, texts=("theme_name",), k=8)
+
+
+def _suppliers(spark, sf):
+    return table(spark, sf, "supplier", s_suppkey="s_suppkey", theme_name="s_name", release_date="date_add(DATE'2020-01-01', CAST(s_suppkey * 37 % 1500 AS INT))", game_type="CONCAT('type ', s_nationkey % 5)", product_family="CONCAT('family ', s_nationkey)", is_wap="CASE WHEN s_suppkey % 3 = 0 THEN 'yes' ELSE 'no' END", bet="s_acctbal")
 
 
 @query()
 def classical_scaling(spark, sf):
     return cluster.classical_scaling(_items(spark, sf))
+
+
+@query()
+def weighted_clusters(spark, sf):
+    """Euclidean complete linkage of the weighted features of suppliers; one feature has no weight and one weight no feature."""
+    s = table(spark, sf, "supplier", id="s_suppkey - 1", nation="s_nationkey", balance="s_acctbal")
+    long = s.select("id", F.explode(F.array(*[F.struct(F.lit(n).alias("feature"), v.cast("double").alias("value")) for n, v in (("nation", F.col("nation")), ("balance", F.col("balance") / 1000), ("unused", F.col("id")))])).alias("f")).select("id", "f.*")
+    return cluster.weighted_clusters(long, {"nation": 1.0, "balance": 2.0, "absent": 3.0})

@@ -64,14 +64,20 @@ def join_on_normalized_text(spark, sf):
     return joins.join_on_text(l, r, "x", "y").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("a") == F.col("b")).alias("same"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate::VARCHAR AS l_shipdate FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS LAST) AS k,
-  count(*) OVER (PARTITION BY l_orderkey, l_linenumber, l_shipdate) AS ties FROM lineitem) WHERE k = 1 AND ties = 1""")
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate::VARCHAR AS l_shipdate FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS LAST, l_partkey DESC NULLS LAST) AS k
+  FROM lineitem) WHERE k = 1""")
 def dedup_latest(spark, sf):
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
-    ties = rows.groupBy("l_orderkey", "l_linenumber", "l_shipdate").agg(F.count(F.lit(1)).alias("ties"))
-    latest = incremental.dedup_latest(rows, ["l_orderkey", "l_linenumber"], "l_shipdate")
     shown = F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")
-    return latest.join(ties, ["l_orderkey", "l_linenumber", "l_shipdate"]).where("ties = 1").select("l_orderkey", "l_linenumber", "l_partkey", shown.alias("l_shipdate"))
+    return incremental.dedup_latest(rows, ["l_orderkey", "l_linenumber"], "l_shipdate").withColumn("l_shipdate", shown)
+
+
+@query("""SELECT user_id, event_id, d::VARCHAR AS d FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY d DESC NULLS LAST, event_id DESC NULLS LAST) AS k
+  FROM (SELECT user_id, event_id, CASE WHEN event_id % 7 <> 0 THEN DATE '2024-01-01' + (event_id % 5)::INT END AS d FROM events)) WHERE k = 1""")
+def dedup_latest_of_ties(spark, sf):
+    """Most rows of a key share their stamp, and some have none."""
+    rows = table(spark, sf, "events", user_id="user_id", event_id="event_id", d="CASE WHEN event_id % 7 <> 0 THEN date_add(DATE'2024-01-01', CAST(event_id % 5 AS INT)) END")
+    return incremental.dedup_latest(rows, ["user_id"], "d").withColumn("d", F.col("d").cast("string"))
 
 
 @query("SELECT event_id, user_id FROM events WHERE ts > (SELECT max(ts) FROM events WHERE event_id % 2 = 0)")
@@ -106,6 +112,13 @@ def impute_by_groups(spark, sf):
     return impute.impute_by_groups(table(spark, sf, "part", **HOLES), ["t", "s"], ["b", "t"])
 
 
+@query(f"""WITH d AS (SELECT * FROM {select("part", **HOLES)}) SELECT d.k, d.b, coalesce(d.t, tb.m) AS t, coalesce(d.s, sb.m, st.m) AS s FROM d
+  LEFT JOIN {_MODE.format(g="b", v="t")} tb ON d.b = tb.b LEFT JOIN {_MODE.format(g="b", v="s")} sb ON d.b = sb.b LEFT JOIN {_MODE.format(g="t", v="s")} st ON d.t = st.t""")
+def impute_before_its_group(spark, sf):
+    """s comes first, so a row without t gets no s by t, though t is filled later."""
+    return impute.impute_by_groups(table(spark, sf, "part", **HOLES), ["s", "t"], ["b", "t"])
+
+
 @query(f"""WITH d AS (SELECT * FROM {select("part", **HOLES)}),
  m1 AS (SELECT b, t, s AS m FROM (SELECT b, t, s, row_number() OVER (PARTITION BY b, t ORDER BY count(*) DESC, s) AS r FROM d WHERE s IS NOT NULL GROUP BY b, t, s) WHERE r = 1),
  e AS (SELECT d.k, d.b, d.t, coalesce(d.s, m1.m) AS s FROM d LEFT JOIN m1 ON d.b IS NOT DISTINCT FROM m1.b AND d.t IS NOT DISTINCT FROM m1.t),
