@@ -6,13 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Buckets of subwords, their sizes in bytes, width of an embedding.
 BUCKETS, SIZES, WIDTH = 1 << 13, (2, 3, 4), 16
-#: The bounded training sample: rows of a language, and languages (the most frequent ones).
-ROWS_OF_LANGUAGE, LANGUAGES = 1000, 256
+#: The bounded training sample: rows of a language, rows in all, and languages (the most frequent ones).
+ROWS_OF_LANGUAGE, SAMPLE_ROWS, LANGUAGES = 1000, 256_000, 1024
 CHUNK = 1 << 20
 #: Everything but letters of ASCII and bytes of other characters separates words.
 _SEPARATE = bytes(b if chr(b).isalpha() and b < 128 or b >= 128 else 32 for b in range(256))
@@ -119,17 +119,24 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = 12, leas
 
 
 def training_sample(docs: DataFrame, text_col: str, label_col: str, rows_of_language: int = ROWS_OF_LANGUAGE) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    """About `rows_of_language` rows of each of the most frequent languages, as subword shares of their whole texts.
+    """`rows_of_language` rows of each language (fewer where it has fewer), as subword shares of their whole texts.
 
-    At most `LANGUAGES` times 2 * `rows_of_language` rows of at most `BUCKETS` numbers come to the driver.
+    The rows are those of the smallest hashes of id and text among the language's distinct rows, so copies of a text under
+    other ids count and reruns agree. At most `SAMPLE_ROWS` rows of at most `BUCKETS` numbers come to the driver: with more than
+    `SAMPLE_ROWS` / `rows_of_language` languages each gets fewer rows, and beyond `LANGUAGES` only the most frequent are learned.
     """
     labelled = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
     counts = labelled.groupBy(label_col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), label_col).limit(LANGUAGES).collect()
     if not counts:
         return []
+    each = max(1, min(rows_of_language, SAMPLE_ROWS // len(counts)))
     scale = 1 << 30
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r[0], int(min(1.0, rows_of_language / r["n"]) * scale))])
-    chosen = labelled.where(F.pmod(F.xxhash64(text_col), F.lit(scale)) < F.element_at(share, F.col(label_col))).select(label_col, text_col)
+    # half as many again as are wanted, and some, so that the exact choice is made among few
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r[0], int(min(1.0, (1.5 * each + 50) / r["n"]) * scale))])
+    hashed = labelled.select(label_col, text_col, F.xxhash64("id", text_col).alias("h"))
+    near = hashed.where(F.pmod("h", F.lit(scale)) < F.element_at(share, F.col(label_col))).dropDuplicates([label_col, "h"])
+    by = Window.partitionBy(label_col).orderBy(F.pmod("h", F.lit(scale)), "h")
+    chosen = near.withColumn("k", F.row_number().over(by)).where(F.col("k") <= each).select(label_col, text_col)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,7 +148,7 @@ def training_sample(docs: DataFrame, text_col: str, label_col: str, rows_of_lang
                     labels.append(label), buckets.append(b.astype(np.int16).tobytes()), shares.append((c[b] / c.sum()).astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(labels, pa.string()), pa.array(buckets, pa.binary()), pa.array(shares, pa.binary())], names=["label", "buckets", "shares"])
 
-    rows = chosen.mapInArrow(features, "label string, buckets binary, shares binary").limit(2 * rows_of_language * len(counts)).collect()
+    rows = chosen.mapInArrow(features, "label string, buckets binary, shares binary").collect()
     rows = sorted((r[0], bytes(r[1]), bytes(r[2])) for r in rows)
     return [(x, np.frombuffer(b, np.int16).astype(np.int64), np.frombuffer(s, np.float32).astype(float)) for x, b, s in rows if len(b)]
 

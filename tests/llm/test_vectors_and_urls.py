@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from brindle.llm import embeddings, urls
+from brindle.llm import embeddings, url_labels, urls
 from brindle.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -118,12 +118,31 @@ def test_urls(spark):
 
 
 def test_url_model_on_unseen_urls(spark):
-    """Hosts and paths that the labelled table doesn't have: its words behind another name, and harmless new words."""
+    """Hosts and paths that the labelled table doesn't have, and harmless new words; the score is that of numpy."""
     bad = [f"http://news.{w}.example.org/es/{k}7.html" for k, w in enumerate(["cheap-pills", "casino-win", "spam-farm", "free-bets", "ads-track", "adult-x"])]
     good = [f"https://www.{w}.example.com/en/{k}" for k, w in enumerate(["thornal", "berington", "valdorsted", "chemistryroom", "villageharbour", "stormuseum"])]
     df = spark.createDataFrame(list(enumerate(bad + good)), "page_id long, url string")
-    got = {r["page_id"]: r["verdict"] for r in urls.filter_urls(df, rules=()).collect()}
-    assert [got[i] for i in range(12)] == ["block"] * 6 + ["allow"] * 6
+    assert not any(w in url for url, _ in url_labels.labelled_urls() for w in ["cheap-pills", "casino-win", "spam-farm", "free-bets", "ads-track", "adult-x"])
+    got = {r["page_id"]: r for r in urls.filter_urls(df, rules=()).collect()}
+    assert [got[i]["verdict"] for i in range(12)] == ["block"] * 6 + ["allow"] * 6
+    weights, bias = urls.fit(spark)
+    rows = df.select("page_id", urls.grams(urls.url_host(F.col("url")), urls.url_path(F.col("url"))).alias("g")).collect()
+    for r in rows:
+        z = bias + weights[r["g"]].sum() / len(r["g"]) ** 0.5
+        assert abs(1 / (1 + np.exp(-z)) - got[r["page_id"]]["score"]) < 1e-6
+
+
+def test_url_model_on_held_out_hosts(spark):
+    """Trained without a fifth of the labelled hosts, nearly all of these are judged as they are labelled."""
+    table = url_labels.labelled_urls()
+    hosts = sorted({u.split("/")[2] for u, _ in table})
+    out = {h for i, h in enumerate(hosts) if i % 5 == 2}
+    weights, bias = urls.fit(spark, [x for x in table if x[0].split("/")[2] not in out])
+    rest = [x for x in table if x[0].split("/")[2] in out]
+    df = spark.createDataFrame(rest, "url string, label int")
+    score = urls.score_expr(urls.url_host(F.col("url")), urls.url_path(F.col("url")), weights, bias)
+    got = df.select("label", score.alias("p")).collect()
+    assert sum((r["p"] >= urls.THRESHOLD) == bool(r["label"]) for r in got) >= 0.9 * len(got) and len(got) > 50
 
 
 def test_url_plan_is_native(spark):
