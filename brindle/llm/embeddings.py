@@ -142,11 +142,13 @@ def embedding_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str
     x = F.col(vector_col)
     fine = F.coalesce(F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(x, lambda v: v != 0) & F.col(id_col).isNotNull(), F.lit(False))
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.when(fine, x).alias("x"))
-    vectors = checkpoint(rows.where("x is not null").groupBy("x").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight")))
+    # a vector has a number of its own: ids may stand for several vectors
+    vectors = rows.where("x is not null").groupBy("x").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight"))
+    vectors = checkpoint(vectors.withColumn("v", F.monotonically_increasing_id()))
     sizes = [r[0] for r in vectors.select(F.size("x")).distinct().collect()]
     found = None
     for size in sorted(sizes):
-        part = _links_of_size(vectors.where(F.size("x") == size), size, least)
+        part = _links_of_size(vectors.where(F.size("x") == size).select(F.col("v").alias("id"), "x", "weight"), size, least)
         found = part if found is None else found.unionByName(part)
     if found is None:
         nothing = rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
@@ -154,8 +156,10 @@ def embedding_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str
     found = checkpoint(found)
     counts = found.where("kind = 0").groupBy("a").agg(F.sum("b").alias("links"))
     groups = components(found.where("kind = 1"), "a", "b")
-    info = vectors.join(counts, F.col("id") == F.col("a"), "left").join(groups, F.col("id") == F.col("node"), "left")
-    info = info.select(F.col("x").alias("vx"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"), F.coalesce("component", "id").alias("component"))
+    info = vectors.join(counts, F.col("v") == F.col("a"), "left").join(groups, F.col("v") == F.col("node"), "left")
+    info = checkpoint(info.select("x", "id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"), F.coalesce("component", "v").alias("group")))
+    smallest = checkpoint(info.groupBy("group").agg(F.min("id").alias("component")).withColumnRenamed("group", "g"))
+    info = info.join(smallest, F.col("group") == F.col("g")).select(F.col("x").alias("vx"), "links", "component")
     out = rows.join(info, F.col("x") == F.col("vx"), "left")
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias(id_col), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"))

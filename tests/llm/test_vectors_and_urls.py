@@ -153,3 +153,9 @@ def test_url_plan_is_native(spark):
 def test_recall_of_one_vector_a_block(spark):
     df = spark.range(40).select(F.col("id").alias("vec_id"), F.array(*[F.lit(1.0)] * 3).alias("embedding"))
     assert {tuple(r) for r in embeddings.embedding_duplicates(df).select("n_links", "component_id").collect()} == {(39, 0)}
+
+
+def test_an_id_of_several_vectors(spark):
+    rows = [(5, [1.0, 0.0]), (5, [0.0, 1.0]), (6, [1.0, 0.01]), (7, [1.0, 0.02]), (8, [0.01, 1.0])]
+    got = embeddings.embedding_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == Counter([(5, 2, 5), (5, 1, 5), (6, 2, 5), (7, 2, 5), (8, 1, 5)])
