@@ -170,15 +170,17 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 # ---- the configuration program, on a histogram
 
 
-def best_configuration(lengths: np.ndarray, values: np.ndarray, most: np.ndarray, capacity: int) -> tuple[dict[int, int], float]:
-    """The multiset of lengths within `capacity` of the largest value, with at most `most` pieces of each, and that value.
+def best_configurations(lengths: np.ndarray, values: np.ndarray, most: np.ndarray, capacity: int, many: int = 1, near: float = 0.98) -> list[tuple[dict[int, int], float]]:
+    """Multisets of lengths within `capacity`, with at most `most` pieces of each, and their values: first the one of the
+    largest value, then up to `many` - 1 others, each the best with another piece of more than half the capacity (or with
+    none), of values of at least `near` times the largest.
 
-    Exact: counts are split into powers of two and a rest, and each part is taken or not (values are positive, so what
-    still fits is taken).
+    Exact: the counts of lengths up to half the capacity are split into powers of two and a rest, and each part is taken or not; of
+    longer pieces a multiset has one at most, so their choice comes last. Values are positive, so what still fits is taken.
     """
     parts: list[tuple[int, int, int]] = []
     for i in np.argsort(-lengths, kind="stable"):
-        n, k = min(int(most[i]), capacity // int(lengths[i])), 1
+        n, k = min(int(most[i]), capacity // int(lengths[i])) if 2 * lengths[i] <= capacity else 0, 1
         while n > 0:
             k = min(k, n)
             parts.append((int(i), k, k * int(lengths[i])))
@@ -188,13 +190,28 @@ def best_configuration(lengths: np.ndarray, values: np.ndarray, most: np.ndarray
         with_it = np.add(best[: capacity + 1 - size], k * values[i], out=room[: capacity + 1 - size])
         np.greater(with_it, best[size:], out=taken[j, size:])
         np.maximum(with_it, best[size:], out=best[size:])
-    out: Counter = Counter()
-    c = capacity
-    for j in range(len(parts) - 1, -1, -1):
-        if taken[j, c]:
-            out[parts[j][0]] += parts[j][1]
-            c -= parts[j][2]
-    return dict(out), float(best[capacity])
+    long = np.flatnonzero((2 * lengths > capacity) & (lengths <= capacity) & (most > 0))
+    total = np.append(values[long] + best[capacity - lengths[long]], best[capacity])
+    out = []
+    for c in np.argsort(-total, kind="stable")[:many]:
+        if total[c] < near * total.max():
+            break
+        config: Counter = Counter()
+        left = capacity
+        if c < len(long):
+            config[int(long[c])] += 1
+            left -= int(lengths[long[c]])
+        j = len(parts)
+        while left > 0 and len(at := np.flatnonzero(taken[:j, left])):
+            j = int(at[-1])
+            config[parts[j][0]] += parts[j][1]
+            left -= parts[j][2]
+        out.append((dict(config), float(total[c])))
+    return out
+
+
+def best_configuration(lengths: np.ndarray, values: np.ndarray, most: np.ndarray, capacity: int) -> tuple[dict[int, int], float]:
+    return best_configurations(lengths, values, most, capacity)[0]
 
 
 def lower_bound(lengths: np.ndarray, counts: np.ndarray, weights: np.ndarray, capacity: int) -> int:
@@ -205,13 +222,14 @@ def lower_bound(lengths: np.ndarray, counts: np.ndarray, weights: np.ndarray, ca
     return math.ceil(float((counts * weights).sum()) / price - 1e-9)
 
 
-def solve_configurations(lengths: np.ndarray, counts: np.ndarray, capacity: int, rate: float = 1.0, tilt: float = 0.3, full: float = FULL) -> tuple[list[tuple[int, dict[int, int]]], np.ndarray, int]:
+def solve_configurations(lengths: np.ndarray, counts: np.ndarray, capacity: int, rate: float = 1.0, tilt: float = 0.3, full: float = FULL, many: int = 16) -> tuple[list[tuple[int, dict[int, int]]], np.ndarray, int]:
     """(times, configuration) of an approximate solution of min sum(x) with every length covered `counts` times, the
     counts that it leaves, and a lower bound of the optimum.
 
     Lengths start with weights that grow a little faster than their size, so that of two full configurations the one
-    of longer pieces pays more and short ones are left to fill gaps. Every round uses the configuration of the best price as
-    often as its scarcest length allows, so there are about as many rounds as lengths, and lowers the weights of what it covers.
+    of longer pieces pays more and short ones are left to fill gaps. Every round prices `many` configurations, uses each as
+    often as its scarcest length allows, so that there are about as many of them as lengths, and lowers the weights of what
+    they cover.
     """
     left = counts.copy()
     start = lengths / capacity * (1 + tilt * lengths / capacity)
@@ -219,13 +237,17 @@ def solve_configurations(lengths: np.ndarray, counts: np.ndarray, capacity: int,
     out: list[tuple[int, dict[int, int]]] = []
     while len(open_ := np.flatnonzero(left)):
         weights = start[open_] * np.exp(rate * (left[open_] / counts[open_] - 1))
-        config = {int(open_[i]): n for i, n in best_configuration(lengths[open_], weights, left[open_], capacity)[0].items()}
-        if sum(int(lengths[i]) * n for i, n in config.items()) < full * capacity:
+        used = 0
+        for found, _ in best_configurations(lengths[open_], weights, left[open_], capacity, many):
+            config = {int(open_[i]): n for i, n in found.items()}
+            times = min(int(left[i]) // n for i, n in config.items()) if config else 0
+            if times and sum(int(lengths[i]) * n for i, n in config.items()) >= full * capacity:
+                for i, n in config.items():
+                    left[i] -= times * n
+                out.append((times, config))
+                used += times
+        if not used:
             break
-        times = min(int(left[i]) // n for i, n in config.items())
-        for i, n in config.items():
-            left[i] -= times * n
-        out.append((times, config))
     return out, left, bound
 
 
