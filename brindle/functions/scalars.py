@@ -15,11 +15,11 @@ def parse_number(c, currency: bool = False) -> Column:
     return F.regexp_replace(F.trim(text(c)), r"[,%$]" if currency else "[,%]", "").try_cast("double")
 
 
-def clean_text(c, tokens: tuple[str, ...] = (), recheck: bool = True) -> Column:
-    """Trimmed and lower-cased; null if plain digits (with decimals) or, with `recheck`, a missing token."""
-    x = F.lower(F.trim(text(c)))
+def clean_text(c, tokens: tuple[str, ...] = (), recheck: bool = True, lower: bool = True) -> Column:
+    """Trimmed and, unless `lower` is off, lower-cased; null if plain digits (with decimals) or, with `recheck`, a missing token."""
+    x = F.lower(F.trim(text(c))) if lower else F.trim(text(c))
     bad = x.rlike(r"^\d+(\.\d+)?$")
-    missing = sorted({t.strip().lower() for t in tokens})
+    missing = sorted({t.strip().lower() if lower else t.strip() for t in tokens})
     return F.when(bad | x.isin(missing) if missing and recheck else bad, None).otherwise(x)
 
 
@@ -28,12 +28,12 @@ def parse_date(c, pattern: str | None = None) -> Column:
     return F.to_date(F.try_to_timestamp(text(c), F.lit(pattern)) if pattern else text(c).try_cast("timestamp"))
 
 
-def lookup(c, mapping: dict[str, str]) -> Column:
+def lookup(c, mapping: dict[str, str], lower: bool = True) -> Column:
     """Cleaned text, mapped if a key; keys are cleaned too. One constant map in the plan."""
-    x = F.lower(F.trim(text(c)))
+    x = F.lower(F.trim(text(c))) if lower else F.trim(text(c))
     if not mapping:
         return x
-    table = F.create_map(*[F.lit(v) for k, m in {k.strip().lower(): m for k, m in mapping.items()}.items() for v in (k, m)])
+    table = F.create_map(*[F.lit(v) for k, m in {k.strip().lower() if lower else k.strip(): m for k, m in mapping.items()}.items() for v in (k, m)])
     return F.coalesce(F.try_element_at(table, x), x)
 
 

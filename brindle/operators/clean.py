@@ -46,22 +46,24 @@ def null_tokens(df: DataFrame, tokens=DEFAULT_TOKENS, trimmed: bool = False) ->
     return df.select(*[F.when(~(F.trim(c) if trimmed else F.col(c)).isin(list(tokens)), F.col(c)).alias(c) if c in strings else F.col(c) for c in df.columns])
 
 
-def clean_columns(df: DataFrame, numeric=(), strings=(), dates=(), date_formats: dict | None = None, typos: dict | None = None, tokens=DEFAULT_TOKENS) -> DataFrame:
-    """Null tokens, then number, text and date parsing and typo maps of the configured columns that exist."""
+def clean_columns(df: DataFrame, numeric=(), strings=(), dates=(), date_formats: dict | None = None, typos: dict | None = None, tokens=DEFAULT_TOKENS, lower: bool = True) -> DataFrame:
+    """Null tokens, then number, text and date parsing and typo maps of the configured columns that exist. A typo map
+    applies at once: what one entry gives isn't looked up again."""
     df, date_formats, typos = null_tokens(df, tokens), date_formats or {}, typos or {}
 
     def of(c: str):
         if c in numeric:
             out = scalars.parse_number(c)
         elif c in strings:
-            out = scalars.clean_text(c, tuple(tokens))
+            out = scalars.clean_text(c, tuple(tokens), lower=lower)
         elif c in dates:
             out = scalars.parse_date(c, date_formats.get(c))
         else:
             out = F.col(c)
+        fixed = out
         for old, new in typos.get(c, {}).items():
-            out = F.when(out == old, F.lit(new)).otherwise(out)
-        return out.alias(c)
+            fixed = F.when(out == old, F.lit(new)).otherwise(fixed)
+        return fixed.alias(c)
 
     return df.select(*[of(c) for c in df.columns])
 

@@ -107,19 +107,22 @@ def incremental_upsert(source: DataFrame, target: str, key_columns, watermark: s
     """Read the mark, keep later rows, clean, keep the latest per key, write, then log. Returns operation, rows, mark.
 
     create: no target yet; full_refresh: asked for; skip: no later rows (nothing is logged); merge otherwise. The mark
-    is the largest stamp of the kept source rows. It is logged after the data, so a crash between repeats the batch,
+    is the largest stamp of the kept source rows, found with their count in one pass; rows that come in later than it wait for the next
+    run. It is logged after the data, so a crash between repeats the batch,
     and the merge is idempotent.
     """
     spark, job = source.sparkSession, job or target
     there = table_exists(spark, target)
     mark = read_mark(spark, log_table, job, watermark) if there and not full_refresh else None
     later = after_mark(source, watermark, mark)
-    new = max_mark(later, watermark)
+    stamp = F.col(resolve(source, watermark)).cast("timestamp")
+    new, rows = later.agg(F.max(stamp), F.count(F.lit(1))).first()
+    if new is not None:
+        later = later.where(stamp.isNull() | (stamp <= F.lit(new)))
     cleaned = clean(later) if clean else later
     keys, updates = merge_columns(cleaned, key_columns, update_columns)
     latest = dedup_latest(cleaned, keys, resolve(cleaned, watermark))
     operation = "create" if not there else "full_refresh" if full_refresh else "merge"
-    rows = later.count()
     if operation == "merge" and not rows:
         return {"operation": "skip", "rows": 0, "mark": mark}
     if operation == "merge":
