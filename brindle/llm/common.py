@@ -35,6 +35,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(named)
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder, for tables that a query writes and reads again."""
+    import uuid
+
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Rows of an Arrow batch while a step runs: ten thousand texts at a time, the default, are buffers of 100 MB and more in each task.
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 

@@ -112,4 +112,14 @@ SELECT d.id AS doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id,
 FROM d JOIN least_id USING (rid) LEFT JOIN sizes USING (rid)
 """
 
-ORACLE_SQL = {"op3_mixing": OP3, "op4_substrings": OP4, "op5_embeddings": OP5, "op6_minhash": OP6, "op7_quality": OP7}
+OP13 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT rid, doc_id, i, lines[i] AS line, translate(trim(lines[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM d)),
+frequent AS (SELECT key, max(doc_id) AS top FROM l WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT rid) >= 3),
+marked AS (SELECT l.*, top IS NOT NULL AND top <> coalesce(doc_id, top - 1) AS gone FROM l LEFT JOIN frequent USING (key)),
+kept AS (SELECT rid, doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS t FROM marked GROUP BY 1, 2)
+SELECT doc_id, n_lines, n_dropped, sha256(t) AS kept_sha256 FROM kept
+"""
+
+ORACLE_SQL = {"op13_lines": OP13, "op3_mixing": OP3, "op4_substrings": OP4, "op5_embeddings": OP5, "op6_minhash": OP6, "op7_quality": OP7}

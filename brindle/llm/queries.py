@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.llm import embeddings, languages, minhash, mixing, ngrams, packing, quality, sharding, substrings, urls
+from brindle.llm import embeddings, languages, lines, minhash, mixing, ngrams, packing, quality, sharding, substrings, urls
 from brindle.llm.common import read
 from brindle.llm.oracle import ORACLE_SQL
 
@@ -54,8 +54,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read(spark, sf_dir, "documents"))
 
 
+def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_dedup(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_language, op2_katz, op3_mixing, op3_mixing_positions, op4_substrings, op5_embeddings, op6_minhash, op7_quality, op8_urls, op9_packing, op10_sharding)}
+    return {f.__name__: f for f in (op1_language, op2_katz, op3_mixing, op3_mixing_positions, op4_substrings, op5_embeddings, op6_minhash, op7_quality, op8_urls, op9_packing, op10_sharding, op13_lines)}
 
 
 def oracle_sql() -> dict:
