@@ -112,6 +112,61 @@ SELECT d.id AS doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id,
 FROM d JOIN least_id USING (rid) LEFT JOIN sizes USING (rid)
 """
 
+#: crc32 of an ASCII text, a fold over its bytes and, for each, eight shifts.
+CRC = "xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(range(1, length({x}) + 1), lambda i: [ascii(substr({x}, i, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, c: CASE WHEN c >= 0 THEN xor(a, c) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295)"
+
+
+def _option(state: int, cost: str, edit: str, when: str = "true") -> str:
+    return f"CASE WHEN {when} THEN {{'cost': (a[{state}]).cost + {cost}, 'audit': (a[{state}]).audit || '{edit}'}} ELSE {{'cost': 1000000000000::BIGINT, 'audit': ''}} END"
+
+
+def _step() -> str:
+    """One turn {role, bad, cut} for the four states: nothing yet, after system, user, assistant."""
+    fine, keep = "NOT c.bad", "NOT c.bad AND c.role = '{}'"
+    after = [
+        [_option(1, "3", "D")],
+        [_option(2, "3", "D"), _option(1, "c.cut", "K", keep.format("s"))],
+        [_option(3, "3", "D"), *[x for s in (1, 2, 4) for x in (_option(s, "c.cut", "K", keep.format("u")), _option(s, "2 + c.cut", "R", fine))]],
+        [_option(4, "3", "D"), _option(3, "c.cut", "K", keep.format("a")), _option(3, "2 + c.cut", "R", fine)],
+    ]
+    return "[" + ", ".join(f"list_min([{', '.join(x)}])" for x in after) + "]"
+
+
+_INSERTS = f"[a[1], a[2], list_min([a[3], {', '.join(_option(s, '2', 'I') for s in (1, 2, 4))}]), list_min([a[4], {_option(3, '2', 'I')}])]"
+
+OP12 = rf"""
+WITH filled AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+hit AS (SELECT *, {CRC.format(x="name")} % 20 AS kind FROM filled),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN kind = 0 THEN 0 WHEN kind = 3 THEN 2 ELSE 1 END))
+  FROM hit),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p FROM damaged),
+seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 AS again, regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS ending, lag(role) OVER (PARTITION BY conv_id ORDER BY p) AS before FROM placed),
+faults AS (SELECT *, ending = '' AS blank, ending <> '' AND again AS duplicate, ending NOT IN ('', '.', '!', '?') AND NOT again AS truncated, before IS NOT NULL AND left(before, 1) || left(role, 1) NOT IN ('su', 'ua', 'au') AS illegal FROM seen),
+grouped AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate, count(*) FILTER (WHERE truncated) AS truncated, count(*) FILTER (WHERE illegal) AS illegal,
+         list({{'role': left(role, 1), 'bad': blank OR duplicate, 'cut': truncated::BIGINT, 'kind': 'turn'}} ORDER BY p) AS turns, list({{'role': role, 'text': text}} ORDER BY p) AS texts
+  FROM faults GROUP BY conv_id),
+pushed AS (SELECT *, {{'role': '', 'bad': true, 'cut': 0::BIGINT, 'kind': 'insert'}} AS ins FROM grouped),
+solved AS (
+  SELECT *, list_reduce(list_concat(flatten(list_transform(turns, lambda t: [ins, ins, t])), [ins, ins]),
+    lambda a, c: CASE WHEN c.kind = 'insert' THEN {_INSERTS} ELSE {_step()} END,
+    [{{'cost': 0::BIGINT, 'audit': ''}}, {{'cost': 1000000000000::BIGINT, 'audit': ''}}, {{'cost': 1000000000000::BIGINT, 'audit': ''}}, {{'cost': 1000000000000::BIGINT, 'audit': ''}}]) AS states
+  FROM pushed),
+chosen AS (SELECT *, list_min([states[1], states[4]]) AS best FROM solved),
+replayed AS (
+  SELECT *, list_reduce(list_transform(range(1, length(best.audit) + 1), lambda i: substr(best.audit, i, 1)),
+    lambda a, e: CASE WHEN e = 'D' THEN {{'at': a.at + 1, 'user': a."user", 'any': a."any", 'said': a.said}}
+      ELSE {{'at': a.at + (e <> 'I')::BIGINT, 'user': CASE WHEN e = 'K' THEN left((texts[a.at]).role, 1) = 'u' ELSE NOT a."user" END, 'any': true,
+             'said': a.said || CASE WHEN a."any" THEN chr(10) ELSE '' END || CASE WHEN e = 'K' THEN (texts[a.at]).role WHEN a."user" THEN 'assistant' ELSE 'user' END || ':' || CASE WHEN e = 'I' THEN '' ELSE (texts[a.at]).text END}} END,
+    {{'at': 1::BIGINT, 'user': false, 'any': false, 'said': ''}}) AS told
+  FROM chosen)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(best.cost, 0) AS cost, coalesce(best.audit, '') AS audit, sha256(coalesce(told.said, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN replayed r ON i.conv_id IS NOT DISTINCT FROM r.conv_id
+"""
+
 OP13 = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (SELECT rid, doc_id, i, lines[i] AS line, translate(trim(lines[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
@@ -122,4 +177,4 @@ kept AS (SELECT rid, doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) A
 SELECT doc_id, n_lines, n_dropped, sha256(t) AS kept_sha256 FROM kept
 """
 
-ORACLE_SQL = {"op13_lines": OP13, "op3_mixing": OP3, "op4_substrings": OP4, "op5_embeddings": OP5, "op6_minhash": OP6, "op7_quality": OP7}
+ORACLE_SQL = {"op12_conversations": OP12, "op13_lines": OP13, "op3_mixing": OP3, "op4_substrings": OP4, "op5_embeddings": OP5, "op6_minhash": OP6, "op7_quality": OP7}
