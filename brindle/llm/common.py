@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 
 import numpy as np
@@ -52,26 +53,39 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def checkpoint(df: DataFrame, sweep: bool = False) -> DataFrame:
-    """Cut the lineage with files in the shared checkpoint folder. The shuffles that made them aren't needed again and go.
-
-    Executors keep the broadcast relations of finished plans until the driver has collected the garbage that names them; with
-    `sweep`, which is for queries of many steps, it does so now.
-    """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
+@contextlib.contextmanager
+def step_settings(spark: SparkSession):
+    """While a step runs: shuffles go with their plan, Arrow batches are small."""
     before = {k: spark.conf.get(k, None) for k in (REMOVE_SHUFFLES, ARROW_ROWS)}
     spark.conf.set(REMOVE_SHUFFLES, "true")
     spark.conf.set(ARROW_ROWS, "1024")
     try:
-        return df.checkpoint(eager=True)
+        yield
     finally:
-        if sweep:
-            spark.sparkContext._jvm.System.gc()
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
+def checkpoint(df: DataFrame, sweep: bool = False) -> DataFrame:
+    """Cut the lineage with files in the shared checkpoint folder. The shuffles that made them aren't needed again and go.
+
+    Executors keep the broadcast relations of finished plans until the driver has collected the garbage that names them; with
+    `sweep`, which is for queries of many steps, it does so now.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    with step_settings(df.sparkSession):
+        out = df.checkpoint(eager=True)
+    if sweep:
+        df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
+def write_step(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
+    """A step's rows as a table in a scratch folder, compressed, for steps that read some of its columns."""
+    with step_settings(df.sparkSession):
+        df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
+
+
 def lean(f):
     """`f`, after which the worker gives the memory that it freed back to the system; workers live on between tasks."""
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from brindle.llm.common import ARROW_ROWS, checkpoint, nullable, release_memory, remove_folder, scratch_folder
+from brindle.llm.common import checkpoint, nullable, release_memory, remove_folder, scratch_folder, write_step
 
 WHITE = b" \t\n\v\f\r"
 #: Bytes that continue a code point in UTF-8.
@@ -146,13 +146,9 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield from _line_rows(pa.Table.from_batches([part]), least).to_batches()
         release_memory()
 
-    arrow_rows = spark.conf.get(ARROW_ROWS, None)
-    spark.conf.set(ARROW_ROWS, "1024")
-    try:
-        named.mapInArrow(hashed, f"batch int, id {kind}, mark long, at int, h long, g long, first boolean").write.partitionBy("batch").parquet(f"{folder}/lines")
-    finally:
-        spark.conf.set(ARROW_ROWS, arrow_rows) if arrow_rows is not None else spark.conf.unset(ARROW_ROWS)
-    lines = spark.read.schema(f"batch int, id {kind}, mark long, at int, h long, g long, first boolean").parquet(f"{folder}/lines")
+    schema = f"batch int, id {kind}, mark long, at int, h long, g long, first boolean"
+    write_step(named.mapInArrow(hashed, schema), f"{folder}/lines", by=("batch",))
+    lines = spark.read.schema(schema).parquet(f"{folder}/lines")
     runs = LineRuns(spark, folder, kind, documents, fanout)
     try:
         for batch in range(batches):

@@ -112,6 +112,24 @@ SELECT d.id AS doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id,
 FROM d JOIN least_id USING (rid) LEFT JOIN sizes USING (rid)
 """
 
+OP11 = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY 1),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+grams AS (SELECT lang, w, i, unnest(range(1, 6)) AS k FROM starts),
+counts AS (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*) AS a FROM grams WHERE i + k - 1 <= len(w) GROUP BY ALL),
+frequent AS (SELECT * FROM counts WHERE a >= 100),
+found AS (SELECT * FROM frequent WHERE k > 1),
+cuts AS (SELECT lang, phrase, a, j, array_to_string(w[1 : j], ' ') AS p, array_to_string(w[j + 1 :], ' ') AS q FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS j FROM found)),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r, n, c.j, ((1000::HUGEINT * c.a * n) // (x.a::HUGEINT * y.a))::BIGINT AS score
+  FROM cuts c JOIN frequent x ON x.lang = c.lang AND x.phrase = c.p JOIN frequent y ON y.lang = c.lang AND y.phrase = c.q JOIN totals t ON t.lang = c.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+kept AS (SELECT b.* FROM best b WHERE NOT EXISTS (SELECT 1 FROM found o WHERE o.lang = b.lang AND length(o.phrase) > length(b.phrase) AND contains(' ' || o.phrase || ' ', ' ' || b.phrase || ' ') AND 100 * o.a >= 100 * b.a))
+SELECT lang, row_number() OVER w AS rank, phrase, a, l, r, n, score FROM kept WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER w <= 2000
+"""
+
 #: crc32 of an ASCII text, a fold over its bytes and, for each, eight shifts.
 CRC = "xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(range(1, length({x}) + 1), lambda i: [ascii(substr({x}, i, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, c: CASE WHEN c >= 0 THEN xor(a, c) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295)"
 
@@ -142,7 +160,9 @@ damaged AS (
          CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN kind = 0 THEN 0 WHEN kind = 3 THEN 2 ELSE 1 END))
   FROM hit),
 placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p FROM damaged),
-seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 AS again, regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS ending, lag(role) OVER (PARTITION BY conv_id ORDER BY p) AS before FROM placed),
+seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 AS again, regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS ending, lag(role) OVER (PARTITION BY conv_id ORDER BY p) AS before FROM placed),
 faults AS (SELECT *, ending = '' AS blank, ending <> '' AND again AS duplicate, ending NOT IN ('', '.', '!', '?') AND NOT again AS truncated, before IS NOT NULL AND left(before, 1) || left(role, 1) NOT IN ('su', 'ua', 'au') AS illegal FROM seen),
 grouped AS (
   SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate, count(*) FILTER (WHERE truncated) AS truncated, count(*) FILTER (WHERE illegal) AS illegal,
@@ -177,4 +197,4 @@ kept AS (SELECT rid, doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) A
 SELECT doc_id, n_lines, n_dropped, sha256(t) AS kept_sha256 FROM kept
 """
 
-ORACLE_SQL = {"op12_conversations": OP12, "op13_lines": OP13, "op3_mixing": OP3, "op4_substrings": OP4, "op5_embeddings": OP5, "op6_minhash": OP6, "op7_quality": OP7}
+ORACLE_SQL = {"op11_phrases": OP11, "op12_conversations": OP12, "op13_lines": OP13, "op3_mixing": OP3, "op4_substrings": OP4, "op5_embeddings": OP5, "op6_minhash": OP6, "op7_quality": OP7}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.llm import conversations, embeddings, languages, lines, minhash, mixing, ngrams, packing, quality, sharding, substrings, urls
+from brindle.llm import conversations, embeddings, languages, lines, minhash, mixing, ngrams, packing, phrases, quality, sharding, substrings, urls
 from brindle.llm.common import read
 from brindle.llm.oracle import ORACLE_SQL
 
@@ -54,6 +54,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
 def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations")
     return conversations.repair_report(conversations.damage(rows), rows)
@@ -64,7 +68,7 @@ def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_language, op2_katz, op3_mixing, op3_mixing_positions, op4_substrings, op5_embeddings, op6_minhash, op7_quality, op8_urls, op9_packing, op10_sharding, op12_conversations, op13_lines)}
+    return {f.__name__: f for f in (op1_language, op2_katz, op3_mixing, op3_mixing_positions, op4_substrings, op5_embeddings, op6_minhash, op7_quality, op8_urls, op9_packing, op10_sharding, op11_phrases, op12_conversations, op13_lines)}
 
 
 def oracle_sql() -> dict:
