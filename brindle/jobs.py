@@ -25,10 +25,11 @@ from brindle.operators import clean as cleaning
 from brindle.operators.aggregate import group_counts, missing_summary, modes
 from brindle.operators.expand import distinct_items, flags
 from brindle.operators.impute import impute_by_groups, impute_by_hierarchy
-from brindle.operators.incremental import after_mark, incremental_upsert, max_mark, read_mark
+from brindle.operators.incremental import after_mark, incremental_upsert, max_mark, overwrite, read_mark, target_exists
 from brindle.operators.joins import joined_data
 from brindle.operators.suppliers import aggregate_performance, apply_canonical, canonical_suppliers, cross_supplier_report
-from brindle.sources.readers import read_by_config, read_csv, table_exists
+from brindle.operators.versioned import is_versioned
+from brindle.sources.readers import read_by_config, read_csv
 from brindle.sources.writers import write_by_config, write_manifest, write_report, write_table
 
 #: Settings that the command line, parameters and environment may change.
@@ -113,7 +114,7 @@ def run_clean(spark: SparkSession, config: dict, write: bool = True, full_refres
         mark, log = inc.get("watermark_column"), inc.get("watermark_table")
         if not (mark and log):
             raise ValueError("incremental.watermark_column and incremental.watermark_table are needed")
-        if target and not full_refresh and table_exists(spark, target):
+        if target and not full_refresh and target_exists(spark, target):
             out["previous_mark"] = read_mark(spark, log, job, mark)
         later = after_mark(df, mark, out["previous_mark"])
         if write:
@@ -126,7 +127,10 @@ def run_clean(spark: SparkSession, config: dict, write: bool = True, full_refres
         cleaned = clean_rows(df, config)
         if write:
             rows, found = observed(cleaned)
-            write_table(rows, target, output.get("mode") or "overwrite", fmt)
+            if is_versioned(spark, target):
+                overwrite(rows, target, rows.columns[:1], fmt)
+            else:
+                write_table(rows, target, output.get("mode") or "overwrite", fmt)
             out |= {"operation": "full_refresh", "rows": found.get["rows"]}
         else:
             out["rows"] = cleaned.count()

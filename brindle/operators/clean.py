@@ -8,6 +8,7 @@ from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from brindle.functions import scalars
 from brindle.functions.names import resolve
+from brindle.operators.persist import fixed
 
 DEFAULT_TOKENS = ("-", "--", "", " ", "N/A", "n/a", "NULL", "null")
 
@@ -111,14 +112,18 @@ def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
 
 
 def dense_ids(df: DataFrame, order: list, name: str = "profile_id", parts: int | None = None) -> DataFrame:
-    """Gapless ids from 0 in the given order. Rows are range-partitioned by the order's first key and numbered within a
-    partition; the partitions' counts, a row each, give where each starts. Repeated first keys share a partition, as
-    do their rows."""
+    """Gapless ids from 0 in the given order; rows alike in it are numbered in any order.
+
+    One range shuffle and a sort in each partition, whose outcome is fixed in files before it is used twice: its counts, a row per
+    partition, give where each starts. (Without that, each use would sample bounds of its own.) Rows alike in the order
+    share a partition.
+    """
     spark = df.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *order).withColumn("__p", F.spark_partition_id())
-    numbered = ranged.withColumn("__n", F.row_number().over(Window.partitionBy("__p").orderBy(*order)))
-    sizes = numbered.groupBy("__p").agg(F.max("__n").alias("__rows"))
-    start = F.coalesce(F.sum("__rows").over(Window.orderBy("__q").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = sizes.withColumnRenamed("__p", "__q").select("__q", start.alias("__start"))
-    return numbered.join(F.broadcast(starts), F.col("__p") == F.col("__q")).withColumn(name, F.col("__start") + F.col("__n") - 1).drop("__p", "__q", "__n", "__start", "__rows")
+    # the id that Spark gives has the partition above bit 33 and the row's place in it below
+    placed = fixed(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()))
+    part, place = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__rows"))
+    start = F.coalesce(F.sum("__rows").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("__part", start.alias("__start"))
+    return placed.join(F.broadcast(starts), part == F.col("__part")).withColumn(name, F.col("__start") + place).drop("__at", "__part", "__start")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from brindle.functions.names import resolve
-from brindle.operators.joins import merge_columns, upsert
+from brindle.operators import versioned
+from brindle.operators.joins import all_of, merge_columns, upsert
 from brindle.sources.readers import table_exists
 from brindle.sources.writers import create_log_table, quoted, write_table
 
@@ -33,13 +34,16 @@ def dedup_latest(df: DataFrame, keys: list[str], watermark: str) -> DataFrame:
     """The latest row per key, null stamps last; of equal stamps the row of the largest values, column by column, so reruns agree (maps
     have no order; rows that differ in these alone are told apart by a hash).
 
-    One aggregation that keeps a row per key on the map side; nothing is sorted or sent by key as a whole.
+    Two steps, so that no row is held twice: the latest stamp of each key by a hash aggregation, which sends a key's stamp per map task;
+    then the rows of that stamp alone are ranked. A key whose rows are all alike in their stamp is ranked in one task.
     """
-    row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(df.columns)])
-    ordered = [F.col(c).alias(f"o{i}") for i, (c, kind) in enumerate(df.dtypes) if "map<" not in kind and "variant" not in kind]
-    order = F.struct(F.col(watermark).cast("timestamp").alias("at"), *ordered, F.hash(F.to_json(row)).alias("hash"))
-    latest = df.groupBy(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]).agg(F.max_by(row, order).alias("row"))
-    return latest.select(*[F.col("row").getField(f"c{i}").alias(c) for i, c in enumerate(df.columns)])
+    at = F.col(watermark).cast("timestamp")
+    latest = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(F.max(at).alias("__at"))
+    same = all_of([F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]) & at.eqNullSafe(F.col("__at"))
+    rows = df.join(latest, same).drop("__at", *[f"__k{i}" for i in range(len(keys))])
+    plain = [F.col(c).desc_nulls_last() for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    order = [*plain, F.hash(F.to_json(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(df.columns)]))).desc()]
+    return rows.withColumn("__row", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__row = 1").drop("__row")
 
 
 def read_mark(spark: SparkSession, log_table: str, job: str, column: str):
@@ -61,7 +65,7 @@ def append_mark(spark: SparkSession, log_table: str, job: str, column: str, mark
 
 
 def stage_overwrite(df: DataFrame, table: str, fmt: str = "parquet") -> None:
-    """Overwrite a table that the plan reads: the new version is written beside it in full, then the two swap names.
+    """Overwrite a plain table that the plan reads: the new version is written beside it in full, then the two swap names.
 
     Nothing is ever read while it is written. A run that ends between the renames leaves the old version as `__before`, which
     `restore_overwrite`, called first, puts back.
@@ -76,7 +80,8 @@ def stage_overwrite(df: DataFrame, table: str, fmt: str = "parquet") -> None:
 
 
 def restore_overwrite(spark: SparkSession, table: str) -> bool:
-    """Puts back the version that an interrupted overwrite had set aside, if the table has no newer one."""
+    """Puts back the version that an interrupted overwrite had set aside, if the table has no newer one. To be called before anyone
+    asks whether the table is there."""
     before = f"{table}__before"
     if not table_exists(spark, before):
         return False
@@ -87,9 +92,40 @@ def restore_overwrite(spark: SparkSession, table: str) -> bool:
     return True
 
 
+def target_exists(spark: SparkSession, table: str) -> bool:
+    """Whether the target is there, once an interrupted swap has been put back."""
+    restore_overwrite(spark, table)
+    return table_exists(spark, table)
+
+
+def overwrite(df: DataFrame, table: str, keys: list[str], fmt: str = "parquet") -> None:
+    """All rows of the target become those of `df`, which may read it. Parquet targets are versioned tables; a plain one becomes
+    versioned here: it is set aside, under the name that `restore_overwrite` knows, for the moment in which the view takes its name."""
+    spark = df.sparkSession
+    there = target_exists(spark, table)
+    if fmt != "parquet":
+        stage_overwrite(df, table, fmt) if there else write_table(df, table, "overwrite", fmt)
+    elif not there or versioned.is_versioned(spark, table):
+        versioned.replace(df, table, keys)
+    else:
+        before = f"{table}__before"
+        staged = f"{table}__staged"
+        versioned.drop(spark, staged)
+        versioned.replace(df, staged, keys)
+        spark.sql(f"ALTER TABLE {quoted(table)} RENAME TO {quoted(before)}")
+        versioned.adopt(spark, staged, table)
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(before)}")
+
+
 def merge_into(source: DataFrame, table: str, keys: list[str], updates: list[str], fmt: str) -> None:
-    """MERGE where the provider has it (Delta), the staged upsert elsewhere."""
+    """MERGE where the provider has it (Delta); a merge that rewrites the touched files of a Parquet table; the staged upsert elsewhere."""
     spark = source.sparkSession
+    if fmt == "parquet" and versioned.is_versioned(spark, table):
+        versioned.merge(source, table, keys, updates)
+        return
+    if fmt == "parquet":
+        overwrite(upsert(spark.table(table), source, keys, updates), table, keys)
+        return
     if fmt != "delta":
         stage_overwrite(upsert(spark.table(table), source, keys, updates), table, fmt)
         return
@@ -112,7 +148,7 @@ def incremental_upsert(source: DataFrame, target: str, key_columns, watermark: s
     and the merge is idempotent.
     """
     spark, job = source.sparkSession, job or target
-    there = table_exists(spark, target)
+    there = target_exists(spark, target)
     mark = read_mark(spark, log_table, job, watermark) if there and not full_refresh else None
     later = after_mark(source, watermark, mark)
     stamp = F.col(resolve(source, watermark)).cast("timestamp")
@@ -127,9 +163,7 @@ def incremental_upsert(source: DataFrame, target: str, key_columns, watermark: s
         return {"operation": "skip", "rows": 0, "mark": mark}
     if operation == "merge":
         merge_into(latest, target, keys, updates, fmt)
-    elif there:
-        stage_overwrite(latest, target, fmt)
     else:
-        write_table(latest, target, "overwrite", fmt)
+        overwrite(latest, target, keys, fmt)
     append_mark(spark, log_table, job, watermark, new, source_name, target, rows, operation, fmt)
     return {"operation": operation, "rows": rows, "mark": new}

@@ -8,10 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from brindle.operators.incremental import dedup_latest, merge_into
+from brindle.operators.incremental import dedup_latest, merge_into, overwrite, target_exists
 from brindle.operators.joins import merge_columns
-from brindle.sources.readers import table_exists
-from brindle.sources.writers import write_table
 
 
 def stream_upsert(stream: DataFrame, target: str, key_columns, watermark: str, checkpoint: str, fmt: str = "parquet") -> None:
@@ -20,9 +18,9 @@ def stream_upsert(stream: DataFrame, target: str, key_columns, watermark: str, c
     def merge(batch: DataFrame, _: int) -> None:
         keys, updates = merge_columns(batch, key_columns)
         latest = dedup_latest(batch, keys, watermark)
-        if table_exists(batch.sparkSession, target):
+        if target_exists(batch.sparkSession, target):
             merge_into(latest, target, keys, updates, fmt)
         else:
-            write_table(latest, target, "overwrite", fmt)
+            overwrite(latest, target, keys, fmt)
 
     stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -5,7 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from brindle.operators import incremental, joins
+from brindle.operators import incremental, joins, versioned
 from brindle.streaming.upsert import stream_upsert
 
 T = datetime.datetime
@@ -39,7 +39,7 @@ def test_latest_row_has_a_stable_tie(spark):
 
 
 def test_outcomes(spark):
-    spark.sql("DROP TABLE IF EXISTS t_out"), spark.sql("DROP TABLE IF EXISTS t_log")
+    versioned.drop(spark, "t_out"), spark.sql("DROP TABLE IF EXISTS t_log")
     run = lambda rows, **more: incremental.incremental_upsert(frame(spark, rows), "t_out", "k", "ts", "t_log", **more)
     first = [(1, "a", "x", 1, T(2024, 1, 1)), (2, "a", "x", 1, None), (1, "a", "older", 0, T(2023, 1, 1))]
     assert run(first)["operation"] == "create"
@@ -52,11 +52,11 @@ def test_outcomes(spark):
     assert run([(9, "a", "only", 1, T(2020, 1, 1))], full_refresh=True)["operation"] == "full_refresh"
     assert spark.table("t_out").count() == 1
     assert not incremental.append_mark(spark, "t_log", "j", "ts", None, None, "t_out", 0, "merge")
-    spark.sql("DROP TABLE t_out"), spark.sql("DROP TABLE t_log")
+    versioned.drop(spark, "t_out"), spark.sql("DROP TABLE t_log")
 
 
 def test_stream_merges_what_is_new_and_restarts(spark, tmp_path):
-    spark.sql("DROP TABLE IF EXISTS t_stream")
+    versioned.drop(spark, "t_stream")
     source, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
     run = lambda: stream_upsert(spark.readStream.schema(SCHEMA).parquet(source), "t_stream", "k", "ts", checkpoint)
     frame(spark, [(1, "a", "x", 1, T(2024, 1, 2)), (2, "a", "x", 1, T(2024, 1, 1))]).write.parquet(source)
@@ -64,7 +64,7 @@ def test_stream_merges_what_is_new_and_restarts(spark, tmp_path):
     frame(spark, [(2, "a", "late", 2, T(2023, 1, 1)), (3, "a", "new", 3, T(2024, 1, 3))]).write.mode("append").parquet(source)
     run(), run()
     assert values(spark.table("t_stream")) == [(1, "x", 1), (2, "late", 2), (3, "new", 3)]
-    spark.sql("DROP TABLE t_stream")
+    versioned.drop(spark, "t_stream")
 
 
 def test_full_join_is_hashed(spark):

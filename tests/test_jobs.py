@@ -7,6 +7,7 @@ import pytest
 import yaml
 
 from brindle import jobs
+from brindle.operators import versioned
 
 T = datetime.datetime
 
@@ -28,6 +29,7 @@ def table(spark, name, rows, schema):
 
 def drop(spark, *names):
     for n in names:
+        versioned.drop(spark, n)
         spark.sql(f"DROP TABLE IF EXISTS {n}")
 
 
