@@ -86,6 +86,15 @@ def write_step(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
         df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
 
 
+#: Rows of a few numbers that a join may broadcast: some 30 MB.
+MOST_BROADCAST = 500_000
+
+
+def small(df: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
+    """A checkpointed table of a few numbers a row, broadcast if its counted rows allow; a join shuffles it beyond that."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def lean(f):
     """`f`, after which the worker gives the memory that it freed back to the system; workers live on between tasks."""
 

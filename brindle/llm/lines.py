@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from brindle.llm.common import checkpoint, nullable, release_memory, remove_folder, scratch_folder, write_step
+from brindle.llm.common import checkpoint, nullable, release_memory, remove_folder, scratch_folder, small, write_step
 
 WHITE = b" \t\n\v\f\r"
 #: Bytes that continue a code point in UTF-8.
@@ -157,8 +157,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         seem = checkpoint(runs.frequent().select("h"))
     finally:
         runs.close()
-    exact = lines.join(seem, "h", "left_semi").groupBy("h", "g").agg(F.count_if("first").alias("n"), F.max("id").alias("top")).where(F.col("n") >= documents).select("h", "g", "top")
-    lost = lines.join(checkpoint(exact), ["h", "g"]).where(~F.col("id").eqNullSafe(F.col("top")))
+    exact = lines.join(small(seem), "h", "left_semi").groupBy("h", "g").agg(F.count_if("first").alias("n"), F.max("id").alias("top")).where(F.col("n") >= documents).select("h", "g", "top")
+    lost = lines.join(small(checkpoint(exact)), ["h", "g"]).where(~F.col("id").eqNullSafe(F.col("top")))
     out = checkpoint(lost.groupBy("id", "mark").agg(F.collect_set("at").alias("dropped")))
     remove_folder(spark, folder)
     return out
