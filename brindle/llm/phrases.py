@@ -8,6 +8,10 @@ and a level only takes n-grams whose first and last k - 1 words are frequent the
 * level 1 merges words by (language, word); suffix arrays have suffixes of frequent words alone
 * level k merges n-grams by the pair of names that level k - 1 gave to their first and last k - 1 words
 
+Most n-grams are rare, so a level first adds counts up by hashed cells: a shard sends each part of the cells its own counts, packed, and
+learns which of its cells reach the threshold over all shards. Only n-grams in such cells, which a rare one only shares by chance and a
+frequent one never misses, are sent as rows to be counted exactly.
+
 A name is where a phrase stands first: the shard and place of one of its intervals. So names are exact, without hashes or a
 pass to number them. A shard sends a key once whatever its count, so a hot phrase is a row per shard.
 """
@@ -22,10 +26,10 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brindle.llm.common import checkpoint, lean, pack, release_memory, remove_folder, scratch_folder, unpack, write_step
+from brindle.llm.common import checkpoint, lean, mix, pack, pack_bits, pack_sorted, release_memory, remove_folder, scratch_folder, unpack, unpack_bits, unpack_sorted, write_step
 
 PIECE_ENDS = re.compile(rb"[.,;:!?\n-\r]+")
 #: Bytes of text in a shard. Its arrays take some 20 times that in a worker while they are sorted.
@@ -33,7 +37,12 @@ SHARD_BYTES = 8 << 20
 #: Shards that one input partition may have; shard ids are the partition's number times this, plus their own.
 MOST_SHARDS = 4096
 ENCODED = "shard long, place int, lang string, word string, n long, ids binary"
-LEVEL = "shard long, place int, first long, last long, n long, suffixes binary, common binary"
+ARRAYS = "shard long, suffixes binary, common binary, names binary"
+SKETCH = "part int, shard long, n int, cells binary, counts binary"
+HEAVY = "shard long, part int, n int, bits binary"
+LEVEL = "own long, first long, last long, n long"
+#: Cells of a part of the sketch; words of text per cell, so that a cell of rare n-grams alone stays far below any threshold in use.
+PART_BITS, WORDS_PER_CELL = 16, 16
 
 
 class Shard:
@@ -131,51 +140,95 @@ def intervals(suffixes: np.ndarray, common: np.ndarray, k: int, name: np.ndarray
     return starts[good], first[good], last[good], sizes[good]
 
 
-def _level_table(shard: int, place, first, last, n, blobs: tuple[bytes, bytes] | None) -> pa.Table:
-    names = ["shard", "place", "first", "last", "n", "suffixes", "common"]
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-    k = len(place)
-    rows = pa.table([pa.array(np.full(k, shard), kinds[0]), pa.array(place.astype(np.int32)), pa.array(first, kinds[2]), pa.array(last, kinds[3]), pa.array(n, kinds[4]), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())], names=names)
-    if blobs is None:
-        return rows
-    return pa.concat_tables([rows, pa.table([pa.array([x], kind) for x, kind in zip((shard, -1, -1, -1, 0, *blobs), kinds)], names=names)])
-
-
-def _names(answers: pa.Table, size: int) -> np.ndarray:
+def _named(answers: pa.Table, size: int) -> np.ndarray:
     out = np.full(size, -1, dtype=np.int64)
-    out[answers.column("place").to_numpy()] = answers.column("name").to_numpy()
+    places = answers.column("place")
+    if answers.num_rows:
+        kept = answers.filter(places.is_valid()) if places.null_count else answers
+        out[kept.column("place").to_numpy()] = kept.column("name").to_numpy()
     return out
 
 
-def _pairs(key, texts: pa.Table, answers: pa.Table) -> pa.Table:
-    """Level 2 of a shard: its suffix array, and its pairs of frequent words."""
+def _arrays(key, texts: pa.Table, answers: pa.Table) -> pa.Table:
+    """A shard's suffix array over its frequent words, and the names of these in its order."""
+    columns = ["shard", "suffixes", "common", "names"]
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
     if not texts.num_rows or not answers.num_rows:
-        return _level_table(0, *[np.empty(0, np.int64)] * 4, None)
+        return pa.table([pa.array([], k) for k in kinds], names=columns)
     ids = unpack(texts.column("ids")[0].as_py(), np.int32)
-    of_word = _names(answers, int(ids.max(initial=0)) + 1)
-    name = np.concatenate([of_word[ids], [-1]])
-    suffixes, common = suffix_array(np.where(name[:-1] >= 0, ids, 0), texts.column("depth")[0].as_py())
-    return _level_table(texts.column("shard")[0].as_py(), *intervals(suffixes, common, 2, name), (pack(suffixes), pack(common)))
+    name = _named(answers, int(ids.max(initial=0)) + 1)[ids]
+    suffixes, common = suffix_array(np.where(name >= 0, ids, 0), texts.column("depth")[0].as_py())
+    row = (texts.column("shard")[0].as_py(), pack(suffixes), pack(common), pack(name[suffixes[common < 1]]))
+    return pa.table([pa.array([x], k) for x, k in zip(row, kinds)], names=columns)
 
 
-def _longer(key, arrays: pa.Table, answers: pa.Table) -> pa.Table:
-    """Level k of a shard, from its suffix array and the names of its frequent n-grams of k - 1 words."""
-    if not arrays.num_rows or not answers.num_rows:
-        return _level_table(0, *[np.empty(0, np.int64)] * 4, None)
+def _counts(arrays: pa.Table, answers: pa.Table | None, k: int) -> tuple[np.ndarray, ...]:
+    """(place, first, last, n) of a shard's n-grams of k words with frequent parts."""
     suffixes, common = unpack(arrays.column("suffixes")[0].as_py(), np.int32), unpack(arrays.column("common")[0].as_py(), np.uint8)
-    k = arrays.column("level")[0].as_py()
-    of_interval = _names(answers, len(suffixes))[np.flatnonzero(common < k - 1)]
+    starts = np.flatnonzero(common < k - 1)
+    of_interval = unpack(arrays.column("names")[0].as_py(), np.int64) if k == 2 else _named(answers, len(suffixes))[starts]
     name = np.full(int(suffixes.max(initial=0)) + 2, -1, dtype=np.int64)
-    name[suffixes] = np.repeat(of_interval, np.diff(np.flatnonzero(common < k - 1), append=len(suffixes)))
-    return _level_table(arrays.column("shard")[0].as_py(), *intervals(suffixes, common, k, name), None)
+    name[suffixes] = np.repeat(of_interval, np.diff(starts, append=len(suffixes)))
+    return intervals(suffixes, common, k, name)
+
+
+def cells_of(first: np.ndarray, last: np.ndarray, bits: int) -> np.ndarray:
+    return mix(first.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mix(last.view(np.uint64))) >> np.uint64(64 - bits)
+
+
+def _sketch(arrays: pa.Table, answers: pa.Table | None, k: int, bits: int) -> pa.Table:
+    """A shard's counts by cell: a row for each part of the cells that it has any in."""
+    rows = []
+    if arrays.num_rows:
+        _, first, last, n = _counts(arrays, answers, k)
+        cells, where = np.unique(cells_of(first, last, bits), return_inverse=True)
+        counts = np.bincount(where, n, minlength=len(cells)).astype(np.uint32)
+        parts = cells >> np.uint64(PART_BITS)
+        starts = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]])) if len(cells) else np.empty(0, int)
+        inner = (cells & np.uint64((1 << PART_BITS) - 1)).astype(np.uint16)
+        for a, b in zip(starts, [*starts[1:], len(cells)]):
+            rows.append((int(parts[a]), arrays.column("shard")[0].as_py(), int(b - a), pack_sorted(inner[a:b]), pack(counts[a:b])))
+    kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+    return pa.table([pa.array(c, kind) for c, kind in zip(zip(*rows) if rows else [()] * 5, kinds)], names=["part", "shard", "n", "cells", "counts"])
+
+
+def _heavy(table: pa.Table, least: int) -> pa.Table:
+    """Counts of a part of the cells over all shards; each shard learns which of its cells reach the threshold."""
+    total = np.zeros(1 << PART_BITS, dtype=np.int64)
+    cells = [unpack_sorted(c.as_py(), np.uint16) for c in table.column("cells")]
+    for own, counts in zip(cells, table.column("counts")):
+        total[own] += unpack(counts.as_py(), np.uint32)
+    bits = [pack_bits(total[own] >= least) for own in cells]
+    return pa.table([table.column("shard"), table.column("part"), table.column("n"), pa.array(bits, pa.binary())], names=["shard", "part", "n", "bits"])
+
+
+def _exact(arrays: pa.Table, answers: pa.Table, k: int, bits: int) -> pa.Table:
+    """A row of each of a shard's n-grams in a heavy cell. `answers` has names of the level before and the sketch's bits, each where
+    the other is null."""
+    own = first = last = n = np.empty(0, np.int64)
+    if arrays.num_rows and answers.num_rows:
+        place, first, last, n = _counts(arrays, answers, k)
+        told = answers.filter(answers.column("part").is_valid()).sort_by("part")
+        heavy = [unpack_bits(b, size) for b, size in zip(told.column("bits").to_pylist(), told.column("n").to_pylist())]
+        _, where = np.unique(cells_of(first, last, bits), return_inverse=True)
+        good = np.concatenate(heavy)[where] if heavy else np.zeros(len(first), dtype=bool)
+        own, first, last, n = (arrays.column("shard")[0].as_py() << 32) + place[good].astype(np.int64), first[good], last[good], n[good].astype(np.int64)
+    return pa.table([pa.array(x, pa.int64()) for x in (own, first, last, n)], names=["own", "first", "last", "n"])
+
+
+def _step(f, k: int, bits: int):
+    def of_shard(key, arrays, answers):
+        return f(arrays, answers, k, bits)
+
+    return lean(of_shard)
 
 
 def _merged(rows: DataFrame, key: list[str], least: int) -> DataFrame:
-    """Rows of the keys that are frequent over all shards, with their count and name. One shuffle by key."""
-    own = (F.shiftleft(F.col("shard"), 32) + F.col("place")).alias("own")
+    """Rows (own, n, key) of the keys that are frequent over all shards, with their count and name. One shuffle by key."""
     over = Window.partitionBy(*key)
-    summed = rows.select("*", own).withColumns({"f": F.sum("n").over(over), "name": F.min("own").over(over)})
-    return summed.where(F.col("f") >= least).select("shard", "place", "name", "f", *key, (F.col("name") == F.col("own")).alias("leads"))
+    summed = rows.withColumns({"f": F.sum("n").over(over), "name": F.min("own").over(over)}).where(F.col("f") >= least)
+    shard, place = F.shiftright("own", 32).alias("shard"), F.col("own").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("place")
+    return summed.select(shard, place, "name", "f", *key, (F.col("name") == F.col("own")).alias("leads"))
 
 
 def _longer_phrases(found: DataFrame, shorter: DataFrame) -> DataFrame:
@@ -187,30 +240,37 @@ def _longer_phrases(found: DataFrame, shorter: DataFrame) -> DataFrame:
 
 
 def candidates(docs: DataFrame, lang_col: str, text_col: str, least: int, longest: int, shard_bytes: int, folder: str) -> tuple[DataFrame, list[DataFrame]]:
-    """(lang, n) and, for each length from 1 to `longest`, the frequent phrases; all in tables below `folder`."""
+    """(lang, total) and, for each length from 1 to `longest`, the frequent phrases; all in tables below `folder`."""
     spark = docs.sparkSession
     table = lambda name: spark.read.parquet(f"{folder}/{name}")
     write_step(encoded(docs, lang_col, text_col, shard_bytes), f"{folder}/shards")
     shards = spark.read.schema(ENCODED).parquet(f"{folder}/shards")
-    vocabulary = shards.where("place > 0").select("shard", "place", "lang", "word", "n", F.xxhash64("lang", "word").alias("h"))
-    totals = vocabulary.groupBy("lang").agg(F.sum("n").alias("total"))
+    vocabulary = shards.where("place > 0").select((F.shiftleft(F.col("shard"), 32) + F.col("place")).alias("own"), "lang", "word", "n", F.xxhash64("lang", "word").alias("h"))
+    write_step(vocabulary.groupBy("lang").agg(F.sum("n").alias("total")), f"{folder}/totals")
     write_step(_merged(vocabulary, ["h", "lang", "word"], least), f"{folder}/words1")
     empty = F.array().cast("array<long>")
-    levels = [table("words1").where("leads").select("name", "lang", F.array("word").alias("words"), "f", empty.alias("firsts"), empty.alias("rests"), F.lit(None).cast("long").alias("first"), F.lit(None).cast("long").alias("last"))]
+    levels = [table("words1").where("leads").select("name", "lang", F.array("word").alias("words"), "f", empty.alias("firsts"), empty.alias("rests"))]
+    words = table("totals").agg(F.sum("total")).first()[0] or 0
+    bits = max(PART_BITS, (words // WORDS_PER_CELL).bit_length())
+    texts = shards.where("place = 0").select("shard", "ids", F.lit(longest).alias("depth"))
+    write_step(texts.groupBy("shard").cogroup(table("words1").select("shard", "place", "name").groupBy("shard")).applyInArrow(lean(_arrays), ARRAYS), f"{folder}/arrays")
+    remove_folder(spark, f"{folder}/shards")
+    arrays = spark.read.schema(ARRAYS).parquet(f"{folder}/arrays")
     for k in range(2, longest + 1):
-        answers = table(f"words{k - 1}").select("shard", "place", "name").groupBy("shard")
+        named = table(f"words{k - 1}").select("shard", "place", "name")
         if k == 2:
-            made = shards.where("place = 0").select("shard", "ids", F.lit(longest).alias("depth")).groupBy("shard").cogroup(answers).applyInArrow(lean(_pairs), LEVEL)
-        else:
-            arrays = table("level2").where("place = -1").select("shard", "suffixes", "common", F.lit(k).alias("level"))
-            made = arrays.groupBy("shard").cogroup(answers).applyInArrow(lean(_longer), LEVEL)
-        write_step(made, f"{folder}/level{k}")
-        counts = spark.read.schema(LEVEL).parquet(f"{folder}/level{k}").where("place >= 0").select("shard", "place", "first", "last", "n")
-        write_step(_merged(counts, ["first", "last"], least), f"{folder}/words{k}")
+            named = named.limit(0)
+
+        sketches = arrays.groupBy("shard").cogroup(named.groupBy("shard")).applyInArrow(_step(_sketch, k, bits), SKETCH)
+        write_step(sketches.groupBy("part").applyInArrow(lean(lambda part: _heavy(part, least)), HEAVY), f"{folder}/heavy{k}")
+        told = spark.read.schema(HEAVY).parquet(f"{folder}/heavy{k}").unionByName(named, allowMissingColumns=True)
+        rows = arrays.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(_step(_exact, k, bits), LEVEL)
+        write_step(_merged(rows, ["first", "last"], least), f"{folder}/words{k}")
+        remove_folder(spark, f"{folder}/heavy{k}")
         found = table(f"words{k}").where("leads").select("name", "first", "last", "f")
         write_step(_longer_phrases(found, levels[-1]), f"{folder}/phrases{k}")
         levels.append(table(f"phrases{k}"))
-    return totals, levels
+    return table("totals"), levels
 
 
 def score(a: str, n: str, l: F.Column, r: F.Column) -> F.Column:

@@ -62,6 +62,13 @@ def test_by_force(odd, least, longest, percent, top, shard_bytes):
     assert got(phrases.collocations(odd, least=least, longest=longest, percent=percent, top=top, shard_bytes=shard_bytes)) == by_force(odd_rows(), least, longest, percent, top)
 
 
+def test_cells_that_hold_much_more_than_a_phrase_lose_none(odd, monkeypatch):
+    """With a few cells for all n-grams, every cell is heavy and the exact counts do the work."""
+    monkeypatch.setattr(phrases, "WORDS_PER_CELL", 10**9)
+    monkeypatch.setattr(phrases, "PART_BITS", 3)
+    assert got(phrases.collocations(odd, least=10, shard_bytes=2000)) == by_force(odd_rows(), 10, 5, 100, 2000)
+
+
 def test_empty_table(odd):
     assert phrases.collocations(odd.limit(0)).count() == 0
 
