@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -141,14 +143,24 @@ def value_label(c, labels: dict[str, str] | None = None) -> Column:
     return F.when(x.isin(*MISSING_VALUES), "").otherwise(out)
 
 
-def bucket_keywords(c, rules: dict[str, list[str]], limit: int = 6) -> Column:
-    """The words that the text has of its first fitting bucket, in the rules' order; empty if none fits."""
-    x = F.lower(F.coalesce(text(c), F.lit("")))
-    out = F.array().cast("array<string>")
-    for words in reversed(rules.values()):
-        found = F.slice(F.array_compact(F.array(*[F.when(x.rlike(word_pattern([w], True)), w) for w in words])), 1, limit)
-        out = F.when(F.size(found) > 0, found).otherwise(out)
-    return out
+def search_text(*columns) -> Column:
+    """Texts joined, lower-cased, with a space for every run of signs other than a-z and 0-9; nulls and `nan` are left out."""
+    shown = [F.nullif(F.lower(F.trim(text(c))), F.lit("nan")) for c in columns]
+    return F.trim(F.regexp_replace(F.concat_ws(" ", *shown), "[^a-z0-9]+", " "))
+
+
+def plain_phrase(keyword: str) -> str:
+    return re.sub("[^a-z0-9]+", " ", keyword.lower()).strip()
+
+
+def word_runs(words: Column, longest: int) -> Column:
+    """All runs of 1 to `longest` words of an array, joined by spaces, and each that ends with s also without it."""
+    runs, last = [words], words
+    for n in range(2, longest + 1):
+        last = F.zip_with(last, F.slice(words, F.lit(n), F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
+        runs.append(last)
+    every = F.concat(*runs) if len(runs) > 1 else words
+    return F.concat(every, F.transform(F.filter(every, lambda r: r.endswith("s")), lambda r: F.substring(r, F.lit(1), F.length(r) - 1)))
 
 
 def tokens(c, stop: tuple[str, ...] = (), least: int = 3) -> Column:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType
 
-from brindle.functions.scalars import percent
+from brindle.functions.scalars import norm_text, percent
+from brindle.operators.quantiles import exact_quantiles, top_distinct
 
 
 def missing(df: DataFrame, c: str) -> Column:
@@ -65,17 +66,26 @@ def first_values(df: DataFrame, group: list[str], columns: list[str], order: Col
     return df.groupBy(*group).agg(*[first(c).alias(c) for c in columns])
 
 
-def relation_profile(df: DataFrame, key: str, name: str, method: str, score: str, priorities: dict[str, int], excluded: list[str], other: int = 99) -> DataFrame:
-    """Per key, over accepted rows: best name, method and score (by priority, then score, then name), all names in that
-    order, their number, and rows."""
+def relation_profile(df: DataFrame, key: str, name: str, method: str, score: str, priorities: dict[str, int], excluded: list[str], other: int = 99, date: str | None = None, most_names: int = 8, most_methods: int = 6) -> DataFrame:
+    """Per key, over accepted rows: best_name, best_method, best_score and best_date (each the first there is, by priority, then score, then
+    name), names (at most `most_names` distinct ones in that order) and their number, methods (at most `most_methods`), n_rows, best_priority.
+
+    Text is normalized: lower case, no spare white space, blank is null. Rows without key or name, and those of excluded
+    methods, don't count; a null method is accepted. best_date is null without a `date` column.
+    """
+    text = lambda c: norm_text(c) if isinstance(df.schema[c].dataType, StringType) else F.col(c)
+    rows = df.select(text(key).alias("__key"), text(name).alias("__name"), text(method).alias("__method"), F.col(score).alias("__score"), (F.to_date(F.col(date)) if date else F.lit(None).cast("date")).alias("__date"))
+    kept = rows.where((~F.col("__method").isin(excluded) | F.col("__method").isNull()) & F.col("__key").isNotNull() & F.col("__name").isNotNull())
     rank = F.lit(other)
     for k, v in priorities.items():
-        rank = F.when(F.col(method) == k, v).otherwise(rank)
-    kept = df.where((~F.col(method).isin(excluded) | F.col(method).isNull()) & F.col(key).isNotNull())
-    at = F.struct(rank.alias("r"), (-F.coalesce(F.col(score), F.lit(-1e300))).alias("s"), F.col(name).alias("n"))
+        rank = F.when(F.col("__method") == k, v).otherwise(rank)
+    at = F.struct(rank.alias("r"), (-F.coalesce(F.nanvl(F.col("__score").cast("double"), F.lit(None).cast("double")), F.lit(-1e300))).alias("s"), F.col("__name").alias("n"))
     best = lambda c: F.min(F.when(F.col(c).isNotNull(), F.struct(at.alias("a"), F.col(c).alias("v"))))["v"]
-    names = F.transform(F.array_sort(F.collect_set(F.when(F.col(name).isNotNull(), at))), lambda x: x["n"])
-    return kept.groupBy(key).agg(best(name).alias("best_name"), best(method).alias("best_method"), best(score).alias("best_score"), F.array_distinct(names).alias("names"), F.countDistinct(name).alias("n_names"), F.count(F.lit(1)).alias("n_rows"), F.min(rank).alias("best_priority"))
+    out = kept.groupBy("__key").agg(best("__name").alias("best_name"), best("__method").alias("best_method"), best("__score").alias("best_score"), best("__date").alias("best_date"), F.countDistinct("__name").alias("n_names"), F.count(F.lit(1)).alias("n_rows"), F.min(rank).alias("best_priority"))
+    names = top_distinct(kept, ["__key"], "__name", at, most_names, "names").withColumnRenamed("__key", "__k1")
+    methods = top_distinct(kept, ["__key"], "__method", at, most_methods, "methods").withColumnRenamed("__key", "__k2")
+    out = out.join(names, F.col("__key") == F.col("__k1"), "left").join(methods, F.col("__key") == F.col("__k2"), "left").drop("__k1", "__k2")
+    return out.withColumn("methods", F.coalesce("methods", F.array().cast("array<string>"))).withColumnRenamed("__key", key)
 
 
 def weighted_aggregate(df: DataFrame, group: list[str], weight: str, means: list[str], sums: list[str], first: list[str], distinct: list[str], order: Column) -> DataFrame:
@@ -100,18 +110,21 @@ def value_shares(df: DataFrame, group: str, value: str, top: int = 3, ignore: tu
 
 
 def joined_values(df: DataFrame, group: str, value: str, order: str, sep: str = " | ") -> DataFrame:
-    """A group's values in order as one text, with their number."""
+    """A group's values in order as one text, with their number. The text is as long as the group; see top_distinct for a bounded one."""
     texts = F.transform(F.array_sort(F.collect_list(F.struct(order, value))), lambda x: x[value])
     return df.groupBy(group).agg(F.array_join(texts, sep).alias(f"{value}_list"), F.count(value).alias(f"{value}_count"))
 
 
 def robust_scale(df: DataFrame, c: str, out: str | None = None) -> DataFrame:
-    """Median fill, clip to the 1st and 99th percentile, then 0 to 1; null everywhere where these are equal."""
+    """Median fill (of nulls and NaN), clip to the 1st and 99th percentile, then 0 to 1; null everywhere where these are equal."""
     out = out or f"{c}_scaled"
-    median = df.agg(F.median(c)).first()[0]
-    filled = F.coalesce(F.col(c).cast("double"), F.lit(median).cast("double"))
-    low, high = df.agg(F.percentile(filled, F.lit(0.01)), F.percentile(filled, F.lit(0.99))).first()
-    if low is None or not high > low:
+    x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    known = exact_quantiles(df, c, [0.5]).first()
+    if known is None:
+        return df.withColumn(out, F.lit(None).cast("double"))
+    filled = F.coalesce(x, F.lit(known["quantiles"][0]))
+    low, high = exact_quantiles(df.select(filled.alias("v")), "v", [0.01, 0.99]).first()["quantiles"]
+    if not high > low:
         return df.withColumn(out, F.lit(None).cast("double"))
     return df.withColumn(out, (F.least(F.greatest(filled, F.lit(low)), F.lit(high)) - low) / (high - low))
 
@@ -133,4 +146,11 @@ def lift(long: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def cluster_profile(df: DataFrame, cluster: str, flag: str, date: str, age: str) -> DataFrame:
-    return df.groupBy(cluster).agg(F.count(F.lit(1)).alias("size"), F.sum(F.col(flag).cast("int")).alias(f"{flag}_count"), F.min(date).alias(f"min_{date}"), F.max(date).alias(f"max_{date}"), F.median(age).alias(f"median_{age}"))
+    out = df.groupBy(cluster).agg(F.count(F.lit(1)).alias("size"), F.sum(F.col(flag).cast("int")).alias(f"{flag}_count"), F.min(date).alias(f"min_{date}"), F.max(date).alias(f"max_{date}"))
+    return with_medians(out, df, cluster, age, f"median_{age}")
+
+
+def with_medians(out: DataFrame, df: DataFrame, group: str, c: str, name: str) -> DataFrame:
+    """Adds each group's exact median of a column of `df`; null for groups without values."""
+    medians = exact_quantiles(df, c, [0.5], [group]).select(F.col(group).alias("__median_of"), F.get("quantiles", F.lit(0)).alias(name))
+    return out.join(medians, F.col(group).eqNullSafe(F.col("__median_of")), "left").drop("__median_of")

@@ -111,6 +111,30 @@ def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return df.withColumn("__first", F.row_number().over(w)).where("__first = 1").drop("__first")
 
 
+def keyword_buckets(df: DataFrame, columns: list[str], rules: dict[str, list[str]], bucket: str = "bucket", keywords: str = "keywords", limit: int = 6, none: str = "__missing__") -> DataFrame:
+    """Adds the first bucket that has a keyword in the texts, and the first `limit` of its keywords, in the rules' order, that they have, joined by
+    `, `. A keyword is a run of whole words of the normalized text, whose last one may have an s more (`sci-fi` is `sci fi`, `king` is in
+    `kings`). Texts without any get `none` and nothing.
+
+    The text's runs of words, as long as the longest keyword, meet the keywords in one set intersection a row, which keeps the keywords'
+    order; no pattern is tried.
+    """
+    known: dict[str, tuple[str, str]] = {}
+    for b, words in rules.items():
+        for k in words:
+            if phrase := scalars.plain_phrase(k):
+                known.setdefault(phrase, (b, k))
+    if not known:
+        return df.withColumns({bucket: F.lit(none), keywords: F.lit("")})
+    longest = max(len(p.split()) for p in known)
+    entries = F.create_map(*[x for p, (b, k) in known.items() for x in (F.lit(p), F.struct(F.lit(b).alias("b"), F.lit(k).alias("k")))])
+    hits = F.array_intersect(F.array(*[F.lit(p) for p in known]), scalars.word_runs(F.split(scalars.search_text(*columns), " "), longest))
+    found = df.withColumn("__found", F.transform(hits, lambda p: F.element_at(entries, p)))
+    first = found.withColumn("__first", F.get("__found", F.lit(0))["b"])
+    own = F.transform(F.filter("__found", lambda x: x["b"] == F.col("__first")), lambda x: x["k"])
+    return first.withColumns({bucket: F.coalesce("__first", F.lit(none)), keywords: F.array_join(F.slice(own, 1, limit), ", ")}).drop("__found", "__first")
+
+
 def dense_ids(df: DataFrame, order: list, name: str = "profile_id", parts: int | None = None) -> DataFrame:
     """Gapless ids from 0 in the given order; rows alike in it are numbered in any order.
 

@@ -11,6 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from brindle.operators import tree as trees
+from brindle.operators.persist import fixed
+
 MOST_ITEMS, BLOCK = 20_000, 512
 
 
@@ -55,22 +58,91 @@ def distances(x: np.ndarray, y: np.ndarray, metric: str) -> np.ndarray:
     return np.maximum(out, 0)
 
 
+def sparse_rows(features: DataFrame) -> DataFrame:
+    """(id, features, values) of long features (id, feature, value): a row's features in order with their sums, and nothing where they are 0.
+    As large as there are values, whatever the number of features."""
+    cells = features.groupBy("id", "feature").agg(F.sum("value").alias("value")).where("value <> 0")
+    pairs = F.array_sort(F.collect_list(F.struct("feature", "value")))
+    return cells.groupBy("id").agg(pairs.alias("p")).select("id", F.col("p.feature").alias("features"), F.col("p.value").alias("values"))
+
+
+def vector_columns(rows: DataFrame) -> list[str]:
+    """The columns that hold a row's vector: dense, or sparse as of `sparse_rows`."""
+    return ["vector"] if "vector" in rows.columns else ["features", "values"]
+
+
+def vectors_of(rows: DataFrame) -> list:
+    return [F.col("vector").cast("array<double>").alias("vector")] if "vector" in rows.columns else [F.col("features"), F.col("values").cast("array<double>").alias("values")]
+
+
+class Sparse:
+    """Sparse rows of one block: entries sorted by feature, so that two blocks meet feature by feature."""
+
+    def __init__(self, features: list[list[str]], values: list[list[float]]):
+        names = [f for own in features for f in own]
+        self.n = len(features)
+        self.row = np.repeat(np.arange(self.n), [len(own) for own in features])
+        self.value = np.array([v for own in values for v in own], dtype=float)
+        self.names, of = np.unique(np.array(names, dtype=object), return_inverse=True) if names else (np.array([], dtype=object), np.array([], dtype=int))
+        order = np.argsort(of, kind="stable")
+        self.row, self.value = self.row[order], self.value[order]
+        self.ends = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(self.names)))]).astype(int)
+
+    def squares(self) -> np.ndarray:
+        return np.bincount(self.row, self.value * self.value, minlength=self.n)
+
+    def product(self, other: "Sparse") -> np.ndarray:
+        """All rows' products with all of the other's: of each feature that both have, the outer product of its values. A hot feature is
+        split as its rows are, over blocks."""
+        out = np.zeros((self.n, other.n))
+        _, here, there = np.intersect1d(self.names, other.names, assume_unique=True, return_indices=True)
+        for a, b in zip(here, there):
+            p, q = slice(self.ends[a], self.ends[a + 1]), slice(other.ends[b], other.ends[b + 1])
+            out[np.ix_(self.row[p], other.row[q])] += np.outer(self.value[p], other.value[q])
+        return out
+
+
+def matrix_of(table: pa.Table, where: np.ndarray):
+    """The vectors of some rows of a table: an array, or sparse."""
+    own = table.take(pa.array(where))
+    if "vector" in table.column_names:
+        return np.array(own.column("vector").to_pylist(), dtype=float)
+    return Sparse(own.column("features").to_pylist(), own.column("values").to_pylist())
+
+
+def block_distances(x, y, metric: str) -> np.ndarray:
+    """Distances of all rows of x and y, which are both arrays or both sparse."""
+    if not isinstance(x, Sparse):
+        return distances(x, y, metric)
+    dots, sx, sy = x.product(y), x.squares(), y.squares()
+    if metric == "cosine":
+        if (sx == 0).any() or (sy == 0).any():
+            raise ValueError("cosine distance of a zero vector")
+        out = 1 - dots / np.sqrt(sx[:, None] * sy[None, :])
+    elif metric == "euclidean":
+        out = np.sqrt(np.maximum(sx[:, None] + sy[None, :] - 2 * dots, 0))
+    else:
+        raise ValueError(f"unknown metric {metric!r}")
+    if not np.isfinite(out).all():
+        raise ValueError("a distance isn't finite")
+    return np.maximum(out, 0)
+
+
 def pair_distances(rows: DataFrame, metric: str = "cosine") -> DataFrame:
-    """(i, j, distance) of all pairs i < j of rows (id, vector): blocks of ids meet block by block, as matrix products."""
+    """(i, j, distance) of all pairs i < j of rows (id, vector) or (id, features, values): blocks of ids meet block by block, as matrix products."""
     n = rows.count()
     blocks = max(1, -(-n // BLOCK))
-    placed = rows.select("id", F.col("vector").cast("array<double>").alias("vector"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("b"))
+    placed = rows.select("id", *vectors_of(rows), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("b"))
     both = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda o: F.struct(F.least("b", o).alias("p"), F.greatest("b", o).alias("q")))
-    dealt = placed.select("*", F.explode(both).alias("pair")).select("id", "vector", "b", "pair.p", "pair.q")
+    dealt = placed.select("*", F.explode(both).alias("pair")).select("id", *vector_columns(rows), "b", "pair.p", "pair.q")
 
     def products(key, table):
         p, q = key[0].as_py(), key[1].as_py()
         ids, b = np.asarray(table.column("id").to_numpy()), np.asarray(table.column("b").to_numpy())
-        x = np.array(table.column("vector").to_pylist(), dtype=float)
         left, right = np.flatnonzero(b == p), np.flatnonzero(b == q)
         if not len(left) or not len(right):
             return pa.table({"i": pa.array([], pa.int64()), "j": pa.array([], pa.int64()), "distance": pa.array([], pa.float64())})
-        d = distances(x[left], x[right], metric)
+        d = block_distances(matrix_of(table, left), matrix_of(table, right), metric)
         a, c = np.meshgrid(ids[left], ids[right], indexing="ij")
         keep = (a < c) if p == q else (a != c)
         return pa.table({"i": pa.array(np.minimum(a, c)[keep]), "j": pa.array(np.maximum(a, c)[keep]), "distance": pa.array(d[keep])})
@@ -78,6 +150,35 @@ def pair_distances(rows: DataFrame, metric: str = "cosine") -> DataFrame:
     return dealt.groupBy("p", "q").applyInArrow(products, "i bigint, j bigint, distance double")
 
 
+def nearest_in_ranges(targets: DataFrame, others: DataFrame, limit: int | None, metric: str = "cosine") -> DataFrame:
+    """(target_id, like_id, distance): of each target's range of the others, all or the `limit` nearest of each block of them.
+
+    targets: id, lo, hi and the vector; others: id, rank and the vector; a target's others have ranks lo to hi - 1. Blocks of targets meet the
+    blocks of others that their ranges reach, as matrix products, so at most `limit` rows a target and block are sent on. Distances that agree to
+    nine digits are ties, which go by id.
+    """
+    chunks = max(1, -(-targets.count() // BLOCK))
+    own = vector_columns(targets)
+    reached = F.sequence(F.floor(F.col("lo") / BLOCK), F.floor((F.col("hi") - 1) / BLOCK))
+    left = targets.where("hi > lo").select("id", *vectors_of(targets), "lo", "hi", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int").alias("chunk"), F.explode(reached).alias("block"))
+    right = others.select("id", *vectors_of(others), "rank", F.floor(F.col("rank") / BLOCK).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
+
+    def nearest(a: pa.Table, b: pa.Table) -> pa.Table:
+        found = ([], [], [])
+        if a.num_rows and b.num_rows:
+            d = block_distances(matrix_of(a, np.arange(a.num_rows)), matrix_of(b, np.arange(b.num_rows)), metric)
+            ids, rank, near = b.column("id").to_numpy(), b.column("rank").to_numpy(), np.round(d, 9)
+            for i, (target, lo, hi) in enumerate(zip(a.column("id").to_pylist(), a.column("lo").to_pylist(), a.column("hi").to_pylist())):
+                inside = np.flatnonzero((rank >= lo) & (rank < hi))
+                best = inside[np.lexsort((ids[inside], near[i, inside]))][:limit]
+                for out, values in zip(found, (np.full(len(best), target), ids[best], d[i, best])):
+                    out.append(values)
+        columns = [np.concatenate(x) if x else np.array([]) for x in found]
+        return pa.table({"target_id": pa.array(columns[0].astype(np.int64)), "like_id": pa.array(columns[1].astype(np.int64)), "distance": pa.array(columns[2].astype(float))})
+
+    return left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInArrow(nearest, "target_id bigint, like_id bigint, distance double")
+
+
 def nearest_neighbour_chain(d: np.ndarray) -> np.ndarray:
     """Merges (left, right, height, size) of complete linkage, heights ascending, clusters numbered from n on.
 
@@ -139,55 +240,49 @@ def linkage(rows: DataFrame, metric: str = "cosine", most: int = MOST_ITEMS) ->
 
 
 def keep_tree(tree: DataFrame) -> DataFrame:
-    """The tree as a local table of its merges (as many as items), so that linkage runs once however often it is read."""
-    return tree.sparkSession.createDataFrame([tuple(r) for r in tree.collect()], tree.schema)
-
-
-def read_tree(tree: DataFrame) -> tuple[np.ndarray, int]:
-    rows = tree.orderBy("merge_step").collect()
-    return np.array([(r["left_id"], r["right_id"], r["merge_distance"], r["size"]) for r in rows], dtype=float).reshape(-1, 4), len(rows) + 1
-
-
-def cut_labels(merges: np.ndarray, n: int, k: int) -> np.ndarray:
-    """Labels 1..k' of at most k clusters, by descending size, then smallest member. Merges of equal height go together, so
-    ties may leave fewer than k."""
-    if not 1 <= k <= max(n, 1):
-        raise ValueError(f"k = {k} of {n} items")
-    stop = n - k
-    while 0 < stop < len(merges) and merges[stop, 2] == merges[stop - 1, 2]:
-        stop += 1
-    root = list(range(n + len(merges)))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    for i in range(stop):
-        root[find(int(merges[i, 0]))] = root[find(int(merges[i, 1]))] = n + i
-    groups: dict[int, list[int]] = {}
-    for i in range(n):
-        groups.setdefault(find(i), []).append(i)
-    out = np.zeros(n, dtype=np.int64)
-    for label, members in enumerate(sorted(groups.values(), key=lambda g: (-len(g), g[0])), 1):
-        out[members] = label
-    return out
+    """The tree fixed in files, so that linkage runs once however often it is read."""
+    return fixed(tree)
 
 
 def clusters(tree: DataFrame, k: int) -> DataFrame:
-    """(id, cluster) of the flat cut."""
-    merges, n = read_tree(tree)
-    return tree.sparkSession.createDataFrame([(i, int(c)) for i, c in enumerate(cut_labels(merges, n, k))], "id bigint, cluster bigint")
+    """(id, cluster) of the flat cut into at most k clusters, labelled 1, 2, ... by descending size, then smallest member. Merges of equal height go
+    together, so ties may leave fewer than k."""
+    members = fixed(trees.cut_nodes(tree, k))
+    return members.join(trees.labelled(members), "node").select("id", "cluster")
 
 
 def elbow(rows: DataFrame, tree: DataFrame, most: int = 16) -> DataFrame:
     """The scores of the flat cuts with 2 to `most` clusters (fewer items give fewer cuts), see `cut_scores`."""
-    merges, n = read_tree(tree)
+    n = tree.count() + 1
     ks = list(range(2, min(most, n - 1) + 1))
-    labels = {k: cut_labels(merges, n, k) for k in ks}
-    members = tree.sparkSession.createDataFrame([(i, [int(labels[k][i]) for k in ks]) for i in range(n)], "id bigint, labels array<bigint>")
-    return cut_scores(rows, members, 2)
+    if not ks:
+        return cut_scores(rows, tree.sparkSession.createDataFrame([], "id bigint, labels array<bigint>"), 2)
+    return cut_scores(rows, cut_labels(tree, ks), 2)
+
+
+def cut_labels(tree: DataFrame, ks: list[int]) -> DataFrame:
+    """(id, labels): each item's cluster in the cut for each of `ks`, labelled as in `clusters`.
+
+    Items climb once, to the clusters of the finest cut. Coarser cuts merge these few clusters, so the driver works on
+    as many rows as the finest cut has clusters.
+    """
+    n = tree.count() + 1
+    members = fixed(trees.cut_nodes(tree, max(ks)))
+    finest = {r["node"]: (r["n"], r["first"]) for r in members.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).collect()}
+    above = trees.merges_of_cut(tree, n, max(ks))
+    merges = tree.where(F.col("merge_step") >= above).orderBy("merge_step").collect()
+    labels: dict[int, list[int]] = {node: [] for node in finest}
+    for k in ks:
+        stop, groups = trees.merges_of_cut(tree, n, k), {node: [node] for node in finest}
+        for m in merges:
+            if m["merge_step"] < stop:
+                groups[n + m["merge_step"]] = groups.pop(m["left_id"]) + groups.pop(m["right_id"])
+        order = sorted(groups.values(), key=lambda g: (-sum(finest[x][0] for x in g), min(finest[x][1] for x in g)))
+        for label, group in enumerate(order, 1):
+            for node in group:
+                labels[node].append(label)
+    named = tree.sparkSession.createDataFrame(list(labels.items()), "node bigint, labels array<bigint>")
+    return members.join(F.broadcast(named), "node").select("id", "labels")
 
 
 def cut_scores(rows: DataFrame, members: DataFrame, first_k: int) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from brindle.functions.names import label
 from brindle.functions.scalars import clean_category
 from brindle.operators import aggregate, clean, cluster, features, likeitems
+from brindle.operators.persist import fixed
 
 #: The columns whose most frequent values describe a cluster.
 CHARACTERISTICS = (
@@ -16,27 +17,26 @@ CHARACTERISTICS = (
 )
 
 
-def find_like_items(profiles: DataFrame, id_col: str, date: str, categories: dict[str, float], booleans: dict[str, float] | None = None, numbers: dict[str, float] | None = None, texts: tuple[str, ...] = (), k: int = 8, fraction: float = 0.10, top_features: int = 8) -> dict[str, DataFrame]:
+def find_like_items(profiles: DataFrame, id_col: str, date: str, categories: dict[str, float], booleans: dict[str, float] | None = None, numbers: dict[str, float] | None = None, texts: tuple[str, ...] = (), k: int = 8, fraction: float = 0.10, top_features: int = 8, limit: int | None = None, most_k: int = 16) -> dict[str, DataFrame]:
     """profiles (with id 0..n-1, role, age, cluster_id), features, tree, elbow, mapping, grouped and summary of one run.
 
-    Ids may be any distinct values; rows are numbered in their order, and `profile_id` in the results is the own id. Linkage needs all pairs, so
-    there is the limit of `cluster.MOST_ITEMS` items.
+    Ids may be any distinct values; rows are numbered in their order, and `profile_id` in the results is the own id. k must be 2 to
+    `most_k` and less than the number of items, else it is an error. `limit` is the number of like items a target has at
+    most. Linkage needs all pairs, so there is the limit of `cluster.MOST_ITEMS` items.
     """
-    spark = profiles.sparkSession
-    numbered = clean.dense_ids(profiles.withColumnRenamed(id_col, "profile_id"), [F.col("profile_id")], "id").cache()
-    long = features.feature_table(numbered, "id", categories, booleans or {})
-    for c, weight in (numbers or {}).items():
-        long = long.unionByName(features.numeric(numbered, "id", c, weight))
-    if texts:
-        long = long.unionByName(features.token_block(numbered, "id", list(texts)))
-    long = long.cache()
-    matrix = cluster.dense_matrix(long).cache()
-    tree = cluster.keep_tree(cluster.linkage(matrix))
-    cut = cluster.clusters(tree, min(k, numbered.count()))
+    numbered = fixed(clean.dense_ids(profiles.withColumnRenamed(id_col, "profile_id"), [F.col("profile_id")], "id"))
+    n = numbered.count()
+    if not 2 <= k <= min(most_k, n - 1):
+        raise ValueError(f"k = {k} is not from 2 to {min(most_k, n - 1)}, for {n} items")
+    long = features.feature_table(numbered, "id", categories, booleans, numbers, list(texts))
+    long = fixed(long)
+    matrix = fixed(cluster.sparse_rows(long))
+    tree = cluster.keep_tree(cluster.linkage(cluster.dense_matrix(long)))
+    cut = fixed(cluster.clusters(tree, k))
     placed = likeitems.with_age(likeitems.roles(numbered, "id", date, fraction), date).join(cut, "id").withColumn("cluster_id", F.col("cluster"))
     if date != "release_date":
         placed = placed.withColumn("release_date", F.col(date))
-    mapping = likeitems.like_items(tree, placed.select("id", "role"), cluster.pair_distances(matrix), cut)
+    mapping = likeitems.like_items(tree, placed.select("id", "role"), matrix, cut, limit)
     mapping = likeitems.with_attributes(mapping, placed)
     own = placed.select(F.col("id").alias("__id"), "profile_id")
     for side in ("target", "like"):
@@ -46,7 +46,7 @@ def find_like_items(profiles: DataFrame, id_col: str, date: str, categories: dic
         "profiles": placed,
         "features": long,
         "tree": tree,
-        "elbow": cluster.elbow(matrix, tree),
+        "elbow": cluster.elbow(cluster.dense_matrix(long), tree, most_k),
         "mapping": mapping,
         "grouped": likeitems.grouped_mapping(mapping, by),
         "summary": summary(placed, long, date, top_features),
@@ -57,7 +57,8 @@ def summary(profiles: DataFrame, long: DataFrame, date: str, top_features: int =
     """A row per cluster: sizes by role, dates, median age, the top values of the columns that profiles have of CHARACTERISTICS, and
     the features that distinguish it most. profiles: id, cluster, role, the date, release_age_months."""
     held = F.count_if(F.col("role") == likeitems.HOLDOUT)
-    out = profiles.groupBy("cluster").agg(F.count(F.lit(1)).alias("profile_count"), held.alias("holdout_count"), (F.count(F.lit(1)) - held).alias("historical_count"), F.min(date).alias("min_release_date"), F.max(date).alias("max_release_date"), F.median("release_age_months").alias("median_release_age_months"))
+    out = profiles.groupBy("cluster").agg(F.count(F.lit(1)).alias("profile_count"), held.alias("holdout_count"), (F.count(F.lit(1)) - held).alias("historical_count"), F.min(date).alias("min_release_date"), F.max(date).alias("max_release_date"))
+    out = aggregate.with_medians(out, profiles, "cluster", "release_age_months", "median_release_age_months")
     for c in CHARACTERISTICS:
         if c in profiles.columns:
             shares = aggregate.value_shares(profiles.select("cluster", clean_category(F.col(c).cast("string")).alias(c)), "cluster", c)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.operators.aggregate import modes
 from brindle.operators.joins import null_safe_join
+from brindle.operators.persist import fixed
 
 
 def group_modes(df: DataFrame, group: str, values: list[str]) -> DataFrame:
@@ -48,16 +48,32 @@ def impute_by_groups(df: DataFrame, values: list[str], groups: list[str]) -> Dat
 
 def impute_by_hierarchy(df: DataFrame, value: str, hierarchy: list[str]) -> tuple[DataFrame, list[dict]]:
     """Modes by all hierarchy columns, then without the rightmost, and so on, each found on the partly filled rows; null keys
-    match null keys. Returns the rows and how many were filled at each level."""
-    keys, counts = [h for h in hierarchy if h != value], []
-    while keys:
-        before = df.where(F.col(value).isNull()).count()
-        lookup = modes(df, keys, value, null_groups=True).withColumnRenamed(value, "__mode")
-        joined = null_safe_join(df, lookup, keys)
-        df = joined.select(*[F.coalesce(c, "__mode").alias(c) if c == value else F.col(c) for c in df.columns])
-        counts.append({"keys": list(keys), "filled": before - df.where(F.col(value).isNull()).count()})
-        keys = keys[:-1]
-    return df, counts
+    match null keys. Returns the rows and how many were filled at each level.
+
+    One scan counts (keys, value), nulls too. All nulls of the same keys are filled alike, so every level works on these counts: it rolls them
+    up to its prefix, adds what the levels before have filled, and fills keys. At last the rows are joined once to their keys' value.
+    """
+    keys = [h for h in hierarchy if h != value]
+    if not keys:
+        return df, []
+    at = [f"__h{i}" for i in range(len(keys))]
+    counts = fixed(df.groupBy(*[F.col(k).alias(a) for k, a in zip(keys, at)], F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__n")))
+    kind = df.schema[value].dataType
+    holes = fixed(counts.where(F.col("__v").isNull()).select(*at, "__n", F.lit(None).cast(kind).alias("__fill"), F.lit(None).cast("int").alias("__level")))
+    known = counts.where(F.col("__v").isNotNull()).select(*at, "__v", "__n")
+    for level in range(len(keys), 0, -1):
+        prefix = at[:level]
+        now = known.unionByName(holes.where(F.col("__fill").isNotNull()).select(*at, F.col("__fill").alias("__v"), "__n"))
+        rolled = now.groupBy(*prefix, "__v").agg(F.sum("__n").alias("__n"))
+        best = rolled.groupBy(*prefix).agg(F.min(F.struct((-F.col("__n")).alias("n"), F.col("__v").alias("v")))["v"].alias("__mode"))
+        found = null_safe_join(holes, best, prefix)
+        fills = F.col("__fill").isNull() & F.col("__mode").isNotNull()
+        holes = fixed(found.select(*at, "__n", F.coalesce("__fill", "__mode").alias("__fill"), F.when(fills, level).otherwise(F.col("__level")).alias("__level")))
+    filled = {r["__level"]: r["n"] for r in holes.groupBy("__level").agg(F.sum("__n").alias("n")).collect()}  # a row per level
+    levels = [{"keys": keys[:level], "filled": filled.get(level, 0)} for level in range(len(keys), 0, -1)]
+    fill = holes.where(F.col("__fill").isNotNull()).select(*[F.col(a).alias(k) for a, k in zip(at, keys)], "__fill")
+    joined = null_safe_join(df, fill, keys)
+    return joined.select(*[F.coalesce(c, "__fill").alias(c) if c == value else F.col(c) for c in df.columns]), levels
 
 
 def remaining_nulls(df: DataFrame, columns: list[str]) -> DataFrame:

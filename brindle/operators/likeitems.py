@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.functions.scalars import age_bucket, calendar_months, clip01
-from brindle.operators.cluster import read_tree
+from brindle.operators.cluster import nearest_in_ranges
+from brindle.operators.persist import fixed
+from brindle.operators.tree import first_with
 
 HOLDOUT, HISTORICAL = "holdout_new_game", "qualified_historical"
 
@@ -22,7 +22,7 @@ def roles(df: DataFrame, id_col: str, date: str, fraction: float = 0.10) -> Data
     per = df.groupBy(F.col(date).alias("__d")).agg(F.count(F.lit(1)).alias("__n"))
     run = per.withColumn("__upto", F.sum("__n").over(Window.orderBy(F.desc_nulls_last("__d")))).withColumn("__all", F.sum("__n").over(Window.partitionBy(F.lit(1))))
     take = F.greatest(F.lit(1), F.ceil(F.col("__all") * fraction))
-    dates = run.select("__d", (take - (F.col("__upto") - F.col("__n"))).alias("__left"), "__n").cache()
+    dates = fixed(run.select("__d", (take - (F.col("__upto") - F.col("__n"))).alias("__left"), "__n"))
     edge = dates.where("__left > 0 and __left < __n").first()
     whole = df.join(dates.select("__d", "__left", "__n"), F.col(date).eqNullSafe(F.col("__d")), "left").withColumn("role", F.when(F.col("__left") >= F.col("__n"), HOLDOUT).otherwise(HISTORICAL))
     if edge is not None:
@@ -42,35 +42,25 @@ def earliest(df: DataFrame, dates: list[str], out: str) -> DataFrame:
     return df.withColumn(out, F.least(*dates) if len(dates) > 1 else F.col(dates[0]))
 
 
-def like_items(tree: DataFrame, role: DataFrame, pairs: DataFrame, cut: DataFrame) -> DataFrame:
-    """For each holdout item (role: id, role), the historical members of the first merge that holds it and any of them.
+def like_items(tree: DataFrame, role: DataFrame, vectors: DataFrame, cut: DataFrame, limit: int | None = None, metric: str = "cosine") -> DataFrame:
+    """For each holdout item (role: id, role), the historical members of the first merge that holds it and any of them: all, or the
+    `limit` nearest.
 
-    pairs (i, j, distance) and cut (id, cluster) come from the same items. The walk up the tree is on the driver (the
-    tree is bounded as linkage is) and yields, per target, a merge; its members, distances and ranks are joins.
+    vectors (id and a dense or sparse vector, see cluster.pair_distances) and cut (id, cluster) are of the same items. Leaves in the order of the tree make
+    a merge's historical members a range of ranks, which is all that a target carries. Distances are only computed within
+    these ranges. Distances that agree to nine digits are ties, which go by id.
     """
-    spark = tree.sparkSession
-    merges, n = read_tree(tree)
-    held = {r["id"] for r in role.where(F.col("role") == HOLDOUT).collect()}
-    members: dict[int, list[int]] = {i: [i] for i in range(n)}
-    waiting = {i: [i] for i in held}  # node -> targets in it that no merge has served
-    found, nodes = [], []
-    for step, (a, b, height, _) in enumerate(merges):
-        a, b, node = int(a), int(b), n + step
-        both = members.pop(a) + members.pop(b)
-        members[node] = both
-        targets = waiting.pop(a, []) + waiting.pop(b, [])
-        history = [m for m in both if m not in held] if targets else []
-        if targets and history:
-            found += [(t, node, float(height), len(both), len(history)) for t in targets]
-            nodes += [(node, h) for h in history]
-        elif targets:
-            waiting[node] = targets
-    targets = spark.createDataFrame(found, "target_id bigint, node bigint, merge_distance double, cluster_size bigint, historical_in_cluster bigint")
-    inside = spark.createDataFrame(nodes, "node bigint, like_id bigint")
-    rows = targets.join(inside, "node").withColumns({"i": F.least("target_id", "like_id"), "j": F.greatest("target_id", "like_id")}).join(pairs, ["i", "j"]).drop("i", "j")
+    found, ranks = first_with(tree, role.select("id", (F.col("role") != HOLDOUT).alias("historical")), "historical")
+    found, ranks = fixed(found), fixed(ranks)
+    near = nearest_in_ranges(found.join(vectors, "id"), ranks.join(vectors, "id"), limit, metric)
+    rank = F.row_number().over(Window.partitionBy("target_id").orderBy(F.round("distance", 9), "like_id"))
+    ranked = near.withColumn("candidate_rank", rank)
+    if limit is not None:
+        ranked = ranked.where(F.col("candidate_rank") <= limit)
+    about = found.select(F.col("id").alias("target_id"), "node", "merge_distance", "cluster_size", (F.col("hi") - F.col("lo")).alias("historical_in_cluster"))
+    rows = ranked.join(about, "target_id")
     rows = rows.join(cut.select(F.col("id").alias("target_id"), F.col("cluster").alias("tc")), "target_id").join(cut.select(F.col("id").alias("like_id"), F.col("cluster").alias("lc")), "like_id")
-    rank = F.row_number().over(Window.partitionBy("target_id").orderBy("distance", "like_id"))
-    return rows.select("target_id", "like_id", rank.alias("candidate_rank"), F.col("distance").alias("pair_distance"), clip01(1 - F.col("distance")).alias("similarity_score"), "merge_distance", clip01(1 - F.col("merge_distance")).alias("merge_similarity_score"), F.col("node").alias("smallest_qualifying_cluster_node_id"), F.col("cluster_size").alias("smallest_qualifying_cluster_size"), F.col("historical_in_cluster").alias("qualifying_historical_in_cluster"), (F.col("tc") == F.col("lc")).alias("same_flat_cluster"))
+    return rows.select("target_id", "like_id", "candidate_rank", F.col("distance").alias("pair_distance"), clip01(1 - F.col("distance")).alias("similarity_score"), "merge_distance", clip01(1 - F.col("merge_distance")).alias("merge_similarity_score"), F.col("node").alias("smallest_qualifying_cluster_node_id"), F.col("cluster_size").alias("smallest_qualifying_cluster_size"), F.col("historical_in_cluster").alias("qualifying_historical_in_cluster"), (F.col("tc") == F.col("lc")).alias("same_flat_cluster"))
 
 
 #: The attributes of target and like item that a mapping shows, and from which of a profile's columns.

@@ -149,7 +149,21 @@ def _has(words, plural=""):
 @query(f"""SELECT doc_id, CASE {' '.join(f"WHEN {_has(w)} THEN '{k}'" for k, w in THEMES.items())} ELSE 'none' END AS b,
        CASE {' '.join(f"WHEN {_has(w, 's?')} THEN array_to_string(list_filter([{', '.join(f"CASE WHEN {_has([x], 's?')} THEN '{x}' END" for x in w)}], lambda x: x IS NOT NULL), ',')" for k, w in THEMES.items())} ELSE '' END AS words FROM documents""")
 def theme_bucket(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", scalars.regex_bucket("text", THEMES, "none").alias("b"), F.array_join(scalars.bucket_keywords("text", THEMES), ",").alias("words"))
+    df = clean.keyword_buckets(table(spark, sf, "documents"), ["text"], THEMES, "__b", "words")
+    return df.select("doc_id", scalars.regex_bucket("text", THEMES, "none").alias("b"), F.replace("words", F.lit(", "), F.lit(",")).alias("words"))
+
+
+#: Words of part names and types, with a keyword of two words, one with a sign, and plurals in the texts.
+MATERIALS = {"plated": ["anodized-tin", "plated nickel"], "metals": ["brass", "copper", "steel", "tin", "nickel"], "colours": ["red", "green", "blue"]}
+PART_TEXTS = dict(p_partkey="p_partkey", a="CASE p_partkey % 7 WHEN 0 THEN NULL WHEN 1 THEN 'nan' WHEN 2 THEN 'No theme here' ELSE p_type || 's' END", b="CASE WHEN p_partkey % 5 = 0 THEN 'Anodized, TIN!' WHEN p_partkey % 7 > 2 THEN p_name END")
+
+
+@query(f"""WITH t AS (SELECT p_partkey, ' ' || trim(regexp_replace(concat_ws(' ', nullif(lower(trim(a)), 'nan'), nullif(lower(trim(b)), 'nan')), '[^a-z0-9]+', ' ', 'g')) || ' ' AS x FROM {select("part", **PART_TEXTS)}),
+  h AS (SELECT p_partkey, {", ".join(f"list_filter([{', '.join(repr(k) for k in words)}], lambda k: contains(x, ' ' || replace(k, '-', ' ') || ' ') OR contains(x, ' ' || replace(k, '-', ' ') || 's ')) AS {b}" for b, words in MATERIALS.items())} FROM t)
+  SELECT p_partkey, CASE {" ".join(f"WHEN len({b}) > 0 THEN '{b}'" for b in MATERIALS)} ELSE '__missing__' END AS bucket, CASE {" ".join(f"WHEN len({b}) > 0 THEN array_to_string({b}[1:2], ', ')" for b in MATERIALS)} ELSE '' END AS keywords FROM h""")
+def keyword_buckets(spark, sf):
+    """The first bucket with a keyword in two normalized texts, and at most two of its keywords."""
+    return clean.keyword_buckets(table(spark, sf, "part", **PART_TEXTS), ["a", "b"], MATERIALS, limit=2).select("p_partkey", "bucket", "keywords")
 
 
 @query("""SELECT doc_id, len(t)::BIGINT AS n, array_to_string(t, ' ') AS t FROM (SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[a-z0-9]+'), lambda x: length(x) >= 3 AND NOT regexp_full_match(x, '[0-9]+') AND x NOT IN ('the', 'and')) AS t FROM documents)""")

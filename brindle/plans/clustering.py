@@ -33,13 +33,24 @@ def token_features(spark, sf):
     return features.token_block(table(spark, sf, "part"), "p_partkey", ["p_name", "p_type"])
 
 
-@query("""WITH f AS (SELECT 'cat__c_mktsegment_' || lower(c_mktsegment) AS feature, count(*) AS n FROM customer GROUP BY 1), t AS (SELECT count(*) AS n FROM customer)
-  SELECT feature, 'categorical' AS feature_type, f.n AS active_count, round(f.n / t.n, 6) AS active_rate, round(f.n * 2.0 / t.n, 6) AS mean_weighted_value, 2.0::DOUBLE AS max_weighted_value, true AS is_reportable FROM f, t
-  UNION ALL SELECT '__profile_bias', 'bias', n, 1.0, 0.01, 0.01, false FROM t""")
+@query("""WITH c AS (SELECT c_custkey AS id, CASE c_custkey % 9 WHEN 0 THEN NULL WHEN 1 THEN 'rare ' || c_custkey ELSE lower(c_mktsegment) END AS s, c_custkey % 3 = 0 AS b, greatest(c_acctbal, 0) AS v FROM customer), t AS (SELECT count(*) AS n FROM c),
+  q AS (SELECT quantile_cont(v, 0.01) AS lo, quantile_cont(v, 0.99) AS hi FROM c),
+  f AS (SELECT CASE WHEN s IS NULL THEN '__missing__' WHEN s LIKE 'rare%' THEN '__other__' ELSE s END AS value, 'c_mktsegment' AS source, 'categorical' AS kind, 3.0::DOUBLE AS w, 3.0::DOUBLE AS x FROM c
+    UNION ALL SELECT 'flag_b', 'flag_b', 'boolean', 1.0, 1.0 FROM c WHERE b
+    UNION ALL SELECT 'balance', 'balance', 'numeric', 2.0, (least(greatest(v, lo), hi) - lo) / (hi - lo) * 2.0 FROM c, q WHERE v > lo
+    UNION ALL SELECT 'bias', '__profile_bias', 'bias', 0.01, 0.01 FROM c),
+  g AS (SELECT value, source, kind, w, count(*) AS active, sum(x) AS total, max(x) AS top FROM f GROUP BY ALL)
+  SELECT CASE kind WHEN 'categorical' THEN 'cat__c_mktsegment_' || value WHEN 'boolean' THEN 'bool__flag_b' WHEN 'numeric' THEN 'num__balance' ELSE '__profile_bias' END AS feature_column,
+    CASE kind WHEN 'categorical' THEN 'C Mktsegment' || CASE WHEN starts_with(value, '__') THEN '' ELSE ': ' || upper(value[1]) || value[2:] END WHEN 'boolean' THEN 'Flag B' WHEN 'numeric' THEN 'Balance' ELSE 'Profile bias' END AS friendly_feature_name,
+    source AS source_column, CASE kind WHEN 'categorical' THEN 'C Mktsegment' WHEN 'boolean' THEN 'Flag B' WHEN 'numeric' THEN 'Balance' ELSE '  Profile Bias' END AS friendly_source_name, CASE WHEN source = 'c_mktsegment' THEN 'semantic_theme_category' ELSE kind END AS feature_group, kind AS feature_type, value AS feature_value,
+    CASE kind WHEN 'bias' THEN w ELSE w / 2 END AS base_weight, CASE kind WHEN 'bias' THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS multiplier, w AS final_weight, active AS active_count, round(active / n, 6) AS active_rate, round(total / n, 6) AS mean_weighted_value, round(top, 6) AS max_weighted_value,
+    value IN ('__missing__', '__other__') AS is_missing_or_other, kind <> 'bias' AND value NOT IN ('__missing__', '__other__') AS is_reportable FROM g, t""")
 def feature_metadata(spark, sf):
-    df = table(spark, sf, "customer")
-    meta = features.feature_metadata(features.feature_table(df, "c_custkey", {"c_mktsegment": 1.0}), df.count(), ("forbidden",))
-    return meta.drop("is_missing_or_other").withColumns({"active_rate": F.round("active_rate", 6), "mean_weighted_value": F.round("mean_weighted_value", 6)})
+    """All sixteen columns, for categories with missing and rare levels, a boolean, a number and the bias."""
+    df = table(spark, sf, "customer", id="c_custkey", c_mktsegment="CASE c_custkey % 9 WHEN 0 THEN NULL WHEN 1 THEN 'rare ' || c_custkey ELSE c_mktsegment END", flag_b="CASE WHEN c_custkey % 3 = 0 THEN 'yes' END", balance="greatest(c_acctbal, 0)", constant="'a'")
+    long = features.feature_table(df, "id", {"c_mktsegment": 1.5, "constant": 1.0}, {"flag_b": 0.5}, {"balance": 1.0})
+    meta = features.feature_metadata(long, df.count(), ("forbidden",), {"c_mktsegment": 1.5, "flag_b": 0.5, "balance": 1.0}, theme_column="c_mktsegment")
+    return meta.withColumns({c: F.round(c, 6) for c in ("active_rate", "mean_weighted_value", "max_weighted_value")})
 
 
 @query("""SELECT a.vec_id AS i, b.vec_id AS j, round(1 - list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) / sqrt(list_dot_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[]) * list_dot_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[])), 6) AS distance
@@ -49,6 +60,17 @@ def cosine_distances(spark, sf):
     return cluster.pair_distances(rows).withColumn("distance", F.round("distance", 6))
 
 
+@query(f"""WITH t AS (SELECT s_suppkey AS id, 'nation_' || s_nationkey AS f, 1.5::DOUBLE AS v FROM supplier UNION ALL SELECT s_suppkey, 'balance', s_acctbal / 1000 FROM supplier WHERE s_acctbal <> 0 UNION ALL SELECT s_suppkey, 'bias', 0.5 FROM supplier),
+  q AS (SELECT id, sqrt(sum(v * v)) AS s FROM t GROUP BY 1), p AS (SELECT a.id AS i, b.id AS j, sum(a.v * b.v) AS d FROM t a JOIN t b ON a.f = b.f AND a.id < b.id GROUP BY 1, 2)
+  SELECT i, j, round(greatest(0, 1 - d / (x.s * y.s)), 6) AS distance FROM p JOIN q x ON x.id = i JOIN q y ON y.id = j""")
+def sparse_cosine_distances(spark, sf):
+    """Cosine distances of sparse rows: memory by values, not by features."""
+    s = table(spark, sf, "supplier", id="s_suppkey", nation="CONCAT('nation_', s_nationkey)", balance="s_acctbal")
+    cells = F.array(F.struct(F.col("nation").alias("feature"), F.lit(1.5).alias("value")), F.struct(F.lit("balance").alias("feature"), (F.col("balance") / 1000).cast("double").alias("value")), F.struct(F.lit("bias").alias("feature"), F.lit(0.5).alias("value")))
+    long = s.select("id", F.inline(cells))
+    return cluster.pair_distances(cluster.sparse_rows(long)).withColumn("distance", F.round("distance", 6))
+
+
 @query("""WITH g AS (SELECT label AS cluster, c.i AS feature, avg(embedding[c.i]::DOUBLE) AS m FROM embeddings, (SELECT unnest(range(1, 65)) AS i) c GROUP BY 1, 2),
   a AS (SELECT c.i AS feature, avg(embedding[c.i]::DOUBLE) AS m FROM embeddings, (SELECT unnest(range(1, 65)) AS i) c GROUP BY 1)
   SELECT cluster::BIGINT AS cluster, 'f' || lpad(feature::VARCHAR, 2, '0') AS feature, round(g.m, 6) AS cluster_mean, round(a.m, 6) AS global_mean FROM g JOIN a USING (feature)""")
@@ -85,7 +107,7 @@ def like_items(spark, sf):
     items = _items(spark, sf)
     tree = cluster.keep_tree(cluster.linkage(items))
     role = likeitems.roles(items, "id", "d").select("id", "role")
-    return likeitems.like_items(tree, role, cluster.pair_distances(items), cluster.clusters(tree, 8))
+    return likeitems.like_items(tree, role, items.select("id", "vector"), cluster.clusters(tree, 8))
 
 
 @query()
@@ -96,21 +118,26 @@ def like_items_grouped(spark, sf):
 # The same steps after a tree that SQL can write down: blocks of 2, 4, 8, ... items in order of their ids.
 
 
-def block_tree(n: int) -> list[tuple[int, int, int, float, int]]:
-    """Merges (merge_step, left_id, right_id, merge_distance, size): two neighbouring blocks of each level become one of the next."""
-    level, merges, height = [(i, 1) for i in range(n)], [], 0
-    while len(level) > 1:
-        height, up = height + 1, []
-        for a, b in zip(level[::2], level[1::2]):
-            merges.append((len(merges), a[0], b[0], float(height), a[1] + b[1]))
-            up.append((n + len(merges) - 1, a[1] + b[1]))
-        level = up + level[len(level) - len(level) % 2 :]
-    return merges
+def block_tree(spark, n: int):
+    """Merges of n items (merge_step, left_id, right_id, merge_distance, size): two neighbouring blocks of each level become one of the next; a last
+    block without a neighbour goes up as it is. The driver only holds a number per level."""
+    out, blocks, first, last, height = None, n, 0, n - 1, 0
+    while blocks > 1:
+        height, pairs = height + 1, blocks // 2
+        child = lambda i, blocks=blocks, first=first, last=last: F.when(i == blocks - 1, last).otherwise(i + first)
+        made = n if height == 1 else upto
+        b = F.col("id")
+        size = F.least(F.lit(1 << height), F.lit(n) - b * (1 << height))
+        level = spark.range(pairs).select((b + (made - n)).alias("merge_step"), child(b * 2).cast("long").alias("left_id"), child(b * 2 + 1).cast("long").alias("right_id"), F.lit(float(height)).alias("merge_distance"), size.cast("long").alias("size"))
+        out = level if out is None else out.unionByName(level)
+        last = last if blocks % 2 else made + pairs - 1
+        first, upto, blocks = made, made + pairs, pairs + blocks % 2
+    return out if out is not None else spark.createDataFrame([], "merge_step bigint, left_id bigint, right_id bigint, merge_distance double, size bigint")
 
 
 def _given(spark, sf):
     items = _items(spark, sf)
-    tree = spark.createDataFrame(block_tree(items.count()), "merge_step bigint, left_id bigint, right_id bigint, merge_distance double, size bigint")
+    tree = block_tree(spark, items.count())
     role = likeitems.roles(items, "id", "d").select("id", "role")
     return items, tree, role
 
@@ -132,10 +159,19 @@ _LIKE = f"""{_BLOCKS},
 def like_items_of_given_tree(spark, sf):
     items, tree, role = _given(spark, sf)
     cut = items.select("id", F.floor(F.col("id") / 64).alias("cluster"))
-    out = likeitems.like_items(tree, role, cluster.pair_distances(items), cut).drop("smallest_qualifying_cluster_node_id")
+    out = likeitems.like_items(tree, role, items.select("id", "vector"), cut).drop("smallest_qualifying_cluster_node_id")
     return out.withColumns({c: F.round(c, 6) for c in ("pair_distance", "similarity_score")})
 
 
+@query(f"""WITH {_LIKE}, ranked AS (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY round(dist, 9), like_id) AS candidate_rank FROM far)
+  SELECT target_id, like_id, candidate_rank, round(dist, 6) AS pair_distance, size AS smallest_qualifying_cluster_size, hist AS qualifying_historical_in_cluster FROM ranked WHERE candidate_rank <= 3""")
+def nearest_like_items_of_given_tree(spark, sf):
+    """At most three like items a target."""
+    items, tree, role = _given(spark, sf)
+    out = likeitems.like_items(tree, role, items.select("id", "vector"), items.select("id", F.lit(0).alias("cluster")), limit=3)
+    return out.select("target_id", "like_id", "candidate_rank", F.round("pair_distance", 6).alias("pair_distance"), "smallest_qualifying_cluster_size", "qualifying_historical_in_cluster")
+
+
 @query(f"""WITH {_LIKE}, ranked AS (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY round(dist, 9), like_id) AS k, greatest(0, least(1, 1 - dist)) AS sim FROM far)
   SELECT r.target_id, (t.d)::VARCHAR AS target_release_date, string_agg(r.like_id::VARCHAR, ' | ' ORDER BY k) AS like_ids, string_agg(CASE WHEN r.like_id % 3 = 0 THEN 'nan' ELSE 'theme ' || (r.like_id % 7)::VARCHAR END, ' | ' ORDER BY k) AS like_themes,
     string_agg('nan', ' | ' ORDER BY k) AS like_names, count(*) AS n_like, round(max(sim), 6) AS best_similarity, round(avg(sim), 6) AS mean_similarity
@@ -144,7 +180,7 @@ def like_items_grouped_of_given_tree(spark, sf):
     items, tree, role = _given(spark, sf)
     cut = items.select("id", F.lit(0).alias("cluster"))
     profiles = items.select("id", F.col("d").cast("string").alias("release_date"), F.when(F.col("id") % 3 != 0, F.concat(F.lit("theme "), (F.col("id") % 7).cast("string"))).alias("theme_name_friendly"))
-    mapping = likeitems.with_attributes(likeitems.like_items(tree, role, cluster.pair_distances(items), cut), profiles)
+    mapping = likeitems.with_attributes(likeitems.like_items(tree, role, items.select("id", "vector"), cut), profiles)
     out = likeitems.grouped_mapping(mapping, ("target_release_date",))
     return out.withColumns({c: F.round(c, 6) for c in ("best_similarity", "mean_similarity")})
 

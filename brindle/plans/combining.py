@@ -128,6 +128,17 @@ def impute_by_hierarchy(spark, sf):
     return impute.impute_by_hierarchy(table(spark, sf, "part", **HOLES), "s", ["b", "t", "s"])[0]
 
 
+@query(f"""WITH d AS (SELECT * FROM {select('part', **HOLES)}),
+ m1 AS (SELECT b, t, s AS m FROM (SELECT b, t, s, row_number() OVER (PARTITION BY b, t ORDER BY count(*) DESC, s) AS r FROM d WHERE s IS NOT NULL GROUP BY b, t, s) WHERE r = 1),
+ e AS (SELECT d.k, d.b, d.t, d.s IS NULL AND m1.m IS NOT NULL AS f1, coalesce(d.s, m1.m) AS s FROM d LEFT JOIN m1 ON d.b IS NOT DISTINCT FROM m1.b AND d.t IS NOT DISTINCT FROM m1.t),
+ m2 AS (SELECT b, s AS m FROM (SELECT b, s, row_number() OVER (PARTITION BY b ORDER BY count(*) DESC, s) AS r FROM e WHERE s IS NOT NULL GROUP BY b, s) WHERE r = 1)
+ SELECT 'b,t' AS keys, count(*) FILTER (WHERE f1) AS filled FROM e UNION ALL SELECT 'b', count(*) FILTER (WHERE e.s IS NULL AND m2.m IS NOT NULL) FROM e LEFT JOIN m2 ON e.b IS NOT DISTINCT FROM m2.b""")
+def imputed_by_level(spark, sf):
+    """How many nulls each level of the hierarchy fills."""
+    _, counts = impute.impute_by_hierarchy(table(spark, sf, "part", **HOLES), "s", ["b", "t", "s"])
+    return spark.createDataFrame([(",".join(c["keys"]), c["filled"]) for c in counts], "keys string, filled long")
+
+
 @query(f"SELECT count(*) FILTER (WHERE b IS NULL) AS b, count(*) FILTER (WHERE s IS NULL) AS s FROM {select('part', **HOLES)}")
 def remaining_nulls(spark, sf):
     return impute.remaining_nulls(table(spark, sf, "part", **HOLES), ["b", "s"])

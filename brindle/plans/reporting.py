@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from brindle.operators import aggregate, clean, likeitems, suppliers
+from brindle.operators import aggregate, clean, likeitems, quantiles, suppliers
 from brindle.plans.registry import query, select, table
 
 HOLES = dict(k="c_custkey", name="CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 5 = 0 THEN '  ' ELSE c_name END", bal="CASE WHEN c_custkey % 11 = 0 THEN CAST('NaN' AS DOUBLE) WHEN c_custkey % 3 = 0 THEN NULL ELSE c_acctbal END")
@@ -56,14 +56,39 @@ def first_non_null(spark, sf):
     return aggregate.first_values(table(spark, sf, "orders", **FIRSTS), ["g"], ["a", "b"], F.col("o")).withColumn("g", F.col("g").cast("string"))
 
 
-RELATION = dict(k="l_suppkey", name="'n' || CAST(l_partkey AS STRING)", method="CASE l_linenumber % 6 WHEN 0 THEN 'raw_exact' WHEN 1 THEN 'basic' WHEN 2 THEN 'aggressive' WHEN 3 THEN 'no_match' WHEN 4 THEN 'very_likely' END", score="l_quantity")
+RELATION = dict(
+    k="' Supplier  ' || CAST(l_suppkey AS STRING)", name="CASE WHEN l_partkey % 9 = 0 THEN ' ' ELSE 'N' || CAST(l_partkey AS STRING) END",
+    method="CASE l_linenumber % 6 WHEN 0 THEN 'Raw_Exact' WHEN 1 THEN 'basic' WHEN 2 THEN 'aggressive ' WHEN 3 THEN 'no_match' WHEN 4 THEN 'very_likely' END",
+    score="CASE WHEN l_partkey % 4 <> 0 THEN l_quantity END", d="CASE WHEN l_orderkey % 3 <> 0 THEN l_shipdate END",
+)
 
 
-@query(f"""WITH d AS (SELECT *, CASE method WHEN 'raw_exact' THEN 1 WHEN 'basic' THEN 2 WHEN 'aggressive' THEN 3 WHEN 'very_likely' THEN 4 ELSE 99 END AS r FROM {select("lineitem", **RELATION)} WHERE method IS NULL OR method <> 'no_match')
-  SELECT k, arg_min(name, (r, -score, name)) AS best_name, arg_min(score, (r, -score, name)) AS best_score, count(DISTINCT name) AS n_names, count(*) AS n_rows, min(r)::INTEGER AS best_priority FROM d GROUP BY k""")
+@query(f"""WITH d AS (SELECT 'supplier ' || trim(replace(k, 'Supplier', '')) AS k, nullif(lower(trim(name)), '') AS name, lower(trim(method)) AS method, score, d::DATE AS d FROM {select("lineitem", **RELATION)}),
+  o AS (SELECT *, CASE method WHEN 'raw_exact' THEN 1 WHEN 'basic' THEN 2 WHEN 'aggressive' THEN 3 WHEN 'very_likely' THEN 4 ELSE 99 END AS r, coalesce(-score, 1e300) AS s FROM d WHERE name IS NOT NULL AND (method IS NULL OR method <> 'no_match')),
+  n AS (SELECT k, string_agg(name, ' | ' ORDER BY i) AS names FROM (SELECT k, name, row_number() OVER (PARTITION BY k ORDER BY min((r, s, name))) AS i FROM o GROUP BY 1, 2) WHERE i <= 8 GROUP BY 1),
+  m AS (SELECT k, string_agg(method, ' | ' ORDER BY i) AS methods FROM (SELECT k, method, row_number() OVER (PARTITION BY k ORDER BY min((r, s, name))) AS i FROM o WHERE method IS NOT NULL GROUP BY 1, 2) WHERE i <= 3 GROUP BY 1)
+  SELECT k, arg_min(name, (r, s, name)) AS best_name, arg_min(method, (r, s, name, method)) FILTER (WHERE method IS NOT NULL) AS best_method, arg_min(score, (r, s, name, score)) FILTER (WHERE score IS NOT NULL) AS best_score, (arg_min(d, (r, s, name, d)) FILTER (WHERE d IS NOT NULL))::VARCHAR AS best_date,
+    any_value(names) AS names, any_value(methods) AS methods, count(DISTINCT name) AS n_names, count(*) AS n_rows, min(r)::INTEGER AS best_priority FROM o JOIN n USING (k) LEFT JOIN m USING (k) GROUP BY k""")
 def relation_profile(spark, sf):
     methods = {"raw_exact": 1, "basic": 2, "aggressive": 3, "very_likely": 4}
-    return aggregate.relation_profile(table(spark, sf, "lineitem", **RELATION), "k", "name", "method", "score", methods, ["no_match"]).drop("names", "best_method")
+    out = aggregate.relation_profile(table(spark, sf, "lineitem", **RELATION), "k", "name", "method", "score", methods, ["no_match"], date="d", most_methods=3)
+    return out.withColumns({"names": F.array_join("names", " | "), "methods": F.array_join("methods", " | "), "best_date": F.col("best_date").cast("string")})
+
+
+@query("""WITH v AS (SELECT l_returnflag AS g, CASE WHEN l_linenumber % 5 <> 0 THEN l_extendedprice END AS v FROM lineitem)
+  SELECT g, count(v) AS n, round(quantile_cont(v, 0.0), 4) AS q0, round(quantile_cont(v, 0.01), 4) AS q1, round(quantile_cont(v, 0.5), 4) AS q2, round(quantile_cont(v, 0.937), 4) AS q3, round(quantile_cont(v, 1.0), 4) AS q4 FROM v GROUP BY 1""")
+def grouped_quantiles(spark, sf):
+    """Exact quantiles of each group by refining the buckets of their ranks."""
+    rows = table(spark, sf, "lineitem", g="l_returnflag", v="CASE WHEN l_linenumber % 5 <> 0 THEN l_extendedprice END")
+    out = quantiles.exact_quantiles(rows, "v", [0.0, 0.01, 0.5, 0.937, 1.0], ["g"])
+    return out.select("g", "n", *[F.round(F.get("quantiles", F.lit(i)), 4).alias(f"q{i}") for i in range(5)])
+
+
+@query("""SELECT l_suppkey AS k, string_agg(v, ', ' ORDER BY i) AS firsts FROM (SELECT l_suppkey, v, row_number() OVER (PARTITION BY l_suppkey ORDER BY o, v) AS i FROM (SELECT l_suppkey, l_shipmode AS v, min(l_orderkey) AS o FROM (SELECT *, CASE WHEN l_partkey % 3 <> 0 THEN 'm' || (l_partkey % 50)::VARCHAR END AS l_shipmode FROM lineitem) WHERE l_shipmode IS NOT NULL GROUP BY 1, 2)) WHERE i <= 5 GROUP BY 1""")
+def first_distinct_values(spark, sf):
+    """Each group's first five distinct values, by a bounded aggregation."""
+    rows = table(spark, sf, "lineitem", k="l_suppkey", o="l_orderkey", v="CASE WHEN l_partkey % 3 <> 0 THEN 'm' || CAST(l_partkey % 50 AS STRING) END")
+    return quantiles.top_distinct(rows, ["k"], "v", F.col("o"), 5, "firsts").withColumn("firsts", F.array_join("firsts", ", "))
 
 
 @query("""SELECT l_returnflag, l_linestatus, round(sum(CASE WHEN l_linenumber % 3 <> 0 THEN l_extendedprice * l_quantity END) / sum(CASE WHEN l_linenumber % 3 <> 0 THEN l_quantity END), 4) AS price_mean, round(sum(l_tax), 4) AS tax_sum,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,9 +50,39 @@ def read_csv_tokens(spark: SparkSession, path: str, tokens: list[str], columns:
     return df.select(*[F.when(~F.trim(F.col(f"`{c}`")).isin(tokens), F.col(f"`{c}`")).alias(c) for c in df.columns]) if tokens else df
 
 
-def read_utf16(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
-    """Delimited UTF-16 text; whole files, since lines can't be split at single bytes."""
-    return spark.read.options(header="true", sep=sep, encoding="UTF-16", multiLine="true").csv(path)
+def read_utf16(spark: SparkSession, path: str, sep: str = "\t", whole_files: bool = False) -> DataFrame:
+    """Delimited UTF-16 text with a header, all columns as text; byte order by the first file's mark, else little endian.
+
+    Files are split among tasks at the two bytes of a line end. Two scans first look for what can't be split so: lines
+    of an odd number of bytes (where a line end's bytes are those of two other letters), or with quotes that another line closes. Then,
+    or with `whole_files`, each file is read as a whole by one task.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    pattern = hadoop.Path(path)
+    fs = pattern.getFileSystem(conf)
+    found = [s for top in (fs.globStatus(pattern) or []) for s in (fs.listStatus(top.getPath()) if top.isDirectory() else [top]) if not s.getPath().getName().startswith(("_", "."))]
+    first = next((s.getPath() for s in sorted(found, key=lambda s: s.getPath().toString()) if s.getLen() >= 2), None)
+    if first is None:
+        return spark.read.options(header="true", sep=sep, encoding="UTF-16", multiLine="true").csv(path)
+    opened = fs.open(first)
+    try:
+        mark = opened.readUnsignedShort()
+    finally:
+        opened.close()
+    charset = "UTF-16BE" if mark == 0xFEFF else "UTF-16LE"
+    raw = spark.read.options(encoding=charset, lineSep="\n").text(path).select(F.col("value").cast("binary").alias("raw"))
+    line = F.rtrim(F.regexp_replace(F.decode("raw", charset), "^\ufeff", ""), F.lit("\r"))
+    whole_files = whole_files or raw.agg(F.max(F.octet_length("raw") % 2)).first()[0] == 1
+    if not whole_files:  # now every line starts at a letter, so it can be decoded
+        whole_files = raw.agg(F.max(F.length(F.regexp_replace(line, '[^"]', "")) % 2)).first()[0] == 1
+    if whole_files:
+        return spark.read.options(header="true", sep=sep, encoding="UTF-16", multiLine="true").csv(path)
+    lines = raw.select(line.alias("line")).where(F.length("line") > 0)
+    head = spark.read.options(encoding=charset, lineSep="\n").text(first.toString()).select(F.rtrim(F.regexp_replace(F.decode(F.col("value").cast("binary"), charset), "^\ufeff", ""), F.lit("\r"))).first()[0]
+    names = next(csv.reader([head], delimiter=sep))
+    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+    return lines.where(F.col("line") != head).select(F.from_csv("line", F.lit(schema), {"sep": sep}).alias("r")).select("r.*")
 
 
 def local_relation(spark: SparkSession, rows: list, schema) -> DataFrame:

@@ -7,7 +7,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from brindle.operators import cluster, features, likeitems
+from pyspark.sql import functions as F
+
+from brindle.operators import cluster, features, likeitems, tree
 
 
 def naive(d):
@@ -33,13 +35,98 @@ def test_chain_equals_naive_merge(n, seed):
         assert size == len(both) and np.isclose(height, max(d[i, j] for i in both for j in both))
 
 
-def test_cut_with_ties_and_bounds():
-    m = np.array([[0, 1, 1.0, 2], [2, 3, 1.0, 2], [4, 5, 2.0, 4]])
-    assert cluster.cut_labels(m, 4, 2).tolist() == [1, 1, 2, 2]
-    assert cluster.cut_labels(m, 4, 3).tolist() == [1, 1, 2, 2]
-    assert cluster.cut_labels(m, 4, 4).tolist() == [1, 2, 3, 4]
+TREE = "merge_step bigint, left_id bigint, right_id bigint, merge_distance double, size bigint"
+
+
+def labels_of(df):
+    return [c for _, c in sorted((r["id"], r["cluster"]) for r in df.collect())]
+
+
+def test_cut_with_ties_and_bounds(spark):
+    m = spark.createDataFrame([(0, 0, 1, 1.0, 2), (1, 2, 3, 1.0, 2), (2, 4, 5, 2.0, 4)], TREE)
+    assert labels_of(cluster.clusters(m, 2)) == [1, 1, 2, 2]
+    assert labels_of(cluster.clusters(m, 3)) == [1, 1, 2, 2]
+    assert labels_of(cluster.clusters(m, 4)) == [1, 2, 3, 4]
+    assert labels_of(cluster.clusters(m, 1)) == [1, 1, 1, 1]
+    assert {r["id"]: r["labels"] for r in cluster.cut_labels(m, [2, 3]).collect()} == {0: [1, 1], 1: [1, 1], 2: [2, 2], 3: [2, 2]}
     with pytest.raises(ValueError):
-        cluster.cut_labels(m, 4, 5)
+        cluster.clusters(m, 5)
+
+
+def by_walk(merges, n, held):
+    """Each holdout item's first merge with history: (node, size, its historical members)."""
+    members, out = {i: {i} for i in range(n)}, {}
+    for step, (a, b, *_) in enumerate(merges):
+        members[n + step] = members.pop(a) | members.pop(b)
+        for t in members[n + step] & held - set(out):
+            if members[n + step] - held:
+                out[t] = (n + step, len(members[n + step]), members[n + step] - held)
+    return out
+
+
+@pytest.mark.parametrize("n, seed", [(2, 0), (17, 1), (60, 2), (61, 3)])
+def test_first_merges_and_cuts_by_walk(spark, n, seed):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, 3))
+    m = cluster.nearest_neighbour_chain(cluster.distances(x, x, "euclidean"))
+    merges = [(int(a), int(b), float(h), int(s)) for a, b, h, s in m]
+    held = {int(i) for i in np.flatnonzero(rng.random(n) < 0.7)}
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(merges)], TREE)
+    members = spark.createDataFrame([(i, i not in held) for i in range(n)], "id bigint, flag boolean")
+    found, ranks = tree.first_with(table, members, "flag")
+    rank = {r["id"]: r["rank"] for r in ranks.collect()}
+    assert sorted(rank.values()) == list(range(n - len(held))) and set(rank) == set(range(n)) - held
+    got = {r["id"]: (r["node"], r["cluster_size"], {i for i, k in rank.items() if r["lo"] <= k < r["hi"]}) for r in found.collect()}
+    assert got == by_walk(merges, n, held)
+    for k in (1, 2, max(1, n // 3), n):
+        root, stop = list(range(n)), n - k
+        groups = {i: [i] for i in range(n)}
+        for step in range(stop):
+            groups[n + step] = groups.pop(merges[step][0]) + groups.pop(merges[step][1])
+        want = [0] * n
+        for label, g in enumerate(sorted(groups.values(), key=lambda g: (-len(g), min(g))), 1):
+            for i in g:
+                want[i] = label
+        assert labels_of(cluster.clusters(table, k)) == want
+
+
+def test_a_chain_of_20000_merges_stays_bounded(spark):
+    """A caterpillar: no table of all its 200 million ancestors, a few rounds."""
+    n = 20_000
+    m = spark.range(n - 1).select(F.col("id").alias("merge_step"), F.when(F.col("id") == 0, 0).otherwise(F.col("id") + (n - 1)).cast("long").alias("left_id"), (F.col("id") + 1).alias("right_id"), F.col("id").cast("double").alias("merge_distance"), (F.col("id") + 2).alias("size"))
+    members = spark.range(n).select("id", (F.col("id") % 1000 == 999).alias("flag"))
+    found, ranks = tree.first_with(m, members, "flag")
+    rows = {r["id"]: (r["node"], r["cluster_size"], r["lo"], r["hi"]) for r in found.where("id IN (0, 500, 998, 1000, 19998)").collect()}
+    assert found.count() == n - 20 and ranks.count() == 20
+    assert rows[0] == rows[500] == rows[998] == (n + 998, 1000, 0, 1)
+    assert rows[1000] == (n + 999, 1001, 0, 1) and rows[19998] == (n + 19997, 19999, 0, 19)
+
+
+def test_sparse_rows_give_the_dense_distances(spark):
+    rng = np.random.default_rng(4)
+    cells = [(i, f"f{j}", float(rng.normal())) for i in range(700) for j in [0, *rng.choice(40, 3)]]
+    long = spark.createDataFrame(cells, "id bigint, feature string, value double")
+    for metric in ("cosine", "euclidean"):
+        a = cluster.pair_distances(cluster.dense_matrix(long), metric).withColumnRenamed("distance", "a")
+        b = cluster.pair_distances(cluster.sparse_rows(long), metric).withColumnRenamed("distance", "b")
+        row = a.join(b, ["i", "j"]).agg(F.count(F.lit(1)), F.max(F.abs(F.col("a") - F.col("b")))).first()
+        assert row[0] == 700 * 699 // 2 and row[1] < 1e-6
+
+
+def test_nearest_items_by_block(spark):
+    rng = np.random.default_rng(6)
+    x, t = rng.normal(size=(1300, 2)), rng.normal(size=(600, 2))
+    others = spark.createDataFrame([(10_000 + i, i, v.tolist()) for i, v in enumerate(x)], "id bigint, rank bigint, vector array<double>")
+    ranges = [sorted(rng.choice(1301, 2, replace=False)) for _ in t]
+    targets = spark.createDataFrame([(i, int(lo), int(hi), v.tolist()) for i, (v, (lo, hi)) in enumerate(zip(t, ranges))], "id bigint, lo bigint, hi bigint, vector array<double>")
+    sent = cluster.nearest_in_ranges(targets, others, 4, "euclidean")
+    rows = {}
+    for r in sent.collect():
+        rows.setdefault(r["target_id"], []).append((r["distance"], r["like_id"]))
+    assert sum(map(len, rows.values())) <= 600 * 4 * 3
+    for i, (lo, hi) in enumerate(ranges):
+        d = np.linalg.norm(x[lo:hi] - t[i], axis=1)
+        assert [p - 10_000 for _, p in sorted(rows[i])[:4]] == [lo + k for k in np.argsort(d)[:4]]
 
 
 def test_small_inputs_and_errors(spark):
@@ -75,9 +162,9 @@ def test_roles(spark):
 def test_like_items_follow_the_first_merge_with_history(spark):
     x = {0: [0.0], 1: [0.1], 2: [1.0], 3: [10.0]}
     items = spark.createDataFrame([(i, v) for i, v in x.items()], "id bigint, vector array<double>")
-    tree = cluster.linkage(items, "euclidean")
+    merges = cluster.keep_tree(cluster.linkage(items, "euclidean"))
     role = spark.createDataFrame([(0, likeitems.HOLDOUT), (1, likeitems.HOLDOUT), (2, likeitems.HISTORICAL), (3, likeitems.HISTORICAL)], "id bigint, role string")
-    got = likeitems.like_items(tree, role, cluster.pair_distances(items, "euclidean"), cluster.clusters(tree, 2)).collect()
+    got = likeitems.like_items(merges, role, items, cluster.clusters(merges, 2), metric="euclidean").collect()
     assert {(r["target_id"], r["like_id"], r["candidate_rank"], r["same_flat_cluster"]) for r in got} == {(0, 2, 1, True), (1, 2, 1, True)}
 
 
