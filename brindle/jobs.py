@@ -2,7 +2,7 @@
 
     python -m brindle.jobs JOB --config FILE [--set KEY=VALUE ...] [--no-write] [--full-refresh]
 
-Jobs are `clean`, `clean_raw`, `clean_tables`, `clean_attributes`, `aggregate` and `join`. Settings of the top level may be set on the command
+Jobs are `clean`, `clean_raw`, `clean_tables`, `clean_attributes`, `aggregate`, `join` and `cluster`. Settings of the top level may be set on the command
 line, by parameters of the session, by the environment (BRINDLE_<KEY>) or in the file, in that rank. What is counted for a report is
 observed while the output is written, so that a job reads its input once more only where its docstring says so.
 """
@@ -24,9 +24,12 @@ from brindle.functions.names import as_list, flag_names, rename, resolve
 from brindle.operators import clean as cleaning
 from brindle.operators.aggregate import group_counts, missing_summary, modes
 from brindle.operators.expand import distinct_items, flags
+from brindle.operators.flow import EXCLUDED_METHODS, find_like_items, holdout_features, profiles, wide_features
 from brindle.operators.impute import impute_by_groups, impute_by_hierarchy
 from brindle.operators.incremental import after_mark, incremental_upsert, max_mark, overwrite, read_mark, target_exists
 from brindle.operators.joins import joined_data
+from brindle.operators.likeitems import HOLDOUT, roles
+from brindle.operators.persist import fixed
 from brindle.operators.suppliers import aggregate_performance, apply_canonical, canonical_suppliers, cross_supplier_report
 from brindle.operators.versioned import is_versioned
 from brindle.sources.readers import read_by_config, read_csv
@@ -149,7 +152,7 @@ def run_clean_raw(spark: SparkSession, config: dict, write: bool = True) -> dict
     imputation by hierarchies, the output, the report of cabinets with several suppliers and the run log.
 
     Known from documentation only. Assumed: a listed cabinet's supplier replaces the row's own; tied cabinets keep theirs; a game's
-    majority fills nulls alone, the lowest of equals. Hierarchies cost two counts a level.
+    majority fills nulls alone, the lowest of equals. Hierarchies cost one more scan each.
     """
     df = clean_rows(cleaning.apply_filters(read_by_config(spark, config), config.get("filters") or {}), config)
     names = config.get("supplier") or {}
@@ -247,7 +250,49 @@ def run_join(spark: SparkSession, config: dict, write: bool = True) -> dict:
     return out
 
 
-JOBS = {"clean": run_clean, "clean_raw": run_clean_raw, "clean_tables": run_clean_tables, "clean_attributes": run_clean_attributes, "aggregate": run_aggregate, "join": run_join}
+def run_cluster(spark: SparkSession, config: dict, write: bool = True) -> dict:
+    """Like items, from attributes and relation map (`inputs.attributes`, `inputs.relation`, each read by its own entry) to the exports: profiles,
+    feature_matrix, mapping, grouped_mapping, cluster_summary, elbow_scores and holdout_features (the table that a chart of each holdout item would
+    show), folders of CSV files below `output_dir`, and the manifest.
+
+    `profiles` holds what flow.profiles takes (`order` is needed), `clustering` what flow.find_like_items takes. With `history_months`, younger
+    historical items are left out first. `selected_k` out of range is an error.
+    """
+    inputs = {k: read_by_config(spark, config["inputs"][k]) for k in ("attributes", "relation")}
+    about, how = dict(config.get("profiles") or {}), dict(config.get("clustering") or {})
+    about = {k: tuple(v) if isinstance(v, list) and k != "order" else v for k, v in about.items()}
+    items = fixed(profiles(inputs["attributes"], inputs["relation"], **about))
+    months = config.get("history_months")
+    if months is not None:
+        placed = roles(items, "profile_id", "profile_release_date", float(how.get("fraction", 0.10)))
+        items = fixed(placed.where((F.col("role") == HOLDOUT) | (F.col("release_age_months") >= int(months))).drop("role"))
+    k = int(how.pop("selected_k", 8))
+    out = find_like_items(items, "profile_id", "profile_release_date", **{a: tuple(v) if a == "texts" else v for a, v in how.items()}, k=k)
+    mapping = fixed(out["mapping"])
+    frames = {
+        "profiles": out["profiles"], "feature_matrix": wide_features(out["features"], out["profiles"]), "mapping": mapping, "grouped_mapping": out["grouped"],
+        "cluster_summary": out["summary"], "elbow_scores": out["elbow"], "holdout_features": holdout_features(out["profiles"], out["features"], out["metadata"]),
+    }
+    held = F.count_if(F.col("role") == HOLDOUT)
+    counts = out["profiles"].agg(F.count(F.lit(1)).alias("profile_rows"), held.alias("holdout_profiles"), (F.count(F.lit(1)) - held).alias("historical_profiles"), F.countDistinct("cluster_id").alias("selected_clusters")).first().asDict()
+    sources = {r[0]: r[1] for r in out["metadata"].groupBy("source_column").agg(F.count(F.lit(1))).collect()}  # a row per column
+    best = out["elbow"].orderBy(F.desc("elbow_distance_to_line"), "requested_k").first()
+    facts = counts | {
+        "inputs": {k: config["inputs"][k].get("input_path") or config["inputs"][k].get("input_table") for k in inputs}, "feature_columns": sum(sources.values()), "feature_source_counts": sources,
+        "mapped_holdout_profiles": mapping.select("target_profile_id").distinct().count(), "mapping_rows": mapping.count(), "auto_elbow_k": best["actual_k"] if best else None, "selected_clusters_setting": k,
+        "excluded_match_methods": sorted(about.get("excluded", EXCLUDED_METHODS)), "distance_metric": "cosine", "linkage_method": "complete", "outputs": {},
+    }
+    if write:
+        for name, frame in frames.items():
+            plain = frame.select(*[F.to_json(c).alias(c) if "<" in kind else F.col(c) for c, kind in frame.dtypes])
+            path = f"{config['output_dir']}/{name}"
+            plain.write.mode("overwrite").option("header", "true").csv(path)
+            facts["outputs"][name] = path
+    finish(config, facts)
+    return facts | frames
+
+
+JOBS = {"cluster": run_cluster, "clean": run_clean, "clean_raw": run_clean_raw, "clean_tables": run_clean_tables, "clean_attributes": run_clean_attributes, "aggregate": run_aggregate, "join": run_join}
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:

@@ -72,7 +72,7 @@ def vector_columns(rows: DataFrame) -> list[str]:
 
 
 def vectors_of(rows: DataFrame) -> list:
-    return [F.col("vector").cast("array<double>").alias("vector")] if "vector" in rows.columns else [F.col("features"), F.col("values").cast("array<double>").alias("values")]
+    return [F.col("vector").cast("array<double>").alias("vector")] if "vector" in rows.columns else [F.transform("features", lambda f: f).alias("features"), F.col("values").cast("array<double>").alias("values")]
 
 
 class Sparse:
@@ -160,8 +160,8 @@ def nearest_in_ranges(targets: DataFrame, others: DataFrame, limit: int | None,
     chunks = max(1, -(-targets.count() // BLOCK))
     own = vector_columns(targets)
     reached = F.sequence(F.floor(F.col("lo") / BLOCK), F.floor((F.col("hi") - 1) / BLOCK))
-    left = targets.where("hi > lo").select("id", *vectors_of(targets), "lo", "hi", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int").alias("chunk"), F.explode(reached).alias("block"))
-    right = others.select("id", *vectors_of(others), "rank", F.floor(F.col("rank") / BLOCK).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
+    left = targets.where("hi > lo").select(F.col("id").alias("id"), *vectors_of(targets), "lo", "hi", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int").alias("chunk"), F.explode(reached).alias("block"))
+    right = others.select(F.col("id").alias("id"), *vectors_of(others), F.col("rank").alias("rank"), F.floor(F.col("rank") / BLOCK).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
 
     def nearest(a: pa.Table, b: pa.Table) -> pa.Table:
         found = ([], [], [])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brindle.operators import aggregate, clean, cluster, features, flow, likeitems
-from brindle.plans.registry import query, table
+from brindle.plans.registry import query, select, table
 
 
 def _clean(c: str) -> str:
@@ -246,6 +246,52 @@ def _suppliers(spark, sf):
     return table(spark, sf, "supplier", s_suppkey="s_suppkey", theme_name="s_name", release_date="date_add(DATE'2020-01-01', CAST(s_suppkey * 37 % 1500 AS INT))", game_type="CONCAT('type ', s_nationkey % 5)", product_family="CONCAT('family ', s_nationkey)", is_wap="CASE WHEN s_suppkey % 3 = 0 THEN 'yes' ELSE 'no' END", bet="s_acctbal")
 
 
+#: Attributes of parts and a relation map of line items, with dirt in keys, dates, methods and flags.
+ATTRIBUTES = dict(
+    theme_name="p_name", theme_name_friendly="CASE WHEN p_partkey % 11 = 0 THEN ' ' ELSE ' Part  ' || CAST(p_partkey AS STRING) END", game_type="p_type", product_family="p_brand",
+    game_matrix="""CASE p_partkey % 3 WHEN 0 THEN '["Bingo Hall", "reels"]' WHEN 1 THEN 'lottery; x' END""", audit_is_deleted="CASE WHEN p_partkey % 13 = 0 THEN 'Y' ELSE 'n' END",
+    na_release_date="CASE WHEN p_partkey % 2 = 0 THEN CAST(date_add(DATE'2015-01-01', CAST(p_partkey % 900 AS INT)) AS STRING) ELSE 'soon' END", apac_release_date="CASE WHEN p_partkey % 5 = 0 THEN '2014-06-01' END",
+)
+RELATIONS = dict(
+    theme_name_friendly="'part ' || CAST(l_partkey AS STRING)", perf_game_name="'Game ' || CAST(l_suppkey AS STRING)", match_score="CAST(l_quantity AS STRING)", game_release_date="CAST(CAST(l_shipdate AS DATE) AS STRING)",
+    match_method="CASE l_linenumber % 4 WHEN 0 THEN 'raw_exact' WHEN 1 THEN 'no_match' WHEN 2 THEN 'Basic_Clean_Exact' ELSE 'weak_review_only' END",
+)
+_ATTR = select("part", **ATTRIBUTES, apart="p_partkey").replace("date_add(DATE'2015-01-01', CAST(p_partkey % 900 AS INT))", "(DATE '2015-01-01' + (p_partkey % 900)::INT)").replace("STRING", "VARCHAR")
+
+
+@query(f"""WITH r AS (SELECT theme_name_friendly AS k, lower(perf_game_name) AS name, lower(match_method) AS m, match_score::DOUBLE AS s, game_release_date::DATE AS d, CASE lower(match_method) WHEN 'raw_exact' THEN 1 WHEN 'basic_clean_exact' THEN 2 ELSE 99 END AS p FROM {select("lineitem", **RELATIONS).replace("STRING", "VARCHAR")}),
+  o AS (SELECT * FROM r WHERE m NOT IN ('no_match', 'weak_review_only')),
+  b AS (SELECT k, arg_min(name, (p, -s, name)) AS best, count(DISTINCT name) AS n, arg_min(s, (p, -s, name)) AS score, arg_min(d, (p, -s, name, d)) AS matched FROM o GROUP BY 1),
+  ns AS (SELECT k, string_agg(name, ' | ' ORDER BY i) AS names FROM (SELECT k, name, row_number() OVER (PARTITION BY k ORDER BY min((p, -s, name))) AS i FROM o GROUP BY 1, 2) WHERE i <= 8 GROUP BY 1),
+  a AS (SELECT *, 'part ' || apart::VARCHAR AS join_key, try_cast(na_release_date AS DATE) AS na, apac_release_date::DATE AS ap FROM {_ATTR} WHERE trim(theme_name_friendly) <> '' AND audit_is_deleted <> 'Y'),
+  j AS (SELECT a.*, b.*, ns.names, least(na, ap, matched) AS released FROM a JOIN b ON join_key = b.k JOIN ns ON ns.k = b.k),
+  l AS (SELECT *, max(released) OVER () AS latest FROM j)
+  SELECT join_key, row_number() OVER (ORDER BY apart) - 1 AS profile_id, best AS best_historical_game_name, names AS historical_game_names, n AS historical_candidate_count, score AS best_match_score, released::VARCHAR AS profile_release_date,
+    ((year(latest) - year(released)) * 12 + month(latest) - month(released))::INT AS release_age_months, (apart % 3 = 0)::INT::DOUBLE AS attr_matrix_token_bingo, (apart % 3 = 1)::INT::DOUBLE AS attr_matrix_token_lottery FROM l""")
+def item_profiles(spark, sf):
+    """Attributes joined to the profile of their relation rows, with dates, ages and flags."""
+    out = flow.profiles(table(spark, sf, "part", **ATTRIBUTES, apart="p_partkey"), table(spark, sf, "lineitem", **RELATIONS), ["apart"])
+    return out.select("join_key", "profile_id", "best_historical_game_name", "historical_game_names", "historical_candidate_count", "best_match_score", F.col("profile_release_date").cast("string").alias("profile_release_date"), "release_age_months", "attr_matrix_token_bingo", "attr_matrix_token_lottery")
+
+
+@query("""WITH m AS (SELECT s_suppkey AS id, s_suppkey % 3 AS cluster, s_suppkey % 5 = 0 AS held, DATE '2020-01-01' + (s_suppkey * 37 % 1500)::INT AS d, s_suppkey * 7 % 40 AS age, 'type ' || (s_suppkey % 4) AS t FROM supplier),
+  s AS (SELECT cluster, t, count(*) AS n FROM m GROUP BY 1, 2), z AS (SELECT cluster, count(*) AS n FROM m GROUP BY 1), a AS (SELECT t, count(*) * 1.0::DOUBLE / (SELECT count(*) FROM m) AS share FROM m GROUP BY 1),
+  top AS (SELECT cluster, string_agg(t || ' (' || round(n * 100.0 / all_n)::INT || '%)', '; ' ORDER BY k) AS shares FROM (SELECT s.cluster, t, s.n, z.n AS all_n, row_number() OVER (PARTITION BY s.cluster ORDER BY s.n DESC, t) AS k FROM s JOIN z ON z.cluster = s.cluster) WHERE k <= 3 GROUP BY 1),
+  lifts AS (SELECT z.cluster, a.t, 3.0::DOUBLE * coalesce(s.n, 0) / z.n - 3.0::DOUBLE * a.share AS lift FROM z CROSS JOIN a LEFT JOIN s ON s.cluster = z.cluster AND s.t = a.t),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY round(lift, 9) DESC, t) AS k FROM lifts)
+  SELECT m.cluster AS cluster_id, count(*) AS profile_count, count(*) FILTER (WHERE held) AS holdout_count, count(*) FILTER (WHERE NOT held) AS historical_count, min(d)::VARCHAR AS min_release_date, max(d)::VARCHAR AS max_release_date, median(age)::DOUBLE AS median_release_age_months,
+    any_value(shares) AS top_game_type, any_value((SELECT string_agg('game type ' || t, '; ' ORDER BY k) FROM ranked r WHERE r.cluster = m.cluster AND k <= 3)) AS top_distinguishing_features,
+    coalesce(any_value((SELECT string_agg('Game Type: Type ' || t[6:], '; ' ORDER BY k) FROM ranked r WHERE r.cluster = m.cluster AND lift > 0 AND k <= 2)), NULL) AS cluster_description
+  FROM m JOIN top ON top.cluster = m.cluster GROUP BY 1""")
+def cluster_summary_of_given_cut(spark, sf):
+    """The summary over a cut that SQL can write down, with the description by reportable lift."""
+    s = table(spark, sf, "supplier", id="s_suppkey", cluster="s_suppkey % 3", role=f"CASE WHEN s_suppkey % 5 = 0 THEN '{likeitems.HOLDOUT}' ELSE '{likeitems.HISTORICAL}' END", d="date_add(DATE'2020-01-01', CAST(s_suppkey * 37 % 1500 AS INT))", release_age_months="s_suppkey * 7 % 40", game_type="'type ' || CAST(s_suppkey % 4 AS STRING)")
+    long = features.feature_table(s, "id", {"game_type": 1.5})
+    meta = features.feature_metadata(long, s.count(), weights={"game_type": 1.5})
+    out = flow.summary(s, long, "d", 3, meta, 0.02, 0.5, "game_type")
+    return out.withColumns({c: F.col(c).cast("string") for c in ("min_release_date", "max_release_date")}).drop("important_features")
+
+
 @query()
 def classical_scaling(spark, sf):
     return cluster.classical_scaling(_items(spark, sf))

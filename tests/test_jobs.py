@@ -152,3 +152,26 @@ def test_rank_of_settings(spark, tmp_path):
         jobs.main(["clean", "--config", path, "--set", "nonsense=1"], spark)
     with pytest.raises(SystemExit):
         jobs.main(["join", "--config", path, "--full-refresh"], spark)
+
+
+def test_cluster_job_writes_its_exports(spark, tmp_path):
+    drop(spark, "j_attr", "j_rel")
+    attributes = [(i, f"Game {i}", "abc"[i % 3], f"type {i % 4}", "['Bingo']" if i % 2 else None, "yes" if i % 5 else "no", f"20{10 + i % 12}-0{1 + i % 9}-01") for i in range(40)]
+    table(spark, "j_attr", attributes, "theme_sk int, theme_name_friendly string, product_family string, game_type string, game_matrix string, is_wap string, na_release_date string")
+    table(spark, "j_rel", [(f" game {i}", f"Old {i % 7}", "raw_exact" if i % 4 else "no_match", "0.9", "2009-05-01") for i in range(40)], "theme_name_friendly string, perf_game_name string, match_method string, match_score string, game_release_date string")
+    settings = {
+        "inputs": {"attributes": {"input_table": "j_attr"}, "relation": {"input_table": "j_rel"}}, "profiles": {"order": ["theme_sk"]}, "output_dir": str(tmp_path / "out"), "manifest_path": str(tmp_path / "m.json"),
+        "clustering": {"categories": {"product_family": 1.5, "game_type": 1.0}, "booleans": {"is_wap": 0.5}, "selected_k": 4, "limit": 3, "floor": 0.02, "share_of_top": 0.5},
+    }
+    out = run(spark, tmp_path, "cluster", settings)
+    said = json.loads((tmp_path / "m.json").read_text())
+    assert said["profile_rows"] == 30 and said["holdout_profiles"] == 3 and said["historical_profiles"] == 27 and said["selected_clusters_setting"] == 4
+    assert said["mapping_rows"] == sum(1 for _ in spark.read.csv(said["outputs"]["mapping"], header=True).collect()) <= 9
+    names = {"profiles", "feature_matrix", "mapping", "grouped_mapping", "cluster_summary", "elbow_scores", "holdout_features"}
+    assert set(said["outputs"]) == names and spark.read.csv(said["outputs"]["feature_matrix"], header=True).count() == 30
+    assert {r["important_features"] is not None and r["cluster_description"] is not None for r in out["cluster_summary"].collect()} == {True}
+    assert all(r["best_historical_game_name"] == f"old {r['theme_sk'] % 7}" and r["attr_matrix_token_bingo"] == r["theme_sk"] % 2 for r in out["profiles"].collect())
+    settings["clustering"]["selected_k"] = 17
+    with pytest.raises(ValueError, match="k = 17"):
+        run(spark, tmp_path, "cluster", settings, "--no-write")
+    drop(spark, "j_attr", "j_rel")
