@@ -2,9 +2,10 @@
 
 A vector lives in the cell of its nearest centre (its home) and visits the cells whose boundary it is close to.
 A pair is compared where one of the two is at home and the other lives or visits. Two unit vectors of cosine
-`least` are `d = sqrt(2 - 2 * least)` apart, and their difference moves a boundary distance by d * z / sqrt(dim)
-for a difference of no special direction, z being about normal; vectors visit up to z = 3. Recall against brute
-force is measured in the tests. Cells are compared in blocks of at most 2,048 by 2,048 vectors on average, each block
+`least` are `d = sqrt(2 - 2 * least)` apart, and their difference moves a boundary distance by d * z * s, z being about normal and
+s the share of a difference that falls on one direction. Differences of near vectors are taken to spread as vectors do
+around their centres: s is measured there, in the direction in which these spread most (1 / sqrt(dim) if they spread evenly, 1 / sqrt(8) in a
+subspace of 8 dimensions); vectors visit up to z = 3. Recall against brute force is measured in the tests. Cells are compared in blocks of at most 2,048 by 2,048 vectors on average, each block
 pair a group of its own, so a cell with a third of all vectors is spread over tasks. A block pair gives counts and
 a spanning forest of its links, never its pairs. Equal vectors are one vector with a weight.
 """
@@ -24,6 +25,8 @@ from brindle.llm.components import components
 #: Vectors of a cell on average; most cells (the centres are sent to every task: at most 4096 x dim doubles);
 #: vectors that k-means is fitted on, for each centre; block edge; z of the boundary margin.
 CELL_ROWS, MOST_CELLS, SAMPLE_ROWS, BLOCK, MARGIN = 256, 4096, 32, 2048, 3.0
+#: Bytes that the sample for k-means has at most, as doubles on the driver.
+SAMPLE_BYTES = 128 << 20
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -45,6 +48,15 @@ def spherical_kmeans(x: np.ndarray, k: int, steps: int = 8, seed: int = 1) -> np
     return centres
 
 
+def widest_spread(x: np.ndarray, centres: np.ndarray) -> float:
+    """Of what vectors differ from their centres, the root of the share along the direction that has most of it: 1 / sqrt(dim) to 1."""
+    home = np.concatenate([(x[i : i + 8192] @ centres.T).argmax(axis=1) for i in range(0, len(x), 8192)])
+    off = x - centres[home]
+    scatter = off.T @ off
+    whole = np.trace(scatter)
+    return float(np.sqrt(np.linalg.eigvalsh(scatter)[-1] / whole)) if whole > 1e-12 * len(x) else 1.0
+
+
 def visits(x: np.ndarray, centres: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray]:
     """Home cells, and which cells each vector lives in or visits: those whose bisector with home is within `margin`."""
     sim = x @ centres.T
@@ -96,11 +108,14 @@ def _links_of_size(vectors: DataFrame, size: int, least: float) -> DataFrame:
     """(kind, a, b): kind 0 gives vector a's partial count b, kind 1 a link from a to b. vectors: id, x, weight."""
     n = vectors.count()
     k = int(min(MOST_CELLS, max(1, n // CELL_ROWS)))
-    wanted = min(n, SAMPLE_ROWS * k)
-    share = F.pmod(F.xxhash64("x"), F.lit(1 << 20)) <= F.lit(int((1 << 20) * min(1.0, 1.1 * wanted / max(n, 1))) + 1)
-    sample = [r[0] for r in vectors.where(share).select("x").limit(max(wanted, 1)).collect()]
-    centres = spherical_kmeans(unit(np.array(sample, dtype=float)), k) if sample else np.zeros((1, size))
-    margin = np.sqrt(2 - 2 * least) * min(1.0, MARGIN / np.sqrt(size))
+    wanted = max(1, min(n, SAMPLE_ROWS * k, SAMPLE_BYTES // (8 * size)))
+    # by a hash, so that reruns take the same rows; the share keeps the sort to about as many rows as are wanted
+    hash_ = F.xxhash64("x")
+    share = F.pmod(hash_, F.lit(1 << 20)) <= F.lit(int((1 << 20) * min(1.0, 1.2 * wanted / max(n, 1) + 0.001)) + 1)
+    drawn = vectors.where(share).orderBy(hash_, "x").limit(wanted).select(F.col("x").cast("array<double>").alias("x")).toArrow().column("x").combine_chunks()
+    sample = unit(drawn.flatten().to_numpy().reshape(-1, size)) if len(drawn) else np.zeros((0, size))
+    centres = spherical_kmeans(sample, k) if len(sample) else np.zeros((1, size))
+    margin = np.sqrt(2 - 2 * least) * min(1.0, MARGIN * (widest_spread(sample, centres) if len(sample) else 1.0))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,7 +152,7 @@ def embedding_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str
     Vectors that are null, empty, zero or hold null or non-finite components have n_links 0 and are a group of
     their own, as are rows without an id. Vectors of different lengths never link. Equal rows are rows of their own that link with each other.
     An empty table gives no rows. Columns that aren't named are ignored. k-means is fitted on at most 32 vectors a
-    centre and 4,096 centres; all vectors are placed and compared.
+    centre, 4,096 centres and 128 MB; all vectors are placed and compared.
     """
     x = F.col(vector_col)
     fine = F.coalesce(F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(x, lambda v: v != 0) & F.col(id_col).isNotNull(), F.lit(False))

@@ -57,12 +57,12 @@ stats AS (
   SELECT d.doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
          (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, len(l) AS n_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
-         length(regexp_replace(text, '[^A-Z]', '', 'g')) AS capitals, length(regexp_replace(text, '[^a-z]', '', 'g')) AS small,
+         length(regexp_replace(text, '[^A-Z]', '', 'g')) AS capitals, length(regexp_replace(text, '[^\p{{L}}]', '', 'g')) AS letters,
          len(list_filter(words, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS letter_words
   FROM d JOIN lines USING (rid) LEFT JOIN covered c USING (rid))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 100 * n_symbols > 30 * n_words OR capitals > small
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 100 * n_symbols > 30 * n_words OR 2 * capitals > letters
             OR 100 * n_dup_lines > 50 * n_lines OR word_chars < 2 * n_words OR word_chars > 40 * n_words
             OR 2 * letter_words < n_words) AS kept
 FROM stats

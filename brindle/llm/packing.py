@@ -4,8 +4,8 @@ Documents become token ids in one pass over the texts; what remains of a documen
 checksums. The histogram of lengths (at most `capacity` rows, whatever the corpus) goes to the driver, where
 multiplicative weights solve the covering program over configurations (multisets of lengths that fit a
 sequence): a length's weight falls exponentially with the share of its pieces that is covered, and an exact bounded
-knapsack by dynamic programming prices the next configuration, which is used a whole number of times. When no
-configuration of what is left fills a sequence, best fit places that rest. Weights divided by their best price are a
+knapsack by dynamic programming prices the next configuration, which is used a whole number of times. It goes on with
+configurations that fill less until every piece is covered; best fit places what an earlier stage leaves if that takes fewer sequences. Weights divided by their best price are a
 dual solution, so the plan comes with a lower bound. Pieces then find their sequence by their number within their
 length, in a join with the configurations.
 """
@@ -29,8 +29,8 @@ CAPACITY, END_ID = 2048, 0
 CACHE_ENTRIES = 150_000
 #: Pieces of one length that one task numbers.
 ROWS_IN_PART = 250
-#: The program ends where the best configuration fills less than this share of a sequence.
-FULL = 0.98
+#: What share of a sequence a configuration has to fill: the program goes down from stage to stage, to the end.
+FULL = (0.98, 0.9, 0.75, 0.5, 0.0)
 #: Places of a length that are looked through at a time.
 PLACES = 32
 
@@ -222,7 +222,7 @@ def lower_bound(lengths: np.ndarray, counts: np.ndarray, weights: np.ndarray, ca
     return math.ceil(float((counts * weights).sum()) / price - 1e-9)
 
 
-def solve_configurations(lengths: np.ndarray, counts: np.ndarray, capacity: int, rate: float = 1.0, tilt: float = 0.3, full: float = FULL, many: int = 16) -> tuple[list[tuple[int, dict[int, int]]], np.ndarray, int]:
+def solve_configurations(lengths: np.ndarray, counts: np.ndarray, capacity: int, rate: float = 1.0, tilt: float = 0.3, full: float = FULL[0], many: int = 16) -> tuple[list[tuple[int, dict[int, int]]], np.ndarray, int]:
     """(times, configuration) of an approximate solution of min sum(x) with every length covered `counts` times, the
     counts that it leaves, and a lower bound of the optimum.
 
@@ -284,11 +284,24 @@ def best_fit(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> Counter:
 def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[int, int, int, int, int, int]], dict[str, int]]:
     """Rows (length, first, last, each, sequence, offset): pieces first..last-1 of a length go `each` to a
     sequence, the first ones to `sequence`, starting at `offset`. Every piece has a place. Beside them the numbers of
-    sequences from the `program` and from best fit (`rest`), and the lower `bound`."""
+    sequences from the `program` and from best fit (`rest`), and the lower `bound`.
+
+    The program runs until it covers every piece, with configurations that fill less and less. Of its stages the one counts that gives the fewest
+    sequences with best fit for what it leaves, the latest of equal ones: best fit only places what the program has left.
+    """
     lengths = np.array(sorted(histogram), dtype=np.int64)
     counts = np.array([histogram[int(x)] for x in lengths], dtype=np.int64)
     solution, left, bound = solve_configurations(lengths, counts, capacity)
-    rest = best_fit(lengths, left, capacity)
+    best = (solution, best_fit(lengths, left, capacity))
+    for full in FULL[1:]:
+        if not left.any():
+            break
+        more, left, _ = solve_configurations(lengths, left, capacity, full=full)
+        solution = solution + more
+        rest = best_fit(lengths, left, capacity)
+        if sum(n for n, _ in solution) + sum(rest.values()) <= sum(n for n, _ in best[0]) + sum(best[1].values()):
+            best = (solution, rest)
+    solution, rest = best
     used = np.zeros(len(lengths), dtype=np.int64)
     rows, sequence = [], 0
     for config, times in [*((tuple(sorted(c.items())), n) for n, c in solution), *rest.items()]:

@@ -429,15 +429,26 @@ def test_the_program_covers_what_it_says():
         solution, left, bound = packing.solve_configurations(lengths, counts, 2048) if n else ([], counts, 0)
         covered = left.copy()
         for times, config in solution:
-            assert times >= 1 and packing.FULL * 2048 <= sum(int(lengths[i]) * k for i, k in config.items()) <= 2048
+            assert times >= 1 and packing.FULL[0] * 2048 <= sum(int(lengths[i]) * k for i, k in config.items()) <= 2048
             for i, k in config.items():
                 covered[i] += times * k
         assert (covered == counts).all() and bound >= int((lengths * counts).sum()) / 2048
         rows, found = packing.plan_sequences(dict(zip(lengths.tolist(), counts.tolist())))
-        assert found["bound"] == bound and found["program"] == sum(t for t, _ in solution)
+        assert found["bound"] == bound and found["program"] >= sum(t for t, _ in solution)
+        assert found["program"] + found["rest"] <= sum(t for t, _ in solution) + sum(packing.best_fit(lengths, left, 2048).values())
         assert found["program"] + found["rest"] >= bound and sum(last - first for _, first, last, *_ in rows) == counts.sum()
 
 
+def test_the_program_covers_long_pieces_and_single_lengths():
+    """Histograms of which no configuration fills a sequence: the program makes them all, no worse than best fit alone."""
+    odd = [{1500: 1000, 600: 10}, {1100: 50, 1300: 20}, {680: 1000, 1300: 50}, {1000: 400, 1010: 300, 30: 2}, {2048: 5}, {1: 3}, {1024: 7}, {1025: 1}, {int(n): int(n) % 9 + 1 for n in range(1025, 2048, 3)}]
+    for histogram in odd:
+        rows, found = packing.plan_sequences(histogram)
+        alone = packing.best_fit(np.array(sorted(histogram)), np.array([histogram[n] for n in sorted(histogram)]), 2048)
+        assert found["rest"] == 0 and found["bound"] <= found["program"] <= sum(alone.values())
+        assert sum(last - first for _, first, last, *_ in rows) == sum(histogram.values())
+
+
 def test_the_price_is_that_of_the_best_bounded_multiset():
     from itertools import product
 

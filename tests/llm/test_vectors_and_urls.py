@@ -59,6 +59,20 @@ def test_embeddings(spark):
     assert embeddings.embedding_duplicates(df.limit(0)).count() == 0
 
 
+def test_recall_in_a_subspace(spark):
+    """Vectors of 256 dimensions that lie in a subspace of 8: near pairs differ there alone, and cells' borders get margins to match."""
+    rng = np.random.default_rng(11)
+    basis = np.linalg.qr(rng.normal(size=(256, 8)))[0]
+    x = rng.normal(size=(5000, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x[:2000] + rng.normal(size=(2000, 8)) * 0.1
+    points = np.concatenate([x, near / np.linalg.norm(near, axis=1, keepdims=True)]) @ basis.T
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(points)], "vec_id long, embedding array<double>")
+    want = (points @ points.T >= 0.95).sum(axis=1) - 1
+    got = np.array([n for _, n in sorted((r["vec_id"], r["n_links"]) for r in embeddings.embedding_duplicates(rows).collect())])
+    assert (got <= want).all() and got.sum() >= 0.99 * want.sum() and want.sum() > 2000
+
+
 def test_embeddings_table(spark):
     df = spark.read.parquet(f"{SF}/embeddings.parquet")
     rows = [(r[0], r[1]) for r in df.select("vec_id", "embedding").collect()]
