@@ -34,20 +34,19 @@ def flag_names(prefix: str, values: list[str]) -> dict[str, str]:
     return out
 
 
-#: What feature columns start with, by block.
-BLOCK_PREFIXES = ("cat__", "bool__", "num__", "token__")
+#: What changes in a feature column's name as readers see it: its block's prefix (fixed values; only where the name starts), the missing level, underscores.
+_SHOWN = re.compile(r"\A(?:cat|bool|num|token)__|(?P<level>__missing__)|(?P<gap>_)")
 
 
 def label(feature: str, limit: int = 68) -> str:
-    """A feature column as words: without its block's prefix, the missing level named, cut at `limit` signs."""
-    for prefix in BLOCK_PREFIXES:
-        feature = feature.replace(prefix, "")
-    return feature.replace("__missing__", "missing").replace("_", " ")[:limit]
+    """A feature column as words: without its block's prefix, the missing level named, cut at `limit` signs. A prefix inside a name is
+    part of the name."""
+    return _SHOWN.sub(lambda m: "missing" if m["level"] else " " if m["gap"] else "", feature)[:limit]
 
 
 def file_name(text: str, limit: int = 80) -> str:
-    """Letters and digits in lower case, anything else one _; `item` if nothing is left."""
-    return (re.sub(r"[^A-Za-z0-9]+", "_", str(text)).strip("_").lower() or "item")[:limit]
+    """The runs of letters and digits, in lower case, joined by _ and cut at `limit` signs; `item` if there are none."""
+    return "_".join(re.findall("[a-z0-9]+", str(text).lower(), re.A))[:limit] or "item"
 
 
 def rename(df: DataFrame, mapping: dict[str, str] | None = None, standardize: bool = True, lower: bool = True) -> DataFrame:
@@ -70,11 +69,5 @@ def resolve(df: DataFrame, name: str) -> str:
     return found[0]
 
 
-def first_match(df: DataFrame, candidates: list[str]) -> str | None:
-    """The first candidate that a column matches by letters and digits alone."""
-    plain = {re.sub(r"[^a-z0-9]", "", c.lower()): c for c in reversed(df.columns)}
-    return next((plain[k] for c in candidates if (k := re.sub(r"[^a-z0-9]", "", c.lower())) in plain), None)
-
-
 def as_list(value) -> list[str]:
     return [] if value is None else [value] if isinstance(value, str) else list(value)

@@ -1,7 +1,8 @@
 """Pairwise distances, complete linkage, flat cuts, elbow and classical scaling.
 
 The merge tree needs all n^2 distances, as in any complete linkage, so it is one group of bounded size: more items than
-`MOST_ITEMS` are an error, never a sample. Distances alone are distributed, block by block.
+`MOST_ITEMS` are an error, never a sample; one array of 8 n^2 bytes is what it holds. Distances alone are distributed, block by block,
+and so is all that follows a tree (see tree.py).
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from brindle.operators import tree as trees
 from brindle.operators.persist import fixed
 
-MOST_ITEMS, BLOCK = 20_000, 512
+MOST_ITEMS, BLOCK = 12_000, 512
 
 
 def weighted_clusters(features: DataFrame, weights: dict[str, float], k: int = 8) -> DataFrame:
@@ -183,10 +184,9 @@ def nearest_neighbour_chain(d: np.ndarray) -> np.ndarray:
     """Merges (left, right, height, size) of complete linkage, heights ascending, clusters numbered from n on.
 
     Follows nearest neighbours until two clusters are each other's nearest, merges them, and goes on; equal distances
-    go to the smallest index. Quadratic time and memory.
+    go to the smallest index. Quadratic time; works in the array `d` itself, which is used up.
     """
     n = len(d)
-    d = d.astype(float).copy()
     np.fill_diagonal(d, np.inf)
     alive, chain, merges = np.ones(n, dtype=bool), [], []
     while alive.sum() > 1:
@@ -233,7 +233,10 @@ def linkage(rows: DataFrame, metric: str = "cosine", most: int = MOST_ITEMS) ->
     def merge(table):
         order = np.argsort(table.column("id").to_numpy())
         x = np.array(table.column("vector").to_pylist(), dtype=float)[order]
-        m = nearest_neighbour_chain(distances(x, x, metric)) if len(x) > 1 else np.empty((0, 4))
+        d = np.empty((len(x), len(x)))
+        for i in range(0, len(x), BLOCK):
+            d[i : i + BLOCK] = distances(x[i : i + BLOCK], x, metric)
+        m = nearest_neighbour_chain(d) if len(x) > 1 else np.empty((0, 4))
         return pa.table({"merge_step": pa.array(np.arange(len(m))), "left_id": pa.array(m[:, 0].astype(np.int64)), "right_id": pa.array(m[:, 1].astype(np.int64)), "merge_distance": pa.array(m[:, 2]), "size": pa.array(m[:, 3].astype(np.int64))})
 
     return rows.select("id", F.col("vector").cast("array<double>").alias("vector"), F.lit(0).alias("g")).groupBy("g").applyInArrow(lambda t: merge(t), "merge_step bigint, left_id bigint, right_id bigint, merge_distance double, size bigint")

@@ -27,7 +27,7 @@ def test_chain_equals_naive_merge(n, seed):
     x = np.random.default_rng(seed).normal(size=(n, 4))
     d = cluster.distances(x, x, "euclidean")
     np.fill_diagonal(d, 0)
-    m = cluster.nearest_neighbour_chain(d)
+    m = cluster.nearest_neighbour_chain(d.copy())
     assert np.allclose(m[:, 2], naive(d)) and (np.diff(m[:, 2]) >= 0).all()
     members = {i: [i] for i in range(n)}
     for k, (a, b, height, size) in enumerate(m):

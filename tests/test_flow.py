@@ -12,7 +12,7 @@ from brindle.operators import impute
 
 def test_labels_and_file_names():
     assert names.label("cat__game_type___missing__") == "game type missing"
-    assert names.label("token__gold") == "gold" and names.label("bool__is_wap") == "is wap" and len(names.label("x" * 90)) == 68
+    assert names.label("token__gold") == "gold" and names.label("bool__is_wap") == "is wap" and names.label("cat__x_cat__y") == "x cat  y" and len(names.label("x" * 90)) == 68
     assert names.file_name(" A/B: c.png ") == "a_b_c_png" and names.file_name("___") == "item" and len(names.file_name("y" * 99)) == 80
 
 
