@@ -1 +1,7 @@
-"""operators of the engine."""
+"""operators of the engine. Their functions are pickled by value, so executors need not have the package installed."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
