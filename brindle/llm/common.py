@@ -270,6 +270,13 @@ def number_in_groups(df: DataFrame, group: list[str], order: list, spread: F.Col
     return numbered.join(starts, same).withColumn(out, (F.col("__start") + F.col("__row")).cast("long")).drop("__part", "__row", "__start", *[f"__s{k}" for k in keys])
 
 
+def unused_name(columns: list[str], name: str = "__none") -> str:
+    """`name`, with as many more underscores as it takes to clash with no column."""
+    while name.lower() in {c.lower() for c in columns}:
+        name = f"_{name}"
+    return name
+
+
 def nullable(kind):
     """An Arrow type whose inner fields all allow nulls, as the types that Spark makes of DDL do."""
     import pyarrow as pa

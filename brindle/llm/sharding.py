@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.common import number_in_groups
+from brindle.llm.common import number_in_groups, unused_name
 
 
 class Leaf(NamedTuple):
@@ -94,7 +94,7 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """
     names = ("shard", "slot", "size", "law", "text_crc32", "grown_shard")
     own = [c for c in docs.columns if c != id_col]
-    carried = docs.select(id_col, text_col, F.struct(F.lit(None).cast("string").alias("__none"), *[F.col(c) for c in own if c != text_col]).alias("__own"), F.col(text_col).alias("__text"))
+    carried = docs.select(id_col, text_col, F.struct(F.lit(None).cast("string").alias(unused_name(own)), *[F.col(c) for c in own if c != text_col]).alias("__own"), F.col(text_col).alias("__text"))
     rows = shard_documents(carried, id_col, text_col, tree, carry=("__own", "__text"))
     value = {c: F.col("__text") if c == text_col else F.col("__own").getField(c) for c in own}
     out = rows.select(F.col(id_col).alias(f"document_{id_col}" if id_col in names else id_col), *[v.alias(f"document_{c}" if c in names else c) for c, v in value.items()], *names)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.llm.common import WordIds, lean, nullable, pack, pack_bits, pack_sorted, text_blocks, unpack, unpack_bits, unpack_sorted, window_hashes
+from brindle.llm.common import WordIds, lean, nullable, pack, pack_bits, pack_sorted, text_blocks, unpack, unpack_bits, unpack_sorted, unused_name, window_hashes
 
 #: Any two odd numbers with inverses modulo 2^64 that are not powers of each other.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -244,7 +244,7 @@ def deduplicated_documents(docs: DataFrame, id_col: str = "doc_id", text_col: st
     words in memory, so a text of many megabytes makes its block that much larger.
     """
     own = docs.columns
-    packed = docs.select(id_col, text_col, F.struct(F.lit(None).cast("string").alias("__none"), *[F.col(c) for c in own if c not in (id_col, text_col)]).alias("__own"))
+    packed = docs.select(id_col, text_col, F.struct(F.lit(None).cast("string").alias(unused_name(own)), *[F.col(c) for c in own if c not in (id_col, text_col)]).alias("__own"))
     rows = substring_dedup(packed, id_col, text_col, width, carry=("__own",), texts=True)
 
     def column(c: str) -> F.Column:

@@ -559,3 +559,14 @@ def test_columns_may_be_called_like_the_operators_own(spark, odd):
     df = odd.withColumns({name: F.lit(1) for name in ("__key", "__own", "id", "same", "own", "set", "group", "stays", "t", "s", "i", "n", "__text")})
     got = minhash.distinct_documents(df)
     assert got.columns == df.columns and got.count() == minhash.distinct_documents(odd).count()
+
+
+def test_a_column_may_be_called_like_the_carried_struct_s_own_field(spark, tmp_path):
+    rows = [(1, "a b " * 30, "x", 1), (2, "a b " * 30, None, 2), (None, None, "y", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __none string, ___NONE int")
+    kept = substrings.deduplicated_documents(df)
+    assert kept.columns == df.columns
+    assert Counter((r[0], r[2], r[3]) for r in kept.collect()) == Counter((r[0], r[2], r[3]) for r in rows)
+    sharding.write_shards(df, str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out")).select(*df.columns)
+    assert Counter(map(tuple, back.collect())) == Counter(rows)
