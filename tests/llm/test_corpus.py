@@ -342,6 +342,35 @@ def test_katz(spark, odd, docs):
         assert all(abs(g[k] - w[k]) < 2e-3 for g, w in zip(got, want) for k in (5, 6))
 
 
+def test_katz_of_frequent_histories_and_any_ids(spark, odd, docs):
+    """Spread histories, many small blocks and string ids don't change a score, and no partition gets all of a history."""
+    keys = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    for df, frequent in ((odd, 3), (docs.limit(150), 40)):
+        held = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")) % 7 == 2
+        named = df.withColumn("doc_id", F.concat(F.lit("document "), F.col("doc_id").cast("string")))
+        want = sorted((str(r[0]), *r[1:]) for r in ngrams.katz_scores(named, held_out=held).select("doc_id", *keys).collect())
+        got = sorted((str(r[0]), *r[1:]) for r in ngrams.katz_scores(named, held_out=held, block_bytes=20_000, frequent=frequent).select("doc_id", *keys).collect())
+        assert [g[:4] for g in got] == [w[:4] for w in want]
+        assert np.allclose([g[4:] for g in got], [w[4:] for w in want], rtol=1e-9)
+
+
+def test_followers_of_one_word_are_spread():
+    """A block in which 20,000 different words follow one word sends no partition more than a small share of them."""
+    import pyarrow as pa
+
+    text = " ".join(f"the w{i}" for i in range(20_000)).encode()
+    block = ngrams.Block(pa.table({"held_out": [False], "text": [text]}))
+    bits = 4
+    words_of = {k: [r for r in ngrams._send_words(block, 0, bits) if r[1] == k] for k in range(1 << bits)}
+    told = pa.concat_tables([ngrams._table(ngrams._add_words(ngrams._table(rows))) for rows in words_of.values()])
+    got = ngrams.Answers(told, bits)
+    sent = {r[1]: r[3] for r in ngrams._send_pairs(block, got, 0, bits, 10_000)}
+    assert sum(n for k, n in sent.items() if k >= 1 << bits) == 20_000
+    assert max(n for k, n in sent.items() if k >= 1 << bits) < 2 * 20_000 / (1 << bits)
+    together = {r[1]: r[3] for r in ngrams._send_pairs(block, got, 0, bits, 1 << 20)}
+    assert max(together.values()) >= 20_000
+
+
 def test_languages(spark, odd, docs):
     got = {r["doc_id"]: r for r in languages.identify_languages(docs).collect()}
     truth = {r["doc_id"]: r["lang"] for r in docs.collect()}
