@@ -234,13 +234,14 @@ def unpack_bits(blob: bytes, n: int) -> np.ndarray:
 # ---- blocks
 
 
-def text_blocks(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = (), block_bytes: int = BLOCK_BYTES, by: tuple[str, ...] = ()) -> tuple[DataFrame, int, int]:
+def text_blocks(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = (), block_bytes: int = BLOCK_BYTES, by: tuple[str, ...] = (), total: int | None = None) -> tuple[DataFrame, int, int]:
     """Documents dealt into blocks of about `block_bytes` of text by a hash of the columns `by`, or of their id.
 
     Returns (block, id, text as bytes, carried columns), the number of blocks and of bytes. All rows that are alike in the
-    hashed columns are in one block. Several passes over the same blocks reuse one shuffle.
+    hashed columns are in one block. Several passes over the same blocks reuse one shuffle. The bytes are counted unless `total` has them.
     """
-    total = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
+    if total is None:
+        total = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
     block = F.pmod(F.xxhash64(*[F.col(c) for c in by or (id_col,)]), F.lit(n)).cast("int")
     return docs.select(block.alias("block"), F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"), *[F.col(c) for c in carry]), int(n), int(total)

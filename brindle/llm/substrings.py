@@ -21,10 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brindle.llm.common import WordIds, lean, nullable, pack, pack_bits, pack_sorted, text_blocks, unpack, unpack_bits, unpack_sorted, unused_name, window_hashes
+from brindle.operators.clean import dense_ids
 
 #: Any two odd numbers with inverses modulo 2^64 that are not powers of each other.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-NULL_ID = -(1 << 63)
+#: Types of ids that are their own place in the order; rows of other ids are numbered.
+NUMBERS = ("tinyint", "smallint", "int", "bigint")
 #: Bytes of text in a block on average; its words and windows take some 30 times that in a Python worker.
 BLOCK_BYTES = 4 << 20
 PIECES = "key long, block int, n int, a binary, b binary, c binary"
@@ -34,7 +36,7 @@ class Block:
     """The documents of a block in order of (id, text), and the hashes of their windows."""
 
     def __init__(self, table: pa.Table, width: int):
-        ids = table.column("id").fill_null(NULL_ID).to_pylist()
+        ids = table.column("id").to_pylist()
         texts = [t or b"" for t in table.column("text").to_pylist()]
         self.order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i]))
         self.texts = [texts[i] for i in self.order]
@@ -183,12 +185,20 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per input row: id, carried columns, n_words, n_removed, kept_sha256 and, with `texts`, the kept text.
 
     A window starts earlier in a document of smaller id, or earlier in its own document. Null ids come first;
-    rows alike in id are taken in the order of their texts, so of equal rows one is kept. Null and empty texts
+    rows alike in id are taken in the order of their texts, so of equal rows one is kept. Where ids are null or no whole
+    numbers, rows are first numbered in that order by a range shuffle, whose outcome is fixed in files, so ids may be of any type that
+    Spark orders and any number of rows may have no id. Null and empty texts
     have no words; texts shorter than a window lose none. An empty table gives no rows. Columns that are
     neither named nor carried are ignored, whatever their names.
     """
     named = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), *([F.struct(*[F.col(c) for c in carry]).alias("own")] if carry else []))
-    blocks, n_blocks, n_bytes = text_blocks(named, "__id", "__text", ("own",) if carry else (), block_bytes)
+    kinds, carried = dict(docs.dtypes), ("own",) if carry else ()
+    total, without_id = named.agg(F.sum(F.octet_length("__text")), F.count_if(F.col("__id").isNull())).first()
+    ranked = bool(without_id) or kinds[id_col] not in NUMBERS
+    if ranked:
+        named = dense_ids(named.withColumnRenamed("__id", "given"), [F.col("given").asc_nulls_first(), F.col("__text").asc_nulls_first()], "__id")
+        carried = (*carried, "given")
+    blocks, n_blocks, n_bytes = text_blocks(named.withColumn("__id", F.col("__id").cast("long")), "__id", "__text", carried, block_bytes, total=total or 0)
     layout = Layout(n_bytes, n_blocks)
 
     def number(key) -> int:
@@ -222,18 +232,18 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             if texts:
                 kept.append(kept_text(text, g) if n else text)
         own = table.take(pa.array(block.order, pa.int64()))
-        columns = [own.column("id"), *([own.column("own").cast(nullable(own.schema.field("own").type))] if carry else []), pa.array([len(w) for w in block.words], pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digests, pa.string())]
+        columns = [own.column("id"), *[own.column(c).cast(nullable(own.schema.field(c).type)) for c in carried], pa.array([len(w) for w in block.words], pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digests, pa.string())]
         if texts:
             columns.append(pa.array(kept, pa.binary()))
-        return pa.table(columns, names=["id", *(["own"] if carry else []), "n_words", "n_removed", "kept_sha256", *(["kept"] if texts else [])])
+        return pa.table(columns, names=["id", *carried, "n_words", "n_removed", "kept_sha256", *(["kept"] if texts else [])])
 
     merged = blocks.groupBy("block").applyInArrow(lean(sketch), PIECES).groupBy("key").applyInArrow(lean(merge), PIECES)
     grouped = blocks.groupBy("block").cogroup(merged.groupBy("block")).applyInArrow(lean(ask), PIECES).groupBy("key").applyInArrow(lean(group), PIECES)
-    kinds = dict(docs.dtypes)
     own = f"own struct<{', '.join(f'`{c}`: {kinds[c]}' for c in carry)}>, " if carry else ""
-    schema = f"id bigint, {own}n_words bigint, n_removed bigint, kept_sha256 string" + (", kept binary" if texts else "")
+    given = f"given {kinds[id_col]}, " if ranked else ""
+    schema = f"id bigint, {own}{given}n_words bigint, n_removed bigint, kept_sha256 string" + (", kept binary" if texts else "")
     out = blocks.groupBy("block").cogroup(merged.unionByName(grouped).groupBy("block")).applyInArrow(lean(remove), schema)
-    return out.select(F.col("id").cast(kinds[id_col]).alias(id_col), *[F.col("own").getField(c).alias(c) for c in carry], "n_words", "n_removed", "kept_sha256", *([F.col("kept").cast("string").alias("kept_text")] if texts else []))
+    return out.select((F.col("given") if ranked else F.col("id").cast(kinds[id_col])).alias(id_col), *[F.col("own").getField(c).alias(c) for c in carry], "n_words", "n_removed", "kept_sha256", *([F.col("kept").cast("string").alias("kept_text")] if texts else []))
 
 
 def deduplicated_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars", width: int = 20) -> DataFrame:

@@ -48,7 +48,7 @@ def rows_of(df):
 
 def removed_by_force(rows, width=20):
     """Kept words of each row, by (id, text) order."""
-    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0, (rows[i][1] or "").encode()))
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, *([] if rows[i][0] is None else [rows[i][0]]), (rows[i][1] or "").encode()))
     seen, out = set(), {}
     for i in order:
         w = words(rows[i][1])
@@ -75,6 +75,19 @@ def test_substrings(spark, odd, docs):
     assert sum((i, t) in untouched for i, t in rows_of(docs)) == sum(len(k) == len(words(rows_of(docs)[i][1])) for i, k in removed_by_force(rows_of(docs)).items())
 
 
+def test_substrings_of_any_ids(spark, odd, docs):
+    """String ids, and rows without ids in many blocks: the order is that of ids, then texts, wherever the rows are."""
+    texts = docs.limit(120)
+    named = odd.unionByName(texts, allowMissingColumns=True).withColumn("doc_id", F.concat(F.lit("document "), F.col("doc_id").cast("string")))
+    without = odd.unionByName(texts, allowMissingColumns=True).withColumn("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("doc_id")))
+    for df in (named, without):
+        rows = df.select("doc_id", "text").collect()
+        want = Counter((rows[i][0], hashlib.sha256(b" ".join(k)).hexdigest()) for i, k in removed_by_force([(r[0], r[1]) for r in rows]).items())
+        got = substrings.substring_dedup(df, carry=("lang",), block_bytes=20_000).collect()
+        assert Counter((r["doc_id"], r["kept_sha256"]) for r in got) == want
+        assert substrings.deduplicated_documents(df).dtypes == df.dtypes
+
+
 def test_many_blocks_give_what_one_gives(spark, odd, docs):
     for df in (odd, docs):
         one, many = substrings.substring_dedup(df), substrings.substring_dedup(df, block_bytes=5000)
