@@ -9,10 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from brindle.llm.common import checkpoint, small
+
 #: Buckets of subwords, their sizes in bytes, width of an embedding.
 BUCKETS, SIZES, WIDTH = 1 << 13, (2, 3, 4), 16
-#: The bounded training sample: rows of a language, rows in all, and languages (the most frequent ones).
-ROWS_OF_LANGUAGE, SAMPLE_ROWS, LANGUAGES = 1000, 256_000, 1024
+#: The bounded training sample: rows of a language, rows in all, and numbers in all (buckets and their shares); each language has
+#: an equal part of the latter two, and at least one row.
+ROWS_OF_LANGUAGE, SAMPLE_ROWS, SAMPLE_NUMBERS = 1000, 256_000, 1 << 24
+#: Scores (rows times languages) of the rows that calibrate, at most.
+CALIBRATION_SCORES = 1 << 24
 CHUNK = 1 << 20
 #: Everything but letters of ASCII and bytes of other characters separates words.
 _SEPARATE = bytes(b if chr(b).isalpha() and b < 128 or b >= 128 else 32 for b in range(256))
@@ -68,7 +73,8 @@ class Model:
 
 
 def train(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = 12, least_steps: int = 20_000, rate: float = 4.0, seed: int = 7) -> Model:
-    """Stochastic gradient descent over (language, buckets, shares of the text); a fifth is kept to calibrate.
+    """Stochastic gradient descent over (language, buckets, shares of the text); a fifth is kept to calibrate, or fewer rows where
+    these would have more than `CALIBRATION_SCORES` scores. The model has 64 KB a language.
 
     The temperature minimises the calibration rows' negative log likelihood; the threshold is the least score above
     which 99 % of them are right, so that `accepted` means what it says.
@@ -79,7 +85,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = 12, leas
     rng = np.random.default_rng(seed)
     at = {x: i for i, x in enumerate(languages)}
     rows = [rows[i] for i in rng.permutation(len(rows))]
-    cut = len(rows) // 5 if len(rows) >= 20 else 0
+    cut = min(len(rows) // 5, max(20, CALIBRATION_SCORES // len(languages))) if len(rows) >= 20 else 0
     tuning, fitting = rows[:cut], rows[cut:]
     epochs = max(epochs, -(-least_steps // len(fitting)))
     emb = rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH))
@@ -122,33 +128,37 @@ def training_sample(docs: DataFrame, text_col: str, label_col: str, rows_of_lang
     """`rows_of_language` rows of each language (fewer where it has fewer), as subword shares of their whole texts.
 
     The rows are those of the smallest hashes of id and text among the language's distinct rows, so copies of a text under
-    other ids count and reruns agree. At most `SAMPLE_ROWS` rows of at most `BUCKETS` numbers come to the driver: with more than
-    `SAMPLE_ROWS` / `rows_of_language` languages each gets fewer rows, and beyond `LANGUAGES` only the most frequent are learned.
+    other ids count and reruns agree. At most `SAMPLE_ROWS` rows with `SAMPLE_NUMBERS` numbers come to the driver (and a row of each language
+    in any case): where there are many languages or very long texts each language gets fewer rows, but none gets none.
     """
-    labelled = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = labelled.groupBy(label_col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), label_col).limit(LANGUAGES).collect()
-    if not counts:
+    labelled = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(label_col).alias("label"), F.col(text_col).alias("text"), F.xxhash64("id", text_col).alias("h"))
+    counts = checkpoint(labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).select(F.col("label").alias("known"), "n"))
+    languages = counts.count()
+    if not languages:
         return []
-    each = max(1, min(rows_of_language, SAMPLE_ROWS // len(counts)))
+    each = max(1, min(rows_of_language, SAMPLE_ROWS // languages))
     scale = 1 << 30
     # half as many again as are wanted, and some, so that the exact choice is made among few
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r[0], int(min(1.0, (1.5 * each + 50) / r["n"]) * scale))])
-    hashed = labelled.select(label_col, text_col, F.xxhash64("id", text_col).alias("h"))
-    near = hashed.where(F.pmod("h", F.lit(scale)) < F.element_at(share, F.col(label_col))).dropDuplicates([label_col, "h"])
-    by = Window.partitionBy(label_col).orderBy(F.pmod("h", F.lit(scale)), "h")
-    chosen = near.withColumn("k", F.row_number().over(by)).where(F.col("k") <= each).select(label_col, text_col)
+    share = F.least(F.lit(1.0), (1.5 * each + 50) / F.col("n")) * scale
+    near = labelled.join(small(counts), F.col("label") == F.col("known")).where(F.pmod("h", F.lit(scale)) < share).dropDuplicates(["label", "h"])
+    by = Window.partitionBy("label").orderBy(F.pmod("h", F.lit(scale)), "h")
+    chosen = near.withColumn("k", F.row_number().over(by)).where(F.col("k") <= each).select("label", "text", "k")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels, buckets, shares = [], [], []
-            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            labels, places, buckets, shares = [], [], [], []
+            for label, text, k in zip(*(c.to_pylist() for c in batch.columns)):
                 if has_letter(text):
                     c = subword_counts(text)
                     b = np.flatnonzero(c)
-                    labels.append(label), buckets.append(b.astype(np.int16).tobytes()), shares.append((c[b] / c.sum()).astype(np.float32).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(labels, pa.string()), pa.array(buckets, pa.binary()), pa.array(shares, pa.binary())], names=["label", "buckets", "shares"])
-
-    rows = chosen.mapInArrow(features, "label string, buckets binary, shares binary").collect()
+                    labels.append(label), places.append(k), buckets.append(b.astype(np.int16).tobytes()), shares.append((c[b] / c.sum()).astype(np.float32).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(labels, pa.string()), pa.array(places, pa.int32()), pa.array(buckets, pa.binary()), pa.array(shares, pa.binary())], names=["label", "k", "buckets", "shares"])
+
+    counted = chosen.mapInArrow(features, "label string, k int, buckets binary, shares binary")
+    before = F.coalesce(F.sum(F.octet_length("shares") / 4).over(Window.partitionBy("label").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = F.row_number().over(Window.partitionBy("label").orderBy("k")) == 1
+    fit = counted.withColumns({"first": first, "before": before}).where(F.col("first") | (F.col("before") + F.octet_length("shares") / 4 <= SAMPLE_NUMBERS // languages))
+    rows = fit.select("label", "buckets", "shares").collect()
     rows = sorted((r[0], bytes(r[1]), bytes(r[2])) for r in rows)
     return [(x, np.frombuffer(b, np.int16).astype(np.int64), np.frombuffer(s, np.float32).astype(float)) for x, b, s in rows if len(b)]
 

@@ -396,6 +396,24 @@ def test_languages(spark, odd, docs):
     assert {r["lang_pred"] for r in languages.identify_languages(none).collect()} == {"und"}
 
 
+def test_every_label_is_learned_within_the_sample(spark, monkeypatch):
+    """Labels beyond any number get a row each, and rows and their numbers stay within the documented bounds."""
+    rows = [(i, f"word{i % 1300} term{i % 1300} " * (400 if i % 1300 == 7 else 1) + f"extra{i}", f"l{i % 1300}") for i in range(3900)]
+    df = spark.createDataFrame(rows, "id long, text string, label string")
+    got = languages.training_sample(df, "text", "label")
+    assert Counter(Counter(x for x, _, _ in got).values()) == {3: 1300}
+    monkeypatch.setattr(languages, "SAMPLE_ROWS", 2600)
+    two = languages.training_sample(df, "text", "label")
+    assert Counter(Counter(x for x, _, _ in two).values()) == {2: 1300}
+    monkeypatch.setattr(languages, "SAMPLE_NUMBERS", 1300 * 50)
+    few = languages.training_sample(df, "text", "label")
+    assert len({x for x, _, _ in few}) == 1300
+    most = defaultdict(list)
+    for x, b, _ in few:
+        most[x].append(len(b))
+    assert all(sum(v) <= 50 or len(v) == 1 for v in most.values())
+
+
 def test_tokens_equal_the_tokenizers_own(docs):
     from tokenizers import Tokenizer
 
