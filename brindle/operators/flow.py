@@ -57,7 +57,7 @@ def find_like_items(profiles: DataFrame, id_col: str, date: str, categories: dic
 
     Ids may be any distinct values; rows are numbered in their order, and `profile_id` in the results is the own id. k must be 2 to
     `most_k` and less than the number of items, else it is an error. `limit` is the number of like items a target has at
-    most. With `floor` and `share_of_top` the summary names the features that are important by them, and describes clusters. Linkage needs all pairs, so there is the limit of `cluster.MOST_ITEMS` items.
+    most. With `floor` and `share_of_top` the summary names the features that are important by them, and describes clusters..
     """
     numbered = fixed(clean.dense_ids(profiles.withColumnRenamed(id_col, "profile_id"), [F.col("profile_id")], "id"))
     n = numbered.count()

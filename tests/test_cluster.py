@@ -182,3 +182,33 @@ def test_scaling_keeps_planar_distances(spark):
     rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, vector array<double>")
     got = np.array([(r["x"], r["y"]) for r in cluster.classical_scaling(rows, "euclidean").orderBy("id").collect()])
     assert np.allclose(cluster.distances(got, got, "euclidean"), cluster.distances(x, x, "euclidean"), atol=1e-6)
+
+
+@pytest.mark.parametrize("n, metric, seed", [(300, "cosine", 1), (700, "euclidean", 2)])
+def test_rounds_make_the_tree_of_one_group(spark, monkeypatch, n, metric, seed):
+    """More items than a task takes: small blocks, so that clusters are larger than a block, and copies."""
+    monkeypatch.setattr(cluster, "ROUND_BLOCK", 60)
+    x = np.random.default_rng(seed).normal(size=(n, 5))
+    x[10:14], x[n - 5] = x[9], x[20]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, vector array<double>")
+
+    def members(tree):
+        made, out = {i: frozenset([i]) for i in range(n)}, []
+        for r in sorted(tree.collect()):
+            assert r["left_id"] < n + r["merge_step"] and r["right_id"] < n + r["merge_step"]
+            made[n + r["merge_step"]] = both = made.pop(r["left_id"]) | made.pop(r["right_id"])
+            assert len(both) == r["size"]
+            out.append((both, r["merge_distance"]))
+        assert len(out) == n - 1 and [h for _, h in out] == sorted(h for _, h in out)
+        return {m: h for m, h in out if h > 1e-7}
+
+    one, many = members(cluster.linkage(rows, metric)), members(cluster.linkage(rows, metric, in_task=40))
+    assert set(one) == set(many) and all(abs(one[m] - many[m]) < 1e-9 for m in one)
+
+
+def test_rounds_end_with_equal_distances(spark):
+    """All distances between 30 corners are ties; copies of a corner merge first."""
+    x = np.vstack([np.eye(30)] * 3)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, vector array<double>")
+    got = sorted(cluster.linkage(rows, in_task=5).collect())
+    assert [r["merge_distance"] for r in got] == [0.0] * 60 + [1.0] * 29 and got[-1]["size"] == 90
