@@ -516,7 +516,82 @@ def cut_scores(rows: DataFrame, members: DataFrame, first_k: int) -> DataFrame:
 
 
 def classical_scaling(rows: DataFrame, metric: str = "cosine", most: int = 5000) -> DataFrame:
-    """(id, x, y): double-centred squared distances, the two largest eigenpairs; for reports of at most `most` items."""
+    """(id, x, y): double-centred squared distances, the two largest eigenpairs, each with its sign by its greatest feature.
+
+    Squared distances are sums of products of features: Euclidean ones of the vector itself, cosine ones of the unit vector u and of all u_i u_j,
+    1 - 2 u.v + (u.v)^2. So the eigenpairs follow from the features' moments, which partitions add up, whatever the number of rows: the driver holds
+    a matrix of p x p for p features (2,144 for 64 dimensions). Vectors with more than `most` features, which are also too many for that, can be
+    scaled by all their distances, for at most `most` items.
+    """
+    rows = rows.select("id", F.col("vector").cast("array<double>").alias("vector"))
+    first = rows.first()
+    if first is None:
+        return rows.sparkSession.createDataFrame([], "id bigint, x double, y double")
+    if metric not in ("cosine", "euclidean"):
+        raise ValueError(f"unknown metric {metric!r}")
+    wide = len(first["vector"])
+    p = wide if metric == "euclidean" else wide + wide * (wide + 1) // 2
+    if p > most:
+        return scaling_of_distances(rows, metric, most)
+    upper, lower = np.triu_indices(wide)
+
+    def features_of(x: np.ndarray) -> np.ndarray:
+        if metric == "euclidean":
+            out = x
+        else:
+            length = np.linalg.norm(x, axis=1)
+            if (length == 0).any():
+                raise ValueError("cosine distance of a zero vector")
+            u = x / length[:, None]
+            out = np.hstack([u, u[:, upper] * u[:, lower] * np.where(upper == lower, 1.0, np.sqrt(2.0))])
+        if not np.isfinite(out).all():
+            raise ValueError("a distance isn't finite")
+        return out
+
+    def moments(batches):
+        n, total, square = 0, np.zeros(p), np.zeros((p, p))
+        for batch in batches:
+            x = vectors_in(pa.Table.from_batches([batch]))
+            for i in range(0, len(x), BLOCK):
+                f = features_of(x[i : i + BLOCK])
+                n, total, square = n + len(f), total + f.sum(axis=0), square + f.T @ f
+        for at in range(p if n else 0):
+            yield pa.RecordBatch.from_pydict({"at": pa.array([at], pa.int32()), "n": pa.array([n]), "s": pa.array([total[at]]), "row": pa.array([square[at].tolist()], pa.list_(pa.float64()))})
+
+    def summed(key, table):
+        return pa.table({"at": pa.array([key[0].as_py()], pa.int32()), "n": pa.array([int(pc.sum(table.column("n")).as_py())]), "s": pa.array([float(pc.sum(table.column("s")).as_py())]), "row": pa.array([table.column("row").combine_chunks().flatten().to_numpy().reshape(table.num_rows, p).sum(axis=0)], pa.list_(pa.float64()))})
+
+    shape = "at int, n bigint, s double, row array<double>"
+    parts = rows.select("vector").coalesce(MOMENT_PARTS).mapInArrow(moments, shape)
+    got = parts.groupBy("at").applyInArrow(summed, shape).toArrow().sort_by("at")
+    n, mean = got.column("n")[0].as_py(), got.column("s").to_numpy() / got.column("n")[0].as_py()
+    square = got.column("row").combine_chunks().flatten().to_numpy().reshape(p, p) - n * np.outer(mean, mean)
+    # B = F S F' with centred features F, and S of 1 for u and -1/2 for its products: its eigenvalues are those of R S R', R R = F'F
+    sign = np.ones(p) if metric == "euclidean" else np.where(np.arange(p) < wide, 1.0, -0.5)
+    values, vectors = np.linalg.eigh(square)
+    root = vectors * np.sqrt(np.maximum(values, 0))
+    values, inner = np.linalg.eigh((root.T * sign) @ root)
+    k = min(2, p)
+    values, inner = np.maximum(values[::-1][:k], 0), inner[:, ::-1][:, :k]
+    # an eigenvector of B is F S root w / value, of length 1, as B = F S F' and F'F = root root'
+    to = (sign[:, None] * (root @ inner)) / np.where(values > 1e-12 * max(values[0], 1e-300), np.sqrt(np.maximum(values, 1e-300)), np.inf)
+    to = to * np.sign(to[np.abs(to).argmax(axis=0), np.arange(k)] + 0.0)
+
+    def placed(batches):
+        for batch in batches:
+            x = vectors_in(pa.Table.from_batches([batch]))
+            y = np.vstack([np.zeros((0, k)), *[(features_of(x[i : i + BLOCK]) - mean) @ to for i in range(0, len(x), BLOCK)]])
+            y = np.hstack([y, np.zeros((len(y), 2 - k))])
+            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "x": pa.array(y[:, 0]), "y": pa.array(y[:, 1])})
+
+    return rows.select(F.col("id").cast("bigint").alias("id"), "vector").mapInArrow(placed, "id bigint, x double, y double")
+
+
+#: Partitions that add up moments before they are sent, a matrix each.
+MOMENT_PARTS = 12
+
+
+def scaling_of_distances(rows: DataFrame, metric: str, most: int) -> DataFrame:
     got = rows.limit(most + 1).collect()
     if len(got) > most:
         raise ValueError(f"more than {most} items")

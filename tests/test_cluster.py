@@ -212,3 +212,15 @@ def test_rounds_end_with_equal_distances(spark):
     rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, vector array<double>")
     got = sorted(cluster.linkage(rows, in_task=5).collect())
     assert [r["merge_distance"] for r in got] == [0.0] * 60 + [1.0] * 29 and got[-1]["size"] == 90
+
+
+@pytest.mark.parametrize("metric, dims", [("cosine", 6), ("euclidean", 6), ("cosine", 1)])
+def test_scaling_by_moments_is_that_of_all_distances(spark, metric, dims):
+    """6,000 items were an error; of 300 both ways agree, but for signs."""
+    x = np.random.default_rng(5).normal(size=(300, dims)) * (np.arange(dims) + 1) + 0.5
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, vector array<double>")
+    a = np.array([(r["x"], r["y"]) for r in cluster.classical_scaling(rows, metric).orderBy("id").collect()])
+    b = np.array([(r["x"], r["y"]) for r in cluster.scaling_of_distances(rows, metric, 5000).orderBy("id").collect()])
+    assert np.allclose(np.abs(a), np.abs(b), atol=1e-6)
+    many = spark.range(6000).select("id", F.array(*[F.rand(i) for i in range(3)]).alias("vector"))
+    assert cluster.classical_scaling(many, metric).count() == 6000
