@@ -9,6 +9,9 @@ from pyspark.sql.types import DoubleType, FloatType, StringType
 from brindle.functions.scalars import norm_text, percent
 from brindle.operators.quantiles import exact_quantiles, top_distinct
 
+#: Hashed parts of a key's names; a part sends on its first few, and they are what meets in a task.
+NAME_PARTS = 16
+
 
 def missing(df: DataFrame, c: str) -> Column:
     """Null, NaN or blank."""
@@ -74,17 +77,27 @@ def relation_profile(df: DataFrame, key: str, name: str, method: str, score: str
     methods, don't count; a null method is accepted. best_date is null without a `date` column.
     """
     text = lambda c: norm_text(c) if isinstance(df.schema[c].dataType, StringType) else F.col(c)
-    rows = df.select(text(key).alias("__key"), text(name).alias("__name"), text(method).alias("__method"), F.col(score).alias("__score"), (F.to_date(F.col(date)) if date else F.lit(None).cast("date")).alias("__date"))
-    kept = rows.where((~F.col("__method").isin(excluded) | F.col("__method").isNull()) & F.col("__key").isNotNull() & F.col("__name").isNotNull())
+    # in a list of one row, texts are normalized once, before the filters and whatever reads them
+    row = F.struct(text(key).alias("__key"), text(name).alias("__name"), text(method).alias("__method"), F.col(score).alias("__score"), (F.to_date(F.col(date)) if date else F.lit(None).cast("date")).alias("__date"))
+    kept = df.select(F.inline(F.array(row))).where((~F.col("__method").isin(excluded) | F.col("__method").isNull()) & F.col("__key").isNotNull() & F.col("__name").isNotNull())
     rank = F.lit(other)
     for k, v in priorities.items():
         rank = F.when(F.col("__method") == k, v).otherwise(rank)
-    at = F.struct(rank.alias("r"), (-F.coalesce(F.nanvl(F.col("__score").cast("double"), F.lit(None).cast("double")), F.lit(-1e300))).alias("s"), F.col("__name").alias("n"))
-    best = lambda c: F.min(F.when(F.col(c).isNotNull(), F.struct(at.alias("a"), F.col(c).alias("v"))))["v"]
-    out = kept.groupBy("__key").agg(best("__name").alias("best_name"), best("__method").alias("best_method"), best("__score").alias("best_score"), best("__date").alias("best_date"), F.countDistinct("__name").alias("n_names"), F.count(F.lit(1)).alias("n_rows"), F.min(rank).alias("best_priority"))
-    names = top_distinct(kept, ["__key"], "__name", at, most_names, "names").withColumnRenamed("__key", "__k1")
+    kept = kept.withColumn("__r", rank).withColumn("__s", -F.coalesce(F.nanvl(F.col("__score").cast("double"), F.lit(None).cast("double")), F.lit(-1e300)))
+    at = F.struct(F.col("__r").alias("r"), F.col("__s").alias("s"), F.col("__name").alias("n"))
+    first = ("method", "score", "date")
+    # rows are sent once, to the part of the key that their name is in; a name's rows become one, then a part's names do
+    dealt = kept.withColumn("__part", F.pmod(F.xxhash64("__name"), F.lit(NAME_PARTS))).repartition("__key", "__part")
+    of_name = dealt.groupBy("__key", "__part", "__name").agg(F.min(F.struct("__r", "__s")).alias("at"), F.count(F.lit(1)).alias("n"), *[F.min(F.when(F.col(f"__{c}").isNotNull(), F.struct("__r", "__s", F.col(f"__{c}").alias("v")))).alias(c) for c in first])
+    order = F.struct(F.col("at.__r").alias("r"), F.col("at.__s").alias("s"), F.col("__name").alias("n"))
+    placed = of_name.withColumn("k", F.row_number().over(Window.partitionBy("__key", "__part").orderBy("at", "__name")))
+    best = [F.min(F.when(F.col(c).isNotNull(), F.struct(F.col(f"{c}.__r").alias("r"), F.col(f"{c}.__s").alias("s"), F.col("__name").alias("n"), F.col(f"{c}.v").alias("v")))).alias(c) for c in first]
+    of_part = placed.groupBy("__key", "__part").agg(F.collect_list(F.when(F.col("k") <= most_names, order)).alias("names"), F.min(order).alias("name"), *best, F.count(F.lit(1)).alias("n_names"), F.sum("n").alias("n_rows"))
+    names = F.slice(F.array_sort(F.flatten(F.collect_list("names"))), 1, most_names)
+    out = of_part.groupBy("__key").agg(names.alias("names"), F.min("name").alias("name"), *[F.min(c).alias(c) for c in first], F.sum("n_names").alias("n_names"), F.sum("n_rows").alias("n_rows"))
+    out = out.select("__key", F.col("name.n").alias("best_name"), *[F.col(f"{c}.v").alias(f"best_{c}") for c in first], "n_names", "n_rows", F.col("name.r").alias("best_priority"), F.transform("names", lambda x: x["n"]).alias("names"))
     methods = top_distinct(kept, ["__key"], "__method", at, most_methods, "methods").withColumnRenamed("__key", "__k2")
-    out = out.join(names, F.col("__key") == F.col("__k1"), "left").join(methods, F.col("__key") == F.col("__k2"), "left").drop("__k1", "__k2")
+    out = out.join(methods, F.col("__key") == F.col("__k2"), "left").drop("__k2")
     return out.withColumn("methods", F.coalesce("methods", F.array().cast("array<string>"))).withColumnRenamed("__key", key)
 
 

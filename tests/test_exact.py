@@ -121,3 +121,24 @@ def test_jobs_do_not_follow_the_number_of_columns(spark):
 
     few, many = jobs(1), jobs(10)
     assert (few[1], many[1]) == (4, 31) and many[0] <= few[0] + 6
+
+
+def test_relation_profile_reads_twice_and_normalizes_once(spark):
+    rows = [(f" K{i % 3} ", f"N  {i % 40:02d}" if i % 7 else " ", ("y", "x ", "no", None)[i % 4], float(i % 5) if i % 6 else float("nan"), f"2020-01-{i % 28 + 1:02d}") for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, n string, m string, s double, d string")
+    out = aggregate.relation_profile(df, "k", "n", "m", "s", {"y": 1, "x": 2}, ["no"], date="d", most_names=5)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") <= 2 and plan.count("regexp_replace") <= 6
+
+    def order(r):
+        score = -r[3] if r[3] == r[3] else 1e300
+        return ({"y": 1, "x": 2}.get(r[2], 99), score, r[1])
+
+    kept = [(r[0].strip().lower(), r[1].strip().lower().replace("  ", " "), r[2] and r[2].strip(), r[3], r[4]) for r in rows]
+    kept = [r for r in kept if r[1] and r[2] != "no"]
+    for got in out.collect():
+        mine = sorted((r for r in kept if r[0] == got["k"]), key=order)
+        names, methods = list(dict.fromkeys(r[1] for r in mine)), list(dict.fromkeys(r[2] for r in mine if r[2]))
+        assert got["names"] == names[:5] and got["n_names"] == len(names) and got["n_rows"] == len(mine)
+        assert got["methods"] == methods and got["best_name"] == names[0] and got["best_method"] == methods[0] and got["best_priority"] == order(mine[0])[0]
+        assert repr(got["best_score"]) == repr(mine[0][3]) and str(got["best_date"]) == min(r[4] for r in mine if order(r) == order(mine[0]))
