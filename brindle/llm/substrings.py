@@ -28,7 +28,7 @@ BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Types of ids that are their own place in the order; rows of other ids are numbered.
 NUMBERS = ("tinyint", "smallint", "int", "bigint")
 #: Bytes of text in a block on average; its words and windows take some 30 times that in a Python worker.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 PIECES = "key long, block int, n int, a binary, b binary, c binary"
 
 
@@ -62,11 +62,12 @@ class Block:
 
 
 class Layout:
-    """Widths of the sketch and numbers of shards, all powers of two that follow the input's size."""
+    """Widths of the sketch and numbers of shards, all powers of two that follow the input's size. There are half as many shards as blocks or
+    more: a shard's counters take a byte a cell, a block some 30 times its text."""
 
     def __init__(self, n_bytes: int, n_blocks: int):
         self.cell_bits = max(12, int(n_bytes).bit_length())
-        self.shard_bits = min(max(3, int(n_blocks).bit_length()), self.cell_bits - 8)
+        self.shard_bits = min(max(3, int(n_blocks).bit_length() - 1), self.cell_bits - 8)
         self.shards = 1 << self.shard_bits
         self.cells_in_shard = 1 << (self.cell_bits - self.shard_bits)
 

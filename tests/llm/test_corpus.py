@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -630,3 +631,17 @@ def test_a_column_may_be_called_like_the_carried_struct_s_own_field(spark, tmp_p
     sharding.write_shards(df, str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out")).select(*df.columns)
     assert Counter(map(tuple, back.collect())) == Counter(rows)
+
+
+def test_a_block_of_the_substring_pass_is_bounded():
+    """The words, windows and sketch rows of a block of the usual size stay below 80 MB, and a shard's counters below its texts' size."""
+    import tracemalloc
+
+    text, n = " ".join(f"w{i % 50021}" for i in range(substrings.BLOCK_BYTES // 7)).encode(), 200 << 20
+    layout = substrings.Layout(n, -(-n // substrings.BLOCK_BYTES))
+    assert layout.cells_in_shard <= 8 << 20
+    tracemalloc.start()
+    substrings._sketch(substrings.Block(pa.table({"id": pa.array([1]), "text": pa.array([text], pa.binary())}), 20), layout, 0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 << 20
