@@ -13,25 +13,31 @@ sets, is the bucket's hub, and every other set of the bucket is compared with it
 difference D(X) from the hub. Of two sets X and Y that both met the hub, |X ^ Y| = |D(X)| + |D(Y)| - 2 |D(X) & D(Y)|,
 so whether they link is a question about their differences: if those are small the two link for certain, and otherwise
 they must share a known number of elements, which a prefix join on the rarest elements of the differences finds
-without loss. Pairs already connected aren't looked at. A group of thousands of near copies thus takes one comparison
-a copy and hub, and a join on the few elements in which copies differ alike.
+without loss. Pairs already connected aren't looked at, and where an element has a crowd of sets, these get a hub of
+their own in place of a join with each other. A group of thousands of near copies thus takes a few comparisons a copy and hub.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brindle.llm.common import WordIds, checkpoint, mix, release_memory
+from brindle.llm.common import WordIds, checkpoint, mix, release_memory, remove_folder, scratch_folder, write_step
 from brindle.llm.components import components
 
 GROUPS, HALF = 10, 2
 #: Rows of (id, hash) that are broadcast at most, so that texts needn't move; beyond it texts and rows meet in a shuffle.
 MOST_BROADCAST = 2_000_000
+#: Rounds of hubs within hubs, and steps in which labels are merged.
+ROUNDS, LABEL_STEPS = 4, 3
+#: Pairs a row that are few over all elements, and above which an element is a crowd. Elements that later ones rule out count too.
+FEW, CROWD = 16, 16
 BASE = 0x9E3779B97F4A7C15
 
 
@@ -173,44 +179,134 @@ def hub_pairs(members: DataFrame) -> DataFrame:
     return checkpoint(members.join(hubs, F.col("key") == F.col("k")).where("cls <> hub").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct())
 
 
-def links_around_hubs(met: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links of two classes that both met a hub and of which one doesn't link with it, enough to connect all such.
+def merged_labels(labels: DataFrame, links: DataFrame, kept) -> DataFrame:
+    """labels (node, label) after `links` (a, b): nodes of one label are connected, and nearly all that are connected have one.
+
+    Labels that meet go to the smallest of those they meet, twice followed. That is short of components where ways are long, which costs
+    comparisons but no link.
+    """
+    for _ in range(LABEL_STEPS):
+        x, y = (labels.select(F.col("node").alias(f"n{c}"), F.col("label").alias(c)) for c in "xy")
+        met = links.join(x, F.col("a") == F.col("nx")).join(y, F.col("b") == F.col("ny")).where("x <> y").select("x", "y")
+        both = met.union(met.select("y", "x"))
+        least = kept(both.groupBy("x").agg(F.min("y").alias("y")).select("x", F.least("x", "y").alias("y")))
+        if least.isEmpty():
+            break
+        for _ in range(2):
+            on = least.select(F.col("x").alias("from"), F.col("y").alias("to"))
+            least = least.join(on, F.col("y") == F.col("from"), "left").select("x", F.coalesce("to", "y").alias("y"))
+        labels = kept(labels.join(kept(least), F.col("label") == F.col("x"), "left").select("node", F.coalesce("y", "label").alias("label")))
+    return labels
+
+
+def shared_prefixes(met: DataFrame, percent: int, kept) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links that are certain, (a, b); the sets around each hub that may have others; and which elements these must meet in, with `node`, the set
+    whose label is theirs.
 
     With o(X) = (100 + p) |D(X)| - (100 - p) |X|, X and Y link for certain where o(X) + o(Y) <= 0. If X links so with any
     set of the hub, it does with that of the least o, so one link for each X says it all; where the hub's own o is the least, that
     link is known. Else they link only if they share t = (o(X) + o(Y)) / (2 (100 + p)) > 0 elements of their
     differences, rounded up. In any common order of elements the first shared one then lies among the first |D| - t + 1
     of both. Elements are ordered by how many differences of the hub have them, the rarest first; those that only one
-    has come before all others and meet nothing, so only their number counts. Pairs that meet so are checked in full.
+    has come before all others and meet nothing, so only their number counts.
     """
     p, q = 100 + percent, 100 - percent
     outside = p * F.col("d") > q * (F.col("sa") + F.col("sb"))
     hubs = met.groupBy("a").agg(F.min(F.when(outside, F.col("o"))).alias("least"), F.max("sb").alias("longest"), F.count(F.lit(1)).alias("n"), F.min(F.struct("o", "b")).alias("best"))
-    hubs = checkpoint(hubs.where("least is not null and n > 1").select(F.col("a").alias("hub"), "least", "longest", F.col("best.o").alias("lo"), F.col("best.b").alias("best")))
+    hubs = hubs.where("least is not null and n > 1").select(F.col("a").alias("hub"), "least", "longest", F.col("best.o").alias("lo"), F.col("best.b").alias("best"))
+    hubs = kept(hubs)
     # the least that a class must share with any that it may link to; a set outside has a partner of a difference no smaller than that
     wider = F.least(F.col("longest"), F.floor(F.col("sb") * 100 / percent))
     t = F.greatest(F.lit(1), F.when(outside, F.ceil((F.col("o") - q * wider) / p)).otherwise(F.ceil((F.col("o") + F.col("least")) / (2 * p)))).cast("long")
-    around = checkpoint(met.join(hubs, F.col("a") == F.col("hub")).select("a", "b", "sa", F.col("sb").alias("size"), "d", "o", "delta", outside.alias("outside"), t.alias("t"), "lo", "best"))
+    around = met.join(hubs, F.col("a") == F.col("hub"))
+    around = kept(around.select("a", "b", "sa", F.col("sb").alias("size"), "d", "o", "delta", outside.alias("outside"), t.alias("t"), "lo", "best", F.when(outside, F.col("b")).otherwise(F.col("a")).alias("node")))
     certain = around.where((F.col("lo") < -q * F.col("sa")) & (F.col("b") != F.col("best")) & (F.col("o") + F.col("lo") <= 0)).select(F.col("best").alias("a"), "b")
     open_ = around.where("t <= d")
-    parts = open_.select("a", "b", "size", "d", "o", "outside", "t", F.explode("delta").alias("e"))
-    shared = checkpoint(parts.groupBy("a", "e").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("a").alias("ha"), F.col("e").alias("he"), "n"))
+    parts = open_.select("a", "b", "size", "d", "o", "outside", "t", "node", F.explode("delta").alias("e"))
+    shared = kept(parts.groupBy("a", "e").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("a").alias("ha"), F.col("e").alias("he"), "n"))
     common = parts.join(shared, (F.col("a") == F.col("ha")) & (F.col("e") == F.col("he"))).drop("ha", "he")
     one = Window.partitionBy("a", "b")
     at = F.col("d") - F.count(F.lit(1)).over(one) + F.row_number().over(one.orderBy("n", "e")) - 1
-    prefix = checkpoint(common.withColumn("at", at).where("at <= d - t").select("a", "e", "b", "size", "d", "o", "outside", "at"))
-    x = prefix.where("outside")
-    y = prefix.select(*[F.col(n).alias(f"{n}2") for n in prefix.columns])
-    both = F.col("o") + F.col("o2")
-    once = ~F.col("outside2") | (F.col("b") < F.col("b2"))
-    fits = 100 * F.least("size", "size2") >= percent * F.greatest("size", "size2")
-    near = (F.col("at") + F.ceil(both / (2 * p)) <= F.col("d")) & (F.col("at2") + F.ceil(both / (2 * p)) <= F.col("d2"))
-    pairs = checkpoint(x.join(y, (F.col("a") == F.col("a2")) & (F.col("e") == F.col("e2")) & (both > 0) & once & fits & near).select("a", "b", "b2").distinct(), sweep=True)
-    first = open_.select(F.col("a").alias("h1"), F.col("b").alias("x"), F.col("size").alias("sx"), F.col("delta").alias("dx"))
-    second = open_.select(F.col("a").alias("h2"), F.col("b").alias("y"), F.col("size").alias("sy"), F.col("delta").alias("dy"))
-    checked = pairs.join(first, (F.col("a") == F.col("h1")) & (F.col("b") == F.col("x"))).join(second, (F.col("a") == F.col("h2")) & (F.col("b2") == F.col("y")))
-    apart = F.size("dx") + F.size("dy") - 2 * F.size(F.array_intersect("dx", "dy"))
-    return certain.union(checked.where(p * apart <= q * (F.col("sx") + F.col("sy"))).select("b", "b2"))
+    return certain, open_, kept(common.withColumn("at", at).where("at <= d - t").select("a", "e", "b", "size", "d", "o", "outside", "at", "node"))
+
+
+def links_around_hubs(met: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links of two classes that both met a hub and of which one doesn't link with it, enough to connect all such.
+
+    Sets that meet in an element (see `shared_prefixes`) and have different labels, so may not be connected yet, are pairs, which are checked in
+    full if they are few. If not, the set of the least difference in a crowded element becomes a hub of the others: they are compared with
+    it alone, and labels are merged. Only where an element is still crowded then, the next round looks at its sets' differences from
+    that hub. So a crowd of copies of a variant gets one label at once. What is left after `ROUNDS` rounds is checked in full: no link is lost.
+    """
+    spark = met.sparkSession
+    folder = scratch_folder(spark, "hubs")
+
+    def kept(df: DataFrame) -> DataFrame:
+        # plain tables: a checkpoint inherits the size estimates of its plan, which joins in rounds would square each time
+        path = f"{folder}/{uuid.uuid4().hex}"
+        write_step(df, path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    p, q = 100 + percent, 100 - percent
+    inside = p * F.col("d") <= q * (F.col("sa") + F.col("sb"))
+    labels = kept(met.select(F.explode(F.array("a", "b")).alias("node")).distinct().select("node", F.col("node").alias("label")))
+    labels = merged_labels(labels, met.where(inside).select("a", "b"), kept)
+    found = []
+
+    def labelled(prefix: DataFrame) -> DataFrame:
+        return prefix.join(labels.select(F.col("node").alias("n"), "label"), F.col("node") == F.col("n")).drop("n", "node")
+
+    def elements(prefix: DataFrame, all_: bool) -> DataFrame:
+        """(ha, he, hub, pairs, crowded) of the elements of a hub whose sets have different labels."""
+        alike = labelled(prefix).groupBy("a", "e", "label").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("o", "b")).alias("first"))
+        apart = F.expr("(sum(n) * sum(n) - sum(n * n)) div 2").alias("pairs")
+        out = alike.groupBy(F.col("a").alias("ha"), F.col("e").alias("he")).agg(F.sum("n").alias("n"), apart, F.min("first")["b"].alias("hub")).where("pairs > 0")
+        out = kept(out.select("ha", "he", "hub", "pairs", (F.lit(not all_) & (F.col("pairs") > CROWD * F.col("n"))).alias("crowded")))
+        few = all_ or (out.agg(F.sum("pairs")).first()[0] or 0) <= FEW * prefix.count()
+        return out.withColumn("crowded", F.lit(False)) if few else out
+
+    def in_full(pairs: DataFrame, open_: DataFrame) -> DataFrame:
+        """(a, b, sa, sb, delta, d) of pairs (a, b, b2) around a hub a, by their differences from it."""
+        first = open_.select(F.col("a").alias("h1"), F.col("b").alias("x"), F.col("size").alias("sa"), F.col("delta").alias("dx"))
+        second = open_.select(F.col("a").alias("h2"), F.col("b").alias("y"), F.col("size").alias("sb"), F.col("delta").alias("dy"))
+        both = pairs.join(first, (F.col("a") == F.col("h1")) & (F.col("b") == F.col("x"))).join(second, (F.col("a") == F.col("h2")) & (F.col("b2") == F.col("y")))
+        differ = F.array_union(F.array_except("dx", "dy"), F.array_except("dy", "dx"))
+        return both.select(F.col("x").alias("a"), F.col("y").alias("b"), "sa", "sb", differ.alias("delta")).withColumn("d", F.size("delta").cast("long"))
+
+    for left in range(ROUNDS, -1, -1):
+        certain, open_, prefix = shared_prefixes(met, percent, kept)
+        found.append(kept(certain))
+        if prefix.isEmpty():
+            break
+        labels = merged_labels(labels, found[-1], kept)
+        at = (F.col("a") == F.col("ha")) & (F.col("e") == F.col("he"))
+        told = elements(prefix, left == 0)
+        asked = near_hubs = None
+        if not told.where("crowded").isEmpty():
+            asked = kept(prefix.join(told.where("crowded"), at).where("b <> hub").select("a", "e", "hub", "b"))
+            near_hubs = kept(in_full(asked.select("a", F.col("hub").alias("b"), F.col("b").alias("b2")).distinct(), open_).dropDuplicates(["a", "b"]))
+            found.append(kept(near_hubs.where(inside).select("a", "b")))
+            labels = merged_labels(labels, found[-1], kept)
+            told = elements(prefix, False)
+        x = kept(labelled(prefix).join(told.where("not crowded"), at).drop("ha", "he", "hub", "pairs", "crowded"))
+        y = x.select(*[F.col(n).alias(f"{n}2") for n in x.columns])
+        both = F.col("o") + F.col("o2")
+        once = ~F.col("outside2") | (F.col("b") < F.col("b2"))
+        fits = 100 * F.least("size", "size2") >= percent * F.greatest("size", "size2")
+        near = (F.col("at") + F.ceil(both / (2 * p)) <= F.col("d")) & (F.col("at2") + F.ceil(both / (2 * p)) <= F.col("d2"))
+        meet = (F.col("a") == F.col("a2")) & (F.col("e") == F.col("e2")) & (F.col("label") != F.col("label2")) & (both > 0) & once & fits & near
+        pairs = kept(x.where("outside").join(y, meet).select("a", "b", "b2").distinct())
+        found.append(kept(in_full(pairs, open_).where(inside).select("a", "b")))
+        if near_hubs is None:
+            break
+        still = asked.join(told.where("crowded").select("ha", "he"), at, "left_semi").select(F.col("hub").alias("h"), F.col("b").alias("s")).distinct()
+        met = kept(near_hubs.join(still, (F.col("a") == F.col("h")) & (F.col("b") == F.col("s")), "left_semi").withColumn("o", p * F.col("d") - q * F.col("sb")))
+        if met.isEmpty():
+            break
+        labels = merged_labels(labels, found[-1], kept)
+    out = checkpoint(reduce(DataFrame.union, found).distinct(), sweep=True)
+    remove_folder(spark, folder)
+    return out
 
 
 def grouped_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2, percent: int = 80, groups: int = GROUPS, half: int = HALF) -> DataFrame:

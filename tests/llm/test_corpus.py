@@ -605,6 +605,32 @@ def test_hubs_prove_links_without_loss(spark):
         assert all(find(a) == find(b) for a, b in links)
 
 
+def test_families_of_variants_take_few_links(spark):
+    """Two variants of a hub's text, of hundreds of copies each: every variant is connected, the two aren't, and links follow the copies, not their pairs."""
+    n, hub = 400, frozenset(range(100))
+    sets = {}
+    for v in range(2):
+        for i in range(n):
+            new = [1000 * (v + 1) + j for j in range(15)]
+            sets[v * n + i] = (hub - set(range(15))) | set(new) | {10_000 + 2 * (v * n + i) + j for j in range(2)}
+    met = [(5000, i, 100, len(s), len(s ^ hub), sorted(s ^ hub), 180 * len(s ^ hub) - 20 * len(s)) for i, s in sets.items()]
+    df = spark.createDataFrame(met, "a long, b long, sa long, sb long, d long, delta array<long>, o long")
+    links = [(r["a"], r["b"]) for r in minhash.links_around_hubs(df, 80).collect()]
+    assert len(links) <= 10 * len(sets)
+    assert all(100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) for a, b in links)
+    reached, at = {}, {}
+    for a, b in links:
+        at.setdefault(a, []).append(b), at.setdefault(b, []).append(a)
+    for first in (0, n):
+        todo, seen = [first], {first}
+        while todo:
+            more = [b for b in at.get(todo.pop(), ()) if b not in seen]
+            seen |= set(more)
+            todo += more
+        reached[first] = seen
+    assert reached == {0: set(range(n)), n: set(range(n, 2 * n))}
+
+
 def test_written_shards_keep_every_column(spark, tmp_path):
     rows = [(i, f"text {i}" if i % 5 else None, i % 3, "own law", None) for i in range(60)]
     df = spark.createDataFrame(rows, "doc_id long, text string, shard int, law string, slot string")
