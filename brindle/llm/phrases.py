@@ -12,8 +12,12 @@ Most n-grams are rare, so a level first adds counts up by hashed cells: a shard
 learns which of its cells reach the threshold over all shards. Only n-grams in such cells, which a rare one only shares by chance and a
 frequent one never misses, are sent as rows to be counted exactly.
 
-A name is where a phrase stands first: the shard and place of one of its intervals. So names are exact, without hashes or a
-pass to number them. A shard sends a key once whatever its count, so a hot phrase is a row per shard.
+Shards are dealt to teams, as many as leave work for all tasks (see `teams_of`). A task adds up the n-grams of a team's shards, one shard
+after the other, before it sends them: a row is an n-gram of a team, with its places in the team's shards, so that a frequent
+phrase is a row per team, not per shard.
+
+A name is where a phrase stands first: the team (of a word: the shard) and place of one of its intervals. So names are exact, without
+hashes or a pass to number them.
 """
 
 from __future__ import annotations
@@ -37,10 +41,14 @@ SHARD_BYTES = 8 << 20
 #: Shards that one input partition may have; shard ids are the partition's number times this, plus their own.
 MOST_SHARDS = 4096
 ENCODED = "shard long, place int, lang string, word string, n long, ids binary"
-ARRAYS = "shard long, suffixes binary, common binary, names binary"
-SKETCH = "part int, shard long, n int, cells binary, counts binary"
-HEAVY = "shard long, part int, n int, bits binary"
-LEVEL = "own long, first long, last long, n long"
+ARRAYS = "team int, shard long, suffixes binary, common binary, names binary"
+SKETCH = "part int, team int, shard long, n int, cells binary, counts binary"
+HEAVY = "team int, shard long, part int, n int, bits binary"
+LEVEL = "own long, places array<int>, first long, last long, n long"
+#: Shards of a team at most: a task holds their packed arrays and unpacks one at a time.
+TEAM = 32
+#: Rows of a batch that a step returns.
+BATCH_ROWS = 50_000
 #: Cells of a part of the sketch; words of text per cell, so that a cell of rare n-grams alone stays far below any threshold in use.
 PART_BITS, WORDS_PER_CELL = 16, 16
 
@@ -87,7 +95,7 @@ def encoded(docs: DataFrame, lang_col: str, text_col: str, shard_bytes: int) ->
             k = next(made)
             if k >= MOST_SHARDS:
                 raise ValueError(f"an input partition has over {MOST_SHARDS} shards of {shard_bytes} bytes: read it in smaller partitions")
-            yield from shard.rows(partition * MOST_SHARDS + k).to_batches(max_chunksize=50_000)
+            yield from shard.rows(partition * MOST_SHARDS + k).to_batches(max_chunksize=BATCH_ROWS)
             release_memory()
 
         shard = Shard()
@@ -140,56 +148,74 @@ def intervals(suffixes: np.ndarray, common: np.ndarray, k: int, name: np.ndarray
     return starts[good], first[good], last[good], sizes[good]
 
 
-def _named(answers: pa.Table, size: int) -> np.ndarray:
+def _named(places: np.ndarray, names: np.ndarray, size: int) -> np.ndarray:
     out = np.full(size, -1, dtype=np.int64)
-    places = answers.column("place")
-    if answers.num_rows:
-        kept = answers.filter(places.is_valid()) if places.null_count else answers
-        out[kept.column("place").to_numpy()] = kept.column("name").to_numpy()
+    out[places] = names
     return out
 
 
+def teams_of(shards: int, tasks: int) -> int:
+    """How many teams shards are dealt to: as many as tasks run at a time, or a multiple, so that none has over `TEAM`."""
+    return min(shards, tasks * -(-shards // (tasks * TEAM)))
+
+
 def _arrays(key, texts: pa.Table, answers: pa.Table) -> pa.Table:
     """A shard's suffix array over its frequent words, and the names of these in its order."""
-    columns = ["shard", "suffixes", "common", "names"]
-    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    columns = ["team", "shard", "suffixes", "common", "names"]
+    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
     if not texts.num_rows or not answers.num_rows:
         return pa.table([pa.array([], k) for k in kinds], names=columns)
     ids = unpack(texts.column("ids")[0].as_py(), np.int32)
-    name = _named(answers, int(ids.max(initial=0)) + 1)[ids]
+    name = _named(answers.column("place").to_numpy(), answers.column("name").to_numpy(), int(ids.max(initial=0)) + 1)[ids]
     suffixes, common = suffix_array(np.where(name >= 0, ids, 0), texts.column("depth")[0].as_py())
-    row = (texts.column("shard")[0].as_py(), pack(suffixes), pack(common), pack(name[suffixes[common < 1]]))
+    row = (texts.column("team")[0].as_py(), texts.column("shard")[0].as_py(), pack(suffixes), pack(common), pack(name[suffixes[common < 1]]))
     return pa.table([pa.array([x], k) for x, k in zip(row, kinds)], names=columns)
 
 
-def _counts(arrays: pa.Table, answers: pa.Table | None, k: int) -> tuple[np.ndarray, ...]:
-    """(place, first, last, n) of a shard's n-grams of k words with frequent parts."""
-    suffixes, common = unpack(arrays.column("suffixes")[0].as_py(), np.int32), unpack(arrays.column("common")[0].as_py(), np.uint8)
-    starts = np.flatnonzero(common < k - 1)
-    of_interval = unpack(arrays.column("names")[0].as_py(), np.int64) if k == 2 else _named(answers, len(suffixes))[starts]
-    name = np.full(int(suffixes.max(initial=0)) + 2, -1, dtype=np.int64)
-    name[suffixes] = np.repeat(of_interval, np.diff(starts, append=len(suffixes)))
-    return intervals(suffixes, common, k, name)
+def _counts(arrays: pa.Table, answers: pa.Table, k: int) -> Iterator[tuple]:
+    """(shard, place, first, last, n) of the n-grams of k words with frequent parts, for one shard of a team after the other. Places are those in
+    the team: a shard's go on from the end of the one before. `answers` has the names of the level before, by places."""
+    told = answers.filter(answers.column("places").is_valid()) if answers.num_rows else answers
+    places = names = np.empty(0, np.int64)
+    if told.num_rows:
+        lists = told.column("places").combine_chunks()
+        places, names = lists.flatten().to_numpy(), np.repeat(told.column("name").to_numpy(), lists.value_lengths().to_numpy())
+        order = np.argsort(places)
+        places, names = places[order], names[order]
+    column = {c: arrays.column(c) for c in arrays.column_names}
+    first_place = 0
+    for row in np.argsort(column["shard"].to_numpy()).tolist():
+        suffixes, common = unpack(column["suffixes"][row].as_py(), np.int32), unpack(column["common"][row].as_py(), np.uint8)
+        starts = np.flatnonzero(common < k - 1)
+        if k == 2:
+            of_interval = unpack(column["names"][row].as_py(), np.int64)
+        else:
+            own = slice(*np.searchsorted(places, [first_place, first_place + len(suffixes)]))
+            of_interval = _named(places[own] - first_place, names[own], len(suffixes))[starts]
+        name = np.full(int(suffixes.max(initial=0)) + 2, -1, dtype=np.int64)
+        name[suffixes] = np.repeat(of_interval, np.diff(starts, append=len(suffixes)))
+        place, first, last, n = intervals(suffixes, common, k, name)
+        yield column["shard"][row].as_py(), first_place + place, first, last, n
+        first_place += len(suffixes)
 
 
 def cells_of(first: np.ndarray, last: np.ndarray, bits: int) -> np.ndarray:
     return mix(first.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mix(last.view(np.uint64))) >> np.uint64(64 - bits)
 
 
-def _sketch(arrays: pa.Table, answers: pa.Table | None, k: int, bits: int) -> pa.Table:
-    """A shard's counts by cell: a row for each part of the cells that it has any in."""
-    rows = []
-    if arrays.num_rows:
-        _, first, last, n = _counts(arrays, answers, k)
+def _sketch(arrays: pa.Table, answers: pa.Table, k: int, bits: int) -> pa.Table:
+    """Counts by cell of each of a team's shards: a row for each part of the cells that a shard has any in."""
+    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+    tables = [pa.table([pa.array([], kind) for kind in kinds], names=["part", "team", "shard", "n", "cells", "counts"])]
+    for shard, _, first, last, n in _counts(arrays, answers, k) if arrays.num_rows else ():
         cells, where = np.unique(cells_of(first, last, bits), return_inverse=True)
         counts = np.bincount(where, n, minlength=len(cells)).astype(np.uint32)
         parts = cells >> np.uint64(PART_BITS)
         starts = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]])) if len(cells) else np.empty(0, int)
-        inner = (cells & np.uint64((1 << PART_BITS) - 1)).astype(np.uint16)
-        for a, b in zip(starts, [*starts[1:], len(cells)]):
-            rows.append((int(parts[a]), arrays.column("shard")[0].as_py(), int(b - a), pack_sorted(inner[a:b]), pack(counts[a:b])))
-    kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
-    return pa.table([pa.array(c, kind) for c, kind in zip(zip(*rows) if rows else [()] * 5, kinds)], names=["part", "shard", "n", "cells", "counts"])
+        inner, team = (cells & np.uint64((1 << PART_BITS) - 1)).astype(np.uint16), arrays.column("team")[0].as_py()
+        rows = [(int(parts[a]), team, shard, int(b - a), pack_sorted(inner[a:b]), pack(counts[a:b])) for a, b in zip(starts, [*starts[1:], len(cells)])]
+        tables.append(pa.table([pa.array(c, kind) for c, kind in zip(zip(*rows) if rows else [()] * 6, kinds)], names=tables[0].column_names))
+    return pa.concat_tables(tables)
 
 
 def _heavy(table: pa.Table, least: int) -> pa.Table:
@@ -199,36 +225,44 @@ def _heavy(table: pa.Table, least: int) -> pa.Table:
     for own, counts in zip(cells, table.column("counts")):
         total[own] += unpack(counts.as_py(), np.uint32)
     bits = [pack_bits(total[own] >= least) for own in cells]
-    return pa.table([table.column("shard"), table.column("part"), table.column("n"), pa.array(bits, pa.binary())], names=["shard", "part", "n", "bits"])
+    return pa.table([*(table.column(c) for c in ("team", "shard", "part", "n")), pa.array(bits, pa.binary())], names=["team", "shard", "part", "n", "bits"])
 
 
 def _exact(arrays: pa.Table, answers: pa.Table, k: int, bits: int) -> pa.Table:
-    """A row of each of a shard's n-grams in a heavy cell. `answers` has names of the level before and the sketch's bits, each where
+    """A row of each of a team's n-grams in a heavy cell. `answers` has names of the level before and the sketch's bits, each where
     the other is null."""
-    own = first = last = n = np.empty(0, np.int64)
+    found = []
     if arrays.num_rows and answers.num_rows:
-        place, first, last, n = _counts(arrays, answers, k)
-        told = answers.filter(answers.column("part").is_valid()).sort_by("part")
-        heavy = [unpack_bits(b, size) for b, size in zip(told.column("bits").to_pylist(), told.column("n").to_pylist())]
-        _, where = np.unique(cells_of(first, last, bits), return_inverse=True)
-        good = np.concatenate(heavy)[where] if heavy else np.zeros(len(first), dtype=bool)
-        own, first, last, n = (arrays.column("shard")[0].as_py() << 32) + place[good].astype(np.int64), first[good], last[good], n[good].astype(np.int64)
-    return pa.table([pa.array(x, pa.int64()) for x in (own, first, last, n)], names=["own", "first", "last", "n"])
+        told = answers.filter(answers.column("part").is_valid()).sort_by([("shard", "ascending"), ("part", "ascending")])
+        of_row, sizes, packed = told.column("shard").to_numpy(), told.column("n").to_pylist(), told.column("bits")
+        for shard, place, first, last, n in _counts(arrays, answers, k):
+            own = range(*np.searchsorted(of_row, [shard, shard + 1]))
+            _, where = np.unique(cells_of(first, last, bits), return_inverse=True)
+            good = np.concatenate([unpack_bits(packed[i].as_py(), sizes[i]) for i in own])[where] if own else np.zeros(len(first), dtype=bool)
+            found.append((place[good], first[good], last[good], n[good]))
+    place, first, last, n = (np.concatenate(x).astype(np.int64) for x in zip(*found)) if found else [np.empty(0, np.int64)] * 4
+    order = np.lexsort((place, last, first))
+    place, first, last = place[order], first[order], last[order]
+    starts = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (last[1:] != last[:-1])])) if len(place) else np.empty(0, int)
+    total = np.add.reduceat(n[order], starts) if len(place) else n
+    own = place[starts] + ((arrays.column("team")[0].as_py() << 32) if arrays.num_rows else 0)
+    places = pa.ListArray.from_arrays(pa.array(np.append(starts, len(place)).astype(np.int32)), pa.array(place.astype(np.int32)))
+    out = pa.table([pa.array(own), places, pa.array(first[starts]), pa.array(last[starts]), pa.array(total)], names=["own", "places", "first", "last", "n"])
+    return pa.Table.from_batches(out.to_batches(max_chunksize=BATCH_ROWS), out.schema)
 
 
 def _step(f, k: int, bits: int):
-    def of_shard(key, arrays, answers):
+    def of_team(key, arrays, answers):
         return f(arrays, answers, k, bits)
 
-    return lean(of_shard)
+    return lean(of_team)
 
 
 def _merged(rows: DataFrame, key: list[str], least: int) -> DataFrame:
-    """Rows (own, n, key) of the keys that are frequent over all shards, with their count and name. One shuffle by key."""
+    """Rows (own, n, key) of the keys that are frequent over all, with their count and name. One shuffle by key."""
     over = Window.partitionBy(*key)
     summed = rows.withColumns({"f": F.sum("n").over(over), "name": F.min("own").over(over)}).where(F.col("f") >= least)
-    shard, place = F.shiftright("own", 32).alias("shard"), F.col("own").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("place")
-    return summed.select(shard, place, "name", "f", *key, (F.col("name") == F.col("own")).alias("leads"))
+    return summed.drop("n").withColumn("leads", F.col("name") == F.col("own"))
 
 
 def _longer_phrases(found: DataFrame, shorter: DataFrame) -> DataFrame:
@@ -252,19 +286,22 @@ def candidates(docs: DataFrame, lang_col: str, text_col: str, least: int, longes
     levels = [table("words1").where("leads").select("name", "lang", F.array("word").alias("words"), "f", empty.alias("firsts"), empty.alias("rests"))]
     words = table("totals").agg(F.sum("total")).first()[0] or 0
     bits = max(PART_BITS, (words // WORDS_PER_CELL).bit_length())
-    texts = shards.where("place = 0").select("shard", "ids", F.lit(longest).alias("depth"))
-    write_step(texts.groupBy("shard").cogroup(table("words1").select("shard", "place", "name").groupBy("shard")).applyInArrow(lean(_arrays), ARRAYS), f"{folder}/arrays")
+    texts = shards.where("place = 0")
+    teams = max(1, teams_of(texts.count(), spark.sparkContext.defaultParallelism))
+    # a row for each shard, so this window holds a few rows
+    dealt = texts.select("shard", F.pmod(F.row_number().over(Window.orderBy("shard")), F.lit(teams)).alias("team"))
+    texts = texts.join(F.broadcast(dealt), "shard").select("team", "shard", "ids", F.lit(longest).alias("depth"))
+    shard, place = F.shiftright("own", 32).alias("shard"), F.col("own").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("place")
+    write_step(texts.groupBy("shard").cogroup(table("words1").select(shard, place, "name").groupBy("shard")).applyInArrow(lean(_arrays), ARRAYS), f"{folder}/arrays")
     remove_folder(spark, f"{folder}/shards")
     arrays = spark.read.schema(ARRAYS).parquet(f"{folder}/arrays")
     for k in range(2, longest + 1):
-        named = table(f"words{k - 1}").select("shard", "place", "name")
-        if k == 2:
-            named = named.limit(0)
+        named = spark.createDataFrame([], "team int, places array<int>, name long") if k == 2 else table(f"words{k - 1}").select(F.shiftright("own", 32).cast("int").alias("team"), "places", "name")
 
-        sketches = arrays.groupBy("shard").cogroup(named.groupBy("shard")).applyInArrow(_step(_sketch, k, bits), SKETCH)
+        sketches = arrays.groupBy("team").cogroup(named.groupBy("team")).applyInArrow(_step(_sketch, k, bits), SKETCH)
         write_step(sketches.groupBy("part").applyInArrow(lean(lambda part: _heavy(part, least)), HEAVY), f"{folder}/heavy{k}")
         told = spark.read.schema(HEAVY).parquet(f"{folder}/heavy{k}").unionByName(named, allowMissingColumns=True)
-        rows = arrays.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(_step(_exact, k, bits), LEVEL)
+        rows = arrays.groupBy("team").cogroup(told.groupBy("team")).applyInArrow(_step(_exact, k, bits), LEVEL)
         write_step(_merged(rows, ["first", "last"], least), f"{folder}/words{k}")
         remove_folder(spark, f"{folder}/heavy{k}")
         found = table(f"words{k}").where("leads").select("name", "first", "last", "f")

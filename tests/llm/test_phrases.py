@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brindle.llm import phrases
+from brindle.llm.common import remove_folder, scratch_folder
 from brindle.llm.oracle import OP11
 
 SF = "/root/testdata/sf0.001"
@@ -69,6 +70,24 @@ def test_cells_that_hold_much_more_than_a_phrase_lose_none(odd, monkeypatch):
     assert got(phrases.collocations(odd, least=10, shard_bytes=2000)) == by_force(odd_rows(), 10, 5, 100, 2000)
 
 
+def test_a_frequent_phrase_is_a_row_per_team(spark):
+    """Shards of one task are added up before their n-grams are sent, so rows don't follow phrases times shards."""
+    docs = spark.range(600).repartition(4).select(F.lit("en").alias("lang"), F.lit("one and the same text").alias("text"))
+    folder = scratch_folder(spark, "phrases-test")
+    _, levels = phrases.candidates(docs, "lang", "text", 100, 5, 8, folder)
+    sent = spark.read.parquet(f"{folder}/words2").groupBy("name").count().agg(F.max("count")).first()[0]
+    found = [(r["words"], r["f"]) for r in levels[-1].collect()]
+    remove_folder(spark, folder)
+    assert found == [(["one", "and", "the", "same", "text"], 600)]
+    assert sent <= 600 / 8
+
+
+def test_teams():
+    for shards, tasks in ((0, 4), (1, 4), (5, 4), (129, 4), (1000, 1), (7, 200)):
+        teams = phrases.teams_of(shards, tasks)
+        assert teams <= shards <= teams * phrases.TEAM and (teams == shards or teams % tasks == 0)
+
+
 def test_empty_table(odd):
     assert phrases.collocations(odd.limit(0)).count() == 0
 
