@@ -113,6 +113,21 @@ def test_sparse_rows_give_the_dense_distances(spark):
         assert row[0] == 700 * 699 // 2 and row[1] < 1e-6
 
 
+def test_items_are_sent_to_targets_that_reach_them(spark):
+    """An item goes to the chunks of targets that reach its block, not to all: 1,000 targets with 8 items each are sent each item once."""
+    n = 8_000
+    vector = F.array(F.col("id").cast("double"), F.lit(1.0)).alias("vector")
+    others = spark.range(n).select("id", vector, F.col("id").alias("rank"))
+    targets = spark.range(n, n + n // 8).select("id", vector, ((F.col("id") - n) * 8).alias("lo"), ((F.col("id") - n) * 8 + 8).alias("hi"))
+    left, right = cluster.meeting_ranges(targets, others)
+    assert right.count() == n and left.count() == n // 8
+    assert cluster.nearest_in_ranges(targets, others, None, "euclidean").count() == n
+    crowd = spark.range(n, n + 2 * cluster.BLOCK + 1).select("id", vector, F.lit(0).alias("lo"), F.lit(10).alias("hi"))
+    left, right = cluster.meeting_ranges(crowd, others)
+    assert right.count() == 3 * cluster.BLOCK and right.where("rank < 10").groupBy("rank").count().where("count <> 3").isEmpty()
+    assert cluster.nearest_in_ranges(crowd, others, None, "euclidean").count() == 10 * crowd.count()
+
+
 def test_nearest_items_by_block(spark):
     rng = np.random.default_rng(6)
     x, t = rng.normal(size=(1300, 2)), rng.normal(size=(600, 2))
