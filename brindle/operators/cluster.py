@@ -345,7 +345,8 @@ def merged_in_rounds(rows: DataFrame, n: int, metric: str, in_task: int) -> Data
         renamed = made.select(F.col("left").alias("__into"), F.col("height").alias("__height"), F.explode(F.array("left", "right")).alias("cluster"))
         now = state.keep(now.join(renamed, "cluster", "left").select(F.coalesce("__into", "cluster").alias("cluster"), F.coalesce("__height", "height").alias("height"), "weight", "vector"))
         left -= made.count()
-    found.append(last_merges(in_blocks(now), metric, at + 1))
+    # fixed, because numbering by a range shuffle would run them once for its bounds and again for its rows
+    found.append(fixed(last_merges(in_blocks(now), metric, at + 1)))
     return named_by_step(reduce(DataFrame.unionByName, found), n)
 
 

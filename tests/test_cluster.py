@@ -128,6 +128,27 @@ def test_items_are_sent_to_targets_that_reach_them(spark):
     assert cluster.nearest_in_ranges(crowd, others, None, "euclidean").count() == 10 * crowd.count()
 
 
+def test_the_last_group_is_merged_once(spark, monkeypatch):
+    """Its task is the longest, and numbering its merges takes several jobs."""
+    runs, merges = spark.sparkContext.accumulator(0), cluster.last_merges
+
+    def counted(*args):
+        out = merges(*args)
+
+        def count(batches):
+            for batch in batches:
+                runs.add(batch.num_rows)
+                yield batch
+
+        return out.mapInArrow(count, out.schema)
+
+    monkeypatch.setattr(cluster, "last_merges", counted)
+    x = np.random.default_rng(2).normal(size=(60, 3))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, vector array<double>")
+    assert cluster.linkage(rows, "euclidean", in_task=20).count() == 59
+    assert 0 < runs.value < 20
+
+
 def test_nearest_items_by_block(spark):
     rng = np.random.default_rng(6)
     x, t = rng.normal(size=(1300, 2)), rng.normal(size=(600, 2))
