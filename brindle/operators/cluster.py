@@ -24,6 +24,10 @@ from brindle.operators.persist import Rounds, fixed
 MOST_ITEMS, BLOCK = 12_000, 512
 #: Clusters that one task merges, and rows of a block in the rounds before that.
 IN_TASK, ROUND_BLOCK = 8_000, 4_096
+#: Neighbours of a cluster's list, rows of a block that looks for them at most, clusters of a group that merges by lists, products made at once there.
+NEAR, NEAR_BLOCK, GROUP, PAIRS = 32, 32_768, 131_072, 1 << 18
+#: A group stops when a step merges less than one of so many clusters; a round by lists that merges less than one of so many is one of all pairs.
+STEPS, SLOW = 500, 50
 #: Rows of a block where all pairs are the result, and rows whose distances to a block are made at once.
 PAIR_BLOCK, SLICE = 16_384, 128
 TREE = "merge_step bigint, left_id bigint, right_id bigint, merge_distance double, size bigint"
@@ -337,24 +341,33 @@ def merged_in_rounds(rows: DataFrame, n: int, metric: str, in_task: int) -> Data
     left, at = now.count(), 0
     while left > in_task:
         at += 1
-        near = fixed(nearest_clusters(in_blocks(now), metric))
-        back = near.select(F.col("cluster").alias("__c"), F.col("other").alias("__o"), F.col("size").alias("__s"), F.col("height").alias("__h"))
-        pairs = near.where("cluster < other").join(back, (F.col("other") == F.col("__c")) & (F.col("cluster") == F.col("__o")))
-        made = fixed(pairs.select(F.col("cluster").alias("left"), F.col("other").alias("right"), F.greatest("distance", "height", "__h").alias("height"), (F.col("size") + F.col("__s")).alias("size"), F.lit(at).alias("round"), F.lit(0).cast("long").alias("at")))
+        placed = fixed(in_blocks(now, round_block(now.count())))
+        got = fixed(certain_merges(placed, near_lists(placed, metric), left, metric, at))
+        made, renamed = got.where("at >= 0"), got.where("at < 0").select(F.col("left").alias("__into"), F.col("height").alias("__height"), F.col("right").alias("cluster"))
+        count = made.count()
+        if count * SLOW < left:
+            # crowds of equal distances, or neighbours in other groups: all pairs that are each other's nearest, by a hash where distances are equal
+            made = fixed(mutual_merges(placed, metric, at))
+            renamed = made.select(F.col("left").alias("__into"), F.col("height").alias("__height"), F.explode(F.array("left", "right")).alias("cluster"))
+            count = made.count()
         found.append(made)
-        renamed = made.select(F.col("left").alias("__into"), F.col("height").alias("__height"), F.explode(F.array("left", "right")).alias("cluster"))
         now = state.keep(now.join(renamed, "cluster", "left").select(F.coalesce("__into", "cluster").alias("cluster"), F.coalesce("__height", "height").alias("height"), "weight", "vector"))
-        left -= made.count()
+        left -= count
     # fixed, because numbering by a range shuffle would run them once for its bounds and again for its rows
-    found.append(fixed(last_merges(in_blocks(now), metric, at + 1)))
+    found.append(fixed(last_merges(fixed(in_blocks(now, ROUND_BLOCK)), metric, at + 1)))
     return named_by_step(reduce(DataFrame.unionByName, found), n)
 
 
-def in_blocks(now: DataFrame) -> DataFrame:
-    """Adds `b`, the block, and the size of a row's cluster, after the rows are put in the order of their clusters. Clusters aren't cut: one of more rows
-    than `ROUND_BLOCK` makes a larger block."""
+def round_block(n: int) -> int:
+    """Rows of a block where each cluster looks for its nearest ones: a row is sent twice for each block, so there are as few as leave work for all tasks."""
+    return max(1, min(NEAR_BLOCK, max(ROUND_BLOCK, -(-n // 6))))
+
+
+def in_blocks(now: DataFrame, rows: int) -> DataFrame:
+    """Adds `b`, the block, and the size of a row's cluster, after the rows are put in the order of their clusters. Clusters aren't cut: one of more than
+    `rows` rows makes a larger block."""
     about = clean.dense_ids(now.select("cluster", "weight"), [F.col("cluster")], "at").groupBy("cluster").agg(F.min("at").alias("at"), F.sum("weight").alias("size"))
-    return now.join(about.select("cluster", "size", F.floor(F.col("at") / ROUND_BLOCK).cast("int").alias("b")), "cluster").drop("weight")
+    return now.join(about.select("cluster", "size", F.floor(F.col("at") / rows).cast("int").alias("b")), "cluster").drop("weight")
 
 
 def meeting_blocks(placed: DataFrame) -> DataFrame:
@@ -364,43 +377,291 @@ def meeting_blocks(placed: DataFrame) -> DataFrame:
     return placed.select("*", F.explode(both).alias("pair")).select(*placed.columns, "pair.p", "pair.q")
 
 
+def prepared(x: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors and their squares as `rising` takes them: unit vectors for cosine."""
+    with np.errstate(over="ignore"):
+        squares = (x * x).sum(1)
+    if not np.isfinite(squares).all():
+        raise ValueError("a distance isn't finite")
+    if metric == "euclidean":
+        return x, squares
+    if metric != "cosine":
+        raise ValueError(f"unknown metric {metric!r}")
+    length = np.linalg.norm(x, axis=1)
+    if (length == 0).any():
+        raise ValueError("cosine distance of a zero vector")
+    return x / length[:, None], squares
+
+
+def rising(dots: np.ndarray, sx: np.ndarray, sy: np.ndarray, metric: str) -> np.ndarray:
+    """What rises with the distance, made of the products in place: itself for cosine, its square for Euclidean."""
+    if metric == "cosine":
+        np.subtract(1, dots, out=dots)
+    else:
+        dots *= -2
+        dots += sx
+        dots += sy
+    return np.maximum(dots, 0, out=dots)
+
+
+class Clusters:
+    """The rows of some clusters in the order of the clusters' sizes, and of equal sizes all first rows, then all second ones, so that the greatest of the
+    clusters' distances is taken over whole slices. `names` ascend, `rank` is a name's place in that order."""
+
+    def __init__(self, cluster: np.ndarray, x: np.ndarray, metric: str):
+        self.names, self.at, of, self.sizes = np.unique(cluster, return_index=True, return_inverse=True, return_counts=True)
+        order = np.argsort(of, kind="stable")
+        place = np.empty(len(of), dtype=np.int64)
+        place[order] = np.arange(len(of)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+        self.by_size = np.argsort(self.sizes, kind="stable")
+        self.rank = np.empty(len(self.names), dtype=np.int64)
+        self.rank[self.by_size] = np.arange(len(self.names))
+        self.x, self.squares = prepared(x[np.lexsort((self.rank[of], place, self.sizes[of]))], metric)
+        sizes, counts = np.unique(self.sizes, return_counts=True)
+        self.groups = list(zip(sizes.tolist(), counts.tolist(), (np.cumsum(counts) - counts).tolist(), (np.cumsum(counts * sizes) - counts * sizes).tolist()))
+
+    def greatest(self, d: np.ndarray) -> np.ndarray:
+        """Of columns for rows, columns for clusters."""
+        if len(self.groups) == 1 and self.groups[0][0] == 1:
+            return d
+        out = np.empty((len(d), len(self.names)))
+        for size, count, first, start in self.groups:
+            own = out[:, first : first + count]
+            if count < size:
+                d[:, start : start + size * count].reshape(len(d), size, count).max(axis=1, out=own)
+            else:
+                own[:] = d[:, start : start + count]
+                for k in range(1, size):
+                    np.maximum(own, d[:, start + k * count : start + (k + 1) * count], out=own)
+        return out
+
+    def farthest(self, other: "Clusters", metric: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pieces of these clusters (places in `names`) and what rises with their complete linkage distances to all of the other's, in order of size."""
+        for size, count, first, start in self.groups:
+            wide = max(1, SLICE // size)
+            for k in range(0, count, wide):
+                w = min(wide, count - k)
+                rows = (start + k + np.arange(size)[:, None] * count + np.arange(w)).reshape(-1)
+                out = None
+                for i in range(0, len(rows), SLICE):
+                    own = rows[i : i + SLICE]
+                    d = other.greatest(rising(self.x[own] @ other.x.T, self.squares[own][:, None], other.squares, metric))
+                    d = d if size == 1 else d.reshape(-1, w, d.shape[1]).max(axis=0)
+                    out = d if out is None else np.maximum(out, d, out=out)
+                yield self.by_size[first + k : first + k + w], out
+
+
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of each pair, the same from both sides."""
+    low, high = np.minimum(a, b).astype(np.uint64), np.maximum(a, b).astype(np.uint64)
+    h = (low * np.uint64(0x9E3779B97F4A7C15)) ^ (high * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9))
+    return ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(1)).astype(np.int64)
+
+
+def sides(table: pa.Table, left: np.ndarray, right: np.ndarray, metric: str) -> tuple[Clusters, Clusters]:
+    names, x = table.column("cluster").to_numpy(), vectors_in(table)
+    return Clusters(names[left], x[left], metric), Clusters(names[right], x[right], metric)
+
+
+def least_of(d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places of each row's finite values among its `k` least (row, column), and what all others of the row aren't below."""
+    rows, n = d.shape
+    bound = np.full(rows, np.inf)
+    parts = n // (4 * k)
+    if parts > 1:
+        # the k-th least of the least of 4 k parts has k values that aren't above it
+        wide = n // parts
+        low = d[:, :wide].copy()
+        for i in range(1, parts):
+            np.minimum(low, d[:, i * wide : (i + 1) * wide], out=low)
+        bound = np.partition(low, k, axis=1)[:, k]
+    row, column = np.nonzero(d <= bound[:, None]) if parts > 1 else np.nonzero(np.isfinite(d))
+    value = d[row, column]
+    order = np.lexsort((value, row))
+    row, column, value = row[order], column[order], value[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    cut = np.flatnonzero(place == k)
+    bound[row[cut]] = np.minimum(bound[row[cut]], value[cut])
+    keep = (place < k) & np.isfinite(value)
+    return row[keep], column[keep], bound
+
+
+def near_lists(placed: DataFrame, metric: str) -> DataFrame:
+    """(cluster, height, size, others, distances, bound): the `NEAR` nearest clusters of each by complete linkage; all that aren't among its others are at
+    least `bound` away. A block looks through each block by itself, then its lists are put together."""
+    blocks = [r[0] for r in placed.select("b").distinct().orderBy("b").collect()]
+    known = F.array([F.lit(b) for b in blocks])
+    own = placed.select("*", F.col("b").alias("p"), F.explode(known).alias("q"), F.lit(True).alias("own"))
+    dealt = own.unionByName(placed.select("*", F.explode(known).alias("p"), F.col("b").alias("q"), F.lit(False).alias("own")))
+
+    def near(key, table):
+        is_own = table.column("own").to_numpy(zero_copy_only=False)
+        left, right = np.flatnonzero(is_own), np.flatnonzero(~is_own)
+        one, two = sides(table, left, right, metric)
+        heights, sizes = (table.column(c).to_numpy()[left][one.at] for c in ("height", "size"))
+        same, back, out = key[0].as_py() == key[1].as_py(), two.names[two.by_size], []
+        for at, d in one.farthest(two, metric):
+            if same:
+                d[np.arange(len(at)), two.rank[at]] = np.inf
+            row, column, bound = least_of(d, NEAR)
+            value = d[row, column]
+            if metric == "euclidean":
+                value, bound = np.sqrt(value), np.sqrt(bound)
+            ends = pa.array(np.searchsorted(row, np.arange(len(at) + 1)).astype(np.int32))
+            out.append(pa.table({"cluster": pa.array(one.names[at]), "height": pa.array(heights[at]), "size": pa.array(sizes[at]), "others": pa.ListArray.from_arrays(ends, pa.array(back[column])), "distances": pa.ListArray.from_arrays(ends, pa.array(value)), "bound": pa.array(bound)}))
+        return pa.concat_tables(out)
+
+    def together(key, table):
+        names, at, of = np.unique(table.column("cluster").to_numpy(), return_index=True, return_inverse=True)
+        row, other, far = entries(table, of)
+        bound = np.full(len(names), np.inf)
+        np.minimum.at(bound, of, table.column("bound").to_numpy())
+        order = np.lexsort((mixed(names[row], other), far, row))
+        row, other, far = row[order], other[order], far[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        cut = np.flatnonzero(place == NEAR)
+        bound[row[cut]] = np.minimum(bound[row[cut]], far[cut])
+        keep = (place < NEAR) & (far <= bound[row])
+        ends = pa.array(np.searchsorted(row[keep], np.arange(len(names) + 1)).astype(np.int32))
+        return pa.table({"cluster": pa.array(names), "height": pa.array(table.column("height").to_numpy()[at]), "size": pa.array(table.column("size").to_numpy()[at]), "others": pa.ListArray.from_arrays(ends, pa.array(other[keep])), "distances": pa.ListArray.from_arrays(ends, pa.array(far[keep])), "bound": pa.array(bound)})
+
+    shape = "cluster bigint, height double, size bigint, others array<bigint>, distances array<double>, bound double"
+    # more partitions than pairs, which adaptive execution leaves as they are, so that few tasks have several of these long pairs
+    each = dealt.repartition(min(1000, 4 * len(blocks) ** 2), "p", "q").groupBy("p", "q").applyInArrow(near, shape)
+    return each.groupBy(F.pmod(F.xxhash64("cluster"), F.lit(4 * len(blocks))).alias("part")).applyInArrow(together, shape)
+
+
+def entries(table: pa.Table, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A list's entries, one by one: the number (`of`) of its row, the other and the distance."""
+    others, far = table.column("others").combine_chunks(), table.column("distances").combine_chunks()
+    return np.repeat(of, pc.list_value_length(others).to_numpy(zero_copy_only=False).astype(np.int64)), others.flatten().to_numpy(), far.flatten().to_numpy()
+
+
+def certain_merges(placed: DataFrame, lists: DataFrame, n: int, metric: str, round_: int) -> DataFrame:
+    """The merges that lists of neighbours prove, in as many steps as they reach (left, right, height, size, round, at), and each cluster's new name (at -1:
+    left, of the height; right is its old one).
+
+    Distances only grow as clusters merge, so whatever isn't in a list stays beyond its bound, and a merged cluster can go on with the list of its part
+    with the greater bound, whose distances are made again where they are the least. Two that are each other's nearest within their bounds merge, as
+    complete linkage would do sooner or later. Groups hold `GROUP` clusters; those of other groups are bounds only.
+    """
+    group = F.pmod(F.xxhash64("cluster", F.lit(round_)), F.lit(max(1, -(-n // GROUP)))).cast("int")
+
+    def merge(a: pa.Table, b: pa.Table) -> pa.Table:
+        found = proved_merges(a, b, metric)
+        return pa.table({"left": found[0], "right": found[1], "height": found[2], "size": found[3], "round": pa.array(np.full(len(found[0]), round_, np.int32)), "at": found[4]})
+
+    rows = placed.select("cluster", "vector", group.alias("g")).groupBy("g")
+    return rows.cogroup(lists.withColumn("g", group).groupBy("g")).applyInArrow(merge, "left bigint, right bigint, height double, size bigint, round int, at bigint")
+
+
+def greatest_of_pairs(x: np.ndarray, squares: np.ndarray, starts: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
+    """The complete linkage distances of clusters a and b, pair by pair; a cluster's rows are together."""
+    out, n = np.empty(len(a)), sizes[a] * sizes[b]
+    upto, i = np.concatenate([[0], np.cumsum(n)]), 0
+    while i < len(a):
+        j = max(i + 1, int(np.searchsorted(upto, upto[i] + PAIRS, "right")) - 1)
+        if n[i] > PAIRS:
+            one, two = slice(starts[a[i]], starts[a[i]] + sizes[a[i]]), slice(starts[b[i]], starts[b[i]] + sizes[b[i]])
+            out[i] = max(rising(x[k : min(k + SLICE, one.stop)] @ x[two].T, squares[k : min(k + SLICE, one.stop)][:, None], squares[two], metric).max() for k in range(one.start, one.stop, SLICE))
+        else:
+            at = np.arange(upto[j] - upto[i]) - np.repeat(upto[i:j] - upto[i], n[i:j])
+            of = np.repeat(sizes[b[i:j]], n[i:j])
+            p, q = np.repeat(starts[a[i:j]], n[i:j]) + at // of, np.repeat(starts[b[i:j]], n[i:j]) + at % of
+            out[i:j] = np.maximum.reduceat(rising(np.einsum("ij,ij->i", x[p], x[q]), squares[p], squares[q], metric), upto[i:j] - upto[i])
+        i = j
+    return np.sqrt(out) if metric == "euclidean" else out
+
+
+def proved_merges(rows: pa.Table, lists: pa.Table, metric: str) -> list[np.ndarray]:
+    """See `certain_merges`: left, right, height, size, at."""
+    order = np.argsort(lists.column("cluster").to_numpy())
+    names, height, size, bound = (lists.column(c).to_numpy()[order].copy() for c in ("cluster", "height", "size", "bound"))
+    n, back = len(names), np.empty(len(order), dtype=np.int64)
+    back[order] = np.arange(n)
+    src, other, far = entries(lists, back)
+    dst = np.minimum(np.searchsorted(names, other), n - 1)
+    outside = names[dst] != other
+    np.minimum.at(bound, src[outside], far[outside])
+    src, dst, far, exact = src[~outside], dst[~outside], far[~outside].copy(), np.ones((~outside).sum(), dtype=bool)
+    x, squares = prepared(vectors_in(rows), metric)
+    of, now, out, at = np.searchsorted(names, rows.column("cluster").to_numpy()), np.arange(n), [], 0
+    while True:
+        order = np.argsort(of, kind="stable")
+        x, squares, of = x[order], squares[order], of[order]
+        counts = np.bincount(of, minlength=n)
+        # distances of merged clusters are made if they may be the least
+        best = np.full(n, np.inf)
+        np.minimum.at(best, src[exact], far[exact])
+        open_ = np.flatnonzero(~exact & (far <= np.minimum(best, bound)[src]))
+        far[open_], exact[open_] = np.maximum(far[open_], greatest_of_pairs(x, squares, np.cumsum(counts) - counts, counts, src[open_], dst[open_], metric)), True
+        np.minimum.at(best, src[open_], far[open_])
+        keep = np.flatnonzero(far <= bound[src])
+        src, dst, far, exact = src[keep], dst[keep], far[keep], exact[keep]
+        first = np.flatnonzero(exact & (far == best[src]))
+        first = first[np.lexsort((mixed(names[src[first]], names[dst[first]]), src[first]))]
+        first = first[np.flatnonzero(np.diff(src[first], prepend=-1))]
+        nearest, distance = np.full(n, -1), np.full(n, np.inf)
+        nearest[src[first]], distance[src[first]] = dst[first], far[first]
+        a = np.flatnonzero(nearest > np.arange(n))
+        a = a[nearest[nearest[a]] == a]
+        b = nearest[a]
+        if len(a):
+            height[a] = np.maximum(np.maximum(distance[a], distance[b]), np.maximum(height[a], height[b]))
+            size[a] += size[b]
+            out.append((names[a], names[b], height[a], size[a], np.full(len(a), at)))
+        at += 1
+        into, changed, gone = np.arange(n), np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
+        into[b] = a
+        of, now = into[of], into[now]
+        if len(a) * STEPS < n:
+            break
+        changed[a] = changed[b] = True
+        wider = bound[b] > bound[a]
+        gone[np.where(wider, a, b)] = True
+        bound[a] = np.maximum(bound[a], bound[b])
+        keep = ~gone[src] & (into[src] != into[dst])
+        src, dst, far, exact = src[keep], dst[keep], far[keep], exact[keep] & ~(changed[src[keep]] | changed[dst[keep]])
+        src, dst = into[src], into[dst]
+        # two others that became one: the greater distance
+        made = np.flatnonzero(~exact)
+        made = made[np.lexsort((-far[made], dst[made], src[made]))]
+        keep = np.ones(len(src), dtype=bool)
+        keep[made] = (np.diff(src[made], prepend=-1) != 0) | (np.diff(dst[made], prepend=-1) != 0)
+        src, dst, far, exact = src[keep], dst[keep], far[keep], exact[keep]
+    out.append((names[now], names, height[now], size[now], np.full(n, -1)))
+    return [np.concatenate(c) for c in zip(*out)]
+
+
+def mutual_merges(placed: DataFrame, metric: str, round_: int) -> DataFrame:
+    """The merges (left, right, height, size, round, at) of all clusters that are each other's nearest."""
+    near = fixed(nearest_clusters(placed, metric))
+    back = near.select(F.col("cluster").alias("__c"), F.col("other").alias("__o"), F.col("size").alias("__s"), F.col("height").alias("__h"))
+    pairs = near.where("cluster < other").join(back, (F.col("other") == F.col("__c")) & (F.col("cluster") == F.col("__o")))
+    return pairs.select(F.col("cluster").alias("left"), F.col("other").alias("right"), F.greatest("distance", "height", "__h").alias("height"), (F.col("size") + F.col("__s")).alias("size"), F.lit(round_).alias("round"), F.lit(0).cast("long").alias("at"))
+
+
 def farthest(table: pa.Table, p: int, q: int, metric: str):
     """The clusters of blocks p and q (names, heights, sizes of each) and the greatest distance between the rows of each two, infinite to itself."""
-    columns = [table.column(c).to_numpy() for c in ("cluster", "height", "size")]
-    b, x, sides = table.column("b").to_numpy(), vectors_in(table), []
-    for block in (p, q):
-        where = np.flatnonzero(b == block)
-        where = where[np.argsort(columns[0][where], kind="stable")]
-        starts = np.unique(columns[0][where], return_index=True)[1]
-        sides.append(([c[where][starts] for c in columns], starts, x[where]))
-    (one, starts, xs), (two, ends, ys) = sides
-    d = np.full((len(starts), len(ends)), -np.inf)
-    of = np.repeat(np.arange(len(starts)), np.diff([*starts, len(xs)]))
-    for i in range(0, len(xs), BLOCK):
-        part = np.full((min(BLOCK, len(xs) - i), len(ends)), -np.inf)
-        to = np.repeat(np.arange(len(ends)), np.diff([*ends, len(ys)]))
-        for k in range(0, len(ys), ROUND_BLOCK):
-            got, own = distances(xs[i : i + BLOCK], ys[k : k + ROUND_BLOCK], metric), to[k : k + ROUND_BLOCK]
-            cuts = np.flatnonzero(np.diff(own, prepend=-1))
-            part[:, own[cuts]] = np.maximum(part[:, own[cuts]], np.maximum.reduceat(got, cuts, axis=1) if len(cuts) < len(own) else got)
-        own = of[i : i + BLOCK]
-        cuts = np.flatnonzero(np.diff(own, prepend=-1))
-        d[own[cuts]] = np.maximum(d[own[cuts]], np.maximum.reduceat(part, cuts, axis=0))
+    b = table.column("b").to_numpy()
+    left, right = np.flatnonzero(b == p), np.flatnonzero(b == q)
+    one, two = sides(table, left, right, metric)
+    about = [(own.names, *(table.column(c).to_numpy()[where][own.at] for c in ("height", "size"))) for own, where in ((one, left), (two, right))]
+    d = np.empty((len(one.names), len(two.names)))
+    for at, far in one.farthest(two, metric):
+        d[at] = far[:, two.rank]
+    if metric == "euclidean":
+        np.sqrt(d, out=d)
     if p == q:
         d = np.maximum(d, d.T)  # a product's two halves may differ in their last bits
         np.fill_diagonal(d, np.inf)
-    return one, two, d
+    return *about, d
 
 
 def nearest_clusters(placed: DataFrame, metric: str) -> DataFrame:
     """(cluster, height, size, distance, other): each cluster's nearest by complete linkage; equal distances go by a hash of the pair, the same from both
     sides, so that many alike don't all choose one."""
 
-    def mixed(a, b):
-        low, high = np.minimum(a, b).astype(np.uint64), np.maximum(a, b).astype(np.uint64)
-        h = (low * np.uint64(0x9E3779B97F4A7C15)) ^ (high * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9))
-        return ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(1)).astype(np.int64)
-
     def best(one, names, d):
         out = []
         for i in range(0, len(d), BLOCK):

@@ -265,3 +265,36 @@ def test_scaling_by_moments_is_that_of_all_distances(spark, metric, dims):
 def test_blocks_of_all_pairs_follow_the_rows_slowly():
     """A row is sent once for each block; blocks of 512 rows made that 200 times for 102,560 rows."""
     assert [cluster.pair_blocks(n) for n in (0, 1, 600, 10_256, 102_560, 360_000)] == [1, 1, 2, 8, 8, 22]
+
+
+def test_lists_of_neighbours_prove_many_merges_a_round(spark, monkeypatch):
+    """A merge a cluster and round at most left 2 to 5 % of the clusters merged in a round, so 600 items took dozens of rounds to 40 clusters."""
+    rounds, in_blocks = [], cluster.in_blocks
+    monkeypatch.setattr(cluster, "in_blocks", lambda *args: rounds.append(1) or in_blocks(*args))
+    x = np.random.default_rng(3).normal(size=(600, 16))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, vector array<double>")
+    got = sorted(r["merge_distance"] for r in cluster.linkage(rows, in_task=40).collect())
+    assert len(rounds) <= 6
+    assert np.allclose(got, cluster.nearest_neighbour_chain(cluster.distances(x, x, "cosine") + np.diag(np.full(600, np.inf)))[:, 2])
+
+
+def test_merges_across_groups_and_lists_of_few(spark, monkeypatch):
+    """Groups of 50 clusters and lists of 3: what the others hold are bounds, and the tree is still that of all pairs."""
+    monkeypatch.setattr(cluster, "GROUP", 50)
+    monkeypatch.setattr(cluster, "NEAR", 3)
+    x = np.random.default_rng(8).normal(size=(200, 3))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, vector array<double>")
+    got = sorted(r["merge_distance"] for r in cluster.linkage(rows, "euclidean", in_task=90).collect())
+    assert np.allclose(got, naive(cluster.distances(x, x, "euclidean")))
+
+
+def test_least_of_rows_bound_the_others():
+    d = np.random.default_rng(1).random((20, 3000))
+    d[0], d[1, :2000], d[2, 5] = 0.5, 0.25, np.inf
+    row, column, bound = cluster.least_of(d, 8)
+    for i in range(20):
+        own = column[row == i]
+        assert len(own) == 8 and np.allclose(np.sort(d[i, own]), np.sort(d[i])[:8])
+        assert np.delete(d[i], own).min() >= bound[i] >= d[i, own].max()
+    row, column, bound = cluster.least_of(d[:, :5], 8)
+    assert len(row) == 100 and np.isinf(bound).all()
